@@ -27,7 +27,7 @@ from forumlens.session import write_and_read
 
 BLOCK_SCHEMA = "starts binary, terms binary, weights binary, w binary"
 START_FLOOR = 1e-6
-ROWS_PER_BLOCK = 8192
+ROWS_PER_BLOCK = 1024
 STEPS_PER_WRITE = 10
 
 
@@ -117,6 +117,12 @@ def _pack(features: DataFrame, vector: str) -> DataFrame:
     return filled.mapInPandas(pack, BLOCK_SCHEMA)
 
 
+def _spread(blocks: DataFrame) -> DataFrame:
+    """A small matrix over all cores; a large one has partitions enough and is left as it is."""
+    cores = blocks.sparkSession.sparkContext.defaultParallelism
+    return blocks.repartition(cores) if blocks.rdd.getNumPartitions() < cores else blocks
+
+
 def _unpack(batches: Iterator[pd.DataFrame], k: int) -> Iterator[tuple[Rows, np.ndarray]]:
     for batch in batches:
         for b in batch.itertuples():
@@ -212,11 +218,10 @@ class NmfModel:
 def fit_nmf(features: DataFrame, vector: str, k: int = 8, max_iter: int = 200, tolerance: float = 1e-4) -> NmfModel:
     """Factorise the rows of a sparse vector column; stops when the violation falls to ``tolerance`` of the first."""
     assert isinstance(features.schema[vector].dataType, VectorUDT)
-    n_terms = None
-    blocks = write_and_read(_pack(features, vector), "nmf-blocks").persist()
+    spark = features.sparkSession
+    blocks = write_and_read(_spread(_pack(features, vector)), "nmf-blocks").persist()
     start, h = _start(features, vector, blocks, k)
     n_terms = h.shape[1]
-    spark = features.sparkSession
 
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
+from forumlens.functions.numeric import clamp
 from forumlens.functions.text import WORD, squeeze, strip, truncate_with_mark
 from forumlens.operators.ranking import top_n_per_group
 
@@ -87,7 +88,7 @@ def parse_score(reply: Column) -> Column:
     """The first free-standing number of up to three digits, limited to 0-100; 50 without one."""
     found = F.regexp_extract(reply, rf"(?<![{WORD}])(\d{{1,3}})(?![{WORD}])", 1)
     number = F.nullif(found, F.lit("")).try_cast("double")
-    return F.coalesce(F.least(F.greatest(number, F.lit(0.0)), F.lit(100.0)), F.lit(fixed.DEFAULT_MODEL_SCORE))
+    return F.coalesce(clamp(number, 0, 100), F.lit(fixed.DEFAULT_MODEL_SCORE))
 
 
 def reply_column(prompt: Column, score: ScoreFunction) -> Column:

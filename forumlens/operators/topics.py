@@ -64,39 +64,60 @@ class Vocabulary:
         return [math.log((1 + self.documents) / (1 + df)) + 1 for df in self.document_frequency]
 
 
+def counted_terms(terms: Column) -> Column:
+    """array<struct<term, n>>: each distinct term of a document with its count, from runs in sorted order."""
+
+    def runs(ordered: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(ordered) - 1)
+        starts = F.filter(places, lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1)))
+
+        def lengths(starts: Column) -> Column:
+            return F.transform(
+                starts,
+                lambda s, k: F.struct(
+                    F.get(ordered, s).alias("term"),
+                    (F.coalesce(F.get(starts, k + 1), F.size(ordered)) - s).alias("n"),
+                ),
+            )
+
+        return let(starts, lengths)
+
+    return let(F.sort_array(terms), lambda ordered: F.when(F.size(ordered) > 0, runs(ordered)))
+
+
 def term_counts(documents: DataFrame, stop_words: list[str]) -> DataFrame:
-    """(term, corpus_count, document_frequency); the empty term counts the documents.
+    """(term, corpus_count, document_frequency).
 
-    Each document lists its terms once with a count and once more, distinct, for the document
-    frequency. So only one partial row per term and partition is shuffled, and none by document.
+    Terms are counted inside each document first, then per partition, so one row per term and
+    partition is shuffled and nothing is grouped by document.
     """
-    terms = documents.select(terms_of(F.col("text"), stop_words).alias("terms"))
-    every = F.transform("terms", lambda t: F.struct(t.alias("term"), F.lit(1).alias("n"), F.lit(0).alias("d")))
-    once = F.transform(
-        F.array_distinct("terms"), lambda t: F.struct(t.alias("term"), F.lit(0).alias("n"), F.lit(1).alias("d"))
+    counted = documents.select(F.inline(counted_terms(terms_of(F.col("text"), stop_words))))
+    return counted.groupBy("term").agg(
+        F.sum("n").alias("corpus_count"), F.count(F.lit(1)).alias("document_frequency")
     )
-    document = F.array(F.struct(F.lit("").alias("term"), F.lit(0).alias("n"), F.lit(1).alias("d")))
-    spread = terms.select(F.inline(F.concat(every, once, document)))
-    return spread.groupBy("term").agg(F.sum("n").alias("corpus_count"), F.sum("d").alias("document_frequency"))
+
+
+def vocabulary_table(
+    documents: DataFrame, stop_words: list[str], max_terms: int = 1000, min_df: int = 2, max_df: float = 0.8
+) -> DataFrame:
+    """(term, corpus_count, document_frequency) of the ``max_terms`` most frequent terms among those in
+    enough and not too many documents."""
+    total = documents.agg(F.count(F.lit(1))).scalar()
+    frequency = F.col("document_frequency")
+    kept = term_counts(documents, stop_words).where((frequency >= min_df) & (frequency <= F.lit(max_df) * total))
+    return kept.orderBy(F.desc("corpus_count"), F.asc("term")).limit(max_terms)
 
 
 def fit_vocabulary(
     documents: DataFrame, stop_words: list[str] | None = None, max_terms: int = 1000, min_df: int = 2,
     max_df: float = 0.8,
 ) -> Vocabulary:
-    """The ``max_terms`` most frequent terms among those in enough and not too many documents."""
-    counts = term_counts(documents, default_stop_words() if stop_words is None else stop_words)
-    counts = counts.where((F.col("document_frequency") >= min_df) | (F.col("term") == "")).persist()
-    total = counts.where(F.col("term") == "").agg(F.max("document_frequency")).first()[0] or 0
-    kept = (
-        counts.where((F.col("term") != "") & (F.col("document_frequency") <= F.lit(max_df) * F.lit(total)))
-        .orderBy(F.desc("corpus_count"), F.asc("term"))
-        .limit(max_terms)
-    )
-    rows = sorted(kept.collect())
-    counts.unpersist()
+    """The vocabulary as a model; at most ``max_terms`` rows reach the driver."""
+    words = default_stop_words() if stop_words is None else stop_words
+    rows = sorted(vocabulary_table(documents, words, max_terms, min_df, max_df).collect())
     return Vocabulary(
-        [r["term"] for r in rows], [r["document_frequency"] for r in rows], [r["corpus_count"] for r in rows], total
+        [r["term"] for r in rows], [r["document_frequency"] for r in rows], [r["corpus_count"] for r in rows],
+        documents.count(),
     )
 
 

@@ -8,13 +8,25 @@ from pyspark.sql import types as T
 
 from forumlens.functions.numeric import no_nan, number_or_zero
 
-COMMENT = T.StructType.fromDDL(
+KINDS = {
+    "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+}
+
+
+def struct(fields: str) -> T.StructType:
+    """A row type from "name kind, ...", without needing a session."""
+    pairs = [field.split() for field in fields.split(",")]
+    return T.StructType([T.StructField(name, KINDS[kind]) for name, kind in pairs])
+
+
+COMMENT = struct(
     "comment_id string, parent_id string, author string, body string, score bigint, created_utc double, "
     "created_datetime timestamp, is_submitter boolean, stickied boolean, depth int"
 )
 COMMENTS = T.ArrayType(COMMENT)
 
-POST = T.StructType.fromDDL(
+POST = struct(
     "id string, title string, author string, score bigint, upvote_ratio double, num_comments bigint, "
     "created_utc double, created_datetime timestamp, hours_ago double, url string, permalink string, "
     "selftext string, is_self boolean, domain string, subreddit string, flair_text string, is_video boolean, "

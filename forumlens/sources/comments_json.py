@@ -8,6 +8,7 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.functions import PandasUDFType
 
 from forumlens.schema import COMMENTS
 
@@ -17,7 +18,6 @@ def decode_comments(text: Column) -> Column:
     return F.coalesce(F.from_json(text, COMMENTS), F.array().cast(COMMENTS))
 
 
-@F.pandas_udf("string")
 def _literal_to_json(texts: pd.Series) -> pd.Series:
     def convert(text: str | None) -> str | None:
         if text is None:
@@ -40,5 +40,6 @@ def repair_comments(text: Column) -> Column:
     undoubled = F.replace(F.replace(text, F.lit('""'), F.lit('"')), F.lit('\\"'), F.lit('"'))
     repaired = F.from_json(undoubled, COMMENTS)
     left_over = F.when(plain.isNull() & repaired.isNull() & F.startswith(text, F.lit("[")), text)
-    literal = F.from_json(_literal_to_json(left_over), COMMENTS)
+    to_json = F.pandas_udf(_literal_to_json, "string", PandasUDFType.SCALAR)
+    literal = F.from_json(to_json(left_over), COMMENTS)
     return F.coalesce(plain, repaired, literal, F.array().cast(COMMENTS))

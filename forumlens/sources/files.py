@@ -19,6 +19,9 @@ from forumlens.schema import COMMENTS, POST, harmonize_schema
 from forumlens.sources.comments_json import decode_comments
 
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+CSV_WRITING = {
+    "header": "true", "quoteAll": "true", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
 ASCII_JSON = {"writeNonAsciiCharacterAsCodePoint": "true"}
 TIME_COLUMNS = ("created_datetime", "collection_timestamp")
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -148,7 +151,7 @@ def write_csv(df: DataFrame, path: str, partition_by: list[str] | None = None) -
         if isinstance(f.dataType, T.StringType) else F.col(f.name)
         for f in text.schema.fields
     ]
-    writer = text.select(*doubled).write.option("header", True).option("quoteAll", True).option("escape", '"')
+    writer = text.select(*doubled).write.options(**CSV_WRITING)
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
 
