@@ -22,7 +22,7 @@ from forumlens.operators.sentiment import (
 )
 from forumlens.plans.analysis import Settings, analyze
 from forumlens.plans.collection import SearchSettings, collect_and_analyze
-from forumlens.session import work_folder
+from forumlens.session import work_folder, write_and_read
 
 # ---- sentiment -----------------------------------------------------------------------------
 BODY_SENTIMENT = sentiment_sql("posts", "id", "selftext", "s")
@@ -123,7 +123,9 @@ PARTS = ["score_normalized", "upvote_ratio_normalized", "comments_normalized", "
 
 
 def engaged(v: Views) -> DataFrame:
-    return calculate_engagement(filter_by_relevance(v.nested(), RULES), fixed.PRESET_WEIGHTS)
+    """Written out between gate and engagement, as the analysis does: the maxima need a second pass."""
+    gated = write_and_read(filter_by_relevance(v.nested(), RULES).drop("selftext"), "gated")
+    return calculate_engagement(gated, fixed.PRESET_WEIGHTS)
 
 
 @query("engagement_score", f"select id, relevance_score, {', '.join(PARTS)} from engaged", GATED_SQL)

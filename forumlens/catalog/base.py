@@ -11,6 +11,7 @@ from forumlens.functions.text import HANDLE_PATTERN, SPACES_PATTERN, SYMBOL_PATT
 from forumlens.operators.collect import attach_comments, top_comments
 from forumlens.operators.relevance import RelevanceRules
 from forumlens.operators.sentiment import Lexicon
+from forumlens.session import spread_small_input
 
 AS_OF = 1706659200
 SOURCE, DESTINATION, IMPLEMENTATION = ["rewh", "license", "thatin"], ["thon", "orre", "ononst"], ["thre", "thor", "hehely"]
@@ -95,7 +96,7 @@ class Views:
         self.spark, self.sf_dir = spark, sf_dir
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return spread_small_input(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
 
     def posts(self) -> DataFrame:
         return self.table("documents").alias("d").selectExpr(*POST_COLUMNS)

@@ -5,7 +5,7 @@ Whitespace and word characters are spelled out, since Java's ``\s`` and ``\w`` c
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = r"\s\x0B\x1C-\x1F\x85\p{Z}"
@@ -21,10 +21,24 @@ SPACE_CHARACTERS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 
 def let(value: Column, body) -> Column:
-    """Evaluate ``value`` once and hand it to ``body``; keeps deep expressions from being copied."""
+    """Evaluate ``value`` once and hand it to ``body``.
+
+    Needed wherever a computed value is used inside a lambda: the optimizer moves an expression that
+    is mentioned once to that place, and there it would run again for every element.
+    """
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def computed_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Adds columns that are costly to compute, behind a generator of one row.
+
+    A filter on a projected column is pushed below the projection together with the whole expression,
+    and the text is worked through once more for every mention. It is not pushed below a generator.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(SPACE_CHARACTERS))
 
@@ -62,12 +76,12 @@ def combined_text(title: str = "title", body: str = "selftext") -> Column:
 
 def contains_any(text: Column, keywords: list[str]) -> Column:
     """True when any keyword is a substring; stops at the first hit."""
-    return F.exists(_literals(keywords), lambda k: F.contains(text, k))
+    return let(text, lambda t: F.exists(_literals(keywords), lambda k: F.contains(t, k)))
 
 
 def matching(text: Column, keywords: list[str]) -> Column:
     """The keywords that are substrings of the text, in list order."""
-    return F.filter(_literals(keywords), lambda k: F.contains(text, k))
+    return let(text, lambda t: F.filter(_literals(keywords), lambda k: F.contains(t, k)))
 
 
 def count_matching(text: Column, keywords: list[str]) -> Column:

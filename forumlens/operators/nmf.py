@@ -23,7 +23,7 @@ from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumlens.session import write_and_read
+from forumlens.session import spread_small_input, write_and_read
 
 BLOCK_SCHEMA = "starts binary, terms binary, weights binary, w binary"
 START_FLOOR = 1e-6
@@ -117,12 +117,6 @@ def _pack(features: DataFrame, vector: str) -> DataFrame:
     return filled.mapInPandas(pack, BLOCK_SCHEMA)
 
 
-def _spread(blocks: DataFrame) -> DataFrame:
-    """A small matrix over all cores; a large one has partitions enough and is left as it is."""
-    cores = blocks.sparkSession.sparkContext.defaultParallelism
-    return blocks.repartition(cores) if blocks.rdd.getNumPartitions() < cores else blocks
-
-
 def _unpack(batches: Iterator[pd.DataFrame], k: int) -> Iterator[tuple[Rows, np.ndarray]]:
     for batch in batches:
         for b in batch.itertuples():
@@ -219,7 +213,7 @@ def fit_nmf(features: DataFrame, vector: str, k: int = 8, max_iter: int = 200, t
     """Factorise the rows of a sparse vector column; stops when the violation falls to ``tolerance`` of the first."""
     assert isinstance(features.schema[vector].dataType, VectorUDT)
     spark = features.sparkSession
-    blocks = write_and_read(_spread(_pack(features, vector)), "nmf-blocks").persist()
+    blocks = write_and_read(spread_small_input(_pack(features, vector)), "nmf-blocks").persist()
     start, h = _start(features, vector, blocks, k)
     n_terms = h.shape[1]
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
-from forumlens.functions.text import combined_text, contains_any, matching, padded_words
+from forumlens.functions.text import combined_text, computed_once, contains_any, matching, padded_words
 from forumlens.operators.collect import attach_comments, in_window, top_comments
 from forumlens.operators.ranking import top_n_per_group
 from forumlens.session import write_and_read
@@ -73,7 +73,7 @@ def _search_terms(
         raise ValueError(f"more than {MAX_PLAN_TERMS} searches in one plan; split it")
     if sort == "top":
         posts = posts.where(in_window(F.lit(time_filter), F.col("hours_ago")))
-    padded = posts.withColumn("_padded", padded_words(combined_text()))
+    padded = computed_once(posts, {"_padded": padded_words(combined_text())})
     matched_terms = F.array_compact(
         F.array(
             *[
@@ -103,7 +103,7 @@ def _search_terms(
         lambda l: l["search_subreddit"].isNull() | (l["search_subreddit"] == F.col("subreddit")),
     )
     expanded = (
-        padded.withColumn("_terms", matched_terms)
+        computed_once(padded, {"_terms": matched_terms})
         .drop("_padded")
         .where(F.size("_terms") > 0)
         .select("*", F.inline("_terms"))
@@ -158,7 +158,8 @@ def search_candidates(
 
 def search_plan(posts: DataFrame, broad_terms: list[str], subreddits: list[str] | None = None) -> DataFrame:
     """Every (location, term) search with the number of posts it matches, none included."""
-    padded = posts.select("subreddit", padded_words(combined_text()).alias("_padded"))
+    texts = posts.select("subreddit", "title", "selftext")
+    padded = computed_once(texts, {"_padded": padded_words(combined_text())})
     flags = [_all_words(F.col("_padded"), query_words(t)).alias(f"_t{i}") for i, t in enumerate(broad_terms)]
     flagged = padded.select("subreddit", *flags)
     counts = []
@@ -185,17 +186,18 @@ def hybrid_match(posts: DataFrame, target_keywords: list[str]) -> DataFrame:
     keywords = [k.lower() for k in target_keywords]
     text = F.lower(combined_text())
     bodies = F.transform(F.coalesce(F.col("comments"), F.array()), lambda c: F.lower(c["body"]))
-    labelled = posts.withColumns({"_text": text, "_bodies": bodies})
-    in_post = contains_any(F.col("_text"), keywords)
+    labelled = computed_once(posts, {"_text": text, "_bodies": bodies})
     in_comments = F.exists("_bodies", lambda b: contains_any(b, keywords))
+    flags = {
+        "found_in_post": contains_any(F.col("_text"), keywords),
+        "found_in_comments": F.coalesce(in_comments, F.lit(False)),
+    }
     matched = F.filter(
         F.array(*[F.lit(k) for k in keywords]),
         lambda k: F.contains(F.col("_text"), k) | F.exists("_bodies", lambda b: F.contains(b, k)),
     )
-    labelled = labelled.withColumns(
-        {"found_in_post": in_post, "found_in_comments": F.coalesce(in_comments, F.lit(False))}
-    ).where(F.col("found_in_post") | F.col("found_in_comments"))
-    return labelled.withColumn("matched_keywords", matched).drop("_text", "_bodies")
+    found = computed_once(labelled, flags).where(F.col("found_in_post") | F.col("found_in_comments"))
+    return found.withColumn("matched_keywords", matched).drop("_text", "_bodies")
 
 
 def matched_keywords(posts: DataFrame, keywords: list[str]) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from forumlens import fixed_values as fixed
 from forumlens.functions.lookup import word_lookup
 from forumlens.functions.numeric import half_even
-from forumlens.functions.text import clean_for_sentiment, let, strip
+from forumlens.functions.text import clean_for_sentiment, computed_once, let, strip
 
 MAX_LITERAL_WORDS = 50_000
 FIELDS = ("compound", "pos", "neu", "neg", "class", "priority")
@@ -84,12 +84,12 @@ def tokenize(cleaned: Column) -> Column:
 
 
 def is_caps(token: Column) -> Column:
-    return (token == F.upper(token)) & (token != F.lower(token))
+    return (token != F.lower(token)) & (token == F.upper(token))
 
 
-def mixed_case(tokens: Column) -> Column:
-    """Some tokens, but not all, are in capitals."""
-    shouted = F.size(F.filter(tokens, is_caps))
+def mixed_case(tokens: Column, words: Column) -> Column:
+    """Some tokens, but not all, are in capitals; most are settled by comparing with their lower case."""
+    shouted = F.size(F.filter(tokens, lambda t, i: (t != F.get(words, i)) & (t == F.upper(t))))
     return (shouted > 0) & (shouted < F.size(tokens))
 
 
@@ -222,7 +222,7 @@ def token_valences(cleaned: Column, lexicon: Lexicon) -> Column:
                 ),
             )
 
-        return let(mixed_case(tokens), lambda mixed: let(but_place, lambda but: score(mixed, but)))
+        return let(mixed_case(tokens, words), lambda mixed: let(but_place, lambda but: score(mixed, but)))
 
     return let(tokenize(cleaned), lambda tokens: let(F.transform(tokens, F.lower), lambda words: hits(tokens, words)))
 
@@ -231,7 +231,7 @@ def sentiment(text: Column, lexicon: Lexicon) -> Column:
     """struct<compound, pos, neu, neg, class, priority> of a text."""
 
     def of_cleaned(cleaned: Column) -> Column:
-        count = F.size(F.split(cleaned, " "))
+        count = _count_char(cleaned, " ") + 1
 
         def of_valences(values: Column) -> Column:
             total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
@@ -264,16 +264,17 @@ def score_by_join(df: DataFrame, text: str, table: DataFrame, lexicon: Lexicon,
     with the lexicon only small sums per key are shuffled. ``key`` must be unique. A booster or a
     negation that has a valence of its own must be left out of ``lexicon`` by the caller.
     """
-    cleaned = df.select(key, clean_for_sentiment(F.col(text)).alias("_clean"))
-    tokens = tokenize(F.col("_clean"))
-    words = F.transform(tokens, F.lower)
-    base = (
-        cleaned.withColumn("_tokens", tokens)
-        .withColumn("_words", words)
-        .withColumn("_mixed", mixed_case(F.col("_tokens")))
-        .withColumn("_but", (F.array_position("_words", F.lit("but")) - 1).cast("int"))
-        .withColumn("_marks", emphasis(F.col("_clean")))
-        .withColumn("_count", F.size("_tokens"))
+    cleaned = computed_once(df.select(key, text), {"_clean": clean_for_sentiment(F.col(text))})
+    split = computed_once(cleaned.select(key, "_clean"), {"_tokens": tokenize(F.col("_clean"))})
+    lowered = computed_once(split, {"_words": F.transform("_tokens", F.lower)})
+    base = computed_once(
+        lowered,
+        {
+            "_mixed": mixed_case(F.col("_tokens"), F.col("_words")),
+            "_but": (F.array_position("_words", F.lit("but")) - 1).cast("int"),
+            "_marks": emphasis(F.col("_clean")),
+            "_count": F.size("_tokens"),
+        },
     )
     spread = base.select(
         key, "_mixed", "_but",

@@ -58,3 +58,13 @@ def write_and_read(df: DataFrame, label: str) -> DataFrame:
     path = work_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """An input of fewer partitions than cores, dealt out over all of them; any other as it is.
+
+    A small file is one row group and would keep one core busy. At scale the scan has partitions
+    enough, and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
