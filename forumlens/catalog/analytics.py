@@ -290,8 +290,8 @@ def topic_weights(v: Views) -> DataFrame:
     model = topic_model(v)
     documents = topics.topic_documents(v.posts())
     featured = topics.tfidf_features(documents, "text", model.vocabulary, model.stop_words)
-    weights = model.nmf.weights(*topics.sparse_parts("tfidf"), featured)
-    return featured.select("id", F.posexplode(weights).alias("topic_id", "weight"))
+    weighted = featured.select("id", model.nmf.weights(*topics.sparse_parts("tfidf"), featured).alias("w"))
+    return weighted.select("id", F.posexplode("w").alias("topic_id", "weight"))
 
 
 @query("topic_assign")

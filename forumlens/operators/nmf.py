@@ -190,7 +190,10 @@ class NmfModel:
     violations: list[float]
 
     def weights(self, terms: Column, weights: Column, df: DataFrame) -> Column:
-        """W of each row, from its sparse vector alone; only the vector travels to Python."""
+        """W of each row, from its sparse vector alone; only the vector travels to Python.
+
+        Declared as not deterministic, though it is: so no filter on its result makes a copy of it.
+        """
         shared = df.sparkSession.sparkContext.broadcast((self.start, self.steps))
         k = self.components.shape[0]
 
@@ -206,7 +209,7 @@ class NmfModel:
             return pd.Series(list(w))
 
         compute.__annotations__ = {"term_lists": pd.Series, "weight_lists": pd.Series, "return": pd.Series}
-        return F.pandas_udf(compute, "array<double>")(terms, weights)
+        return F.pandas_udf(compute, "array<double>").asNondeterministic()(terms, weights)
 
 
 def fit_nmf(features: DataFrame, vector: str, k: int = 8, max_iter: int = 200, tolerance: float = 1e-4) -> NmfModel:

@@ -8,7 +8,6 @@ import json
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.functions import PandasUDFType
 
 from forumlens.schema import COMMENTS
 
@@ -18,7 +17,7 @@ def decode_comments(text: Column) -> Column:
     return F.coalesce(F.from_json(text, COMMENTS), F.array().cast(COMMENTS))
 
 
-def _literal_to_json(texts: pd.Series) -> pd.Series:
+def _literal_to_json(texts):
     def convert(text: str | None) -> str | None:
         if text is None:
             return None
@@ -31,6 +30,9 @@ def _literal_to_json(texts: pd.Series) -> pd.Series:
     return texts.map(convert)
 
 
+_literal_to_json.__annotations__ = {"texts": pd.Series, "return": pd.Series}
+
+
 def repair_comments(text: Column) -> Column:
     """Read as it stands; else with quotes un-doubled; else as a Python literal; else empty.
 
@@ -40,6 +42,6 @@ def repair_comments(text: Column) -> Column:
     undoubled = F.replace(F.replace(text, F.lit('""'), F.lit('"')), F.lit('\\"'), F.lit('"'))
     repaired = F.from_json(undoubled, COMMENTS)
     left_over = F.when(plain.isNull() & repaired.isNull() & F.startswith(text, F.lit("[")), text)
-    to_json = F.pandas_udf(_literal_to_json, "string", PandasUDFType.SCALAR)
+    to_json = F.pandas_udf(_literal_to_json, "string").asNondeterministic()
     literal = F.from_json(to_json(left_over), COMMENTS)
     return F.coalesce(plain, repaired, literal, F.array().cast(COMMENTS))
