@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,17 +39,21 @@ def work_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder for intermediate tables, below the shared folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session. Only a single-machine session may go
-    without it; there a temporary folder is set for the rest of the session.
+    without it; it uses one temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="forumlens-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _temporary_folder()
     return os.path.join(base, f"{label}-{uuid.uuid4().hex}")
 
 
+@cache
+def _temporary_folder() -> str:
+    return tempfile.mkdtemp(prefix="forumlens-")
+
+
 def write_and_read(df: DataFrame, label: str) -> DataFrame:
     """Materialise a frame as a parquet table in the shared folder and read it back.
 
