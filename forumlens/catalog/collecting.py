@@ -14,7 +14,7 @@ from forumlens.operators.ranking import dedupe_posts, duplicate_count
 from forumlens.schema import CORE_COLUMNS, harmonize_schema
 from forumlens.sources.files import combine_collections, parse_times
 
-PERMALINK = "https://reddit.com"
+PERMALINK = fixed.PERMALINK_BASE
 
 
 def landed(v: Views) -> DataFrame:
@@ -319,7 +319,7 @@ def _occurrences(word: str) -> str:
 
 
 PLAN = [
-    (l, None if s == "all" else s, "all Reddit" if s == "all" else f"r/{s}", t, term)
+    (l, None if s == "all" else s, fixed.EVERYWHERE if s == "all" else f"r/{s}", t, term)
     for l, s in enumerate([*LOCATIONS, "all"]) for t, term in enumerate(TERMS)
 ]
 _MATCHES = " or ".join(
