@@ -72,6 +72,31 @@ def products(
         i = j
 
 
+class RollingHash:
+    """64-bit polynomial hashes of any stretch of a byte array, from one pass of sums; equal bytes, equal hash."""
+
+    def __init__(self, seed: int = 1):
+        rng = np.random.default_rng(seed)
+        self.codes = rng.integers(0, 2**64, 256, dtype=np.uint64)
+        base = int(rng.integers(2**62, 2**63)) * 2 + 1
+        self.bases = np.uint64(base % 2**64), np.uint64(pow(base, -1, 2**64))
+        self.powers = self.inverses = np.ones(1, np.uint64)
+
+    def sums(self, data: np.ndarray) -> np.ndarray:
+        """Sums of coded bytes up to each position; ``data`` is uint8."""
+        if len(data) >= len(self.powers):
+            n = max(1 << 12, 2 * len(data))
+            self.powers, self.inverses = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, b)])) for b in self.bases)
+        out = np.zeros(len(data) + 1, np.uint64)
+        terms = self.codes[data]
+        terms *= self.powers[: len(data)]
+        np.cumsum(terms, out=out[1:])
+        return out
+
+    def between(self, sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return (sums[ends] - sums[starts]) * self.inverses[starts]
+
+
 class Forest:
     """Connected groups of 0..n-1, joined by batches of links; the smallest member names a group."""
 

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.llm.chat import format_chats, loss_text, read_turns
+from forumlens.llm.contamination import contaminated
+from forumlens.llm.mixing import mix
 from forumlens.llm.secrets import find_secrets, labelled_samples, shown, train_markov
 from forumlens.llm.simhash import simhash_groups
 from forumlens.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_score
@@ -104,3 +106,18 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_toxicity(docs, table(spark, sf_dir, "labels").where(f"not ({HELD_OUT})").select("doc_id", "toxic"))
     scored = docs.select("doc_id", F.expr(HELD_OUT).alias("held_out"), toxicity_score(model).alias("score"))
     return scored.withColumn("predicted", F.expr(f"if(score >= {THRESHOLD}, 1, 0)"))
+
+
+# ---- 6: benchmark decontamination ----------------------------------------------------------
+@query
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# ---- 8: mixing -----------------------------------------------------------------------------
+POWERS = {"source": 0.5, "lang": 0.5, "topic": 0.7}
+
+
+@query
+def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), POWERS)
