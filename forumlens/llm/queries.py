@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from forumlens.llm.chat import format_chats, loss_text, read_turns
 from forumlens.llm.contamination import contaminated
 from forumlens.llm.mixing import mix
+from forumlens.llm.pii import KINDS as PII_KINDS
+from forumlens.llm.pii import find_pii, train_field
 from forumlens.llm.secrets import find_secrets, labelled_samples, shown, train_markov
 from forumlens.llm.simhash import simhash_groups
 from forumlens.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_score
@@ -121,3 +123,15 @@ POWERS = {"source": 0.5, "lang": 0.5, "topic": 0.7}
 @query
 def op8_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), POWERS)
+
+
+# ---- 7: personal data ----------------------------------------------------------------------
+@query
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"), train_field())
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("found", lambda s: s["kind"] < 4)
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{PII_KINDS[k]}") for k in range(4)), F.sha2(shown(base, PII_KINDS), 256).alias("base_sha256"),
+        shown(F.col("found"), PII_KINDS).alias("spans"),
+    )
