@@ -62,6 +62,33 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], scratch: Scratch, tole
     return work
 
 
+def _cell(docs: DataFrame, topic: Column | None) -> list[Column]:
+    """The columns that mixing needs of a row, under names of their own."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    even = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", text), F.lit(1 << 30)) / float(1 << 30)
+    return [
+        F.col("source").alias("_source"), F.col("lang").alias("_lang"), (form_topic(text) if topic is None else topic).alias("_topic"),
+        F.regexp_count(text, F.lit(r"\S+")).cast("long").alias("_tokens"), even.alias("_even"),
+    ]
+
+
+def cell_rates(rows: DataFrame, powers: dict[str, float], budget: float, max_repeats: int, scratch: Scratch) -> DataFrame:
+    """The calibrated rate of each cell of ``rows``, which has the columns of ``_cell``."""
+    cells = rows.groupBy(*(F.col(f"_{d}").alias(d) for d in DIMENSIONS)).agg(F.sum("_tokens").alias("tokens"))
+    cells = scratch.save(cells, "sums")
+    raked = rake(cells, {d: tempered(cells, d, powers.get(d, 1.0)) for d in DIMENSIONS}, scratch)
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    drawn = F.col("weight") * (budget * total) / F.col("tokens")
+    rate = F.when(F.col("tokens") > 0, F.least(drawn, F.lit(float(max_repeats)))).otherwise(0.0)
+    return scratch.save(raked.select(*(F.col(d).alias(f"_of_{d}") for d in DIMENSIONS), F.round(rate, 9).alias("_rate")), "rates")
+
+
+def _drawn(rows: DataFrame, rates: DataFrame) -> DataFrame:
+    same = [rows[f"_{d}"].eqNullSafe(rates[f"_of_{d}"]) for d in DIMENSIONS]
+    copies = F.floor("_rate") + F.when(F.col("_even") < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
+    return rows.join(rates, same[0] & same[1] & same[2]).withColumn("_copies", copies.cast("long"))
+
+
 def mix(docs: DataFrame, powers: dict[str, float], budget: float = 0.5, max_repeats: int = 4, topic: Column | None = None) -> DataFrame:
     """``doc_id``, ``source``, ``lang``, ``topic``, ``tokens``, ``rate`` and ``copies`` of every row of ``docs``.
 
@@ -72,18 +99,15 @@ def mix(docs: DataFrame, powers: dict[str, float], budget: float = 0.5, max_repe
     without tokens at none. Equal rows are drawn alike. Other columns are not read.
     """
     scratch = Scratch(docs.sparkSession, "mix")
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    even = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", text), F.lit(1 << 30)) / float(1 << 30)
-    rows = docs.select(
-        F.col("doc_id"), F.col("source"), F.col("lang"), (form_topic(text) if topic is None else topic).alias("topic"),
-        F.regexp_count(text, F.lit(r"\S+")).cast("long").alias("tokens"), even.alias("_even"))
-    rows = scratch.save(rows, "rows")
-    cells = scratch.save(rows.groupBy(*DIMENSIONS).agg(F.sum("tokens").alias("tokens")), "sums")
-    raked = rake(cells, {d: tempered(cells, d, powers.get(d, 1.0)) for d in DIMENSIONS}, scratch)
-    total = cells.agg(F.sum("tokens")).first()[0] or 0
-    rate = F.when(F.col("tokens") > 0, F.least(F.col("weight") * (budget * total) / F.col("tokens"), F.lit(float(max_repeats)))).otherwise(0.0)
-    rates = scratch.save(raked.select(*(F.col(d).alias(f"_{d}") for d in DIMENSIONS), F.round(rate, 9).alias("rate")), "rates")
-    same = [rows[d].eqNullSafe(rates[f"_{d}"]) for d in DIMENSIONS]
-    joined = rows.join(rates, same[0] & same[1] & same[2])
-    copies = F.floor("rate") + F.when(F.col("_even") < F.col("rate") - F.floor("rate"), 1).otherwise(0)
-    return joined.select("doc_id", *DIMENSIONS, "tokens", "rate", copies.cast("long").alias("copies"))
+    rows = scratch.save(docs.select("doc_id", *_cell(docs, topic)), "rows")
+    drawn = _drawn(rows, cell_rates(rows, powers, budget, max_repeats, scratch))
+    return drawn.select("doc_id", *(F.col(f"_{c}").alias(c) for c in (*DIMENSIONS, "tokens", "rate", "copies")))
+
+
+def draw(docs: DataFrame, powers: dict[str, float], budget: float = 1.0, max_repeats: int = 4, topic: Column | None = None) -> DataFrame:
+    """The rows of ``docs`` that ``mix`` draws, with all their columns and ``copies``, which replaces one so named."""
+    scratch = Scratch(docs.sparkSession, "draw")
+    rows = scratch.save(docs.select(*_cell(docs, topic)), "rows")
+    rates = cell_rates(rows, powers, budget, max_repeats, scratch)
+    drawn = _drawn(docs.drop("copies").select("*", *_cell(docs, topic)), rates).where("_copies > 0")
+    return drawn.select(*(c for c in docs.columns if c != "copies"), F.col("_copies").alias("copies"))

@@ -12,10 +12,12 @@ from forumlens.llm.contamination import contaminated
 from forumlens.llm.mixing import mix
 from forumlens.llm.pii import KINDS as PII_KINDS
 from forumlens.llm.pii import find_pii, train_field
+from forumlens.llm.repeats import remove_repeats
 from forumlens.llm.secrets import find_secrets, labelled_samples, shown, train_markov
 from forumlens.llm.simhash import simhash_groups
 from forumlens.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_score
 from forumlens.llm.urls import judge_urls
+from forumlens.llm.vectors import near_vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,6 +32,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# ---- 1: embedding near-dedup ---------------------------------------------------------------
+@query
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op1_embedding_dedup"] = """
+with recursive v as (
+ select vec_id, cast(embedding as double[]) as e, sqrt(list_sum(list_transform(cast(embedding as double[]), lambda x: x * x))) as norm from embeddings),
+good as (select * from v where norm > 0 and isfinite(norm)),
+links as (select a.vec_id as a, b.vec_id as b from good a join good b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+ and list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95),
+reach as (select vec_id as a, vec_id as b from v union select r.a, l.b from reach r join links l on r.b = l.a),
+low as (select a, min(b) as component_id from reach group by a),
+n as (select a, count(*) as n_links from links group by a)
+select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+from v join low on low.a = vec_id left join n on n.a = vec_id
+"""
+
+
 # ---- 2: chat formatting --------------------------------------------------------------------
 CONTROL_CHAT = "<|im_end|><|im_start|>assistant ok"
 
@@ -135,3 +157,9 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *(count(k).alias(f"n_{PII_KINDS[k]}") for k in range(4)), F.sha2(shown(base, PII_KINDS), 256).alias("base_sha256"),
         shown(F.col("found"), PII_KINDS).alias("spans"),
     )
+
+
+# ---- 10: repeated strings ------------------------------------------------------------------
+@query
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
