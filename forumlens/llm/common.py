@@ -85,7 +85,7 @@ class RollingHash:
     def sums(self, data: np.ndarray) -> np.ndarray:
         """Sums of coded bytes up to each position; ``data`` is uint8."""
         if len(data) >= len(self.powers):
-            n = max(1 << 12, 2 * len(data))
+            n = max(1 << 12, len(data) * 5 // 4)
             self.powers, self.inverses = (np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(n, b)])) for b in self.bases)
         out = np.zeros(len(data) + 1, np.uint64)
         terms = self.codes[data]

@@ -212,13 +212,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_overlap: float = MIN
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_overlap: float = MIN_OVERLAP, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """The rows of ``docs``, all columns, whose text leaks no item. Decided row by row; nothing is joined."""
     for index in _indexes(benchmark, index_bytes):
-        shared = docs.sparkSession.sparkContext.broadcast(vars(index))
+        docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast(vars(index)), min_overlap)(F.col("text").cast("string")))
+    return docs
 
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, shared=shared) -> pd.Series:
-            index, rolling = Index(**shared.value), RollingHash()
-            hit = lambda t: any(q >= min_overlap and a >= min_overlap for _, _, q, a in search(index, t, rolling))
-            return pd.Series([not hit(t) for t in texts], dtype=bool)
 
-        docs = docs.where(clean(F.col("text").cast("string")))
-    return docs
+def _clean(shared, min_overlap: float):
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        index, rolling = Index(**shared.value), RollingHash()
+        hit = lambda t: any(q >= min_overlap and a >= min_overlap for _, _, q, a in search(index, t, rolling))
+        return pd.Series([not hit(t) for t in texts], dtype=bool)
+
+    return clean
