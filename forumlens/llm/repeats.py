@@ -116,10 +116,9 @@ def _unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=np.uint64), np.unpackbits(raw[:k], count=n).astype(bool)
 
 
-def _ranges(names: np.ndarray, n_ranges: int) -> np.ndarray:
-    """Where each range of equal width starts among sorted hashes; the last entry ends the last."""
-    edges = np.array([(k << 64) // n_ranges for k in range(n_ranges)], np.uint64)
-    return np.append(np.searchsorted(names, edges), len(names))
+def _edge(k: int, n_ranges: int) -> np.uint64:
+    """Last hash below the ``k``-th of ranges of equal width; for the first, none is."""
+    return np.uint64((k << 64) // n_ranges - 1)
 
 
 def _answer(frame: pd.DataFrame) -> pd.DataFrame:
@@ -144,9 +143,12 @@ def _repeated(chunks: DataFrame, hashes: Callable[[pd.Series, RollingHash], tupl
         rolling = RollingHash()
         for f in frames:
             for _, row in f.iterrows():
-                names, many, _ = _sent(*hashes(row, rolling))
-                cuts = _ranges(names, n_ranges)
-                rows = [(k, row["chunk"], b - a, _packed(names[a:b], many[a:b])) for k in parts if (a := int(cuts[k])) < (b := int(cuts[k + 1]))]
+                every, *forced = hashes(row, rolling)
+                mine = every <= _edge(parts.stop, n_ranges)
+                mine &= every > _edge(parts.start, n_ranges) if parts.start else True
+                names, many, _ = _sent(every[mine], *(f[mine] for f in forced))
+                cuts = [0, *np.searchsorted(names, [_edge(k + 1, n_ranges) for k in parts], side="right").tolist()]
+                rows = [(k, row["chunk"], b - a, _packed(names[a:b], many[a:b])) for k, a, b in zip(parts, cuts[:-1], cuts[1:], strict=True) if a < b]
                 yield pd.DataFrame(rows, columns=["part", "chunk", "n", "sent"])
 
     sent = chunks.mapInPandas(send, "part int, chunk long, n int, sent binary")
