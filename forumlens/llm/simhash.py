@@ -14,6 +14,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from forumlens.llm.common import Forest, Scratch, products, runs
 from forumlens.llm.components import components
@@ -47,7 +48,7 @@ def fingerprint(text: bytes | None, size: int = SHINGLE) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view(np.int64)[0])
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def fingerprints(texts: pd.Series) -> pd.Series:
     return texts.map(fingerprint).astype("int64")
 
