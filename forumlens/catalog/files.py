@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from forumlens.catalog.analytics import BRIEF, GATED_SQL, engaged
 from forumlens.catalog.base import Views, query
 from forumlens.catalog.collecting import USERS_SQL, target_comments
-from forumlens.schema import COMMENTS, POST
+from forumlens.schema import POST
 from forumlens.session import work_folder
 from forumlens.sources import files
 from forumlens.sources.comments_json import decode_comments, repair_comments
@@ -199,4 +199,3 @@ def landed_posts(v: Views) -> DataFrame:
     return files.read_landed(v.spark, path, schema, "2024-01-15").select("id", "subreddit", "score")
 
 
-__all__ = ["COMMENTS"]

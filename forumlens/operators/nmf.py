@@ -146,7 +146,7 @@ def _start(features: DataFrame, vector: str, blocks: DataFrame, k: int) -> tuple
     top = np.argsort(eigenvalues)[::-1][:k]
     values = np.sqrt(np.maximum(eigenvalues[top], 0))
     vectors = eigenvectors[:, top]
-    present = values > 1e-9 * max(values[0], 1e-300)
+    present = values > max(values[0], 1e-300) * np.sqrt(len(gram) * np.finfo(float).eps)  # eigenvalues carry noise of that square
     divisor = np.where(present, values, 1.0)
 
     def squares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -172,6 +172,9 @@ def _start(features: DataFrame, vector: str, blocks: DataFrame, k: int) -> tuple
         right_parts = [np.maximum(right, 0), np.maximum(-right, 0)]
         sizes = [left_norms[s] * np.linalg.norm(right_parts[s]) for s in (0, 1)]
         side = 0 if sizes[0] > sizes[1] else 1
+        if not sizes[side] > 0:
+            signs[j] = 1
+            continue
         weight = np.sqrt(values[j] * sizes[side])
         signs[j] = 1 if side == 0 else -1
         scales[j] = weight / left_norms[side]

@@ -37,15 +37,18 @@ def top_n_per_group(
     return ranked if rank_name else ranked.drop(rank)
 
 
+def _blank(id_column: str) -> Column:
+    return F.coalesce(F.trim(F.col(id_column)), F.lit("")) == ""
+
+
 def dedupe_posts(df: DataFrame, order: list[str], id_column: str = "id") -> DataFrame:
     """One row per id, the first in ``order``. Rows with a blank id are no duplicates of each other.
 
     Each input partition keeps one row per id before the shuffle, so an id copied into a third of
-    all rows sends one row per partition. A blank id is widened by the row's own place, which
-    spreads those rows instead of gathering them.
+    all rows sends one row per partition. A blank id is widened by the row's own position, which
+    keeps those rows apart and spreads them.
     """
-    blank = F.coalesce(F.trim(F.col(id_column)), F.lit("")) == ""
-    place = F.when(blank, F.struct(*[F.col(c) for c in order]))
+    place = F.when(_blank(id_column), F.monotonically_increasing_id())
     keyed = df.withColumn("_place", place)
     first = Window.partitionBy(id_column, "_place").orderBy(*[F.col(c).asc() for c in order])
     ranked = keyed.withColumn("_row", F.row_number().over(first))
@@ -53,7 +56,9 @@ def dedupe_posts(df: DataFrame, order: list[str], id_column: str = "id") -> Data
 
 
 def duplicate_count(df: DataFrame, id_column: str = "id") -> DataFrame:
-    total, distinct = F.count(F.lit(1)), F.countDistinct(id_column)
+    """Rows, rows that :func:`dedupe_posts` keeps, and the difference."""
+    blank = _blank(id_column)
+    total, distinct = F.count(F.lit(1)), F.countDistinct(F.when(~blank, F.col(id_column))) + F.count_if(blank)
     return df.agg(total.alias("total_rows"), distinct.alias("unique_rows"), (total - distinct).alias("duplicates"))
 
 

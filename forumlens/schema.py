@@ -106,7 +106,7 @@ def coerce(df: DataFrame, name: str, kind: str) -> Column:
     if kind == "bigint":
         if isinstance(actual, T.IntegralType):
             return F.coalesce(column.cast("bigint"), F.lit(0).cast("bigint"))
-        return number_or_zero(column).cast("bigint")
+        return F.coalesce(number_or_zero(column).try_cast("bigint"), F.lit(0).cast("bigint"))
     if kind == "double":
         return number_or_zero(column)
     if kind == "boolean":

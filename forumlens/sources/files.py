@@ -57,8 +57,11 @@ def read_posts_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return df.withColumn("comments", decode_comments(F.col("comments"))) if "comments" in df.columns else df
 
 
-def read_posts_json(spark: SparkSession, paths: str | list[str], schema: T.StructType = POST, lines: bool = False) -> DataFrame:
-    """Posts from JSON: one array of records per file, or one record per line, which Spark can split."""
+def read_posts_json(spark: SparkSession, paths: str | list[str], schema: T.StructType = POST, lines: bool = True) -> DataFrame:
+    """Posts from JSON: one record, or one array of records, per line, which Spark can split.
+
+    ``lines=False`` is for files of one array over several lines; each is read by one task.
+    """
     return spark.read.schema(schema).option("multiLine", str(not lines).lower()).json(paths)
 
 

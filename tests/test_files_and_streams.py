@@ -6,7 +6,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from forumlens.schema import COMMENT, POST
+from forumlens.operators.ranking import dedupe_posts, duplicate_count
+from forumlens.schema import COMMENT, POST, coerce
 from forumlens.session import work_folder
 from forumlens.sources import files
 from forumlens.sources.comments_json import repair_comments
@@ -90,3 +91,21 @@ def test_stream_score_passes_over_scored(spark):
         stream = feeds.landed_stream(spark, landing, posts.schema)
         scored = feeds.score_stream(stream, lambda ps, reply=reply: [reply] * len(ps), path, checkpoint)
     assert sorted((r["id"], r["llm_relevance_score"]) for r in scored.collect()) == [(str(i), 10.0) for i in range(4)]
+
+
+def test_written_json_lines_are_read_back_whole(spark, tmp_path):
+    path = f"{tmp_path}/posts.json"
+    spark.range(10).selectExpr("cast(id as string) as id", "concat('t', id) as title").write.json(path)
+    assert sorted(r["id"] for r in files.load_posts(spark, path).collect()) == [str(i) for i in range(10)]
+
+
+def test_blank_ids_are_kept_and_counted_alike(spark):
+    rows = [("a", 1), ("a", 1), ("", 1), ("", 1), (None, 1)]
+    posts = spark.createDataFrame(rows, "id string, created_utc long")
+    assert dedupe_posts(posts, ["created_utc"]).count() == 4
+    assert duplicate_count(posts).first().asDict() == {"total_rows": 5, "unique_rows": 4, "duplicates": 1}
+
+
+def test_numbers_too_large_for_a_whole_number_become_zero(spark):
+    posts = spark.createDataFrame([("Infinity",), ("1e30",), ("7",)], "score string")
+    assert [r[0] for r in posts.select(coerce(posts, "score", "bigint")).collect()] == [0, 0, 7]

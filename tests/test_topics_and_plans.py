@@ -122,3 +122,10 @@ def test_user_collection(spark):
     comments, stats = user_collection(df, ["u1", "nobody"], limit=4)
     assert sorted(r["comment_id"] for r in comments.collect()) == ["3", "5", "7", "9"]
     assert {r["target_username"]: r["total_comments"] for r in stats.collect()} == {"u1": 4, "nobody": 0}
+
+
+def test_fewer_themes_than_topics_give_finite_factors(spark):
+    themes = np.kron(np.eye(3), [0.6, 0.5, 0.62])
+    rows = [(Vectors.dense(t),) for t in themes for _ in range(2)]
+    components = np.asarray(fit_nmf(spark.createDataFrame(rows, ["v"]), "v", 8, 50).components)
+    assert np.isfinite(components).all() and (components >= 0).all() and components.any()
