@@ -273,15 +273,8 @@ def tfidf_terms(v: Views) -> DataFrame:
     return long.withColumn("tfidf", F.rint(F.col("tfidf") * 1e6) / 1e6)
 
 
-_TOPIC_MODELS: dict[tuple[int, str], topics.TopicModel] = {}
-
-
 def topic_model(v: Views) -> topics.TopicModel:
-    """Fitted once per session and data folder: five queries look at the same model."""
-    key = (id(v.spark), v.sf_dir)
-    if key not in _TOPIC_MODELS:
-        _TOPIC_MODELS[key] = topics.fit_topics(v.posts())
-    return _TOPIC_MODELS[key]
+    return topics.fit_topics(v.posts())
 
 
 @query("topic_model")

@@ -109,18 +109,23 @@ def post_age(v: Views) -> DataFrame:
 # ---- harmonising ---------------------------------------------------------------------------
 def daily_part(v: Views) -> DataFrame:
     """A tiered collection: without search columns and fractional days."""
-    part = v.posts().where("cast(id as bigint) % 3 <> 0").drop("days_ago")
+    part = v.posts().drop("days_ago")
     return part.selectExpr("*", "'high' as activity_tier", "cast(15 as bigint) as target_posts", "cast(id as bigint) as row_order")
 
 
+#: Every second post was found under the id that the tiered collection has, the others under one of their own.
+SEARCH_ID = "case when cast(id as bigint) % 2 = 0 then id else concat('s', id) end"
+
+
 def search_part(v: Views) -> DataFrame:
     """A search collection: with a search column, numbers as text where a file would have them so."""
-    part = v.posts().where("cast(id as bigint) % 2 = 0").drop("score")
-    return part.selectExpr(
+    part = v.posts().drop("score")
+    typed = part.selectExpr(
         "*", "case when cast(id as bigint) % 7 = 0 then 'n/a' else concat(cast((cast(id as bigint) * 37) % 500 - 20 as string), '.0') end as score",
         "'than' as search_query", "case when cast(id as bigint) % 4 = 0 then 'True' end as is_self",
         "cast(id as bigint) as row_order",
     )
+    return typed.withColumn("id", F.expr(SEARCH_ID))
 
 
 FLAT_CORE = [c for c, (kind, _) in CORE_COLUMNS.items() if not kind.startswith("array") and kind != "timestamp"]
@@ -141,15 +146,15 @@ _SHARED = {c: c for c in ("id", "title", "author", "upvote_ratio", "num_comments
 DAILY_SQL = _core_sql({**_SHARED, "score": "score", "tier": "'high'", "target_posts": "15"})
 SEARCH_SQL = _core_sql(
     {
-        **_SHARED, "score": "case when cast(id as bigint) % 7 = 0 then null else score end", "days_ago": "days_ago",
+        **_SHARED, "id": SEARCH_ID, "score": "case when cast(id as bigint) % 7 = 0 then null else score end", "days_ago": "days_ago",
         "search_query": "'than'", "is_self": "case when cast(id as bigint) % 4 = 0 then true end",
     }
 )
 UNITED_SQL = f"""
 united as (
- select {DAILY_SQL}, 1 as file_order, cast(id as bigint) as row_order from posts where cast(id as bigint) % 3 <> 0
+ select {DAILY_SQL}, 1 as file_order, cast(id as bigint) as row_order from posts
  union all
- select {SEARCH_SQL}, 2 as file_order, cast(id as bigint) as row_order from posts where cast(id as bigint) % 2 = 0)
+ select {SEARCH_SQL}, 2 as file_order, cast(id as bigint) as row_order from posts)
 """
 
 
@@ -157,12 +162,12 @@ def united(v: Views) -> DataFrame:
     return combine_collections([daily_part(v), search_part(v)])
 
 
-@query("harmonize_schema", f"select {DAILY_SQL} from posts where cast(id as bigint) % 3 <> 0")
+@query("harmonize_schema", f"select {DAILY_SQL} from posts")
 def harmonize(v: Views) -> DataFrame:
     return harmonize_schema(daily_part(v)).select(*FLAT_CORE)
 
 
-@query("coerce_types", f"select {SEARCH_SQL} from posts where cast(id as bigint) % 2 = 0")
+@query("coerce_types", f"select {SEARCH_SQL} from posts")
 def coerce_types(v: Views) -> DataFrame:
     return harmonize_schema(search_part(v)).select(*FLAT_CORE)
 

@@ -137,15 +137,15 @@ def quality(v: Views) -> DataFrame:
 def _collections(v: Views) -> list[str]:
     """Two collections and an earlier result, as folders named the way collectors name files."""
     base = work_folder(v.spark, "landed")
-    parts = {"activity_based_1": "% 3 <> 0", "data_tools_hybrid_search_1": "% 2 = 0", "daily_analyzed_1": "% 5 = 0"}
-    for name, condition in parts.items():
-        v.posts().where(f"cast(id as bigint) {condition}").write.parquet(f"{base}/{name}.parquet")
+    parts = ["activity_based_1", "data_tools_hybrid_search_1", "daily_analyzed_1"]
+    for name in parts:
+        v.posts().write.parquet(f"{base}/{name}.parquet")
     return [f"{base}/{name}.parquet" for name in parts]
 
 
 COLLECTIONS_SQL = (
-    "select id, 'daily_subreddits' as collection_type, 'activity_based_1.parquet' as source_file from posts where cast(id as bigint) % 3 <> 0"
-    " union all select id, 'keyword_search', 'data_tools_hybrid_search_1.parquet' from posts where cast(id as bigint) % 2 = 0"
+    "select id, 'daily_subreddits' as collection_type, 'activity_based_1.parquet' as source_file from posts"
+    " union all select id, 'keyword_search', 'data_tools_hybrid_search_1.parquet' from posts"
 )
 
 
