@@ -136,10 +136,10 @@ def engagement_score(v: Views) -> DataFrame:
 @query(
     "comment_quality",
     f"select post_id, count(*) as comments_collected, avg(score) as avg_comment_score, max(score) as max_comment_score,"
-    f" {clamp_sql('(avg(score) + max(score)) * 5')} as comment_quality_score from ranked_comments group by post_id",
+    f" {clamp_sql('(avg(score) + max(score)) * 5')} as comment_quality_score from all_comments group by post_id",
 )
 def comment_quality(v: Views) -> DataFrame:
-    return comment_quality_flat(v.ranked_comments())
+    return comment_quality_flat(v.valid_comments())
 
 
 ALL_ENGAGED_SQL = RELEVANCE_SQL + "," + engagement_sql("relevance", fixed.DEFAULT_WEIGHTS)
@@ -148,7 +148,8 @@ BRIEF = "id, subreddit, score, num_comments, relevance_score, engagement_score"
 
 
 def all_engaged(v: Views) -> DataFrame:
-    return calculate_engagement(score_relevance(v.nested(), RULES))
+    """Relevance is written once; the maxima then read two columns of it."""
+    return calculate_engagement(write_and_read(score_relevance(v.nested(), RULES), "scored"))
 
 
 @query("filter_thresholds", f"select {BRIEF} from engaged where {PRESET_SQL}", ALL_ENGAGED_SQL)
@@ -172,9 +173,9 @@ def exclude_keywords(v: Views) -> DataFrame:
     return filter_by_thresholds(v.nested(), {"exclude_keywords": EXCLUDED}).select("id", "subreddit")
 
 
-@query("exclude_keywords_flat", f"select id, subreddit from posts where id not in {EXCLUDED_SQL}")
+@query("exclude_keywords_flat", f"select id, subreddit from posts where id not in {EXCLUDED_SQL.replace('ranked_comments', 'all_comments')}")
 def exclude_keywords_flat(v: Views) -> DataFrame:
-    return exclude_by_flat_comments(v.posts(), v.ranked_comments(), EXCLUDED).select("id", "subreddit")
+    return exclude_by_flat_comments(v.posts(), v.valid_comments(), EXCLUDED).select("id", "subreddit")
 
 
 FUNNEL = {**fixed.PRESET_THRESHOLDS, "max_hours_ago": 240, "subreddits": ["src1", "src2", "src3"], "exclude_keywords": EXCLUDED}
@@ -206,7 +207,7 @@ WHOLE_SQL = (
 
 
 def judged(v: Views) -> DataFrame:
-    scored = filter_by_relevance(add_sentiment(v.nested(), LEXICON), RULES)
+    scored = write_and_read(add_sentiment(filter_by_relevance(v.nested(), RULES), LEXICON), "judged")
     return two_tier_filter(calculate_engagement(scored, fixed.PRESET_WEIGHTS), fixed.PRESET_THRESHOLDS)
 
 
@@ -338,9 +339,9 @@ def comment_rollup(v: Views) -> DataFrame:
     return v.nested().select("id", scoring.comment_rollup().alias("comment_text"))
 
 
-@query("comment_rollup_flat", "select * from rollups", CUT_NAMES)
+@query("comment_rollup_flat", "select * from rollups", CUT_NAMES.replace("ranked_comments", "all_comments"))
 def comment_rollup_flat(v: Views) -> DataFrame:
-    return scoring.comment_rollup_flat(v.ranked_comments(), ["comment_rank"])
+    return scoring.comment_rollup_flat(v.valid_comments().withColumn("by_score", -F.col("score")), ["by_score", "comment_id"])
 
 
 @query("scoring_prompt", "select * from prompted", PROMPTED_SQL)

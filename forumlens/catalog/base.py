@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.functions.text import HANDLE_PATTERN, SPACES_PATTERN, SYMBOL_PATTERN, URL_PATTERN
-from forumlens.operators.collect import attach_comments, top_comments
+from forumlens.operators.collect import attach_comments, top_comments, valid_comments
 from forumlens.operators.relevance import RelevanceRules
 from forumlens.operators.sentiment import Lexicon
 from forumlens.session import spread_small_input
@@ -50,7 +50,7 @@ ORACLES: dict[str, str] = {}
 # ---- views ---------------------------------------------------------------------------------
 POST_COLUMNS = [
     "cast(d.doc_id as string) as id",
-    "substring(split_part(d.text, chr(10), 1), 1, 80) as title",
+    "split_part(d.text, chr(10), 1) as title",
     "case when d.doc_id % 17 = 0 then null else d.text end as selftext",
     "case when d.doc_id % 29 = 0 then '[deleted]' else concat('u', cast(d.doc_id % 37 as string)) end as author",
     "(d.doc_id * 37) % 500 - 20 as score",
@@ -115,6 +115,10 @@ class Views:
     def ranked_comments(self) -> DataFrame:
         return top_comments(self.comments(), 200)
 
+    def valid_comments(self) -> DataFrame:
+        """All comments that count, however many a post has."""
+        return valid_comments(self.comments())
+
     def nested(self) -> DataFrame:
         return attach_comments(self.posts(), self.ranked_comments())
 
@@ -124,10 +128,10 @@ posts as (select {', '.join(POST_COLUMNS)}, coalesce(l.toxic = 1, false) as over
  from documents d left join labels l on d.doc_id = l.doc_id),
 comments as (select {', '.join(COMMENT_COLUMNS)} from conversations),
 user_comments as (select {', '.join(_user_columns("cast(floor(epoch(ts)) as bigint)"))} from events),
-ranked_comments as (
+all_comments as (
  select *, row_number() over (partition by post_id order by score desc, comment_id) as comment_rank
- from comments where body <> '[deleted]' and score is not null
- qualify row_number() over (partition by post_id order by score desc, comment_id) <= 200)
+ from comments where body <> '[deleted]' and score is not null),
+ranked_comments as (select * from all_comments where comment_rank <= 200)
 """
 
 

@@ -137,11 +137,11 @@ def match_type_counts(v: Views) -> DataFrame:
 
 @query(
     "comment_totals",
-    "select count(*) as total_comments, count(distinct post_id) as posts_with_comments from ranked_comments"
+    "select count(*) as total_comments, count(distinct post_id) as posts_with_comments from all_comments"
     " where post_id in (select id from posts)",
 )
 def comment_totals(v: Views) -> DataFrame:
-    return reports.comment_totals(v.nested())
+    return reports.comment_totals_flat(v.posts(), v.valid_comments())
 
 
 @query(

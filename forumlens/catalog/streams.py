@@ -43,8 +43,7 @@ def incremental_ingest(v: Views) -> DataFrame:
 def stream_dedupe(v: Views) -> DataFrame:
     """Every post arrives twice; one of each stays."""
     twice = post_stream(v).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    kept = feeds.stream_dedupe(twice, delay="60 days").select("id", "subreddit", "score")
-    return feeds.run_to_table(kept, *places(v, "dedupe"))
+    return feeds.stream_dedupe(twice.select("id", "subreddit", "score", "created_datetime"), *places(v, "dedupe")).drop("created_datetime")
 
 
 @query(

@@ -135,6 +135,13 @@ def comment_totals(df: DataFrame) -> DataFrame:
     return df.agg(F.sum(size).alias("total_comments"), F.count_if(size > 0).alias("posts_with_comments"))
 
 
+def comment_totals_flat(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """The same from flat comments, of any number per post; those of other posts do not count."""
+    own = comments.join(posts.select(F.col("id").alias("post_id")), "post_id", "left_semi")
+    sizes = own.groupBy("post_id").agg(_rows().alias("n"))
+    return sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_comments"), F.count("*").alias("posts_with_comments"))
+
+
 # ---- users ---------------------------------------------------------------------------------
 def user_overview(df: DataFrame) -> DataFrame:
     return df.agg(

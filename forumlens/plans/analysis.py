@@ -61,18 +61,19 @@ class Analysis:
 
 
 def analyze(posts: DataFrame, settings: Settings = PRESET) -> Analysis:
-    """Sentiment, topics, relevance gate, engagement, two tiers, order.
+    """Topics, relevance gate, sentiment, engagement, two tiers, order.
 
     Topic fitting reads the posts several times and the engagement maxima once more, so the posts
     are written out before the first and the gated ones before the second. Nothing between those
-    points moves a row: sentiment, topics and relevance are computed where the row is.
+    points moves a row: topics, relevance and sentiment are computed where the row is. Sentiment is
+    the dearest and decides nothing before the order, so only gated posts get it.
     """
     posts = write_and_read(posts, "posts")
-    judged = add_sentiment(posts, settings.lexicon)
-    judged = perform_topic_modeling(
-        judged, settings.topics, stop_words=settings.stop_words, max_iter=settings.topic_iterations
+    labelled = perform_topic_modeling(
+        posts, settings.topics, stop_words=settings.stop_words, max_iter=settings.topic_iterations
     )
-    relevant = write_and_read(filter_by_relevance(judged, settings.rules, settings.cut), "relevant")
+    gated = filter_by_relevance(labelled, settings.rules, settings.cut)
+    relevant = write_and_read(add_sentiment(gated, settings.lexicon), "relevant")
     scored = calculate_engagement(relevant, settings.weights)
     kept = two_tier_filter(scored, settings.thresholds, settings.high)
     return Analysis(final_sort(kept), scored)

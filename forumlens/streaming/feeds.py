@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forumlens.functions.text import combined_text, contains_any, matching
-from forumlens.operators.scoring import Prompt, ScoreFunction, not_yet_scored, score_posts
+from forumlens.operators.ranking import dedupe_posts
+from forumlens.operators.scoring import Prompt, ScoreFunction, latest_scores, not_yet_scored, score_posts
+
+SCORES = "id string, llm_relevance_score double, score_status string, version bigint"
 
 
 def landed_stream(
@@ -34,9 +37,28 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def stream_dedupe(posts: DataFrame, created: str = "created_datetime", delay: str = "14 days") -> DataFrame:
-    """One row per id; the state forgets an id ``delay`` after it was last possible."""
-    return posts.withWatermark(created, delay).dropDuplicatesWithinWatermark(["id"])
+def stream_dedupe(posts: DataFrame, path: str, checkpoint: str, order: tuple[str, ...] = ("created_datetime",)) -> DataFrame:
+    """One row per id, however late a post lands: of a batch the first in ``order``, if the table lacks the id.
+
+    The table itself is the memory, so there is no state to expire. A batch that is run again after a failure
+    overwrites its own folder. Posts with a blank id are all kept.
+    """
+    schema = T.StructType(list(posts.schema.fields)).add("version", T.LongType())
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        own = f"{path}/version={batch_id}"
+        spark.createDataFrame([], posts.schema).write.mode("overwrite").parquet(own)
+        known = spark.read.schema(schema).parquet(path).where(F.col("version") != batch_id).select("id").where(F.trim("id") != "")
+        new = dedupe_posts(batch, list(order)).join(known, "id", "left_anti")
+        new.select(*batch.columns).write.mode("overwrite").parquet(own)
+
+    query = (
+        posts.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).foreachBatch(write).start()
+    )
+    query.awaitTermination()
+    return posts.sparkSession.read.schema(schema).parquet(path).drop("version")
 
 
 def stream_match(posts: DataFrame, keywords: list[str]) -> DataFrame:
@@ -46,9 +68,12 @@ def stream_match(posts: DataFrame, keywords: list[str]) -> DataFrame:
     return posts.where(contains_any(text, lowered)).withColumn("matched_keywords", matching(text, lowered))
 
 
-def daily_counts(posts: DataFrame, created: str = "created_datetime", delay: str = "14 days") -> DataFrame:
-    """Posts and mean score per subreddit and day."""
-    days = posts.withWatermark(created, delay).groupBy(F.window(created, "1 day"), "subreddit")
+def daily_counts(posts: DataFrame, created: str = "created_datetime") -> DataFrame:
+    """Posts and total score per subreddit and day.
+
+    A backfill may land any time, so no day is ever closed: the state is one row per day and subreddit.
+    """
+    days = posts.groupBy(F.window(created, "1 day"), "subreddit")
     counts = days.agg(F.count(F.lit(1)).alias("posts"), F.sum("score").alias("total_score"))
     return counts.select(F.col("window.start").alias("day"), "subreddit", "posts", "total_score")
 
@@ -75,18 +100,26 @@ def run_updates(stream: DataFrame, keys: list[str], path: str, checkpoint: str)
     return latest.select(*keys, *[F.col("_latest")[v].alias(v) for v in values])
 
 
+def _one_version(posts: DataFrame) -> DataFrame:
+    """One row per id: the smallest by title, body and the rest, so that a repeated batch asks the same."""
+    order = F.struct("title", "selftext", F.xxhash64(*posts.columns))
+    return posts.groupBy("id").agg(F.min_by(F.struct(*posts.columns), order).alias("_post")).select("_post.*")
+
+
 def score_stream(
     posts: DataFrame, score: ScoreFunction, path: str, checkpoint: str, prompt: Prompt | None = None
 ) -> DataFrame:
-    """Score posts as they land; ids already in the table are passed over."""
-    schema = "id string, llm_relevance_score double, score_status string, version bigint"
+    """Score posts as they land, and read one score per id; ids already scored are passed over.
+
+    A post whose scoring failed is asked again when it lands again, or by :func:`retry_failed`.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         own = f"{path}/version={batch_id}"
-        spark.createDataFrame([], schema).drop("version").write.mode("overwrite").parquet(own)
-        done = spark.read.schema(schema).parquet(path).where(F.col("version") != batch_id)
-        fresh = score_posts(not_yet_scored(batch.dropDuplicates(["id"]), done), score, prompt)
+        spark.createDataFrame([], SCORES).drop("version").write.mode("overwrite").parquet(own)
+        done = spark.read.schema(SCORES).parquet(path).where(F.col("version") != batch_id)
+        fresh = score_posts(not_yet_scored(_one_version(batch), done), score, prompt)
         fresh.select("id", "llm_relevance_score", "score_status").write.mode("overwrite").parquet(own)
 
     query = (
@@ -94,4 +127,17 @@ def score_stream(
         .trigger(availableNow=True).foreachBatch(write).start()
     )
     query.awaitTermination()
-    return posts.sparkSession.read.schema(schema).parquet(path).drop("version")
+    return latest_scores(posts.sparkSession.read.schema(SCORES).parquet(path))
+
+
+def retry_failed(posts: DataFrame, score: ScoreFunction, path: str, prompt: Prompt | None = None) -> DataFrame:
+    """Ask again for those of the landed ``posts`` whose scoring failed, and read one score per id.
+
+    Versions of retries count down from -1, those of a stream's batches up from 0.
+    """
+    table = posts.sparkSession.read.schema(SCORES).parquet(path)
+    failed = latest_scores(table).where("score_status = 'failed'").select("id")
+    version = min(table.agg(F.min("version")).first()[0] or 0, 0) - 1
+    again = score_posts(_one_version(posts.join(failed, "id", "left_semi")), score, prompt)
+    again.select("id", "llm_relevance_score", "score_status").write.mode("overwrite").parquet(f"{path}/version={version}")
+    return latest_scores(posts.sparkSession.read.schema(SCORES).parquet(path))

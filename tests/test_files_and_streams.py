@@ -79,8 +79,37 @@ def test_stream_dedupe_over_batches(spark):
     posts = spark.range(6).selectExpr("cast(id % 3 as string) id", "timestamp_seconds(1706659200 + id * 3600) created_datetime")
     for _ in range(2):
         posts.write.mode("append").parquet(landing)
-        feeds.run_to_table(feeds.stream_dedupe(feeds.landed_stream(spark, landing, posts.schema)), path, checkpoint)
-    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == ["0", "1", "2"]
+        kept = feeds.stream_dedupe(feeds.landed_stream(spark, landing, posts.schema), path, checkpoint)
+    assert sorted(r["id"] for r in kept.collect()) == ["0", "1", "2"]
+
+
+def test_posts_that_land_months_late_are_kept_and_counted(spark):
+    landing, path, checkpoint, counted, counting = (work_folder(spark, n) for n in ("in", "out", "cp", "counts", "cp2"))
+    for ids, epoch in ((["new", "same"], 1706659200), (["old", "same", "", ""], 1700000000)):
+        posts = spark.createDataFrame([(i, "s", 1) for i in ids], "id string, subreddit string, score long")
+        posts = posts.withColumn("created_datetime", F.timestamp_seconds(F.lit(epoch)))
+        posts.write.mode("append").parquet(landing)
+        stream = feeds.landed_stream(spark, landing, posts.schema)
+        kept = feeds.stream_dedupe(stream, path, checkpoint)
+        days = feeds.run_updates(feeds.daily_counts(stream), ["day", "subreddit"], counted, counting)
+    assert sorted(r["id"] for r in kept.collect()) == ["", "", "new", "old", "same"]
+    assert sorted(r["posts"] for r in days.collect()) == [2, 4]
+
+
+def test_failed_scores_are_asked_again(spark):
+    landing, path, checkpoint = (work_folder(spark, n) for n in ("in", "out", "cp"))
+    posts = spark.range(4).selectExpr("cast(id as string) id", "concat('t', id) title", "'x' selftext")
+    posts.write.parquet(landing)
+
+    def fails_once(prompts):
+        if any("t2" in p for p in prompts):
+            raise RuntimeError("no reply")
+        return ["10"] * len(prompts)
+
+    first = feeds.score_stream(feeds.landed_stream(spark, landing, posts.schema), fails_once, path, checkpoint)
+    assert [r["id"] for r in first.where("score_status = 'failed'").collect()] == ["2"]
+    second = feeds.retry_failed(spark.read.parquet(landing), lambda ps: ["30"] * len(ps), path)
+    assert sorted((r["id"], r["llm_relevance_score"]) for r in second.collect()) == [("0", 10.0), ("1", 10.0), ("2", 30.0), ("3", 10.0)]
 
 
 def test_stream_score_passes_over_scored(spark):
