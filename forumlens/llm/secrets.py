@@ -34,7 +34,8 @@ def _state(letter: Column) -> Column:
 def labelled_samples(docs: DataFrame, texts: int = SAMPLE_TEXTS, strings: int = SAMPLE_STRINGS) -> DataFrame:
     """``(token, secret)``: random hex, base64 and alphanumeric strings, and identifiers of sampled texts.
 
-    The identifiers are the words and word pairs of the ``texts`` documents with the smallest hash of their id.
+    The identifiers are the words and word pairs of the ``texts`` documents with the smallest hash of their id;
+    of rows that share an id the smallest text counts.
     """
     spark = docs.sparkSession
     digest = F.sha2(F.col("id").cast("string"), 256)
@@ -42,7 +43,10 @@ def labelled_samples(docs: DataFrame, texts: int = SAMPLE_TEXTS, strings: int =
     random = spark.range(strings).select(
         F.when(F.col("id") % 3 == 0, F.substr(digest, F.lit(1), F.lit(40))).when(F.col("id") % 3 == 1, coded)
         .otherwise(F.regexp_replace(coded, "[+/=]", "")).alias("token"), F.lit(True).alias("secret"))
-    chosen = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(texts)
+    # ids are ranked without their texts, so the one task that ends a ranking reads numbers only
+    ids = docs.select(F.col("doc_id").alias("_id")).orderBy(F.xxhash64("_id"), "_id").limit(texts).distinct()
+    own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    chosen = own.join(F.broadcast(ids), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
     words = F.expr(r"regexp_extract_all(text, '[A-Za-z]{3,}', 0)")
     ordinary = chosen.select(F.explode(words).alias("word")).select(F.explode(F.array("word", F.concat(F.lower("word"), F.lit("_"), F.lower("word")))).alias("token"))
     return random.unionByName(ordinary.withColumn("secret", F.lit(False)))
@@ -122,5 +126,3 @@ def shown(spans: Column, kinds: tuple[str, ...] = KINDS) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     names = F.array(*(F.lit(k) for k in kinds))
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"], s["end"])), ",")
-
-
