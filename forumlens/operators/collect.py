@@ -274,7 +274,8 @@ def collect_user_comments(df: DataFrame, users: list[str], limit: int = 1000, so
     orders = {"new": [F.desc("created_utc"), F.asc("comment_id")], "top": [F.desc("score"), F.asc("comment_id")]}
     if sort_type not in orders:
         raise ValueError(f"Invalid sort_type: {sort_type}")
-    own = df.where(F.col("author").isin(users))
+    named = config_table(df.sparkSession, [{"author": u} for u in dict.fromkeys(users)], "author string")
+    own = df.join(named, "author", "left_semi")
     kept = drop_removed(top_n_per_group(own, ["author"], orders[sort_type], limit))
     return kept.withColumn("target_username", F.col("author"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -13,9 +14,12 @@ from forumlens import fixed_values as fixed
 from forumlens.functions.numeric import clamp
 from forumlens.functions.text import WORD, squeeze, strip, truncate_with_mark
 from forumlens.operators.ranking import top_n_per_group
+from forumlens.session import write_and_read
 
 ScoreFunction = Callable[[list[str]], list[str]]
 
+#: Appends of a scoring run; what a run that stops loses is one of them.
+SCORE_BUCKETS = 16
 # Fewer comments than this always decide a roll-up: each adds a separator of three characters.
 ROLLUP_COMMENTS = fixed.COMMENTS_CHARS // len(fixed.COMMENT_SEPARATOR) + 2
 
@@ -94,7 +98,7 @@ def parse_score(reply: Column) -> Column:
 def reply_column(prompt: Column, score: ScoreFunction) -> Column:
     """Replies to a column of prompts, a batch per call; only the prompt travels to Python.
 
-    A batch that raises is asked again prompt by prompt, and what still raises is null.
+    A batch that raises is asked again in halves, down to single prompts; what still raises is logged and null.
     """
 
     def ask(prompts: list[str]) -> list[str | None]:
@@ -102,11 +106,14 @@ def reply_column(prompt: Column, score: ScoreFunction) -> Column:
             replies = score(prompts)
             if len(replies) == len(prompts):
                 return list(replies)
-        except Exception:
-            pass
+            problem = f"{len(replies)} replies"
+        except Exception as error:
+            problem = repr(error)
         if len(prompts) == 1:
+            logging.getLogger(__name__).warning("no score: %s", problem)
             return [None]
-        return [ask([p])[0] for p in prompts]
+        half = len(prompts) // 2
+        return ask(prompts[:half]) + ask(prompts[half:])
 
     def replies(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
@@ -148,11 +155,14 @@ def latest_scores(scored: DataFrame) -> DataFrame:
     )
 
 
-def score_table(df: DataFrame, score: ScoreFunction, scored_path: str, prompt: Prompt | None = None) -> DataFrame:
+def score_table(
+    df: DataFrame, score: ScoreFunction, scored_path: str, prompt: Prompt | None = None, buckets: int = SCORE_BUCKETS
+) -> DataFrame:
     """Score what the table at ``scored_path`` lacks, append it there, and rank all posts.
 
-    The append is the checkpoint: a run that stops half-way loses the batch in hand, and the next
-    one goes on with the rest. Posts still without a score take the default.
+    Posts are scored in ``buckets`` by a hash of their id, and each bucket is an append of its own: a run that
+    stops half-way loses the bucket in hand, and the next one goes on with the rest. Posts still without a
+    score take the default.
     """
     spark = df.sparkSession
     schema = "id string, llm_relevance_score double, score_status string"
@@ -161,8 +171,11 @@ def score_table(df: DataFrame, score: ScoreFunction, scored_path: str, prompt: P
     )
     empty.write.mode("append").parquet(scored_path)
     before = spark.read.schema(schema).parquet(scored_path)
-    fresh = score_posts(not_yet_scored(df, before), score, prompt)
-    fresh.select("id", "llm_relevance_score", "score_status").write.mode("append").parquet(scored_path)
+    todo = write_and_read(not_yet_scored(df, before), "to-score")
+    for bucket in range(buckets):
+        mine = todo.where(F.pmod(F.xxhash64("id"), F.lit(buckets)) == bucket)
+        fresh = score_posts(mine, score, prompt).select("id", "llm_relevance_score", "score_status")
+        fresh.write.mode("append").parquet(scored_path)
     scores = latest_scores(spark.read.schema(schema).parquet(scored_path))
     ranked = df.drop("llm_relevance_score", "score_status").join(scores, "id", "left")
     return rank_by_model_score(ranked)

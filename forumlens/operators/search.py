@@ -6,18 +6,21 @@ orders by the number of occurrences of those words; the remote ranking itself is
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
+from forumlens.functions.lookup import keyed_lookup
 from forumlens.functions.text import combined_text, computed_once, contains_any, matching, padded_words
 from forumlens.operators.collect import attach_comments, in_window, top_comments
 from forumlens.operators.ranking import top_n_per_group
 from forumlens.session import write_and_read
 
-MAX_PLAN_TERMS = 2_000
+#: Terms that are tested one by one; the terms of a longer plan are looked up by the words of the text.
+BRANCH_TERMS = 200
 
 
 def query_words(query: str) -> list[str]:
@@ -45,6 +48,48 @@ def _hits(padded: Column, words: list[str]) -> Column:
     return total
 
 
+def _tested_terms(padded: Column, terms: list[str]) -> Column:
+    """array<struct<term_ord, term, occurrences>> of the terms a padded text matches, in plan order; a branch per term."""
+    found = [
+        F.when(
+            _all_words(padded, query_words(term)),
+            F.struct(
+                F.lit(place).alias("term_ord"), F.lit(term).alias("term"),
+                _hits(padded, query_words(term)).alias("occurrences"),
+            ),
+        )
+        for place, term in enumerate(terms)
+    ]
+    return F.array_compact(F.array(*found))
+
+
+def _looked_up_terms(padded: Column, terms: list[str]) -> Column:
+    """The same for plans of any length: a word of the text leads to the terms of which it is the longest word."""
+    by_word: dict[str, list[dict]] = {}
+    for place, term in enumerate(terms):
+        words = query_words(term)
+        by_word.setdefault(max(words, key=len), []).append({"term_ord": place, "term": term, "words": words})
+    look_up = keyed_lookup(by_word, "array<struct<term_ord:int,term:string,words:array<string>>>")
+    candidates = F.flatten(F.array_compact(F.transform(F.array_distinct(F.split(padded, " ")), look_up)))
+
+    def needle(word: Column) -> Column:
+        return F.concat(F.lit(" "), word, F.lit(" "))
+
+    def hits(total: Column, word: Column) -> Column:
+        removed = F.char_length(padded) - F.char_length(F.replace(padded, needle(word), F.lit("")))
+        return total + (removed / (F.char_length(word) + 2)).cast("bigint")
+
+    fitting = F.filter(candidates, lambda t: F.forall(t["words"], lambda w: F.contains(padded, needle(w))))
+    counted = F.transform(
+        fitting,
+        lambda t: F.struct(
+            t["term_ord"].alias("term_ord"), t["term"].alias("term"),
+            F.aggregate(t["words"], F.lit(0).cast("bigint"), hits).alias("occurrences"),
+        ),
+    )
+    return F.array_sort(counted)
+
+
 SORT_ORDERS = {
     "relevance": [F.desc, ["occurrences", "score"]],
     "new": [F.desc, ["created_utc"]],
@@ -69,36 +114,19 @@ def _search_terms(
     Each post lists the terms it matches and the locations it lies in; only matches are expanded,
     so no pairing of posts with the plan is ever formed.
     """
-    if len(terms) * len(locations) > MAX_PLAN_TERMS:
-        raise ValueError(f"more than {MAX_PLAN_TERMS} searches in one plan; split it")
     if sort == "top":
         posts = posts.where(in_window(F.lit(time_filter), F.col("hours_ago")))
     padded = computed_once(posts, {"_padded": padded_words(combined_text())})
-    matched_terms = F.array_compact(
-        F.array(
-            *[
-                F.when(
-                    _all_words(F.col("_padded"), query_words(term)),
-                    F.struct(
-                        F.lit(place).alias("term_ord"),
-                        F.lit(term).alias("term"),
-                        _hits(F.col("_padded"), query_words(term)).alias("occurrences"),
-                    ),
-                )
-                for place, term in enumerate(terms)
-            ]
-        )
-    )
+    match = _tested_terms if len(terms) <= BRANCH_TERMS else _looked_up_terms
+    matched_terms = match(F.col("_padded"), terms)
+    places = [
+        {"location_ord": place, "search_subreddit": subreddit, "location_name": name}
+        for place, (subreddit, name) in enumerate(locations)
+    ]
     own_locations = F.filter(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(place).alias("location_ord"),
-                    F.lit(subreddit).cast("string").alias("search_subreddit"),
-                    F.lit(name).alias("location_name"),
-                )
-                for place, (subreddit, name) in enumerate(locations)
-            ]
+        F.from_json(
+            F.lit(json.dumps(places)),
+            "array<struct<location_ord:int,search_subreddit:string,location_name:string>>",
         ),
         lambda l: l["search_subreddit"].isNull() | (l["search_subreddit"] == F.col("subreddit")),
     )
@@ -220,7 +248,7 @@ def hybrid_search(
     ranked = None
     if comments is not None:
         ids = candidates.select(F.col("id").alias("post_id")).distinct()
-        own = comments.join(F.broadcast(ids), "post_id", "left_semi")
+        own = comments.join(ids, "post_id", "left_semi")
         ranked = top_comments(own, max_comments, max_age_hours, as_of)
     matched = hybrid_match(attach_comments(candidates, ranked), target_keywords)
     first = top_n_per_group(matched, ["id"], [F.asc("location_ord"), F.asc("term_ord")], 1)

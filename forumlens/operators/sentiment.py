@@ -19,6 +19,8 @@ from forumlens.functions.numeric import half_even
 from forumlens.functions.text import clean_for_sentiment, computed_once, let, strip
 
 MAX_LITERAL_WORDS = 50_000
+#: Copies of a joined lexicon, over which the tokens of one word are dealt.
+JOIN_SALTS = 16
 FIELDS = ("compound", "pos", "neu", "neg", "class", "priority")
 
 
@@ -288,7 +290,11 @@ def score_by_join(df: DataFrame, text: str, table: DataFrame, lexicon: Lexicon,
             )
         ),
     )
-    valued = spread.join(table.select("token", "valence"), "token").where(~F.col("token").isin(list(lexicon.boosters)))
+    # a common word's tokens are dealt over as many tasks as there are copies of the lexicon
+    spread = spread.withColumn("_salt", F.pmod(F.xxhash64(key, "place"), F.lit(JOIN_SALTS)))
+    salts = F.sequence(F.lit(0).cast("bigint"), F.lit(JOIN_SALTS - 1).cast("bigint"))
+    copies = table.select("token", "valence", F.explode(salts).alias("_salt"))
+    valued = spread.join(copies, ["token", "_salt"]).where(~F.col("token").isin(list(lexicon.boosters)))
     last = F.size("near") - 1
     in_context = _in_context(
         F.col("valence"), last, F.col("near"), F.transform("near", F.lower), F.col("_mixed"), lexicon

@@ -65,10 +65,11 @@ def test_word_lookup(spark):
     assert found == {**words, "other": None, "": None}
 
 
-def test_config_table_is_bounded(spark):
+def test_config_table_of_any_size(spark):
     assert config_table(spark, [{"a": 1}, {"a": None}], "a int").count() == 2
-    with pytest.raises(ValueError):
-        config_table(spark, [{"a": 1}] * 10_001, "a int")
+    rows = [{"b": str(i), "a": i} for i in range(20_000)]
+    many = config_table(spark, rows, "a int, b string")
+    assert many.columns == ["a", "b"] and many.where("b = cast(a as string)").count() == 20_000
 
 
 def test_patterns_like_python(spark):

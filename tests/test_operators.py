@@ -2,16 +2,18 @@
 
 import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
 from forumlens.operators import scoring
+from forumlens.operators.collect import collect_user_comments, user_stats
 from forumlens.operators.engagement import calculate_engagement
 from forumlens.operators.filters import filter_by_thresholds, two_tier_filter
 from forumlens.operators.ranking import dedupe_posts, final_sort, top_n_per_group
 from forumlens.operators.relevance import score_relevance
-from forumlens.operators.search import hybrid_match, keyword_search
+from forumlens.operators.search import BRANCH_TERMS, hybrid_match, keyword_search, multi_keyword_search
 from forumlens.operators.topics import counted_terms, terms_of, topic_name
 from forumlens.schema import CORE_COLUMNS, harmonize_schema
 from forumlens.session import work_folder
@@ -147,3 +149,49 @@ def test_failing_model_is_retried_and_marked(spark):
     assert first == {"1": (77.0, "scored"), "2": (50.0, "failed"), "3": (77.0, "scored")}
     second = {r["id"]: r["llm_relevance_score"] for r in scoring.score_table(posts, lambda ps: ["12"] * len(ps), path).collect()}
     assert second == {"1": 77.0, "2": 12.0, "3": 77.0}
+
+
+def test_a_long_search_plan_finds_what_a_short_one_does(spark):
+    texts = ["red fox", "Red red, FOX fox fox", "fox", "", None, "blue sky and red fox", "skyblue"]
+    posts = spark.createDataFrame(
+        [(str(i), "s", t, "sky", i, float(i)) for i, t in enumerate(texts)],
+        "id string, subreddit string, title string, selftext string, score int, hours_ago double",
+    )
+    terms = ["fox red", "sky", "blue sky", "fox"]
+    rows = lambda df: sorted(map(tuple, df.select("id", "search_query", "occurrences", "search_rank").collect()))
+    short = rows(multi_keyword_search(posts, terms, limit=10))
+    assert short and len(terms) <= BRANCH_TERMS
+    padding = [f"nothing{i} here" for i in range(3_000)]
+    assert rows(multi_keyword_search(posts, terms + padding, limit=10)) == short
+
+
+def test_many_users(spark):
+    rows = [(str(i), f"u{i % 15_000}", "text", i, i, "s", 1) for i in range(30_000)]
+    comments = spark.createDataFrame(
+        pd.DataFrame(rows, columns=["comment_id", "author", "body", "score", "created_utc", "subreddit", "days_ago"])
+    )
+    users = [f"u{i}" for i in range(5_000, 25_000)]
+    stats = user_stats(collect_user_comments(comments, users), users)
+    counts = dict(map(tuple, stats.groupBy("total_comments").count().collect()))
+    assert counts == {2: 10_000, 0: 10_000}
+
+
+def test_a_stopped_scoring_run_keeps_its_earlier_buckets(spark, monkeypatch):
+    posts = spark.createDataFrame([(str(i), f"title {i}", "body") for i in range(40)], "id string, title string, selftext string")
+    path = work_folder(spark, "stopped")
+    whole, calls = scoring.score_posts, []
+
+    def breaks(df, *args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise RuntimeError("stopped")
+        return whole(df, *args)
+
+    monkeypatch.setattr(scoring, "score_posts", breaks)
+    with pytest.raises(RuntimeError):
+        scoring.score_table(posts, lambda ps: ["80"] * len(ps), path, buckets=4)
+    saved = spark.read.parquet(path).count()
+    assert 0 < saved < 40
+    monkeypatch.setattr(scoring, "score_posts", whole)
+    scores = [r["llm_relevance_score"] for r in scoring.score_table(posts, lambda ps: ["12"] * len(ps), path, buckets=4).collect()]
+    assert scores.count(80.0) == saved and scores.count(12.0) == 40 - saved
