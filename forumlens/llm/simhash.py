@@ -138,18 +138,3 @@ def simhash_groups(docs: DataFrame, distance: int = MAX_DISTANCE, doc_id: str =
     marked = scratch.save(marked, "marked")
     groups = scratch.save(near_duplicates(marked, scratch, distance), "groups")
     return marked.join(groups, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one_of_each_group(docs: DataFrame, distance: int = MAX_DISTANCE) -> DataFrame:
-    """One row of each near-duplicate group, with the columns of ``docs``: the smallest ``doc_id``, then first read.
-
-    Rows without an id come last in a group.
-    """
-    scratch = Scratch(docs.sparkSession, "simhash-keep")
-    marked = docs.withColumns({"_fp": fingerprints(F.col("text").cast("binary")), "_row": F.monotonically_increasing_id()})
-    marked = scratch.save(marked, "documents")
-    narrow = marked.select("doc_id", F.col("_fp").alias("fp"))
-    groups = scratch.save(near_duplicates(narrow, scratch, distance).select("fp", "component"), "groups")
-    ranked = marked.select("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("rank"), F.col("_fp").alias("fp"))
-    kept = ranked.join(groups, "fp").groupBy("component").agg(F.min("rank")["_row"].alias("_row"))
-    return marked.join(scratch.save(kept.select("_row"), "kept"), "_row", "left_semi").select(*docs.columns)
