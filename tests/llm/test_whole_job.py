@@ -3,6 +3,7 @@
 import numpy as np
 
 import corpus_pipeline
+from forumlens.llm.mixing import mix
 
 SF = "/root/testdata/sf0.001"
 
@@ -36,3 +37,28 @@ def test_stage_drops_near_copies_of_08(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(group))
+
+
+def test_mix_meets_marginals_under_the_bound(spark):
+    """A source and a language of a third of all rows beside small ones; the budget is drawn in full."""
+    rows = [(i, "word " * 50, ("en", "de", "fr")[i % 7 % 3], "big" if i % 3 else f"s{i % 60}", 1) for i in range(3000)]
+    rows += [(9000 + i, "word " * 50, "rare", f"s{3 * (i % 3)}", 1) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    powers = {"source": 0.3, "lang": 0.3, "topic": 1.0}
+    got = mix(docs, powers, budget=1.0).toPandas()
+    drawn, total = got.rate * got.tokens, got.tokens.sum()
+    assert got.rate.max() <= 4 and abs(drawn.sum() / total - 1) < 2e-3
+    for d in ("source", "lang"):
+        share = got.tokens.groupby(got[d]).sum() / total
+        asked = share ** powers[d] / (share ** powers[d]).sum()
+        most = 4 * share
+        target, full = asked.copy(), asked > 4 * share
+        while True:
+            target[full] = most[full]
+            target[~full] = asked[~full] * (1 - most[full].sum()) / asked[~full].sum()
+            if not (more := ~full & (target > most)).any():
+                break
+            full |= more
+        assert ((drawn.groupby(got[d]).sum() / total / target - 1).abs() < 5e-3).all(), d
+    lacking = got[got.unmet > 0]
+    assert set(lacking.lang) == {"rare"} and (abs(lacking.unmet - (1 - 4 * 4 / 3004 / asked["rare"])) < 2e-3).all()
