@@ -178,6 +178,17 @@ def train_field(table: Iterable[tuple[str, str, str]] = LABELLED, steps: int = S
     return Field(names, emit, move)
 
 
+def _covered(spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Stretches that sorted spans cover, apart from each other."""
+    out: list[tuple[int, int]] = []
+    for start, _, end in spans:
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((start, end))
+    return out
+
+
 def find_spans(texts: list[str | None], field: Field) -> list[list[tuple[int, int, int]]]:
     """Base spans of each whole text and what the field adds beside them: (start, kind, end), sorted."""
     out = [base_spans(t or "") for t in texts]
@@ -203,7 +214,13 @@ def find_spans(texts: list[str | None], field: Field) -> list[list[tuple[int, in
     labels = decode(field.scores(words, before), np.array(lengths), field.move)
     open_span: tuple[int, int, int, int] | None = None  # text, start, label, end
     added = []
+    covered = [_covered(x) for x in out]
+    passed = [0] * len(out)
     for (k, start, end), label, first in zip(places, labels.tolist(), np.isin(np.arange(len(words)), np.cumsum(lengths) - lengths), strict=True):
+        while passed[k] < len(covered[k]) and covered[k][passed[k]][1] <= start:
+            passed[k] += 1
+        if passed[k] < len(covered[k]) and covered[k][passed[k]][0] < end:
+            label = 0  # a base span has this word; the field's spans end before it and start anew after it
         core = texts[k][start:end]
         start, end = start + len(core) - len(core.lstrip(_AROUND)), end - len(core) + len(core.rstrip(_AROUND))
         if open_span and not first and open_span[2] == label:
@@ -212,10 +229,8 @@ def find_spans(texts: list[str | None], field: Field) -> list[list[tuple[int, in
         added += [open_span] if open_span else []
         open_span = (k, start, label, end) if label and start < end else None
     added += [open_span] if open_span else []
-    taken = [len(x) for x in out]
     for k, start, label, end in added:
-        if all(e <= start or end <= s for s, _, e in out[k][: taken[k]]):
-            out[k].append((start, label + 3, end))
+        out[k].append((start, label + 3, end))
     return [sorted(x) for x in out]
 
 

@@ -4,6 +4,7 @@ import numpy as np
 
 import corpus_pipeline
 from forumlens.llm.mixing import mix
+from forumlens.llm.pii import KINDS, find_spans, train_field
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,3 +63,11 @@ def test_mix_meets_marginals_under_the_bound(spark):
         assert ((drawn.groupby(got[d]).sum() / total / target - 1).abs() < 5e-3).all(), d
     lacking = got[got.unmet > 0]
     assert set(lacking.lang) == {"rare"} and (abs(lacking.unmet - (1 - 4 * 4 / 3004 / asked["rare"])) < 2e-3).all()
+
+
+def test_field_keeps_what_stands_beside_base_spans():
+    texts = ["0171-5550199 +49 30 901820", "ops@build-host7 sales@example.com", "a@b.de max@host7 c@d.de ops@build-host7"]
+    got = [[(KINDS[k], t[s:e]) for s, k, e in spans] for t, spans in zip(texts, find_spans(texts, train_field()), strict=True)]
+    assert got[0] == [("crf_phone", "0171-5550199"), ("phone", "+49 30 901820")]
+    assert got[1] == [("crf_email", "ops@build-host7"), ("email", "sales@example.com")]
+    assert got[2] == [("email", "a@b.de"), ("crf_email", "max@host7"), ("email", "c@d.de"), ("crf_email", "ops@build-host7")]
