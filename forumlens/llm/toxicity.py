@@ -1,18 +1,21 @@
 """Toxicity scores: a weighted lexicon matched by Aho-Corasick over folded text.
 
 Folding lowers case, maps look-alike letters and digit substitutions to plain letters, and turns the rest into
-blanks. The lexicon holds whole words and stems; a hit inside an exception phrase does not count. Weights are
+blanks. Words with signs or ones beside letters are matched in every reading of them. The lexicon holds whole words and stems; a hit inside an exception phrase does not count. Weights are
 log ratios of a pattern's rate in toxic and in other documents of a bounded labelled sample; a logistic curve
 over the weighted hits, whole and by length, gives the score.
 """
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import math
 import re
 import unicodedata
 from collections import Counter, defaultdict
 from dataclasses import dataclass, replace
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -34,7 +37,15 @@ MIN_SHARE = 0.01
 MIN_GAIN = 30.0
 THRESHOLD = 0.7
 
+#: Ones of a word that are read as i or l each on its own.
+ONES = 4
+
 _SIGN_INSIDE = re.compile(r"(?<=[^\W\d_])[@$!](?=[^\W\d_])")
+_SIGNS_AT_LETTER = re.compile(r"[@$!]+(?=[^\W\d_])|(?<=[^\W\d_])[@$]+")
+_LETTER = re.compile(r"[^\W\d_]")
+#: Signs and the digit that may be read in more ways than one, wide forms included.
+_DOUBTFUL = re.compile("[@$!1\uff20\uff04\uff01\uff11]")
+_DOUBTFUL_STRETCH = re.compile(r"[^\s@$!1\uff20\uff04\uff01\uff11]*[@$!1\uff20\uff04\uff01\uff11]\S*")
 
 
 class _Fold(dict):
@@ -59,6 +70,39 @@ def fold(text: str | None) -> str:
     return f" {' '.join(text.translate(_FOLD).split())} "
 
 
+@lru_cache(maxsize=1 << 14)
+def variants(token: str) -> list[str]:
+    """Folded readings of a stretch without blanks: as ``fold`` has it, and with its signs and each 1 read as letters.
+
+    Digits are folded first, 1 as i and as l; then a run of signs that touches a letter, but for a ``!`` at its end.
+    Of more ones than ``ONES`` all are read alike.
+    """
+    plain = fold(token).strip()
+    token = unicodedata.normalize("NFKC", token)
+    if not _DOUBTFUL.search(token) or not _LETTER.search(token if set(SIGNS).isdisjoint(token) else token.translate(_FOLD)):
+        return [plain]
+    ones = token.count("1")
+    reads = ["i" * ones, "l" * ones] if ones > ONES else ["".join(r) for r in itertools.product("il", repeat=ones)]
+    out = [plain]
+    for read in dict.fromkeys(reads):
+        letters = iter(read)
+        word = "".join(next(letters) if c == "1" else DIGITS.get(c, c) for c in token)
+        word = _SIGNS_AT_LETTER.sub(lambda m: "".join(SIGNS[c] for c in m[0]), word)
+        out.append(" ".join(word.translate(_FOLD).split()))
+    return list(dict.fromkeys(out))
+
+
+def readings(text: str | None) -> list[list[str]]:
+    """Folded stretches of a text, in as many readings as its most doubtful stretch has; the first is that of ``fold``."""
+    text, every, at = text or "", [], 0
+    for m in _DOUBTFUL_STRETCH.finditer(text) if _DOUBTFUL.search(text) else ():
+        if len(read := variants(m[0])) > 1:
+            every += [[fold(text[at : m.start()]).strip()], read]
+            at = m.end()
+    every = [v for v in [*every, [fold(text[at:]).strip()]] if v[0]]
+    return [[v[min(k, len(v) - 1)] for v in every] for k in range(max(map(len, every), default=1))]
+
+
 def patterns(word: str) -> list[str]:
     """What a lexicon may hold of a word: the whole of it, or a stem of it."""
     return [f" {word} ", *(f" {word[:k]}" for k in STEM if k <= len(word))]
@@ -85,12 +129,23 @@ def automaton_of(model: ToxicityModel) -> ahocorasick.Automaton:
 
 def features(text: str | None, automaton: ahocorasick.Automaton) -> tuple[float, float]:
     """Weighted hits of a whole text: their sum, and per hundred words, both as log(1 + x)."""
-    folded = fold(text)
-    hits, safe = [], []
-    for end, (size, weight) in automaton.iter(folded) if len(automaton) else ():
-        (safe if weight is None else hits).append((end - size + 1, end, weight))
-    total = sum(w for s, e, w in hits if not any(a <= s and e <= b for a, b, _ in safe))
-    return math.log1p(total), math.log1p(100 * total / max(1, folded.count(" ") - 1))
+    every = readings(text)
+    best: dict[int, float] = defaultdict(float)
+    for stretches in every:
+        folded = f" {' '.join(stretches)} "
+        hits, safe = [], []
+        for end, (size, weight) in automaton.iter(folded) if len(automaton) else ():
+            (safe if weight is None else hits).append((end - size + 1, end, weight))
+        # each stretch counts in the reading in which it weighs most; a pattern starts with the blank before its word
+        sums: dict[int, float] = defaultdict(float)
+        starts = list(itertools.accumulate((len(x) + 1 for x in stretches), initial=0)) if len(every) > 1 and hits else [0]
+        for s, e, w in hits:
+            if not any(a <= s and e <= b for a, b, _ in safe):
+                sums[bisect.bisect_right(starts, s) - 1] += w
+        for k, w in sums.items():
+            best[k] = max(best[k], w)
+    total = sum(best.values())
+    return math.log1p(total), math.log1p(100 * total / max(1, sum(len(x.split()) for x in every[0])))
 
 
 def hit_features(model: ToxicityModel):
@@ -134,7 +189,9 @@ def fit_toxicity(
             sums: dict[str, list] = defaultdict(lambda: [0, 0, 0.0, 0.0])
             for text, bad in zip(f["text"], f["bad"], strict=True):
                 every = fold(text).split()
-                seen = Counter(p for w in every for p in patterns(w))
+                plain, *others = readings(text)
+                more = [w for r in others for x, y in zip(plain, r, strict=True) if x != y for w in y.split()]
+                seen = Counter(p for w in every for p in patterns(w)) | Counter(p for w in dict.fromkeys(more) for p in patterns(w))
                 for p, n in seen.items():
                     entry = sums[p]
                     entry[0 if bad else 1] += 1

@@ -5,6 +5,7 @@ import numpy as np
 import corpus_pipeline
 from forumlens.llm.mixing import mix
 from forumlens.llm.pii import KINDS, find_spans, train_field
+from forumlens.llm.toxicity import ToxicityModel, automaton_of, features, variants
 
 SF = "/root/testdata/sf0.001"
 
@@ -71,3 +72,13 @@ def test_field_keeps_what_stands_beside_base_spans():
     assert got[0] == [("crf_phone", "0171-5550199"), ("phone", "+49 30 901820")]
     assert got[1] == [("crf_email", "ops@build-host7"), ("email", "sales@example.com")]
     assert got[2] == [("email", "a@b.de"), ("crf_email", "max@host7"), ("email", "c@d.de"), ("crf_email", "ops@build-host7")]
+
+
+def test_signs_and_ones_are_read_as_letters():
+    for token, word in {"$tupid": "stupid", "l0$er": "loser", "a$$": "ass", "a$$!": "ass", "1oser": "loser", "1d1ot": "idiot", "s1l1y": "silly", "＄tupid": "stupid"}.items():
+        assert word in variants(token), token
+    assert variants("stupid!") == ["stupid"] and variants("plain") == ["plain"]
+    found = automaton_of(ToxicityModel(((" stupid ", 2.0), (" loser ", 1.0), (" trash ", 1.0))))
+    plain = features("you stupid loser and trash", found)
+    assert features("you $tupid 1o$er and trash$$", found) == plain and features("you $tupid l0$er and trash!", found)[0] == plain[0]
+    assert features("a tr@sh can and no l0$er bracket", found)[0] == 0.0 and features(None, found) == (0.0, 0.0)
