@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.llm.chat import format_chats, loss_text, read_turns
+from forumlens.llm.common import shared_folder
 from forumlens.llm.contamination import contaminated
 from forumlens.llm.mixing import mix
+from forumlens.llm.negatives import hard_negatives
 from forumlens.llm.pii import KINDS as PII_KINDS
 from forumlens.llm.pii import find_pii, train_field
 from forumlens.llm.repeats import remove_repeats
@@ -18,6 +21,8 @@ from forumlens.llm.simhash import simhash_groups
 from forumlens.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_score
 from forumlens.llm.urls import judge_urls
 from forumlens.llm.vectors import near_vectors
+from forumlens.llm.warc import header_field, page_of, read_archive, write_archive
+from forumlens.llm.wordruns import as_runs, periodic_runs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -163,3 +168,78 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+# ---- 11: content-addressed archive ---------------------------------------------------------
+@query
+def op11_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archives all pages, and digests what is read back."""
+    path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    write_archive(table(spark, sf_dir, "pages"), path)
+    return read_archive(spark, path).select(
+        page_of(header_field(F.col("header"), "WARC-Record-ID")).alias("page_id"), F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"), header_field(F.col("header"), "WARC-Type").alias("record_type"),
+        page_of(header_field(F.col("header"), "WARC-Refers-To")).alias("refers_to"),
+    )
+
+
+ORACLES["op11_archive"] = """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, cast(strlen(html) as bigint) as payload_bytes, sha256(html) as payload_digest, min(page_id) over (partition by html) as first from p)
+select page_id, payload_bytes, payload_digest, case when payload_bytes < 100 or page_id = first then 'response' else 'revisit' end as record_type,
+ case when payload_bytes >= 100 and page_id <> first then first end as refers_to from d
+"""
+
+
+# ---- 12: periodic runs of words ------------------------------------------------------------
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text``: of a tenth of the documents, by their ids, the words from one on repeat a period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", "[ \\t\\n\\x0B\\f\\r]+"), lambda w: w != "")
+    rows = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.when(F.size("words") > 0, F.size("words")))
+    rows = rows.withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    again = F.expr("concat(slice(words, 1, a), slice(flatten(array_repeat(slice(words, a + 1, p), cast(1 + (n - a) div p as int))), 1, n - a))")
+    return rows.select("doc_id", F.when(F.col("n").isNotNull(), F.array_join(again, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs of all documents, a tenth of them made periodic, as digests and the run of the greatest exponent."""
+    docs = planted(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    found = docs.select("doc_id", periodic_runs(F.col("text")).alias("found"))
+    found = found.select("doc_id", as_runs(F.col("found")).alias("runs"), F.col("found")["kept"].alias("kept"))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    greater = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    best = F.aggregate("runs", none, lambda best, r: F.when(greater(best, r), r).otherwise(best))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(lines, 256).alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256")).select(
+        "doc_id", "n_runs", "best.*", F.expr("best.length * 1000 div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
+    )
+
+
+# ---- 13: hard negatives --------------------------------------------------------------------
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every hundredth vector, after the labels of every seventh move on by one."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.col("label").cast("long").alias("label"))
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved))
+
+
+ORACLES["op13_hard_negatives"] = """
+with v as (
+ select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e
+ from embeddings where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (
+ select a.vec_id as anchor_id, a.label as mine, b.vec_id as vec_id, b.label as label, cast(list_dot_product(a.e, b.e) as bigint) as score
+ from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e) where a.vec_id % 100 = 0),
+p as (
+ select anchor_id, mine, vec_id as positive_id, score as positive_score from s where label = mine
+ qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+select p.anchor_id, positive_id, cast(row_number() over w as int) as rank, s.vec_id as negative_id, positive_score, s.score as negative_score
+from p join s on s.anchor_id = p.anchor_id and s.label <> p.mine and 80 * positive_score <= 100 * s.score and s.score <= positive_score
+window w as (partition by p.anchor_id, positive_id order by s.score desc, s.vec_id) qualify row_number() over w <= 5
+"""
