@@ -92,7 +92,7 @@ def window_bounds(anchors: Vectors, rows: Vectors, starts: np.ndarray) -> tuple[
 
 def scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products: in double precision where no sum can leave 53 bits."""
-    size = lambda x: int(np.abs(x).max(initial=0))
+    size = lambda x: int(max(x.max(initial=0), -x.min(initial=0)))
     if size(a) * size(b) * a.shape[1] < 1 << 53:
         return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
     return a.astype(np.int64) @ b.astype(np.int64).T
@@ -116,18 +116,18 @@ def search(anchors: Vectors, rows: Vectors, low: np.ndarray, high: np.ndarray, s
             floor = np.where(wanted, lo, 1 << 62).min(1)[:, None]
             ceiling = np.where(wanted, hi, NO_SCORE).max(1)[:, None]
             open_ = (most >= floor) & (least <= ceiling)
-            windows = np.flatnonzero(open_.any(0))
-            if not len(windows):
-                continue
-            members = (starts[windows, None] + np.arange(WINDOW_ROWS)).ravel()
-            members = members[members < len(block.row)]
-            near = block[members]
-            s = scores(some.ints, near.ints)
-            fits = open_[:, members // WINDOW_ROWS] & ((some.label[:, None] == near.label) == same) & (some.row[:, None] != near.row)
-            i, j = np.nonzero(fits & (s >= floor) & (s <= ceiling))
-            value = s[i, j]
+            parts = [np.empty((3, 0), np.int64)]
+            for w in np.flatnonzero(open_.any(0)).tolist():
+                mine, inside = np.flatnonzero(open_[:, w]), slice(w * WINDOW_ROWS, (w + 1) * WINDOW_ROWS)
+                s = scores(some.ints[mine], block.ints[inside])
+                fits = (some.label[mine, None] == block.label[inside]) == same
+                i, j = np.nonzero(fits & (s >= floor[mine]) & (s <= ceiling[mine]))
+                parts.append(np.stack([mine[i], j + inside.start, s[i, j]]))
+            i, j, value = np.concatenate(parts, axis=1)
+            others = some.row[i] != block.row[j]
+            i, j, value = i[others], j[others], value[others]
             e, k = np.nonzero((value[:, None] >= lo[i]) & (value[:, None] <= hi[i]))
-            new = np.stack([i[e] * slots + k, value[e], near.vec_id[j[e]], near.row[j[e]]])
+            new = np.stack([i[e] * slots + k, value[e], block.vec_id[j[e]], block.row[j[e]]])
             best = _trim(np.concatenate([best, new], axis=1), take)
             full, counts = np.unique(best[0], return_counts=True)
             full = full[counts == take]
