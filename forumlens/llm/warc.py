@@ -14,6 +14,9 @@ in length and in a second hash; on reading, the digest of the stored bytes must
 
 from __future__ import annotations
 
+import gc
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,7 +91,15 @@ def write_archive(
     scratch = Scratch(pages.sparkSession, "archive")
     bytes_ = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
     read = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(uri).cast("string").alias("uri"), bytes_.alias("payload"))
-    digested = read.withColumn("payload_digest", F.sha2("payload", 256))
+    _write_tables(read.withColumn("payload_digest", F.sha2("payload", 256)), path, scratch, least_bytes, date)
+    scratch.drop("names", "owners")
+    for _ in range(2):  # the shuffled payloads stay on disk until the driver has let go of what refers to them
+        gc.collect()
+        scratch.drop()
+        time.sleep(0.3)
+
+
+def _write_tables(digested: DataFrame, path: str, scratch: Scratch, least_bytes: int, date: str) -> None:
     names = scratch.save(
         digested.select(
             F.monotonically_increasing_id().alias("row"), "page_id", "uri", "payload_digest", F.octet_length("payload").cast("long").alias("payload_bytes"),
@@ -129,7 +140,6 @@ def write_archive(
     mine = mine.where(F.col("slices").isNull() | F.col("page_id").eqNullSafe(F.col("owner")))
     once = mine.groupBy("payload_digest").agg(F.first("payload").alias("payload"), F.coalesce(F.first("slices"), F.lit(1)).cast("long").alias("slices"))
     once.select("payload_digest", "slices", "payload").write.option("compression", "zstd").parquet(f"{path}/payloads")
-    scratch.drop("names", "owners")
 
 
 # ---- reading -------------------------------------------------------------------------------
