@@ -263,14 +263,20 @@ def topic_documents(v: Views) -> DataFrame:
 
 @query("tfidf_vocab", "select term, corpus_count, document_frequency from vocab", TERMS_SQL)
 def tfidf_vocab(v: Views) -> DataFrame:
-    return topics.vocabulary_table(topics.topic_documents(v.posts()), STOP_WORDS)
+    return topics.vocabulary_table(topics.term_table(v.posts(), STOP_WORDS))
+
+
+@query("tfidf_vocab_sketched", "select term, corpus_count, document_frequency from (select * from vocab order by corpus_count desc, term limit 5)", TERMS_SQL)
+def tfidf_vocab_sketched(v: Views) -> DataFrame:
+    """A short vocabulary from few tracked terms, as it is where a corpus has far more terms than a sketch tracks."""
+    return topics.vocabulary_table(topics.term_table(v.posts(), STOP_WORDS), 5, tracked=2_000)
 
 
 @query("tfidf_terms", f"select id, term, {half_even_sql('tfidf', 6)} as tfidf from tfidf", TERMS_SQL)
 def tfidf_terms(v: Views) -> DataFrame:
-    documents = topics.topic_documents(v.posts())
-    vocabulary = topics.fit_vocabulary(documents, STOP_WORDS)
-    long = topics.tfidf_terms(topics.tfidf_features(documents, "text", vocabulary, STOP_WORDS), vocabulary)
+    table = topics.term_table(v.posts(), STOP_WORDS)
+    vocabulary = topics.fit_vocabulary(table)
+    long = topics.tfidf_terms(topics.tfidf_features(table, vocabulary), vocabulary)
     return long.withColumn("tfidf", F.rint(F.col("tfidf") * 1e6) / 1e6)
 
 
@@ -282,10 +288,8 @@ def topic_model(v: Views) -> topics.TopicModel:
 def topic_weights(v: Views) -> DataFrame:
     """W of every post with enough text."""
     model = topic_model(v)
-    documents = topics.topic_documents(v.posts())
-    featured = topics.tfidf_features(documents, "text", model.vocabulary, model.stop_words)
-    weighted = featured.select("id", model.nmf.weights(*topics.sparse_parts("tfidf"), featured).alias("w"))
-    return weighted.select("id", F.posexplode("w").alias("topic_id", "weight"))
+    counted = topics.with_terms(v.posts(), model.stop_words).where(F.col(topics.TERMS).isNotNull())
+    return model.weighted(counted).select("id", F.posexplode("_w").alias("topic_id", "weight"))
 
 
 @query("topic_assign")

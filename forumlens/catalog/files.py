@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.catalog.analytics import BRIEF, GATED_SQL, engaged
 from forumlens.catalog.base import Views, query
 from forumlens.catalog.collecting import USERS_SQL, target_comments
+from forumlens.operators.ranking import dedupe_posts
 from forumlens.schema import POST
 from forumlens.session import work_folder
 from forumlens.sources import files
@@ -66,13 +67,24 @@ def write_posts_csv(v: Views) -> DataFrame:
 
 @query("read_posts_json", ROUND_TRIP)
 def read_posts_json(v: Views) -> DataFrame:
-    """Records as an array in each file, as the collectors leave them."""
-    path = work_folder(v.spark, "array")
-    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    stored(v).select(record.alias("value")).select(F.concat(F.lit("["), "value", F.lit("]"))).write.text(path)
-    records = v.spark.read.text(path)
-    spread = records.select(F.inline(F.from_json("value", "array<" + POST.simpleString() + ">")))
-    return brief(spread)
+    """Arrays over several lines, indented, as the collectors leave them; the reader finds the form itself."""
+    path = f"{work_folder(v.spark, 'array')}.json"
+    record = F.concat(F.lit("  {\n"), *_indented(stored(v)), F.lit("  }"))
+    opened = F.when(F.row_number().over(Window.partitionBy("part").orderBy("id")) == 1, "[\n").otherwise(",\n")
+    closed = F.when(F.row_number().over(Window.partitionBy("part").orderBy(F.desc("id"))) == 1, "\n]").otherwise("")
+    parts = stored(v).withColumn("part", F.pmod(F.xxhash64("id"), F.lit(8))).withColumn("value", record)
+    lines = parts.withColumns({"value": F.concat(opened, "value", closed)}).repartition("part").sortWithinPartitions("part", "id")
+    lines.select("part", "value").write.partitionBy("part").option("lineSep", "\n").text(path)
+    return brief(files.load_posts(v.spark, path))
+
+
+def _indented(df: DataFrame) -> list:
+    """The fields of a record, a line each."""
+    fields = []
+    for i, f in enumerate(df.schema.fields):
+        field = F.to_json(F.struct(f.name), {**files.ASCII_JSON, "ignoreNullFields": "false"})
+        fields += [F.lit("    "), F.substring(field, F.lit(2), F.length(field) - 2), F.lit(",\n" if i + 1 < len(df.columns) else "\n")]
+    return fields
 
 
 @query("write_posts_json", ROUND_TRIP)
@@ -151,10 +163,33 @@ COLLECTIONS_SQL = (
 
 @query("scan_raw_files", COLLECTIONS_SQL)
 def scan_raw_files(v: Views) -> DataFrame:
-    """A path given twice is read once; the earlier result is passed over."""
-    paths = _collections(v)
-    wanted = files.raw_files([*paths, paths[0]])
-    return files.load_collections(v.spark, wanted).select("id", "collection_type", "source_file")
+    """What lies in a folder, without the earlier result."""
+    folder = _collections(v)[0].rsplit("/", 1)[0]
+    return files.load_collections(v.spark, files.find_raw_files(v.spark, folder)).select("id", "collection_type", "source_file")
+
+
+KEPT_SQL = (
+    "select id, source_file, title from (select id, source_file, title, row_number() over (partition by id order by source_file, version) as place from ("
+    "select id, 'activity_based_1.json' as source_file, 1 as version, 'first ' || title as title from posts"
+    " union all select id, 'activity_based_1.json', 2, 'again ' || title from posts where cast(id as bigint) % 2 = 0"
+    " union all select id || 'x', 'search_1.csv', 1, title from posts union all select id, 'search_1.csv', 1, 'third' from posts)) where place = 1"
+)
+
+
+@query("dedupe_files", KEPT_SQL)
+def dedupe_files(v: Views) -> DataFrame:
+    """Of each id the first row of the first file is kept, however the files are split."""
+    folder = work_folder(v.spark, "in-order")
+    posts = v.posts().select("id", "title")
+    first = posts.select("id", F.concat(F.lit("first "), "title").alias("title"), F.lit(1).alias("version"))
+    again = posts.where(F.col("id").cast("bigint") % 2 == 0).select("id", F.concat(F.lit("again "), "title").alias("title"), F.lit(2).alias("version"))
+    ordered = first.unionByName(again).repartition(4, "id").sortWithinPartitions("version", "id").drop("version")
+    ordered.write.json(f"{folder}/activity_based_1.json")
+    third = posts.select(F.concat("id", F.lit("x")).alias("id"), "title").unionByName(posts.select("id", F.lit("third").alias("title")))
+    files.write_csv(third, f"{folder}/search_1.csv")
+    united = files.load_collections(v.spark, files.find_raw_files(v.spark, folder))
+    kept = dedupe_posts(united, ["file_order", files.POSITION])
+    return kept.select("id", "source_file", "title")
 
 
 @query("tag_provenance", COLLECTIONS_SQL)

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from forumlens.catalog.analytics import PROMPT_SQL, REPLY_SQL, stand_in
 from forumlens.catalog.base import POST_COLUMNS, TARGETS, TEXT, Views, any_sql, query, quoted
+from forumlens.operators.scoring import Calls
 from forumlens.session import work_folder
-from forumlens.streaming import feeds
+from forumlens.streaming import days, feeds
 
 DOCUMENTS = "documents.parquet"
 
@@ -39,11 +40,24 @@ def incremental_ingest(v: Views) -> DataFrame:
     return table
 
 
+def landings(v: Views, posts: DataFrame, name: str, parts: int = 3):
+    """Lands the posts part by part, each time with half of the part before, and gives the stream of the folder."""
+    landing, number = work_folder(v.spark, f"{name}-landing"), F.pmod(F.xxhash64("id", F.lit("part")), F.lit(parts))
+    for part in range(parts):
+        again = F.pmod(F.xxhash64("id"), F.lit(2)) == 0
+        posts.where((number == part) | ((number == part - 1) & again)).write.mode("append").parquet(landing)
+        yield feeds.landed_stream(v.spark, landing, posts.schema)
+
+
 @query("stream_dedupe", "select id, subreddit, score from posts")
 def stream_dedupe(v: Views) -> DataFrame:
-    """Every post arrives twice; one of each stays."""
-    twice = post_stream(v).withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
-    return feeds.stream_dedupe(twice.select("id", "subreddit", "score", "created_datetime"), *places(v, "dedupe")).drop("created_datetime")
+    """Posts arrive in three parts, many of them again, and each twice in its part; one of each stays."""
+    path, checkpoint = places(v, "dedupe")
+    posts = v.posts().select("id", "subreddit", "score", F.timestamp_seconds("created_utc").alias("created_datetime"))
+    twice = posts.withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    for stream in landings(v, twice, "dedupe"):
+        table = feeds.stream_dedupe(stream, path, checkpoint)
+    return table.drop("created_datetime")
 
 
 @query(
@@ -58,14 +72,35 @@ def stream_match(v: Views) -> DataFrame:
     )
 
 
-@query(
-    "stream_daily_counts",
+DAYS_SQL = (
     "select strftime(date_trunc('day', to_timestamp(created_utc) at time zone 'UTC'), '%Y-%m-%d') as day, subreddit,"
-    " count(*) as posts, cast(sum(score) as bigint) as total_score from posts group by 1, 2",
+    " count(*) as posts, cast(sum(score) as bigint) as total_score from posts group by 1, 2"
 )
+
+
+@query("stream_daily_counts", DAYS_SQL)
 def stream_daily_counts(v: Views) -> DataFrame:
-    counts = feeds.run_updates(feeds.daily_counts(post_stream(v)), ["day", "subreddit"], *places(v, "counts"))
-    return counts.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+    counts = days.count_days(post_stream(v), *places(v, "counts"))
+    return counts.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "subreddit", "posts", "total_score")
+
+
+@query(
+    "stream_late_days",
+    "select strftime(date_trunc('day', t), '%Y-%m-%d') as day, subreddit, count(*) as posts, cast(sum(score) as bigint) as total_score,"
+    " count(*) filter (date_trunc('day', t) + interval 3 day <= newest) as late_posts,"
+    " any_value(date_trunc('day', t) + interval 3 day <= (select max(t) from marked)) as closed"
+    " from marked left join seen using (part) group by 1, 2",
+    "marked as (select *, to_timestamp(created_utc) at time zone 'UTC' as t, cast(id as bigint) % 4 as part from posts),"
+    " seen as (select a.part, max(b.t) as newest from (select distinct part from marked) a join marked b on b.part < a.part group by 1)",
+)
+def stream_late_days(v: Views) -> DataFrame:
+    """Four parts land one after the other, each with posts of the whole month; versions are folded every second batch."""
+    landing, (path, checkpoint) = work_folder(v.spark, "late-landing"), places(v, "late")
+    posts = v.posts().select("id", "subreddit", "score", F.timestamp_seconds("created_utc").alias("created_datetime"))
+    for part in range(4):
+        posts.where(F.col("id").cast("bigint") % 4 == part).write.mode("append").parquet(landing)
+        counts = days.count_days(feeds.landed_stream(v.spark, landing, posts.schema), path, checkpoint, fold_every=2)
+    return counts.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "subreddit", "posts", "total_score", "late_posts", "closed")
 
 
 @query(
@@ -74,4 +109,13 @@ def stream_daily_counts(v: Views) -> DataFrame:
     f" (select id, {PROMPT_SQL.replace('comment_text', 'cast(null as varchar)')} as prompt from posts)",
 )
 def stream_score(v: Views) -> DataFrame:
-    return feeds.score_stream(post_stream(v), stand_in, *places(v, "score"))
+    """Posts arrive in two parts, the second with posts of the first; the first run of the model fails throughout."""
+    path, checkpoint = places(v, "score")
+    posts = v.posts().select("id", "title", "selftext")
+    for run, stream in enumerate(landings(v, posts, "score", 2)):
+        table = feeds.score_stream(stream, stand_in if run else no_model, path, checkpoint, calls=Calls(prompts=1000))
+    return table
+
+
+def no_model(prompts: list[str]) -> list[str]:
+    return []

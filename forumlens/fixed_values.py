@@ -19,6 +19,10 @@ COMMENT_SEPARATOR = " | "
 UNCATEGORIZED = "uncategorized"
 EVERYWHERE = "all Reddit"
 
+# ---- collected files -----------------------------------------------------------------------
+DAILY_FILES = ["daily", "activity_based"]
+SEARCH_FILES = ["search", "data_tools"]
+
 # ---- engagement and filters ----------------------------------------------------------------
 DEFAULT_WEIGHTS = {"score": 0.3, "upvote_ratio": 0.2, "comments": 0.25, "comments_quality": 0.15, "recency": 0.1}
 PRESET_WEIGHTS = {"score": 0.3, "upvote_ratio": 0.25, "comments": 0.25, "comments_quality": 0.15, "recency": 0.05}

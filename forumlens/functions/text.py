@@ -5,9 +5,16 @@ Whitespace and word characters are spelled out, since Java's ``\s`` and ``\w`` c
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Keywords that are tested one by one; a longer list goes through an automaton.
+TESTED_ONE_BY_ONE = 200
+
 SPACE = r"\s\x0B\x1C-\x1F\x85\p{Z}"
 WORD = r"\p{L}\p{N}_"
 
@@ -75,18 +82,58 @@ def combined_text(title: str = "title", body: str = "selftext") -> Column:
 
 
 def contains_any(text: Column, keywords: list[str]) -> Column:
-    """True when any keyword is a substring; stops at the first hit."""
+    """True when any keyword is a substring; a short list stops at the first hit."""
+    if len(keywords) > TESTED_ONE_BY_ONE:
+        return F.size(_automaton_places(text, keywords)) > 0
     return let(text, lambda t: F.exists(_literals(keywords), lambda k: F.contains(t, k)))
 
 
+def matching_places(text: Column, keywords: list[str]) -> Column:
+    """The places in the list, from 0 and rising, of the keywords that are substrings of the text.
+
+    A short list is tested keyword by keyword. A longer one costs no more than one pass over the text, by an automaton
+    of all keywords; the text travels to Python for that, a batch at a time.
+    """
+    if len(keywords) > TESTED_ONE_BY_ONE:
+        return _automaton_places(text, keywords)
+    words = _literals(keywords)
+    places = F.sequence(F.lit(0), F.lit(len(keywords) - 1)) if keywords else F.array().cast("array<int>")
+    return let(text, lambda t: F.filter(places, lambda i: F.contains(t, F.get(words, i))))
+
+
 def matching(text: Column, keywords: list[str]) -> Column:
     """The keywords that are substrings of the text, in list order."""
-    return let(text, lambda t: F.filter(_literals(keywords), lambda k: F.contains(t, k)))
+    return F.transform(matching_places(text, keywords), lambda i: F.get(_literals(keywords), i))
 
 
 def count_matching(text: Column, keywords: list[str]) -> Column:
     """How many entries of the list are substrings; an entry listed twice counts twice."""
-    return F.size(matching(text, keywords)).cast("bigint")
+    return F.size(matching_places(text, keywords)).cast("bigint")
+
+
+def _automaton_places(text: Column, keywords: list[str]) -> Column:
+    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        from ahocorasick import Automaton
+
+        entries: dict[str, list[int]] = {}
+        for place, word in enumerate(keywords):
+            entries.setdefault(word, []).append(place)
+        always, automaton = entries.pop("", []), Automaton()
+        for word, places in entries.items():
+            automaton.add_word(word, places)
+        automaton.make_automaton()
+        for batch in batches:
+            out = []
+            for value in batch:
+                found = set() if value is None else set(always)
+                if value and entries:
+                    for _, places in automaton.iter(value):
+                        found.update(places)
+                out.append(sorted(found))
+            yield pd.Series(out, dtype="object")
+
+    find.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(find, "array<int>").asNondeterministic()(text)
 
 
 def truncate_with_mark(text: Column, limit: int, mark: str) -> Column:
@@ -105,4 +152,6 @@ def tier_label(name: Column) -> Column:
 
 
 def _literals(values: list[str]) -> Column:
+    if len(values) > TESTED_ONE_BY_ONE:
+        return F.from_json(F.lit(json.dumps(values)), "array<string>")
     return F.array(*[F.lit(v) for v in values]) if values else F.array().cast("array<string>")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forumlens import fixed_values as fixed
 from forumlens.functions.lookup import config_table
@@ -13,6 +14,8 @@ from forumlens.functions.text import tier_label
 from forumlens.operators.ranking import top_n_per_group
 from forumlens.schema import COMMENTS
 
+#: Names that are written into a filter; slices of a day of a subreddit in a feed.
+PUSHED_NAMES, FEED_SLICES = 500, 8
 FLAGS = ["is_self", "is_video", "stickied", "over_18", "spoiler", "locked"]
 
 
@@ -55,12 +58,12 @@ def _post_fields(as_of: float, permalink_base: str) -> list[Column]:
 
 def project_posts(
     df: DataFrame, as_of: float, sort_type: str = "new", time_filter: str = "day",
-    permalink_base: str = fixed.PERMALINK_BASE,
+    permalink_base: str = fixed.PERMALINK_BASE, also: Sequence[str] = (),
 ) -> DataFrame:
-    """A landed post in the shape of a listing; the window is recorded for ``top`` only."""
+    """A landed post in the shape of a listing, and what it has ``also``; the window is recorded for ``top`` only."""
     window = F.lit(time_filter if sort_type == "top" else None).cast("string")
     return df.select(
-        *_post_fields(as_of, permalink_base), F.lit(sort_type).alias("sort_type"), window.alias("time_filter")
+        *_post_fields(as_of, permalink_base), F.lit(sort_type).alias("sort_type"), window.alias("time_filter"), *also
     )
 
 
@@ -131,6 +134,15 @@ def project_user_comments(
 
 
 # ---- listings ------------------------------------------------------------------------------
+def among(df: DataFrame, column: str, names: list[str]) -> DataFrame:
+    """Rows whose column is one of the names; up to some hundred names reach the scan, more are joined."""
+    names = list(dict.fromkeys(names))
+    if len(names) <= PUSHED_NAMES:
+        return df.where(F.col(column).isin(names))
+    wanted = config_table(df.sparkSession, [{column: n} for n in names], f"{column} string")
+    return df.join(wanted, column, "left_semi")
+
+
 def in_window(time_filter: Column, hours_ago: Column) -> Column:
     """Age within hour/day/week/month/year; ``all`` has no bound."""
     bound = F.lit(None).cast("double")
@@ -227,6 +239,42 @@ def tier_table(spark: SparkSession, tiers: Mapping[str, Mapping] = fixed.TIERS)
     )
 
 
+def write_feed(posts: DataFrame, path: str, mode: str = "append") -> None:
+    """Landed posts laid out by day and subreddit, so that listings read the days and subreddits they list."""
+    day = F.to_date(F.timestamp_seconds("created_utc"))
+    spread = F.pmod(F.xxhash64("id"), F.lit(FEED_SLICES))  # a day of a subreddit that holds a third of all posts is many files
+    laid = posts.withColumns({"created_date": day, "_slice": spread}).repartition("created_date", "subreddit", "_slice")
+    laid.drop("_slice").write.mode(mode).partitionBy("created_date", "subreddit").parquet(path)
+
+
+def read_feed(
+    spark: SparkSession, path: str, schema: T.StructType, as_of: float, subreddits: list[str] | None = None, time_filter: str = "all"
+) -> DataFrame:
+    """The posts of a feed that a listing can want: folders of other days and subreddits are not opened."""
+    laid = T.StructType([f for f in schema.fields if f.name != "subreddit"]).add("created_date", T.DateType()).add("subreddit", T.StringType())
+    feed = spark.read.schema(laid).parquet(path)
+    hours = fixed.LISTING_WINDOW_HOURS.get(time_filter)
+    if hours is not None:
+        feed = feed.where(F.col("created_date") >= F.to_date(F.timestamp_seconds(F.lit(float(as_of - 3600 * hours)))))
+    if subreddits is not None:
+        feed = among(feed, "subreddit", subreddits)
+    return feed.drop("created_date").select(*schema.fieldNames())
+
+
+def widest_window(windows: Iterable[str]) -> str:
+    """The one of several listing windows that holds all others."""
+    hours = fixed.LISTING_WINDOW_HOURS
+    return max(windows, key=lambda w: float("inf") if hours.get(w) is None else hours[w])
+
+
+def tiered_listing(spark: SparkSession, path: str, schema: T.StructType, as_of: float, tiers: Mapping[str, Mapping] = fixed.TIERS) -> DataFrame:
+    """:func:`tiered_collection` from a feed laid out by :func:`write_feed`, of which it reads what the tiers list."""
+    names = [s for setting in tiers.values() for s in setting["subreddits"]]
+    window = widest_window(setting["time_filter"] for setting in tiers.values())
+    feed = read_feed(spark, path, schema, as_of, names, window)
+    return tiered_collection(feed.withColumn("hours_ago", age_hours(F.col("created_utc"), as_of)), tiers)
+
+
 def tiered_collection(posts: DataFrame, tiers: Mapping[str, Mapping] = fixed.TIERS) -> DataFrame:
     """Each tier's top posts per subreddit, annotated with the tier; limits differ by tier."""
     config = tier_table(posts.sparkSession, tiers).drop("tier_ord").withColumnRenamed("time_filter", "_window")
@@ -274,8 +322,7 @@ def collect_user_comments(df: DataFrame, users: list[str], limit: int = 1000, so
     orders = {"new": [F.desc("created_utc"), F.asc("comment_id")], "top": [F.desc("score"), F.asc("comment_id")]}
     if sort_type not in orders:
         raise ValueError(f"Invalid sort_type: {sort_type}")
-    named = config_table(df.sparkSession, [{"author": u} for u in dict.fromkeys(users)], "author string")
-    own = df.join(named, "author", "left_semi")
+    own = among(df, "author", users)
     kept = drop_removed(top_n_per_group(own, ["author"], orders[sort_type], limit))
     return kept.withColumn("target_username", F.col("author"))
 

@@ -7,28 +7,33 @@ most a thousand columns and lives on the driver.
 Given the sequence of H, each row of W follows from its own row of V. So an iteration is one
 stateless pass over the blocks of V that returns only the sums W'V and W'W, and the fitted model
 computes W for any row by itself, without a join. To keep the passes short, W is written out
-beside V every few iterations, as a table in the shared folder.
+every few iterations, as a table in the shared folder; V is written once.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.linalg import VectorUDT
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.session import spread_small_input, write_and_read
 
-BLOCK_SCHEMA = "starts binary, terms binary, weights binary, w binary"
+V_SCHEMA = "block bigint, starts binary, terms binary, weights binary"
+W_SCHEMA = "block bigint, w binary"
 START_FLOOR = 1e-6
-ROWS_PER_BLOCK = 1024
+ROWS_PER_BLOCK = 256
 STEPS_PER_WRITE = 10
+#: Sums are of whole multiples of this unit, so that they don't depend on the order or grouping of rows.
+UNIT = 2.0**-34
+#: The same for the entries of V in V'V; so many rows of products of these fit a double exactly.
+GRAM_UNIT, GRAM_ROWS = 2.0**-24, 32
+#: Partial sums that the driver or a task adds at a time, and their bytes at most.
+SUMS_AT_ONCE, SUM_BYTES = 64, 1 << 27
 
 
 # ---- rows of V and W as arrays inside a task ------------------------------------------------
@@ -54,17 +59,29 @@ class Rows:
         return np.add.reduceat(self.weights[:, None] * matrix[self.terms], self.starts[:-1], axis=0)
 
     def transposed_times(self, w: np.ndarray, n_terms: int) -> np.ndarray:
-        """W' V of this block, (k x terms)."""
-        spread = np.repeat(w, np.diff(self.starts), axis=0) * self.weights[:, None]
+        """W' V of this block, (k x terms), in units."""
+        spread = np.rint(np.repeat(w, np.diff(self.starts), axis=0) * self.weights[:, None] / UNIT)
         return np.stack([np.bincount(self.terms, weights=spread[:, k], minlength=n_terms) for k in range(w.shape[1])])
 
-
-def descend(target: np.ndarray, cross: np.ndarray, gram: np.ndarray) -> float:
-    """One sweep over the columns of ``target`` (rows x k) in place; returns the projected gradient's size."""
-    violation = 0.0
+    def gram(self, n_terms: int) -> np.ndarray:
+        """V' V of this block, in squared units; V is rounded to units first."""
+        total = np.zeros((n_terms, n_terms), np.int64)
+        rounded = np.rint(self.weights / GRAM_UNIT)
+        for low in range(0, len(self.starts) - 1, GRAM_ROWS):
+            ends = self.starts[low : low + GRAM_ROWS + 1]
+            dense = np.zeros((len(ends) - 1, n_terms))
+            inside = slice(ends[0], ends[-1])
+            dense[np.repeat(np.arange(len(ends) - 1), np.diff(ends)), self.terms[inside]] = rounded[inside]
+            total += (dense.T @ dense).astype(np.int64)
+        return total
+
+
+def descend(target: np.ndarray, cross: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """One sweep over the columns of ``target`` (rows x k) in place; returns the projected gradient's size by row."""
+    violation = np.zeros(len(target))
     for k in range(target.shape[1]):
-        gradient = target @ gram[:, k] - cross[:, k]
-        violation += float(np.abs(np.where(target[:, k] == 0, np.minimum(gradient, 0), gradient)).sum())
+        gradient = (target * gram[:, k]).sum(axis=1) - cross[:, k]
+        violation += np.abs(np.where(target[:, k] == 0, np.minimum(gradient, 0), gradient))
         if gram[k, k] != 0:
             target[:, k] = np.maximum(target[:, k] - gradient / gram[k, k], 0)
     return violation
@@ -87,19 +104,74 @@ class Start:
         return w
 
 
-def replay(rows: Rows, w: np.ndarray, steps: list[np.ndarray]) -> float:
-    """Bring W through the given H one after the other; returns the last sweep's violation."""
-    violation = 0.0
+def replay(rows: Rows, w: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
+    """Bring W through the given H one after the other; returns the last sweep's violation by row."""
+    violation = np.zeros(len(w))
     for h in steps:
         violation = descend(w, rows.times(h.T), h @ h.T)
     return violation
 
 
+# ---- exact sums in a tree -------------------------------------------------------------------
+class Sum:
+    """A sum of arrays of whole numbers in two limbs, so that any number of blocks fits."""
+
+    def __init__(self, size: int):
+        self.high, self.low = np.zeros(size, np.int64), np.zeros(size, np.int64)
+
+    def add(self, units: np.ndarray) -> None:
+        units = units.astype(np.int64)
+        self._carry(self.high + (units >> 32), self.low + (units & 0xFFFFFFFF))
+
+    def merge(self, packed: bytes) -> None:
+        high, low = np.frombuffer(packed, np.int64).reshape(2, -1)
+        self._carry(self.high + high, self.low + low)
+
+    def _carry(self, high: np.ndarray, low: np.ndarray) -> None:
+        self.high, self.low = high + (low >> 32), low & 0xFFFFFFFF
+
+    def packed(self) -> bytes:
+        return np.stack([self.high, self.low]).tobytes()
+
+    def values(self, unit: float) -> np.ndarray:
+        return (self.high.astype(np.float64) * 2.0**32 + self.low) * unit
+
+
+def tree_sum(blocks: DataFrame, of_block: Callable[[pd.Series], np.ndarray], size: int, unit: float, tasks: int) -> np.ndarray:
+    """The sum over all blocks, which lie in ``tasks`` partitions, of an array of whole multiples of ``unit``.
+
+    A task sums its blocks and gives back one packed row. Few such rows go to the driver; of many, some are added
+    at a time in tasks, until few are left. So neither the driver nor a task ever holds more than a few sums.
+    """
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = Sum(size)
+        for batch in batches:
+            for _, row in batch.iterrows():
+                total.add(of_block(row))
+        yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "packed": [total.packed()]})
+
+    def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        total = Sum(size)
+        for packed in frame["packed"]:
+            total.merge(packed)
+        return pd.DataFrame({"part": frame["part"].iloc[:1], "packed": [total.packed()]})
+
+    parts, n = blocks.mapInPandas(sums, "part int, packed binary"), tasks
+    at_once = max(2, min(SUMS_AT_ONCE, SUM_BYTES // (16 * size)))
+    while n > at_once:
+        n = -(-n // at_once)
+        parts = parts.groupBy(F.pmod("part", F.lit(n)).alias("g")).applyInPandas(merge, "part int, packed binary")
+    total = Sum(size)
+    for row in parts.select("packed").collect():
+        total.merge(bytes(row["packed"]))
+    return total.values(unit)
+
+
 # ---- distributed passes ---------------------------------------------------------------------
 def sparse_parts(vector: str) -> tuple[Column, Column]:
-    """Term positions and weights of a sparse vector column."""
-    parts = F.unwrap_udt(F.col(vector))
-    return parts["indices"], parts["values"]
+    """Term places and weights of a sparse vector column."""
+    return F.col(vector)["indices"], F.col(vector)["values"]
 
 
 def _pack(features: DataFrame, vector: str) -> DataFrame:
@@ -107,57 +179,43 @@ def _pack(features: DataFrame, vector: str) -> DataFrame:
     filled = features.select(terms.alias("terms"), weights.alias("weights")).where(F.size("terms") > 0)
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for low in range(0, len(batch), ROWS_PER_BLOCK):
                 some = batch.iloc[low : low + ROWS_PER_BLOCK]
                 rows = Rows.from_lists(some["terms"].tolist(), some["weights"].tolist())
-                parts = [rows.starts.tobytes(), rows.terms.tobytes(), rows.weights.tobytes(), b""]
-                yield pd.DataFrame([parts], columns=["starts", "terms", "weights", "w"])
-
-    return filled.mapInPandas(pack, BLOCK_SCHEMA)
-
+                parts = [number, rows.starts.tobytes(), rows.terms.tobytes(), rows.weights.tobytes()]
+                number += 1
+                yield pd.DataFrame([parts], columns=["block", "starts", "terms", "weights"])
 
-def _unpack(batches: Iterator[pd.DataFrame], k: int) -> Iterator[tuple[Rows, np.ndarray]]:
-    for batch in batches:
-        for b in batch.itertuples():
-            rows = Rows(
-                np.frombuffer(b.starts, np.int64), np.frombuffer(b.terms, np.int64), np.frombuffer(b.weights, np.float64)
-            )
-            yield rows, np.frombuffer(b.w, np.float64).reshape(-1, k).copy()
+    return filled.mapInPandas(pack, V_SCHEMA)
 
 
-def _summed(parts: DataFrame) -> dict[tuple[int, int], float]:
-    """Exact sums by cell: decimals make the result independent of the order partial sums arrive in."""
-    total = F.sum(F.col("value").cast("decimal(38,12)")).cast("double").alias("value")
-    rows = parts.groupBy("r", "c").agg(total).toPandas()
-    return dict(zip(zip(rows["r"], rows["c"], strict=True), rows["value"], strict=True))
+def _rows(row) -> Rows:
+    return Rows(
+        np.frombuffer(row["starts"], np.int64), np.frombuffer(row["terms"], np.int64), np.frombuffer(row["weights"], np.float64)
+    )
 
 
-def _cells(r: int, values: np.ndarray, first: int = 0) -> pd.DataFrame:
-    kept = np.flatnonzero(values)
-    return pd.DataFrame({"r": np.int32(r), "c": (kept + first).astype(np.int32), "value": values[kept]})
-
-
-def _start(features: DataFrame, vector: str, blocks: DataFrame, k: int) -> tuple[Start, np.ndarray]:
-    """NNDSVD from the Gram matrix, which Spark sums in a tree and whose size the vocabulary bounds."""
-    dense = MLUtils.convertVectorColumnsFromML(features.select(vector), vector)
-    gram = RowMatrix(dense).computeGramianMatrix().toArray()
+def _start(blocks: DataFrame, k: int, n_terms: int, tasks: int) -> tuple[Start, np.ndarray]:
+    """NNDSVD from the Gram matrix, which is summed in a tree and whose size the vocabulary bounds."""
+    gram = tree_sum(blocks, lambda row: _rows(row).gram(n_terms).ravel(), n_terms * n_terms, GRAM_UNIT**2, tasks).reshape(n_terms, n_terms)
     eigenvalues, eigenvectors = np.linalg.eigh(gram)
     top = np.argsort(eigenvalues)[::-1][:k]
     values = np.sqrt(np.maximum(eigenvalues[top], 0))
     vectors = eigenvectors[:, top]
-    present = values > max(values[0], 1e-300) * np.sqrt(len(gram) * np.finfo(float).eps)  # eigenvalues carry noise of that square
+    if len(top) < k:  # fewer terms than topics
+        values, vectors = np.pad(values, (0, k - len(top))), np.pad(vectors, ((0, 0), (0, k - len(top))))
+    noise = max(np.sqrt(len(gram) * np.finfo(float).eps), np.sqrt(GRAM_UNIT))  # eigenvalues carry noise of that square
+    present = values > max(values[0], 1e-300) * noise
     divisor = np.where(present, values, 1.0)
 
-    def squares(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        up, down = np.zeros(k), np.zeros(k)
-        for rows, _ in _unpack(batches, k):
-            left = rows.times(vectors) / divisor
-            up += (np.maximum(left, 0) ** 2).sum(axis=0)
-            down += (np.minimum(left, 0) ** 2).sum(axis=0)
-        yield pd.concat([_cells(0, up), _cells(1, down)])
+    def squares(row) -> np.ndarray:
+        left = _rows(row).times(vectors) / divisor
+        parts = np.stack([np.maximum(left, 0) ** 2, np.minimum(left, 0) ** 2])
+        return np.rint(parts / UNIT).sum(axis=1).ravel()
 
-    sums = _summed(blocks.mapInPandas(squares, "r int, c int, value double"))
+    sums = tree_sum(blocks, squares, 2 * k, UNIT, tasks).reshape(2, k)
     signs, scales, h = np.zeros(k), np.zeros(k), np.zeros((k, vectors.shape[0]))
     for j in range(k):
         if not present[j]:
@@ -168,7 +226,7 @@ def _start(features: DataFrame, vector: str, blocks: DataFrame, k: int) -> tuple
             scales[j] = np.sqrt(values[j])
             h[j] = scales[j] * np.abs(right)
             continue
-        left_norms = [np.sqrt(sums.get((side, j), 0.0)) for side in (0, 1)]
+        left_norms = np.sqrt(sums[:, j])
         right_parts = [np.maximum(right, 0), np.maximum(-right, 0)]
         sizes = [left_norms[s] * np.linalg.norm(right_parts[s]) for s in (0, 1)]
         side = 0 if sizes[0] > sizes[1] else 1
@@ -215,75 +273,72 @@ class NmfModel:
         return F.pandas_udf(compute, "array<double>").asNondeterministic()(terms, weights)
 
 
-def fit_nmf(features: DataFrame, vector: str, k: int = 8, max_iter: int = 200, tolerance: float = 1e-4) -> NmfModel:
-    """Factorise the rows of a sparse vector column; stops when the violation falls to ``tolerance`` of the first."""
-    assert isinstance(features.schema[vector].dataType, VectorUDT)
-    spark = features.sparkSession
-    blocks = write_and_read(spread_small_input(_pack(features, vector)), "nmf-blocks").persist()
-    start, h = _start(features, vector, blocks, k)
-    n_terms = h.shape[1]
+def fit_nmf(
+    features: DataFrame, vector: str, k: int = 8, max_iter: int = 200, tolerance: float = 1e-4, n_terms: int | None = None
+) -> NmfModel:
+    """Factorise the rows of a sparse vector column; stops when the violation falls to ``tolerance`` of the first.
+
+    The factors are the same to the last digit however the rows are partitioned. V is written and dealt out by block
+    once; W is dealt out alike, so that putting them side by side moves neither, and is written every few steps.
+    """
+    v = write_and_read(spread_small_input(_pack(features, vector)), "nmf-v")
+    if n_terms is None:
+        n_terms = 1 + (features.agg(F.max(F.array_max(sparse_parts(vector)[0]))).first()[0] or 0)
+    tasks = max(v.rdd.getNumPartitions(), features.sparkSession.sparkContext.defaultParallelism)
+    v = _by_block(v, tasks)
+    start, h = _start(v, k, n_terms, tasks)
 
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for b in batch.itertuples():
-                rows = Rows(
-                    np.frombuffer(b.starts, np.int64), np.frombuffer(b.terms, np.int64),
-                    np.frombuffer(b.weights, np.float64),
-                )
-                out.append(start.first_w(rows).tobytes())
-            yield batch.assign(w=out)
-
-    begun = write_and_read(blocks.mapInPandas(begin, BLOCK_SCHEMA), "nmf-blocks").persist()
-    blocks.unpersist()
-    blocks = begun
-    steps: list[np.ndarray] = []
-    pending: list[np.ndarray] = []
-    violations: list[float] = []
+            yield pd.DataFrame({"block": batch["block"], "w": [start.first_w(_rows(row)).tobytes() for _, row in batch.iterrows()]})
+
+    w = _by_block(write_and_read(v.mapInPandas(begin, W_SCHEMA), "nmf-w"), tasks)
+    steps, pending, violations = [], [], []
     for _ in range(max_iter):
         pending.append(h.copy())
-        shared = spark.sparkContext.broadcast(pending)
-
-        def sums(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            cross, gram, violation = np.zeros((k, n_terms)), np.zeros((k, k)), 0.0
-            for rows, w in _unpack(batches, k):
-                violation += replay(rows, w, shared.value)
-                cross += rows.transposed_times(w, n_terms)
-                gram += w.T @ w
-            parts = [_cells(r, cross[r]) for r in range(k)] + [_cells(r, gram[r], n_terms) for r in range(k)]
-            yield pd.concat([*parts, _cells(-1, np.array([violation]))])
-
-        cells = _summed(blocks.mapInPandas(sums, "r int, c int, value double"))
-        violation = cells.pop((-1, 0), 0.0)
-        whole = np.zeros((k, n_terms + k))
-        for (r, c), value in cells.items():
-            whole[r, c] = value
+        shared = v.sparkSession.sparkContext.broadcast(pending)
+
+        def sums(row, shared=shared) -> np.ndarray:
+            rows, own = _rows(row), np.frombuffer(row["w"], np.float64).reshape(-1, k).copy()
+            violation = replay(rows, own, shared.value)
+            gram = np.rint(own[:, :, None] * own[:, None, :] / UNIT).sum(axis=0)
+            return np.concatenate([rows.transposed_times(own, n_terms).ravel(), gram.ravel(), [np.rint(violation / UNIT).sum()]])
+
+        whole = tree_sum(v.join(w, "block"), sums, k * (n_terms + k) + 1, UNIT, tasks)
         shared.destroy()
+        cross, gram, violation = whole[: k * n_terms].reshape(k, n_terms), whole[k * n_terms : -1].reshape(k, k), whole[-1]
         target = h.T.copy()
-        violation += descend(target, whole[:, :n_terms].T, whole[:, n_terms:])
+        violation += float(descend(target, cross.T, gram).sum())
         h = target.T.copy()
         steps.append(pending[-1])
         violations.append(violation)
         if violations[0] == 0 or violation / violations[0] <= tolerance:
             break
         if len(pending) == STEPS_PER_WRITE:
-            advanced = write_and_read(_advance(blocks, pending, k), "nmf-blocks").persist()
-            blocks.unpersist()
-            blocks, pending = advanced, []
-    blocks.unpersist()
+            advanced = _by_block(write_and_read(_advance(v.join(w, "block"), pending, k), "nmf-w"), tasks)
+            w.unpersist()
+            w, pending = advanced, []
+    v.unpersist()
+    w.unpersist()
     return NmfModel(h, start, steps, violations)
 
 
+def _by_block(df: DataFrame, tasks: int) -> DataFrame:
+    """Dealt out and sorted by block, so that tables dealt out alike are joined where they are."""
+    return df.repartition(tasks, "block").sortWithinPartitions("block").persist()
+
+
 def _advance(blocks: DataFrame, steps: list[np.ndarray], k: int) -> DataFrame:
-    """Blocks with W brought through ``steps``."""
+    """W brought through ``steps``, by block."""
     shared = blocks.sparkSession.sparkContext.broadcast(list(steps))
 
     def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for rows, w in _unpack(iter([batch]), k):
-                replay(rows, w, shared.value)
+            for _, row in batch.iterrows():
+                w = np.frombuffer(row["w"], np.float64).reshape(-1, k).copy()
+                replay(_rows(row), w, shared.value)
                 out.append(w.tobytes())
-            yield batch.assign(w=out)
+            yield pd.DataFrame({"block": batch["block"], "w": out})
 
-    return blocks.mapInPandas(move, BLOCK_SCHEMA)
+    return blocks.mapInPandas(move, W_SCHEMA)

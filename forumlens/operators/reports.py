@@ -24,9 +24,11 @@ def short_title(limit: int, title: str = "title") -> Column:
 
 # ---- analysed posts ------------------------------------------------------------------------
 def dataset_overview(df: DataFrame) -> DataFrame:
+    """Size and span in time, which is null where posts have no time column."""
+    created = F.col("created_datetime") if "created_datetime" in df.columns else F.lit(None).cast("timestamp")
     return df.agg(
         _rows().alias("total_posts"), F.countDistinct("subreddit").alias("unique_subreddits"),
-        F.min("created_datetime").alias("first_created"), F.max("created_datetime").alias("last_created"),
+        F.min(created).alias("first_created"), F.max(created).alias("last_created"),
     )
 
 

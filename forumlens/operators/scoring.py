@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import logging
+import threading
+import time
+from collections import deque
 from collections.abc import Callable, Iterator
+from concurrent.futures import Future
+from concurrent.futures import TimeoutError as FutureTimeout
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
@@ -17,6 +22,7 @@ from forumlens.operators.ranking import top_n_per_group
 from forumlens.session import write_and_read
 
 ScoreFunction = Callable[[list[str]], list[str]]
+_log = logging.getLogger(__name__)
 
 #: Appends of a scoring run; what a run that stops loses is one of them.
 SCORE_BUCKETS = 16
@@ -95,38 +101,92 @@ def parse_score(reply: Column) -> Column:
     return F.coalesce(clamp(number, 0, 100), F.lit(fixed.DEFAULT_MODEL_SCORE))
 
 
-def reply_column(prompt: Column, score: ScoreFunction) -> Column:
-    """Replies to a column of prompts, a batch per call; only the prompt travels to Python.
+@dataclass(frozen=True)
+class Calls:
+    """How a task asks the model: prompts per call, calls in flight at once, and seconds until a call counts as failed."""
+
+    prompts: int = 32
+    in_flight: int = 4
+    timeout: float = 45.0
+
 
-    A batch that raises is asked again in halves, down to single prompts; what still raises is logged and null.
+class _Asking:
+    """The calls of one task. A call that doesn't come back keeps its thread; of such threads there are few.
+
+    A batch of prompts that raises is asked again in halves, down to single prompts; one that times out is not, as
+    each half could take as long again. When as many calls hang as may be in flight, the model is taken for dead
+    and the rest of the task fails at once.
     """
 
-    def ask(prompts: list[str]) -> list[str | None]:
-        try:
-            replies = score(prompts)
-            if len(replies) == len(prompts):
-                return list(replies)
-            problem = f"{len(replies)} replies"
-        except Exception as error:
-            problem = repr(error)
-        if len(prompts) == 1:
-            logging.getLogger(__name__).warning("no score: %s", problem)
-            return [None]
-        half = len(prompts) // 2
-        return ask(prompts[:half]) + ask(prompts[half:])
+    def __init__(self, score: ScoreFunction, calls: Calls):
+        self.score, self.calls, self.hanging = score, calls, []
+
+    def replies(self, prompts: list[str]) -> list[str | None]:
+        out: list[str | None] = [None] * len(prompts)
+        size = max(1, self.calls.prompts)
+        waiting = deque(range(low, min(low + size, len(prompts))) for low in range(0, len(prompts), size))
+        running: deque[tuple[range, Future, float]] = deque()
+        problem = ""
+        while waiting or running:
+            self.hanging = [f for f in self.hanging if not f.done()]
+            while waiting and len(running) + len(self.hanging) < self.calls.in_flight:
+                some = waiting.popleft()
+                running.append((some, self._call([prompts[i] for i in some]), time.monotonic() + self.calls.timeout))
+            if not running:
+                problem = f"{len(self.hanging)} calls hang, {sum(map(len, waiting))} prompts were not asked"
+                break
+            some, future, deadline = running.popleft()
+            try:
+                found = future.result(max(0.0, deadline - time.monotonic()))
+                if len(found) != len(some):
+                    raise ValueError(f"{len(found)} replies to {len(some)} prompts")
+                for i, reply in zip(some, found, strict=True):
+                    out[i] = reply
+            except FutureTimeout:
+                self.hanging.append(future)
+                problem = f"no reply in {self.calls.timeout} seconds"
+            except Exception as error:
+                problem = repr(error)
+                if len(some) > 1:
+                    half = some.start + len(some) // 2
+                    waiting.extendleft([range(half, some.stop), range(some.start, half)])
+        if None in out:
+            _log.warning("no score for %d of %d prompts, last: %s", out.count(None), len(out), problem)
+        return out
+
+    def _call(self, prompts: list[str]) -> Future:
+        future: Future = Future()
+
+        def run() -> None:
+            try:
+                future.set_result(list(self.score(prompts)))
+            except BaseException as error:
+                future.set_exception(error)
+
+        threading.Thread(target=run, daemon=True).start()
+        return future
+
+
+def reply_column(prompt: Column, score: ScoreFunction, calls: Calls | None = None) -> Column:
+    """Replies to a column of prompts, several calls at a time; only the prompt travels to Python.
+
+    What raises or doesn't come back in time is logged and null.
+    """
+    calls = calls or Calls()
 
     def replies(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        asking = _Asking(score, calls)
         for batch in batches:
-            yield pd.Series(ask(batch.tolist()) if len(batch) else [], dtype="object")
+            yield pd.Series(asking.replies(batch.tolist()) if len(batch) else [], dtype="object")
 
     replies.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(replies, "string").asNondeterministic()(prompt)
 
 
-def score_posts(df: DataFrame, score: ScoreFunction, prompt: Prompt | None = None) -> DataFrame:
+def score_posts(df: DataFrame, score: ScoreFunction, prompt: Prompt | None = None, calls: Calls | None = None) -> DataFrame:
     """Adds ``llm_relevance_score`` and ``score_status`` (scored or failed) to posts with comments."""
     text = comment_rollup() if "comments" in df.columns else F.lit("")
-    asked = df.withColumn("_reply", reply_column(scoring_prompt(text, prompt), score))
+    asked = df.withColumn("_reply", reply_column(scoring_prompt(text, prompt), score, calls))
     failed = F.col("_reply").isNull()
     return asked.withColumns(
         {
@@ -155,27 +215,51 @@ def latest_scores(scored: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Progress:
+    """How far a scoring run is: posts with a score now, of those the ones new in this run and from before, and their mean."""
+
+    scored: int
+    new: int
+    cached: int
+    failed: int
+    average: float
+
+
 def score_table(
-    df: DataFrame, score: ScoreFunction, scored_path: str, prompt: Prompt | None = None, buckets: int = SCORE_BUCKETS
+    df: DataFrame, score: ScoreFunction, scored_path: str, prompt: Prompt | None = None, buckets: int = SCORE_BUCKETS,
+    calls: Calls | None = None, report: Callable[[Progress], None] | None = None,
 ) -> DataFrame:
     """Score what the table at ``scored_path`` lacks, append it there, and rank all posts.
 
     Posts are scored in ``buckets`` by a hash of their id, and each bucket is an append of its own: a run that
-    stops half-way loses the bucket in hand, and the next one goes on with the rest. Posts still without a
-    score take the default.
+    stops half-way loses the bucket in hand, and the next one goes on with the rest. ``report`` is told after
+    each bucket; its numbers are observed while the bucket is written, so nothing is read again for them. Posts
+    still without a score take the default.
     """
     spark = df.sparkSession
     schema = "id string, llm_relevance_score double, score_status string"
-    empty = spark.range(0).selectExpr(
-        "cast(null as string) id", "cast(null as double) llm_relevance_score", "cast(null as string) score_status"
-    )
-    empty.write.mode("append").parquet(scored_path)
+    spark.createDataFrame([], schema).write.mode("append").parquet(scored_path)
     before = spark.read.schema(schema).parquet(scored_path)
     todo = write_and_read(not_yet_scored(df, before), "to-score")
+    cached, total = 0, 0.0
+    if report:
+        done = latest_scores(before).where("score_status = 'scored'").join(df.select("id").distinct(), "id", "left_semi")
+        cached, total = done.agg(F.count(F.lit(1)), F.coalesce(F.sum("llm_relevance_score"), F.lit(0.0))).first()
+    new, failed = 0, 0
     for bucket in range(buckets):
         mine = todo.where(F.pmod(F.xxhash64("id"), F.lit(buckets)) == bucket)
-        fresh = score_posts(mine, score, prompt).select("id", "llm_relevance_score", "score_status")
+        fresh = score_posts(mine, score, prompt, calls).select("id", "llm_relevance_score", "score_status")
+        seen, good = Observation(), F.col("score_status") == "scored"
+        if report:
+            fresh = fresh.observe(
+                seen, F.count_if(good).alias("new"), F.count_if(~good).alias("failed"),
+                F.coalesce(F.sum(F.when(good, F.col("llm_relevance_score"))), F.lit(0.0)).alias("total"),
+            )
         fresh.write.mode("append").parquet(scored_path)
+        if report:
+            new, failed, total = new + seen.get["new"], failed + seen.get["failed"], total + seen.get["total"]
+            report(Progress(cached + new, new, cached, failed, total / max(1, cached + new)))
     scores = latest_scores(spark.read.schema(schema).parquet(scored_path))
     ranked = df.drop("llm_relevance_score", "score_status").join(scores, "id", "left")
     return rank_by_model_score(ranked)

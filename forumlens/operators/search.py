@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
-from forumlens.functions.lookup import keyed_lookup
-from forumlens.functions.text import combined_text, computed_once, contains_any, matching, padded_words
+from forumlens.functions.lookup import config_table, keyed_lookup
+from forumlens.functions.text import combined_text, computed_once, contains_any, matching, matching_places, padded_words
 from forumlens.operators.collect import attach_comments, in_window, top_comments
 from forumlens.operators.ranking import top_n_per_group
 from forumlens.session import write_and_read
@@ -90,6 +90,8 @@ def _looked_up_terms(padded: Column, terms: list[str]) -> Column:
     return F.array_sort(counted)
 
 
+ORDER_COLUMNS = ("score", "created_utc", "num_comments", "hours_ago")
+HIT_COLUMNS = ("term_ord", "term", "occurrences", "location_ord", "search_subreddit", "location_name", "search_rank")
 SORT_ORDERS = {
     "relevance": [F.desc, ["occurrences", "score"]],
     "new": [F.desc, ["created_utc"]],
@@ -109,16 +111,25 @@ def _search_terms(
     posts: DataFrame, terms: list[str], sort: str, time_filter: str, limit: int,
     locations: list[tuple[str | None, str]], max_age_hours: float | None,
 ) -> DataFrame:
-    """The results of every (location, term) search, in one pass over the posts.
+    """The results of every (location, term) search, in one pass over the posts and one for their texts."""
+    return _fetched(posts, _hits_of(posts, terms, sort, time_filter, limit, locations, max_age_hours))
+
+
+def _hits_of(
+    posts: DataFrame, terms: list[str], sort: str, time_filter: str, limit: int,
+    locations: list[tuple[str | None, str]], max_age_hours: float | None,
+) -> DataFrame:
+    """The hits of every search, written out: post id and content hash, and the search.
 
     Each post lists the terms it matches and the locations it lies in; only matches are expanded,
-    so no pairing of posts with the plan is ever formed.
+    so no pairing of posts with the plan is ever formed. What is shuffled and ranked are ids and sort keys; texts
+    are fetched for the hits alone, of which there are at most searches x limit.
     """
     if sort == "top":
         posts = posts.where(in_window(F.lit(time_filter), F.col("hours_ago")))
-    padded = computed_once(posts, {"_padded": padded_words(combined_text())})
+    keys = ["id", "_row", *[c for c in ORDER_COLUMNS if c in posts.columns]]
     match = _tested_terms if len(terms) <= BRANCH_TERMS else _looked_up_terms
-    matched_terms = match(F.col("_padded"), terms)
+    matched = _matched(_keyed(posts), terms, match(F.col("_padded"), terms), [*keys, "subreddit"])
     places = [
         {"location_ord": place, "search_subreddit": subreddit, "location_name": name}
         for place, (subreddit, name) in enumerate(locations)
@@ -131,21 +142,37 @@ def _search_terms(
         lambda l: l["search_subreddit"].isNull() | (l["search_subreddit"] == F.col("subreddit")),
     )
     expanded = (
-        computed_once(padded, {"_terms": matched_terms})
-        .drop("_padded")
-        .where(F.size("_terms") > 0)
-        .select("*", F.inline("_terms"))
-        .drop("_terms")
-        .withColumn("_locations", own_locations)
-        .select("*", F.inline("_locations"))
-        .drop("_locations")
+        matched.select("*", F.inline("_terms")).drop("_terms").withColumn("_locations", own_locations)
+        .select(*keys, "term_ord", "term", "occurrences", F.inline("_locations"))
     )
     found = top_n_per_group(
         expanded, ["location_ord", "term_ord"], _order(sort), limit, rank_name="search_rank"
     )
     if max_age_hours is not None:
         found = found.where(F.col("hours_ago") <= max_age_hours)
-    return found
+    return write_and_read(found.select(F.col("id").alias("_hit"), F.col("_row").alias("_hit_row"), *HIT_COLUMNS), "hits")
+
+
+def _keyed(posts: DataFrame) -> DataFrame:
+    return posts.withColumn("_row", F.xxhash64(*posts.columns))
+
+
+def _fetched(posts: DataFrame, hits: DataFrame) -> DataFrame:
+    """The posts of hits, one row per hit."""
+    same = (F.col("_row") == F.col("_hit_row")) & F.col("id").eqNullSafe(F.col("_hit"))
+    fetched = _keyed(posts).join(hits.select("_hit", "_hit_row").distinct(), same, "left_semi").dropDuplicates(["id", "_row"])
+    return fetched.join(hits, same).select(*posts.columns, *HIT_COLUMNS)
+
+
+def _matched(posts: DataFrame, terms: list[str], found: Column, columns: list[str]) -> DataFrame:
+    """``columns`` and ``_terms`` of the posts that match any of the terms.
+
+    The longest word of a term has to be somewhere in a text before its words are told apart, which is the dear part.
+    """
+    rarest = list(dict.fromkeys(max(query_words(t), key=len) for t in terms))
+    likely = posts.where(contains_any(F.lower(combined_text()), rarest)) if len(rarest) <= BRANCH_TERMS else posts
+    padded = computed_once(likely, {"_padded": padded_words(combined_text())})
+    return computed_once(padded, {"_terms": found}).select(*columns, "_terms").where(F.size("_terms") > 0)
 
 
 def keyword_search(
@@ -185,47 +212,39 @@ def search_candidates(
 
 
 def search_plan(posts: DataFrame, broad_terms: list[str], subreddits: list[str] | None = None) -> DataFrame:
-    """Every (location, term) search with the number of posts it matches, none included."""
-    texts = posts.select("subreddit", "title", "selftext")
-    padded = computed_once(texts, {"_padded": padded_words(combined_text())})
-    flags = [_all_words(F.col("_padded"), query_words(t)).alias(f"_t{i}") for i, t in enumerate(broad_terms)]
-    flagged = padded.select("subreddit", *flags)
-    counts = []
-    for place, (subreddit, name) in enumerate(search_locations(subreddits)):
-        here = F.lit(True) if subreddit is None else F.col("subreddit") == subreddit
-        for term_ord, term in enumerate(broad_terms):
-            counts.append((place, subreddit, name, term_ord, term, F.count_if(here & F.col(f"_t{term_ord}"))))
-    totals = flagged.agg(*[c[-1].alias(f"_c{i}") for i, c in enumerate(counts)])
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c[0]).alias("location_ord"), F.lit(c[1]).cast("string").alias("subreddit"),
-                F.lit(c[2]).alias("location_name"), F.lit(c[3]).alias("term_ord"), F.lit(c[4]).alias("term"),
-                F.col(f"_c{i}").alias("candidates"),
-            )
-            for i, c in enumerate(counts)
-        ]
-    )
-    return totals.select(F.inline(rows))
+    """Every (location, term) search with the number of posts it matches, none included.
+
+    Posts give the terms they match, summed by term and subreddit before anything is shuffled; the plan is joined to
+    these few sums, whatever its length.
+    """
+    match = _tested_terms if len(broad_terms) <= BRANCH_TERMS else _looked_up_terms
+    matched = _matched(posts, broad_terms, match(F.col("_padded"), broad_terms), ["subreddit"])
+    sums = matched.select("subreddit", F.inline("_terms")).groupBy("subreddit", "term_ord").agg(F.count(F.lit(1)).alias("n"))
+    sums = write_and_read(sums, "term-sums")
+    everywhere = sums.groupBy("term_ord").agg(F.sum("n").alias("n")).withColumn("subreddit", F.lit(None).cast("string"))
+    counts = sums.where(F.col("subreddit").isNotNull()).unionByName(everywhere, allowMissingColumns=True).withColumnsRenamed({"subreddit": "_s", "term_ord": "_t"})
+    rows = [
+        {"location_ord": place, "subreddit": subreddit, "location_name": name, "term_ord": term_ord, "term": term}
+        for place, (subreddit, name) in enumerate(search_locations(subreddits)) for term_ord, term in enumerate(broad_terms)
+    ]
+    plan = config_table(posts.sparkSession, rows, "location_ord int, subreddit string, location_name string, term_ord int, term string")
+    joined = plan.join(counts, (F.col("_t") == F.col("term_ord")) & F.col("_s").eqNullSafe(F.col("subreddit")), "left")
+    return joined.select(*plan.columns, F.coalesce("n", F.lit(0)).cast("bigint").alias("candidates"))
 
 
 def hybrid_match(posts: DataFrame, target_keywords: list[str]) -> DataFrame:
     """Posts whose title, body or any nested comment holds a target keyword, with match labels."""
     keywords = [k.lower() for k in target_keywords]
-    text = F.lower(combined_text())
     bodies = F.transform(F.coalesce(F.col("comments"), F.array()), lambda c: F.lower(c["body"]))
-    labelled = computed_once(posts, {"_text": text, "_bodies": bodies})
-    in_comments = F.exists("_bodies", lambda b: contains_any(b, keywords))
-    flags = {
-        "found_in_post": contains_any(F.col("_text"), keywords),
-        "found_in_comments": F.coalesce(in_comments, F.lit(False)),
-    }
-    matched = F.filter(
-        F.array(*[F.lit(k) for k in keywords]),
-        lambda k: F.contains(F.col("_text"), k) | F.exists("_bodies", lambda b: F.contains(b, k)),
+    apart = "\0"  # between bodies, so that no keyword reaches from one into the next
+    places = computed_once(
+        posts, {"_post": matching_places(F.lower(combined_text()), keywords), "_comments": matching_places(F.array_join(bodies, apart), keywords)}
     )
-    found = computed_once(labelled, flags).where(F.col("found_in_post") | F.col("found_in_comments"))
-    return found.withColumn("matched_keywords", matched).drop("_text", "_bodies")
+    flagged = places.withColumns({"found_in_post": F.size("_post") > 0, "found_in_comments": F.size("_comments") > 0})
+    found = flagged.where(F.col("found_in_post") | F.col("found_in_comments"))
+    either = F.array_sort(F.array_union("_post", "_comments"))
+    words = F.from_json(F.lit(json.dumps(keywords)), "array<string>")
+    return found.withColumn("matched_keywords", F.transform(either, lambda i: F.get(words, i))).drop("_post", "_comments")
 
 
 def matched_keywords(posts: DataFrame, keywords: list[str]) -> DataFrame:
@@ -233,6 +252,11 @@ def matched_keywords(posts: DataFrame, keywords: list[str]) -> DataFrame:
     return posts.withColumn("matched_keywords", matching(F.lower(combined_text()), [k.lower() for k in keywords]))
 
 
+def add_search_fields(posts: DataFrame) -> DataFrame:
+    """Posts with the fractional days of a search result."""
+    return posts.withColumn("days_ago", F.col("hours_ago") / 24.0)
+
+
 def hybrid_search(
     posts: DataFrame, comments: DataFrame | None, target_keywords: list[str], broad_terms: list[str],
     subreddits: list[str] | None = None, limit_per_term: int = 100, max_comments: int = 200,
@@ -240,14 +264,14 @@ def hybrid_search(
 ) -> DataFrame:
     """Broad candidates that hold a target keyword; the first search in plan order names the post.
 
-    Candidates number at most searches * limit. They are written out once, and only their comments
-    are ranked and attached: the comment table is cut down by the candidate ids before any shuffle.
+    Candidates number at most searches * limit, and only their comments are ranked and attached: the comment
+    table is cut down by the hits' ids before any shuffle.
     """
-    found = search_candidates(posts, broad_terms, subreddits, limit_per_term, max_age_hours)
-    candidates = write_and_read(found, "search-candidates")
+    hits = _hits_of(posts, broad_terms, "relevance", "month", limit_per_term, search_locations(subreddits), max_age_hours)
+    candidates = _fetched(posts, hits)
     ranked = None
     if comments is not None:
-        ids = candidates.select(F.col("id").alias("post_id")).distinct()
+        ids = hits.select(F.col("_hit").alias("post_id")).distinct()
         own = comments.join(ids, "post_id", "left_semi")
         ranked = top_comments(own, max_comments, max_age_hours, as_of)
     matched = hybrid_match(attach_comments(candidates, ranked), target_keywords)

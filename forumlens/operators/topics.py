@@ -6,19 +6,24 @@ import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
-from pyspark.ml.linalg import Vectors
+from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
-from forumlens.functions.lookup import config_table
+from forumlens.functions.lookup import config_table, keyed_lookup
 from forumlens.functions.numeric import half_even
-from forumlens.functions.text import NON_WORD_PATTERN, combined_text, let, strip
+from forumlens.functions.text import NON_WORD_PATTERN, combined_text, computed_once, let, strip
 from forumlens.operators.nmf import NmfModel, fit_nmf, sparse_parts
+from forumlens.session import write_and_read
 
 MIN_CHARS = 20
 WEIGHT_FLOOR = 0.1
+TERMS = "_terms"
+#: Items that a frequent-items sketch tracks for each term wanted, and at most; sketches merged in one task.
+TRACKED_PER_TERM, MOST_TRACKED, SKETCHES_AT_ONCE = 96, 750_000, 64
+#: Occurrences of terms from which on a sketch costs less than shuffling every distinct term.
+SKETCHED_FROM = 1_000_000_000
 
 
 def default_stop_words() -> list[str]:
@@ -85,52 +90,98 @@ def counted_terms(terms: Column) -> Column:
     return let(F.sort_array(terms), lambda ordered: F.when(F.size(ordered) > 0, runs(ordered)))
 
 
-def term_counts(documents: DataFrame, stop_words: list[str]) -> DataFrame:
-    """(term, corpus_count, document_frequency).
+def with_terms(df: DataFrame, stop_words: list[str], name: str = TERMS) -> DataFrame:
+    """Adds the counted terms of title and body, null where the text is too short for topics."""
+    text = computed_once(df, {"_text": strip(combined_text())})
+    none = F.array().cast("array<struct<term:string,n:int>>")
+    counted = F.coalesce(counted_terms(terms_of(F.col("_text"), stop_words)), none)
+    return computed_once(text, {name: F.when(F.char_length("_text") > MIN_CHARS, counted)}).drop("_text")
 
-    Terms are counted inside each document first, then per partition, so one row per term and
-    partition is shuffled and nothing is grouped by document.
+
+def term_table(df: DataFrame, stop_words: list[str], key: str = "id") -> DataFrame:
+    """(key, terms) of all posts with enough text, written out: the text is worked through once, whatever is done with it."""
+    table = with_terms(df.select(key, "title", "selftext"), stop_words).select(key, TERMS)
+    return write_and_read(table.where(F.col(TERMS).isNotNull()), "terms")
+
+
+def term_counts(table: DataFrame) -> DataFrame:
+    """(term, corpus_count, document_frequency) of every term of a term table; one row per term and partition is shuffled."""
+    return _counted(table.select(F.inline(TERMS)))
+
+
+def _counted(terms: DataFrame) -> DataFrame:
+    return terms.groupBy("term").agg(F.sum("n").alias("corpus_count"), F.count(F.lit(1)).alias("document_frequency"))
+
+
+def frequent_terms(table: DataFrame, tracked: int) -> tuple[DataFrame, float]:
+    """(term) of at most ``tracked`` candidates, and a count that every term which is no candidate stays below.
+
+    A frequent-items sketch of bounded size per partition, merged in a tree: sketches travel, terms don't. A sketch
+    that tracks m items misses none that occurs more than 3.5 n / (m / 0.75) times among n.
     """
-    counted = documents.select(F.inline(counted_terms(terms_of(F.col("text"), stop_words))))
-    return counted.groupBy("term").agg(
-        F.sum("n").alias("corpus_count"), F.count(F.lit(1)).alias("document_frequency")
+    occurrences = table.select(F.explode(F.flatten(F.transform(TERMS, lambda t: F.array_repeat(t["term"], t["n"].cast("int"))))).alias("term"))
+    groups = max(1, occurrences.rdd.getNumPartitions() // SKETCHES_AT_ONCE)
+    sketches = occurrences.groupBy((F.spark_partition_id() % groups).alias("g")).agg(
+        F.expr(f"approx_top_k_accumulate(term, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("n")
     )
+    while groups > 1:
+        groups = groups // SKETCHES_AT_ONCE + (groups % SKETCHES_AT_ONCE > 0)
+        sketches = sketches.groupBy((F.col("g") % groups).alias("g")).agg(
+            F.expr(f"approx_top_k_combine(sketch, {tracked})").alias("sketch"), F.sum("n").alias("n")
+        )
+    found = write_and_read(sketches.select("n", F.expr(f"approx_top_k_estimate(sketch, {tracked})").alias("items")), "frequent")
+    total = found.agg(F.sum("n")).first()[0] or 0
+    return found.select(F.inline("items")).select(F.col("item").alias("term")), 3.5 * 0.75 * total / tracked
 
 
 def vocabulary_table(
-    documents: DataFrame, stop_words: list[str], max_terms: int = 1000, min_df: int = 2, max_df: float = 0.8
+    table: DataFrame, max_terms: int = 1000, min_df: int = 2, max_df: float = 0.8, tracked: int | None = None
 ) -> DataFrame:
     """(term, corpus_count, document_frequency) of the ``max_terms`` most frequent terms among those in
-    enough and not too many documents."""
-    total = documents.agg(F.count(F.lit(1))).scalar()
+    enough and not too many documents.
+
+    Of a large corpus, or where ``tracked`` says so, only candidates of a sketch are counted, exactly. Nothing was
+    missed if enough of them occur more often than any other term can; otherwise all terms are counted.
+    """
+    documents, occurrences = table.agg(F.count(F.lit(1)), F.sum(F.aggregate(TERMS, F.lit(0).cast("bigint"), lambda a, t: a + t["n"]))).first()
     frequency = F.col("document_frequency")
-    kept = term_counts(documents, stop_words).where((frequency >= min_df) & (frequency <= F.lit(max_df) * total))
-    return kept.orderBy(F.desc("corpus_count"), F.asc("term")).limit(max_terms)
 
+    def best(counts: DataFrame) -> DataFrame:
+        kept = counts.where((frequency >= min_df) & (frequency <= F.lit(max_df) * documents))
+        return kept.orderBy(F.desc("corpus_count"), F.asc("term")).limit(max_terms)
 
-def fit_vocabulary(
-    documents: DataFrame, stop_words: list[str] | None = None, max_terms: int = 1000, min_df: int = 2,
-    max_df: float = 0.8,
-) -> Vocabulary:
-    """The vocabulary as a model; at most ``max_terms`` rows reach the driver."""
-    words = default_stop_words() if stop_words is None else stop_words
-    rows = sorted(vocabulary_table(documents, words, max_terms, min_df, max_df).collect())
+    if tracked is None and (occurrences or 0) < SKETCHED_FROM:
+        return best(term_counts(table))
+    candidates, below = frequent_terms(table, tracked or min(MOST_TRACKED, TRACKED_PER_TERM * max_terms))
+    counted = _counted(table.select(F.inline(TERMS)).join(F.broadcast(candidates), "term", "left_semi"))
+    found = write_and_read(best(counted), "vocabulary")
+    last = found.agg(F.count(F.lit(1)).alias("n"), F.min("corpus_count").alias("least")).first()
+    # fewer terms than wanted are all there are only if every term was tracked, which a bound below 1 says
+    whole = below < 1 or (last["n"] == max_terms and last["least"] > below)
+    return found.orderBy(F.desc("corpus_count"), F.asc("term")) if whole else best(term_counts(table))
+
+
+def fit_vocabulary(table: DataFrame, max_terms: int = 1000, min_df: int = 2, max_df: float = 0.8) -> Vocabulary:
+    """The vocabulary of a term table as a model; at most ``max_terms`` rows reach the driver."""
+    rows = sorted(vocabulary_table(table, max_terms, min_df, max_df).collect())
     return Vocabulary(
-        [r["term"] for r in rows], [r["document_frequency"] for r in rows], [r["corpus_count"] for r in rows],
-        documents.count(),
+        [r["term"] for r in rows], [r["document_frequency"] for r in rows], [r["corpus_count"] for r in rows], table.count()
     )
 
 
-def tfidf_features(df: DataFrame, text: str, vocabulary: Vocabulary, stop_words: list[str] | None = None) -> DataFrame:
-    """Adds ``tfidf``, the unit-length sparse vector of a text; nothing is shuffled."""
-    words = default_stop_words() if stop_words is None else stop_words
-    counted = CountVectorizerModel.from_vocabulary(vocabulary.terms, inputCol="_terms", outputCol="_counts")
-    weighted = ElementwiseProduct(scalingVec=Vectors.dense(vocabulary.idf), inputCol="_counts", outputCol="_weighted")
-    unit = Normalizer(p=2.0, inputCol="_weighted", outputCol="tfidf")
-    out = df.withColumn("_terms", F.coalesce(terms_of(F.col(text), words), F.array().cast("array<string>")))
-    for stage in (counted, weighted, unit):
-        out = stage.transform(out)
-    return out.drop("_terms", "_counts", "_weighted")
+def tfidf_features(df: DataFrame, vocabulary: Vocabulary, terms: str = TERMS) -> DataFrame:
+    """Adds ``tfidf``, the unit-length sparse vector of counted terms: places of terms, rising, and weights. Nothing is shuffled."""
+    known = {t: {"place": i, "idf": w} for i, (t, w) in enumerate(zip(vocabulary.terms, vocabulary.idf, strict=True))}
+    look_up = keyed_lookup(known, "struct<place:int,idf:double>")
+    weigh = lambda t: let(look_up(t["term"]), lambda e: F.struct(e["place"].alias("place"), (t["n"] * e["idf"]).alias("weight")))
+    kept = F.array_sort(F.filter(F.transform(terms, weigh), lambda e: e["place"].isNotNull()))
+
+    def unit(entries: Column) -> Column:
+        norm = F.sqrt(F.aggregate(entries, F.lit(0.0), lambda total, e: total + e["weight"] * e["weight"]))
+        values = let(norm, lambda n: F.transform(entries, lambda e: e["weight"] / n))
+        return F.struct(F.transform(entries, lambda e: e["place"]).alias("indices"), values.alias("values"))
+
+    return df.withColumn("tfidf", let(kept, unit))
 
 
 def tfidf_terms(features: DataFrame, vocabulary: Vocabulary, key: str = "id") -> DataFrame:
@@ -190,11 +241,12 @@ class TopicModel:
         )
 
     def assign(self, df: DataFrame, categories: Mapping[str, list[str]] | None = None) -> DataFrame:
-        """Adds topic_id, topic_probability (a weight) and topic_name; posts stay where they are."""
-        text = strip(combined_text())
-        usable = F.when(F.char_length("_text") > MIN_CHARS, F.col("_text"))
-        featured = tfidf_features(df.withColumn("_text", text).withColumn("_text", usable), "_text", self.vocabulary, self.stop_words)
-        weighted = featured.withColumn("_w", self.nmf.weights(*sparse_parts("tfidf"), df)).drop("tfidf", "_text")
+        """Adds topic_id, topic_probability (a weight) and topic_name; posts stay where they are.
+
+        Counted terms that ``df`` has already are used, and dropped.
+        """
+        counted = df if TERMS in df.columns else with_terms(df, self.stop_words)
+        weighted = self.weighted(counted).drop("tfidf", TERMS)
         best = F.array_max("_w")
         clear = best > WEIGHT_FLOOR
         assigned = weighted.withColumns(
@@ -205,23 +257,46 @@ class TopicModel:
         ).drop("_w")
         named = assigned.join(F.broadcast(self.names(df, categories).drop("top_words")), "topic_id", "left")
         named = named.withColumn("topic_name", F.coalesce("topic_name", F.lit(fixed.UNCATEGORIZED)))
-        return named.select(*df.columns, "topic_id", "topic_probability", "topic_name")
+        return named.select(*[c for c in df.columns if c != TERMS], "topic_id", "topic_probability", "topic_name")
+
+    def weighted(self, counted: DataFrame) -> DataFrame:
+        """Adds ``tfidf`` and ``_w``, the weight of each topic, to posts with counted terms."""
+        featured = tfidf_features(counted, self.vocabulary)
+        return featured.withColumn("_w", self.nmf.weights(*sparse_parts("tfidf"), counted))
+
+
+def fit_on_terms(
+    table: DataFrame, stop_words: list[str], n_topics: int = 8, min_posts: int = 5, max_terms: int = 1000, max_iter: int = 200
+) -> TopicModel | None:
+    """Fit on a term table; None when there are too few posts, or no terms."""
+    vocabulary = fit_vocabulary(table, max_terms)
+    if vocabulary.documents < min_posts or not vocabulary.terms:
+        return None
+    features = tfidf_features(table, vocabulary).select("tfidf")
+    return TopicModel(vocabulary, fit_nmf(features, "tfidf", n_topics, max_iter, n_terms=len(vocabulary.terms)), stop_words)
 
 
 def fit_topics(
     df: DataFrame, n_topics: int = 8, min_posts: int = 5, stop_words: list[str] | None = None,
-    max_terms: int = 1000, max_iter: int = 200,
+    max_terms: int = 1000, max_iter: int = 200, key: str = "id",
 ) -> TopicModel | None:
     """Fit on all posts with enough text; None when there are too few, or no terms."""
     words = default_stop_words() if stop_words is None else stop_words
-    documents = topic_documents(df)
-    vocabulary = fit_vocabulary(documents, words, max_terms)
-    if vocabulary.documents < min_posts or not vocabulary.terms:
-        return None
-    features = tfidf_features(documents, "text", vocabulary, words).select("tfidf").persist()
-    model = fit_nmf(features, "tfidf", n_topics, max_iter)
-    features.unpersist()
-    return TopicModel(vocabulary, model, words)
+    return fit_on_terms(term_table(df, words, key), words, n_topics, min_posts, max_terms, max_iter)
+
+
+def model_topics(
+    df: DataFrame, n_topics: int = 8, min_posts: int = 5, stop_words: list[str] | None = None,
+    categories: Mapping[str, list[str]] | None = None, max_iter: int = 200,
+) -> tuple[DataFrame, TopicModel | None]:
+    """Posts with their topic, and the model; unchanged and None when there is too little to fit on.
+
+    The posts are written out with their counted terms, and read from there for all that follows.
+    """
+    words = default_stop_words() if stop_words is None else stop_words
+    posts = write_and_read(with_terms(df, words), "posts")
+    model = fit_on_terms(posts.select(TERMS).where(F.col(TERMS).isNotNull()), words, n_topics, min_posts, max_iter=max_iter)
+    return (posts.drop(TERMS), None) if model is None else (model.assign(posts, categories), model)
 
 
 def perform_topic_modeling(
@@ -229,5 +304,4 @@ def perform_topic_modeling(
     categories: Mapping[str, list[str]] | None = None, max_iter: int = 200,
 ) -> DataFrame:
     """Posts with their topic; unchanged when there is too little to fit on."""
-    model = fit_topics(df, n_topics, min_posts, stop_words, max_iter=max_iter)
-    return df if model is None else model.assign(df, categories)
+    return model_topics(df, n_topics, min_posts, stop_words, categories, max_iter)[0]

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,6 +56,57 @@ def _temporary_folder() -> str:
     return tempfile.mkdtemp(prefix="forumlens-")
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, as Spark's own readers see them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Files and folders directly in a folder, by name; a folder that isn't there raises."""
+    place, files = _folder(spark, path)
+    return sorted(entry.getPath().toString() for entry in files.listStatus(place))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _folder(spark, path)
+    return files.exists(place)
+
+
+def publish(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that readers see whole or not at all: under another name first, then renamed."""
+    place, files = _folder(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.part")
+    out = files.create(part)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not files.rename(part, place) and not files.exists(place):
+        raise OSError(f"could not publish {path}")
+
+
+def read_published(spark: SparkSession, path: str) -> str:
+    return "\n".join(r["value"] for r in spark.read.text(path).collect())
+
+
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Session settings for the time of a block, as they were afterwards; dots in names are written as __."""
+    wanted = {name.replace("__", "."): value for name, value in conf.items()}
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    place, files = _folder(spark, path)
+    files.delete(place, True)
+
+
 def write_and_read(df: DataFrame, label: str) -> DataFrame:
     """Materialise a frame as a parquet table in the shared folder and read it back.
 

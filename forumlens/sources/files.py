@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forumlens import fixed_values as fixed
-from forumlens.schema import COMMENTS, POST, harmonize_schema
-from forumlens.sources.comments_json import decode_comments
+from forumlens.schema import COMMENT, COMMENTS, POST, harmonize_schema
+from forumlens.session import list_folder
+from forumlens.sources.comments_json import decode_comments, repair_comments
 
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 CSV_WRITING = {
@@ -24,6 +25,7 @@ CSV_WRITING = {
 }
 ASCII_JSON = {"writeNonAsciiCharacterAsCodePoint": "true"}
 TIME_COLUMNS = ("created_datetime", "collection_timestamp")
+POSITION = "row_order"
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
 
@@ -52,28 +54,74 @@ def with_types(df: DataFrame, schema: T.StructType = POST) -> DataFrame:
 
 
 def read_posts_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Posts from CSV, typed, their comments decoded."""
-    df = with_types(read_csv(spark, paths))
-    return df.withColumn("comments", decode_comments(F.col("comments"))) if "comments" in df.columns else df
+    """Posts from CSV, typed, their comments decoded, damaged ones repaired where a way is known."""
+    raw = with_position(spark.read.options(**CSV_DIALECT).csv(paths))
+    texts = [c for c in raw.columns if c != POSITION]
+    single = [F.replace(F.col(c), F.lit("\\\\"), F.lit("\\")).alias(c) for c in texts]
+    df = with_types(raw.select(*single, POSITION))
+    return df.withColumn("comments", repair_comments(F.col("comments"))) if "comments" in df.columns else df
 
 
-def read_posts_json(spark: SparkSession, paths: str | list[str], schema: T.StructType = POST, lines: bool = True) -> DataFrame:
-    """Posts from JSON: one record, or one array of records, per line, which Spark can split.
+def one_record_per_line(spark: SparkSession, paths: str | list[str]) -> bool:
+    """Whether the first line that isn't blank is a whole JSON value; one line is read."""
+    first = spark.read.text(paths).where("trim(value) <> ''").limit(1)
+    found = first.select(F.try_parse_json("value").isNotNull()).first()
+    return found is None or bool(found[0])
 
-    ``lines=False`` is for files of one array over several lines; each is read by one task.
+
+def read_posts_json(spark: SparkSession, paths: str | list[str], schema: T.StructType = POST, lines: bool | None = None) -> DataFrame:
+    """Posts from JSON with every field the records have; those that ``schema`` names get its types.
+
+    Files hold one record, or one array of records, per line, which Spark can split; or one array over several lines, as
+    a plain dump with indents leaves it, which one task reads per file. Unless ``lines`` says which, the first
+    line decides. A record that isn't JSON raises.
     """
-    return spark.read.schema(schema).option("multiLine", str(not lines).lower()).json(paths)
+    lines = one_record_per_line(spark, paths) if lines is None else lines
+    reader = spark.read.option("multiLine", str(not lines).lower()).option("mode", "FAILFAST")
+    raw = reader.json(paths)
+    if not raw.columns:
+        return spark.createDataFrame([], schema)
+    df = with_types(with_position(raw), schema)
+    return df.withColumn("comments", _as_comments(df)) if "comments" in df.columns else df
+
+
+def _as_comments(df: DataFrame) -> Column:
+    """Comments of any inferred shape as a list of comments; what has another shape is no comment."""
+    kind = df.schema["comments"].dataType
+    if isinstance(kind, T.StringType):
+        return repair_comments(F.col("comments"))
+    none = F.array().cast(COMMENTS)
+    if not isinstance(kind, T.ArrayType) or not isinstance(kind.elementType, T.StructType):
+        return none
+    present = set(kind.elementType.fieldNames())
+
+    def typed(comment: Column) -> Column:
+        value = lambda f: comment[f.name].try_cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)
+        return F.struct(*[value(f).alias(f.name) for f in COMMENT.fields])
+
+    return F.coalesce(F.transform("comments", typed), none)
+
 
+def with_position(df: DataFrame) -> DataFrame:
+    """Adds ``row_order``: the file a row was read from, the part of the file, and its place there.
 
-def load_posts(spark: SparkSession, path: str) -> DataFrame:
-    """Posts from a path by its extension; a missing file raises."""
+    Rows of a file are in its order under it, however Spark splits the file or packs files into tasks.
+    """
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("place"))
+    return df.select("*", place.alias(POSITION))
+
+
+def load_posts(spark: SparkSession, path: str, position: bool = False) -> DataFrame:
+    """Posts from a path by its extension, on request with :func:`with_position`; a missing file raises."""
     if path.endswith(".csv"):
-        return parse_times(read_posts_csv(spark, path))
-    if path.endswith(".json"):
-        return parse_times(read_posts_json(spark, path))
-    if path.endswith(".parquet"):
-        return spark.read.parquet(path)
-    raise ValueError("File must be CSV, JSON or parquet")
+        df = parse_times(read_posts_csv(spark, path))
+    elif path.endswith(".json"):
+        df = parse_times(read_posts_json(spark, path))
+    elif path.endswith(".parquet"):
+        df = with_position(spark.read.parquet(path))
+    else:
+        raise ValueError("File must be CSV, JSON or parquet")
+    return df if position else df.drop(POSITION)
 
 
 def parse_times(df: DataFrame) -> DataFrame:
@@ -83,11 +131,18 @@ def parse_times(df: DataFrame) -> DataFrame:
 
 def raw_files(paths: list[str]) -> list[str]:
     """Collected files by name, each once, without results of an earlier analysis."""
-    wanted = re.compile(r"daily|activity_based|search|data_tools")
+    wanted = re.compile("|".join(fixed.DAILY_FILES + fixed.SEARCH_FILES))
     named = [p for p in dict.fromkeys(paths) if wanted.search(p.rsplit("/", 1)[-1])]
     return [p for p in named if "_analyzed_" not in p.rsplit("/", 1)[-1]]
 
 
+def find_raw_files(spark: SparkSession, folder: str, forms: tuple[str, ...] = (".csv", ".json", ".parquet")) -> list[str]:
+    """Collected files that lie in a folder, on any file system Spark reads: daily ones first, then searches, each by name."""
+    daily = re.compile("|".join(fixed.DAILY_FILES))
+    found = raw_files([path for path in list_folder(spark, folder) if path.endswith(forms)])
+    return sorted(found, key=lambda p: (not daily.search(p.rsplit("/", 1)[-1]), p))
+
+
 def collection_type(path: Column) -> Column:
     lowered = F.lower(path)
     return (
@@ -112,12 +167,9 @@ def combine_collections(frames: list[DataFrame]) -> DataFrame:
 def load_collections(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Several files as one frame in file order, tagged with where each row comes from.
 
-    ``row_order`` grows with a row's place in its file: a CSV or JSON file is one partition.
+    ``file_order`` and ``row_order`` are the order of the rows, the same for any size of splits.
     """
-    frames = []
-    for path in dict.fromkeys(paths):
-        df = tag_provenance(load_posts(spark, path), F.lit(path))
-        frames.append(df.withColumn("row_order", F.monotonically_increasing_id()))
+    frames = [tag_provenance(load_posts(spark, path, position=True), F.lit(path)) for path in dict.fromkeys(paths)]
     return combine_collections(frames)
 
 
@@ -189,7 +241,7 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType, created_af
 
 
 __all__ = [
-    "COMMENTS", "as_text", "collection_type", "combine_collections", "decode_quality", "load_collections", "load_posts",
-    "parse_times", "raw_files", "read_csv", "read_landed", "read_posts_csv", "read_posts_json", "tag_provenance",
-    "with_types", "write_analysis", "write_by_user", "write_csv", "write_posts_json",
+    "COMMENTS", "as_text", "collection_type", "combine_collections", "decode_quality", "find_raw_files", "load_collections",
+    "load_posts", "one_record_per_line", "parse_times", "raw_files", "read_csv", "read_landed", "read_posts_csv", "read_posts_json", "tag_provenance",
+    "with_position", "with_types", "write_analysis", "write_by_user", "write_csv", "write_posts_json",
 ]

@@ -6,22 +6,32 @@ what was read. Run it again to take up the rest.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from forumlens.functions.text import combined_text, contains_any, matching
 from forumlens.operators.ranking import dedupe_posts
-from forumlens.operators.scoring import Prompt, ScoreFunction, latest_scores, not_yet_scored, score_posts
+from forumlens.operators.scoring import Calls, Prompt, ScoreFunction, latest_scores, score_posts
+from forumlens.session import delete_folder, list_folder, path_exists, publish, settings
 
 SCORES = "id string, llm_relevance_score double, score_status string, version bigint"
+SCORE_COLUMNS = ("id", "llm_relevance_score", "score_status")
+#: State of any size on the executors' disks, of which each batch saves its changes in the checkpoint.
+STATE_ON_DISK = {
+    "spark__sql__streaming__stateStore__providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark__sql__streaming__stateStore__rocksdb__changelogCheckpointing__enabled": "true",
+}
 
 
 def landed_stream(
-    spark: SparkSession, folder: str, schema: T.StructType, name_pattern: str | None = None, files_per_batch: int = 1000
+    spark: SparkSession, folder: str, schema: T.StructType, name_pattern: str | None = None, files_per_batch: int = 1000,
+    nested: bool = False,
 ) -> DataFrame:
-    """Parquet files as they land in a folder."""
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    """Parquet files as they land in a folder, or ``nested`` anywhere below it."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("recursiveFileLookup", str(nested).lower())
     if name_pattern:
         reader = reader.option("pathGlobFilter", name_pattern)
     return reader.parquet(folder)
@@ -37,107 +47,108 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return stream.sparkSession.read.schema(stream.schema).parquet(path)
 
 
-def stream_dedupe(posts: DataFrame, path: str, checkpoint: str, order: tuple[str, ...] = ("created_datetime",)) -> DataFrame:
-    """One row per id, however late a post lands: of a batch the first in ``order``, if the table lacks the id.
-
-    The table itself is the memory, so there is no state to expire. A batch that is run again after a failure
-    overwrites its own folder. Posts with a blank id are all kept.
-    """
-    schema = T.StructType(list(posts.schema.fields)).add("version", T.LongType())
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        own = f"{path}/version={batch_id}"
-        spark.createDataFrame([], posts.schema).write.mode("overwrite").parquet(own)
-        known = spark.read.schema(schema).parquet(path).where(F.col("version") != batch_id).select("id").where(F.trim("id") != "")
-        new = dedupe_posts(batch, list(order)).join(known, "id", "left_anti")
-        new.select(*batch.columns).write.mode("overwrite").parquet(own)
-
-    query = (
-        posts.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).foreachBatch(write).start()
-    )
+def drain(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]) -> None:
+    """Hand everything available to ``write``, batch by batch; a batch may come twice after a failure."""
+    query = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
-    return posts.sparkSession.read.schema(schema).parquet(path).drop("version")
 
 
-def stream_match(posts: DataFrame, keywords: list[str]) -> DataFrame:
-    """Posts that hold a target keyword, with those they hold; stateless."""
-    lowered = [k.lower() for k in keywords]
-    text = F.lower(combined_text())
-    return posts.where(contains_any(text, lowered)).withColumn("matched_keywords", matching(text, lowered))
+def first_seen(posts: DataFrame) -> DataFrame:
+    """One row per id of everything a stream ever brings; rows with a blank id are all kept.
 
-
-def daily_counts(posts: DataFrame, created: str = "created_datetime") -> DataFrame:
-    """Posts and total score per subreddit and day.
-
-    A backfill may land any time, so no day is ever closed: the state is one row per day and subreddit.
+    The ids seen are keyed state: a batch looks up its own ids, whatever has landed before. It never expires, so an id
+    may come back at any time. Of rows of one id in one batch any may be the one that is kept.
     """
-    days = posts.groupBy(F.window(created, "1 day"), "subreddit")
-    counts = days.agg(F.count(F.lit(1)).alias("posts"), F.sum("score").alias("total_score"))
-    return counts.select(F.col("window.start").alias("day"), "subreddit", "posts", "total_score")
+    blank = F.coalesce(F.trim("id"), F.lit("")) == ""
+    return posts.where(~blank).dropDuplicates(["id"]).unionByName(posts.where(blank))
 
 
-def run_updates(stream: DataFrame, keys: list[str], path: str, checkpoint: str) -> DataFrame:
-    """Write each batch's changed rows; reading takes the latest version of every key.
+def stream_dedupe(posts: DataFrame, path: str, checkpoint: str, order: tuple[str, ...] = ("created_datetime",)) -> DataFrame:
+    """One row per id, however late a post lands: of a batch the first in ``order``, if no earlier batch had the id.
 
-    Unlike append mode this also shows days that are still open. A batch that is run again after a
-    failure overwrites its own folder.
+    Each batch is cut to one row per id and staged, which also spares a much-copied id a long way; then a second
+    stream lets staged rows pass whose id it has not seen. Ids stay in a state store on disk, partitioned by hash, so
+    a batch costs what it holds and not what the table holds. Posts with a blank id are all kept. A batch that comes
+    twice after a failure is staged once: a stage that was finished is not written again, and one the second stream
+    has read is never changed.
     """
+    spark, staging = posts.sparkSession, f"{checkpoint}/staging"
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    def pass_on() -> None:
+        with settings(spark, **STATE_ON_DISK):
+            staged = landed_stream(spark, staging, posts.schema, nested=True)
+            run_to_table(first_seen(staged), path, f"{checkpoint}/seen")
 
-    query = (
-        stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).foreachBatch(write).start()
-    )
-    query.awaitTermination()
-    schema = T.StructType(list(stream.schema.fields)).add("version", T.LongType())
-    versions = stream.sparkSession.read.schema(schema).parquet(path)
-    values = [c for c in stream.columns if c not in keys]
-    latest = versions.groupBy(*keys).agg(F.max_by(F.struct(*values), "version").alias("_latest"))
-    return latest.select(*keys, *[F.col("_latest")[v].alias(v) for v in values])
+    def stage(batch: DataFrame, batch_id: int) -> None:
+        done = f"{checkpoint}/staged/{batch_id}"
+        if not path_exists(spark, done):
+            dedupe_posts(batch, list(order)).select(*batch.columns).write.mode("overwrite").parquet(f"{staging}/batch-{batch_id}")
+            publish(spark, done, "")
+        pass_on()
+        delete_folder(spark, f"{staging}/batch-{batch_id - 1}")
+        delete_folder(spark, f"{checkpoint}/staged/{batch_id - 2}")
 
+    spark.createDataFrame([], posts.schema).write.mode("append").parquet(f"{staging}/batch-none")
+    pass_on()  # what a run that was stopped left staged
+    drain(posts, f"{checkpoint}/landed", stage)
+    return spark.read.schema(posts.schema).parquet(path)
 
-def _one_version(posts: DataFrame) -> DataFrame:
-    """One row per id: the smallest by title, body and the rest, so that a repeated batch asks the same."""
-    order = F.struct("title", "selftext", F.xxhash64(*posts.columns))
-    return posts.groupBy("id").agg(F.min_by(F.struct(*posts.columns), order).alias("_post")).select("_post.*")
+
+def stream_match(posts: DataFrame, keywords: list[str]) -> DataFrame:
+    """Posts that hold a target keyword, with those they hold; stateless."""
+    lowered = [k.lower() for k in keywords]
+    text = F.lower(combined_text())
+    return posts.where(contains_any(text, lowered)).withColumn("matched_keywords", matching(text, lowered))
 
 
 def score_stream(
-    posts: DataFrame, score: ScoreFunction, path: str, checkpoint: str, prompt: Prompt | None = None
+    posts: DataFrame, score: ScoreFunction, path: str, checkpoint: str, prompt: Prompt | None = None, calls: Calls | None = None
 ) -> DataFrame:
-    """Score posts as they land, and read one score per id; ids already scored are passed over.
+    """Score posts as they land, and read one score per id; an id is scored once, whatever lands again.
 
-    A post whose scoring failed is asked again when it lands again, or by :func:`retry_failed`.
+    Posts whose scoring failed wait in a table of their own, of which there is one per batch; the next batch asks for
+    them again together with its own. A batch reads what it brings and what waits, never the table of scores.
     """
+    spark = posts.sparkSession
+    tied = posts.withColumn("_tie", F.xxhash64(*posts.columns))
+    stream_dedupe(tied, f"{path}/posts", f"{checkpoint}/posts", ("title", "selftext", "_tie"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        own = f"{path}/version={batch_id}"
-        spark.createDataFrame([], SCORES).drop("version").write.mode("overwrite").parquet(own)
-        done = spark.read.schema(SCORES).parquet(path).where(F.col("version") != batch_id)
-        fresh = score_posts(not_yet_scored(_one_version(batch), done), score, prompt)
-        fresh.select("id", "llm_relevance_score", "score_status").write.mode("overwrite").parquet(own)
-
-    query = (
-        posts.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).foreachBatch(write).start()
-    )
-    query.awaitTermination()
-    return latest_scores(posts.sparkSession.read.schema(SCORES).parquet(path))
-
-
-def retry_failed(posts: DataFrame, score: ScoreFunction, path: str, prompt: Prompt | None = None) -> DataFrame:
-    """Ask again for those of the landed ``posts`` whose scoring failed, and read one score per id.
-
-    Versions of retries count down from -1, those of a stream's batches up from 0.
-    """
-    table = posts.sparkSession.read.schema(SCORES).parquet(path)
-    failed = latest_scores(table).where("score_status = 'failed'").select("id")
-    version = min(table.agg(F.min("version")).first()[0] or 0, 0) - 1
-    again = score_posts(_one_version(posts.join(failed, "id", "left_semi")), score, prompt)
-    again.select("id", "llm_relevance_score", "score_status").write.mode("overwrite").parquet(f"{path}/version={version}")
-    return latest_scores(posts.sparkSession.read.schema(SCORES).parquet(path))
+        batch = batch.drop("_tie")
+        before = f"{path}/waiting/version={batch_id - 1}"
+        if path_exists(spark, before):
+            waiting = spark.read.schema(batch.schema).parquet(before)
+            batch = batch.unionByName(_not_retried(waiting, path))
+        asked = f"{path}/asked"
+        score_posts(batch, score, prompt, calls).write.mode("overwrite").parquet(asked)
+        answered = spark.read.parquet(asked)
+        answered.where("score_status = 'failed'").select(*batch.columns).write.mode("overwrite").parquet(f"{path}/waiting/version={batch_id}")
+        answered.select(*SCORE_COLUMNS).write.mode("overwrite").parquet(f"{path}/scores/version={batch_id}")
+        delete_folder(spark, asked)
+        delete_folder(spark, f"{path}/waiting/version={batch_id - 2}")
+
+    drain(landed_stream(spark, f"{path}/posts", tied.schema), f"{checkpoint}/scored", write)
+    return scores_of(spark, path)
+
+
+def scores_of(spark: SparkSession, path: str) -> DataFrame:
+    """One score per id of a stream's table."""
+    if not path_exists(spark, f"{path}/scores"):
+        return spark.createDataFrame([], SCORES).drop("version")
+    return latest_scores(spark.read.schema(SCORES).parquet(f"{path}/scores"))
+
+
+def _not_retried(waiting: DataFrame, path: str) -> DataFrame:
+    """Those that no retry between the batches has scored; retries count down from version -1."""
+    retried = waiting.sparkSession.read.schema(SCORES).parquet(f"{path}/scores").where("version < 0 and score_status = 'scored'")
+    return waiting.join(retried.select("id"), "id", "left_anti").select(*waiting.columns)
+
+
+def retry_failed(spark: SparkSession, score: ScoreFunction, path: str, prompt: Prompt | None = None, calls: Calls | None = None) -> DataFrame:
+    """Ask again now, without waiting for the next batch, for posts whose scoring failed, and read one score per id."""
+    versions = [int(p.rsplit("=", 1)[-1]) for p in list_folder(spark, f"{path}/waiting") if "version=" in p]
+    if versions:
+        waiting = _not_retried(spark.read.parquet(f"{path}/waiting/version={max(versions)}"), path)
+        version = min([0, *(int(p.rsplit("=", 1)[-1]) for p in list_folder(spark, f"{path}/scores") if "version=" in p)]) - 1
+        score_posts(waiting, score, prompt, calls).select(*SCORE_COLUMNS).write.mode("overwrite").parquet(f"{path}/scores/version={version}")
+    return scores_of(spark, path)

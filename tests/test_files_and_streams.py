@@ -5,13 +5,14 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from forumlens.operators.ranking import dedupe_posts, duplicate_count
 from forumlens.schema import COMMENT, POST, coerce
-from forumlens.session import work_folder
+from forumlens.session import list_folder, publish, work_folder
 from forumlens.sources import files
 from forumlens.sources.comments_json import repair_comments
-from forumlens.streaming import feeds
+from forumlens.streaming import days, feeds
 
 BODIES = ['he said "hi"', "", "ends with a backslash \\", "two\nlines\r\nthree", "café — naïve 😀", "\\n literal", '"', "comma, 'quote'", " blanks "]
 
@@ -91,9 +92,9 @@ def test_posts_that_land_months_late_are_kept_and_counted(spark):
         posts.write.mode("append").parquet(landing)
         stream = feeds.landed_stream(spark, landing, posts.schema)
         kept = feeds.stream_dedupe(stream, path, checkpoint)
-        days = feeds.run_updates(feeds.daily_counts(stream), ["day", "subreddit"], counted, counting)
+        counts = days.count_days(stream, counted, counting)
     assert sorted(r["id"] for r in kept.collect()) == ["", "", "new", "old", "same"]
-    assert sorted(r["posts"] for r in days.collect()) == [2, 4]
+    assert sorted((r["posts"], r["late_posts"], r["closed"]) for r in counts.collect()) == [(2, 0, False), (4, 4, True)]
 
 
 def test_failed_scores_are_asked_again(spark):
@@ -108,7 +109,7 @@ def test_failed_scores_are_asked_again(spark):
 
     first = feeds.score_stream(feeds.landed_stream(spark, landing, posts.schema), fails_once, path, checkpoint)
     assert [r["id"] for r in first.where("score_status = 'failed'").collect()] == ["2"]
-    second = feeds.retry_failed(spark.read.parquet(landing), lambda ps: ["30"] * len(ps), path)
+    second = feeds.retry_failed(spark, lambda ps: ["30"] * len(ps), path)
     assert sorted((r["id"], r["llm_relevance_score"]) for r in second.collect()) == [("0", 10.0), ("1", 10.0), ("2", 30.0), ("3", 10.0)]
 
 
@@ -122,6 +123,76 @@ def test_stream_score_passes_over_scored(spark):
     assert sorted((r["id"], r["llm_relevance_score"]) for r in scored.collect()) == [(str(i), 10.0) for i in range(4)]
 
 
+def test_batches_read_what_lands_and_not_what_has_landed(spark, monkeypatch):
+    landing, path, checkpoint = (work_folder(spark, n) for n in ("in", "out", "cp"))
+    started, start = [], DataStreamWriter.start
+    monkeypatch.setattr(DataStreamWriter, "start", lambda self, *a, **b: started.append(start(self, *a, **b)) or started[-1])
+    for k in range(20):  # ten new ids, five of the batch before and the very first one again
+        ids = spark.range(max(0, 10 * k - 5), 10 * k + 10).union(spark.range(1))
+        posts = ids.selectExpr("cast(id as string) id", "timestamp_seconds(1706659200 - id * 86400) created_datetime")
+        posts.coalesce(1).write.mode("append").parquet(landing)
+        table = feeds.stream_dedupe(feeds.landed_stream(spark, landing, posts.schema), path, checkpoint)
+    assert sorted(int(r["id"]) for r in table.collect()) == list(range(200))
+    read = [p["numInputRows"] for q in started for p in q.recentProgress]
+    assert len([n for n in read if n]) >= 40 and max(read) <= 32  # a batch of 16 rows, by both branches of a union
+    assert len([f for f in list_folder(spark, f"{checkpoint}/staging") if not f.endswith("none")]) <= 1
+
+
+def test_a_staged_batch_is_not_written_again(spark):
+    landing, path, checkpoint = (work_folder(spark, n) for n in ("in", "out", "cp"))
+    posts = spark.range(5).selectExpr("cast(id as string) id", "timestamp_seconds(id) created_datetime")
+    posts.write.parquet(f"{checkpoint}/staging/batch-0")  # a run stopped after it staged its first batch
+    publish(spark, f"{checkpoint}/staged/0", "")
+    posts.write.parquet(landing)
+    table = feeds.stream_dedupe(feeds.landed_stream(spark, landing, posts.schema), path, checkpoint)
+    assert sorted(r["id"] for r in table.collect()) == ["0", "1", "2", "3", "4"]
+
+
+def test_folded_days_count_like_the_posts(spark):
+    landing, path, checkpoint = (work_folder(spark, n) for n in ("in", "out", "cp"))
+    every = []
+    for k in range(7):
+        rows = [(k * 100 + i, f"s{i % 2}", i, 1706659200 + 86400 * (k * 4 - 37 * (i % 5 == 0))) for i in range(20)] + ([(None, None, None, None)] if k == 3 else [])
+        every += rows
+        posts = spark.createDataFrame(rows, "id long, subreddit string, score long, t long").withColumn("created_datetime", F.timestamp_seconds("t"))
+        posts.write.mode("append").parquet(landing)
+        counts = days.count_days(feeds.landed_stream(spark, landing, posts.schema), path, checkpoint, fold_every=3)
+        if k == 5:
+            days.fold_versions(spark, path, 5, 3)  # comes twice after a failure
+    day = lambda t: None if t is None else t // 86400 * 86400
+    want, newest = {}, None
+    for k in range(7):
+        batch = every[k * 20 + (k > 3) : (k + 1) * 20 + (k > 3) + (k == 3)]
+        for _, s, score, t in batch:
+            n, total, late = want.get((day(t), s), (0, 0, 0))
+            is_late = t is not None and newest is not None and day(t) + 3 * 86400 <= newest
+            want[day(t), s] = n + 1, total + (score or 0), late + is_late
+        newest = max([newest or 0, *(t for *_, t in batch if t is not None)])
+    got = {(r["t"], r["subreddit"]): (r["posts"], r["total_score"] or 0, r["late_posts"]) for r in counts.select("*", F.unix_seconds("day").alias("t")).collect()}
+    assert got == want and any(late for _, _, late in want.values())
+    assert len(list_folder(spark, f"{path}/versions")) <= 4
+
+
+def test_failed_posts_are_asked_again_by_the_next_batch(spark):
+    landing, path, checkpoint = (work_folder(spark, n) for n in ("in", "out", "cp"))
+
+    def fails(prompts):
+        if any("t2" in p or "t5" in p for p in prompts):
+            raise RuntimeError("no reply")
+        return ["10"] * len(prompts)
+
+    for k, score in enumerate((fails, fails, lambda ps: ["30"] * len(ps))):
+        posts = spark.range(k * 3, k * 3 + 3).selectExpr("cast(id as string) id", "concat('t', id) title", "'x' selftext")
+        posts.write.mode("append").parquet(landing)
+        table = feeds.score_stream(feeds.landed_stream(spark, landing, posts.schema), score, path, checkpoint)
+        if k == 1:
+            assert sorted(r["id"] for r in table.where("score_status = 'failed'").collect()) == ["2", "5"]
+            again = feeds.retry_failed(spark, lambda ps: ["20" if "t2" in p else "" for p in ps] if len(ps) == 1 else [], path)
+            assert {r["id"]: r["llm_relevance_score"] for r in again.collect()}["2"] == 20.0
+    got = {r["id"]: (r["llm_relevance_score"], r["score_status"]) for r in table.collect()}
+    assert got == {**dict.fromkeys("0134", (10.0, "scored")), "2": (20.0, "scored"), **dict.fromkeys("678", (30.0, "scored")), "5": (50.0, "scored")}
+
+
 def test_written_json_lines_are_read_back_whole(spark, tmp_path):
     path = f"{tmp_path}/posts.json"
     spark.range(10).selectExpr("cast(id as string) as id", "concat('t', id) as title").write.json(path)

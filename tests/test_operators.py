@@ -1,13 +1,16 @@
 """Ranking, filters, relevance, engagement and scoring on small frames."""
 
 import random
+import re
+import time
 
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
-from forumlens.operators import scoring
+from forumlens.functions import text
+from forumlens.operators import scoring, search
 from forumlens.operators.collect import collect_user_comments, user_stats
 from forumlens.operators.engagement import calculate_engagement
 from forumlens.operators.filters import filter_by_thresholds, two_tier_filter
@@ -195,3 +198,90 @@ def test_a_stopped_scoring_run_keeps_its_earlier_buckets(spark, monkeypatch):
     monkeypatch.setattr(scoring, "score_posts", whole)
     scores = [r["llm_relevance_score"] for r in scoring.score_table(posts, lambda ps: ["12"] * len(ps), path, buckets=4).collect()]
     assert scores.count(80.0) == saved and scores.count(12.0) == 40 - saved
+
+
+def test_many_keywords_are_found_like_few(spark):
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abc ") for _ in range(rng.randint(1, 4))) for _ in range(text.TESTED_ONE_BY_ONE + 100)] + ["", "abc", "abc"]
+    texts = ["", None, "abc", "cab bac", *("".join(rng.choice("abcd ") for _ in range(60)) for _ in range(50))]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    got = df.select("t", text.matching(F.col("t"), words).alias("m"), text.contains_any(F.col("t"), words[:-3]).alias("any"), text.count_matching(F.col("t"), words).alias("n"))
+    for r in got.collect():
+        want = [w for w in words if r["t"] is not None and w in r["t"]]
+        assert r["m"] == want and r["n"] == len(want) and bool(r["any"]) == any(w in (r["t"] or "") for w in words[:-3] if r["t"] is not None)
+
+
+def test_many_keywords_cost_little_more_than_few(spark):
+    rng = random.Random(5)
+    rows = [(str(i), " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400))) for i in range(4000)]
+    posts = spark.createDataFrame(rows, "id string, selftext string").withColumn("title", F.lit("t")).repartition(8).persist()
+    posts.count()
+    many = ["".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(5000)]
+
+    def seconds(keywords):
+        runs = []
+        for _ in range(3):
+            start = time.perf_counter()
+            search.matched_keywords(posts, keywords).write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - start)
+        return min(runs)
+
+    assert seconds(many) < 3 * seconds(many[:5]) + 1
+    posts.unpersist()
+
+
+def test_a_plan_of_thousands_of_searches(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(str(i), f"s{rng.randrange(12)}", " ".join(rng.sample(words, 5))) for i in range(400)]
+    posts = spark.createDataFrame(rows, "id string, subreddit string, selftext string").withColumn("title", F.lit(None).cast("string"))
+    terms = [f"w{i}" for i in range(200)] + [f"w{i} w{i + 1}" for i in range(75)]
+    subs = [f"s{i}" for i in range(10)]
+    got = {(r["subreddit"], r["term"]): r["candidates"] for r in search.search_plan(posts, terms, subs).collect()}
+    assert len(got) == 275 * 11
+    for sub in [*subs, None]:
+        for term in terms:
+            assert got[sub, term] == sum((sub is None or s == sub) and set(term.split()) <= set(t.split()) for _, s, t in rows)
+
+
+def test_identical_posts_stay_apart_in_searches(spark):
+    rows = [("1", "s", "etl tools", 5, 1.0, 3.0, 1), ("1", "s", "etl tools", 5, 1.0, 3.0, 1), (None, "s", "etl again", 4, 1.0, 3.0, 1)]
+    posts = spark.createDataFrame(rows, "id string, subreddit string, title string, score int, created_utc double, hours_ago double, num_comments int").withColumn("selftext", F.lit(""))
+    found = search.search_candidates(posts, ["etl"], ["s"], 10)
+    assert sorted((r["id"] or "", r["search_rank"], r["location_ord"]) for r in found.collect()) == [("", 3, 0), ("", 3, 1), ("1", 1, 0), ("1", 1, 1), ("1", 2, 0), ("1", 2, 1)]
+
+
+def test_a_model_that_hangs_costs_its_timeout(spark):
+    posts = spark.range(12).selectExpr("cast(id as string) id", "concat('post', id) title", "'x' selftext").coalesce(1)
+
+    def hangs(prompts):
+        if any("post3" in p for p in prompts):
+            time.sleep(60)
+        return ["70"] * len(prompts)
+
+    start = time.perf_counter()
+    got = scoring.score_posts(posts, hangs, calls=scoring.Calls(prompts=2, in_flight=2, timeout=3.0)).select("id", "score_status", "llm_relevance_score").collect()
+    assert time.perf_counter() - start < 30
+    assert {r["id"] for r in got if r["score_status"] == "failed"} == {"2", "3"} and all(r["llm_relevance_score"] == 70 for r in got if r["score_status"] == "scored")
+    dead = scoring.score_posts(posts, lambda ps: time.sleep(60), calls=scoring.Calls(prompts=1, in_flight=2, timeout=1.0))
+    start = time.perf_counter()
+    assert dead.where("score_status = 'failed'").count() == 12 and time.perf_counter() - start < 20
+
+
+def test_progress_ends_at_the_final_averages(spark):
+    posts = spark.range(40).selectExpr("cast(id as string) id", "concat('t', id) title", "'x' selftext")
+    path = work_folder(spark, "progress")
+    spark.range(5).selectExpr("cast(id as string) id", "cast(id as double) llm_relevance_score", "'scored' score_status").write.parquet(path)
+    seen = []
+
+    def score(prompts):
+        numbers = [int(re.search(r"Title: t([0-9]+)", p)[1]) for p in prompts]
+        if any(n % 10 == 9 for n in numbers):
+            raise RuntimeError("no reply")
+        return [str(n) for n in numbers]
+
+    ranked = scoring.score_table(posts, score, path, buckets=4, report=seen.append).collect()
+    good = [r["llm_relevance_score"] for r in ranked if r["score_status"] == "scored"]
+    assert len(seen) == 4 and [p.scored for p in seen] == sorted(p.scored for p in seen)
+    assert (seen[-1].scored, seen[-1].new, seen[-1].cached, seen[-1].failed) == (36, 31, 5, 4)
+    assert abs(seen[-1].average - sum(good) / len(good)) < 1e-9

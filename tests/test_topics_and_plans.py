@@ -2,16 +2,18 @@
 
 import numpy as np
 import pytest
-from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
+from forumlens.operators import nmf, topics
 from forumlens.operators.nmf import fit_nmf, sparse_parts
 from forumlens.operators.relevance import RelevanceRules
 from forumlens.operators.topics import fit_topics, perform_topic_modeling
-from forumlens.plans.analysis import Settings, analyze, analyze_combined
+from forumlens.operators import collect
+from forumlens.plans import jobs
+from forumlens.plans.analysis import Settings, analyze, analyze_combined, analyze_folder
 from forumlens.plans.collection import SearchSettings, collect_and_analyze, user_collection
-from forumlens.session import work_folder
+from forumlens.session import list_folder, work_folder
 
 
 def dense_nmf(v, k, sweeps):
@@ -40,13 +42,17 @@ def dense_nmf(v, k, sweeps):
     return used, h, losses
 
 
+def sparse(spark, v):
+    rows = [(i, (np.flatnonzero(r).tolist(), r[np.flatnonzero(r)].tolist())) for i, r in enumerate(v)]
+    return spark.createDataFrame(rows, "id int, x struct<indices:array<int>,values:array<double>>")
+
+
 def test_nmf_agrees_with_plain_numpy(spark):
     rng = np.random.default_rng(5)
     v = np.abs(rng.normal(size=(60, 12))) * (rng.random((60, 12)) < 0.6)
     v[7] = 0
-    rows = [(i, Vectors.sparse(12, {int(j): float(v[i, j]) for j in np.flatnonzero(v[i])})) for i in range(60)]
-    df = spark.createDataFrame(rows, ["id", "x"]).repartition(5)
-    model = fit_nmf(df, "x", k=3, max_iter=25, tolerance=0.0)
+    df = sparse(spark, v).repartition(5)
+    model = fit_nmf(df, "x", k=3, max_iter=25, tolerance=0.0, n_terms=12)
     w, h, losses = dense_nmf(v, 3, 25)
     assert np.allclose(model.components, h, atol=1e-6) and (model.components >= 0).all()
     got = df.select("id", model.weights(*sparse_parts("x"), df).alias("w")).toPandas().set_index("id")["w"]
@@ -54,6 +60,32 @@ def test_nmf_agrees_with_plain_numpy(spark):
     assert all(b <= a + 1e-9 for a, b in zip(losses, losses[1:]))
 
 
+def test_factors_are_the_same_for_any_partitions(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    df = sparse(spark, np.abs(rng.normal(size=(700, 20))) * (rng.random((700, 20)) < 0.3))
+    fits = []
+    for parts, at_once in ((1, 64), (3, 64), (11, 2)):  # the last adds its sums in four rounds
+        monkeypatch.setattr(nmf, "SUMS_AT_ONCE", at_once)
+        monkeypatch.setattr(nmf, "ROWS_PER_BLOCK", 64 * parts)
+        fits.append(fit_nmf(df.repartition(parts, "id"), "x", k=4, max_iter=23, tolerance=0.0, n_terms=20))
+    assert all(np.array_equal(fits[0].components, f.components) and fits[0].violations == f.violations for f in fits[1:])
+
+
+def test_sketched_vocabulary_is_exact_or_counts_all(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    words = [f"w{int(x)}" for x in np.minimum(rng.zipf(1.4, 30_000), 5_000)]
+    rows = [(str(i), "title", " ".join(words[i * 30 : i * 30 + 30])) for i in range(1000)]
+    table = topics.term_table(spark.createDataFrame(rows, "id string, title string, selftext string").repartition(7), ["title"])
+    want = [tuple(r) for r in topics.vocabulary_table(table, 40).collect()]
+    whole = []
+    count_all = topics.term_counts
+    monkeypatch.setattr(topics, "term_counts", lambda t: whole.append(1) or count_all(t))
+    monkeypatch.setattr(topics, "SKETCHES_AT_ONCE", 2)
+    for tracked in (16, 6_000, 20_000):
+        assert [tuple(r) for r in topics.vocabulary_table(table, 40, tracked=tracked).collect()] == want
+    assert len(whole) == 1  # only the smallest sketch proves nothing
+
+
 @pytest.fixture(scope="module")
 def posts(spark):
     themes = {"etl": "etl pipeline extract load warehouse", "cats": "kitten whiskers purring feline", "garden": "tomato soil compost seedling"}
@@ -126,6 +158,109 @@ def test_user_collection(spark):
 
 def test_fewer_themes_than_topics_give_finite_factors(spark):
     themes = np.kron(np.eye(3), [0.6, 0.5, 0.62])
-    rows = [(Vectors.dense(t),) for t in themes for _ in range(2)]
-    components = np.asarray(fit_nmf(spark.createDataFrame(rows, ["v"]), "v", 8, 50).components)
+    components = np.asarray(fit_nmf(sparse(spark, np.repeat(themes, 2, axis=0)), "x", 8, 50).components)
     assert np.isfinite(components).all() and (components >= 0).all() and components.any()
+
+
+def test_report_tells_the_topics(spark, posts):
+    result = analyze(posts, SETTINGS)
+    info = {r["topic_id"]: r for r in result.report["topic_info"].collect()}
+    assert sorted(info) == [0, 1, 2] and sum(r["posts"] for r in info.values()) == 20
+    assert result.report["topic_terms"].where("place = 1").count() == 3
+    folder = work_folder(spark, "report")
+    assert {p.rsplit("/", 1)[-1] for p in result.save_report(folder)} >= {"topic_info", "top_posts", "dataset_overview"}
+    plain = analyze(posts, Settings(fixed.PRESET_WEIGHTS, fixed.PRESET_THRESHOLDS, topics=0, cut=30))
+    assert "topic_id" not in plain.posts.columns and "topic_info" not in plain.report and plain.scored.count() == 20
+
+
+# ---- jobs over landed tables ---------------------------------------------------------------
+@pytest.fixture(scope="module")
+def landed(spark, posts):
+    """Posts and comments as a feed delivers them."""
+    feed = posts.selectExpr(
+        "id", "title", "nullif(concat('u', cast(id as int) % 5), 'u0') author", "score", "upvote_ratio", "num_comments", "created_utc",
+        "concat('http://x/', id) url", "concat('/r/', subreddit, '/', id) permalink", "selftext", "true is_self", "'self' domain", "subreddit",
+        "'flair' link_flair_text", "false is_video", "false stickied", "false over_18", "false spoiler", "false locked",
+    )
+    rows = [(str(p), f"{p}_{c}", f"t3_{p}", "a", f"etl comment {c}" if c else "[deleted]", c, 1706659200.0 - 3600 * c, False, False, 0) for p in range(60) for c in range(4)]
+    schema = "post_id string, comment_id string, parent_id string, author string, body string, score bigint, created_utc double, is_submitter boolean, stickied boolean, depth int"
+    return feed, spark.createDataFrame(rows, schema)
+
+
+TIERS = {
+    "high": {"subreddits": ["sub0", "sub1"], "posts_per_sub": 5, "time_filter": "week", "description": "x"},
+    "low": {"subreddits": ["sub2", "sub0"], "posts_per_sub": 2, "time_filter": "day", "description": "y"},
+}
+
+
+def test_whole_job_writes_everything(spark, landed):
+    feed, comments = landed
+    folder = work_folder(spark, "job")
+    plan = SearchSettings(["etl"], ["etl pipeline"], ["sub2"], 10)
+    result = jobs.whole_job(feed, comments, folder, 1706659200, "both", TIERS, plan, SETTINGS, unfiltered=True)
+    daily = spark.read.parquet(f"{folder}/daily_collection.parquet")
+    assert daily.groupBy("activity_tier").count().orderBy("activity_tier").collect() == [("high", 10), ("low", 4)]
+    row = daily.where("author = '[deleted]'").first()
+    assert row["permalink"].startswith(fixed.PERMALINK_BASE) and [c["score"] for c in row["comments"]] == [3, 2, 1] and row["target_posts"] in (5, 2)
+    assert spark.read.parquet(f"{folder}/hybrid_search.parquet").where("search_location is not null and days_ago >= 0").count() > 0
+    assert set(names(spark, f"{folder}/reports")) == {"daily_collection", "hybrid_search", "combined"}
+    assert {"tier_stats", "progress", "collection_summary"} <= set(names(spark, f"{folder}/reports/daily_collection"))
+    kept, scored = (spark.read.parquet(f"{folder}/combined_analyzed_{x}") for x in ("", "_unfiltered"))
+    assert kept.count() == result.posts.count() > 0 and kept.count() <= scored.count() == scored.select("id").distinct().count()
+    again = analyze_folder(spark, folder, SETTINGS)  # earlier results in the folder are passed over
+    assert again.posts.count() == kept.count()
+    assert list(map(tuple, jobs.Run(spark, f"{folder}/runs/daily_collection").progress().collect())) == [("000-00000", ["sub0", "sub1"], 10, 10), ("001-00000", ["sub2", "sub0"], 4, 14)]
+
+
+def names(spark, folder):
+    return [p.rsplit("/", 1)[-1] for p in list_folder(spark, folder)]
+
+
+def test_a_stopped_collection_goes_on_with_the_next_step(spark, landed, monkeypatch):
+    feed, comments = landed
+    folder, asked = work_folder(spark, "stopped"), []
+    make = jobs._tier_step
+
+    def stops(posts, comments, as_of, tier, setting, max_comments):
+        asked.append(setting["subreddits"])
+        if len(asked) == 3:
+            raise RuntimeError("stopped")
+        return make(posts, comments, as_of, tier, setting, max_comments)
+
+    monkeypatch.setattr(jobs, "_tier_step", stops)
+    with pytest.raises(RuntimeError):
+        jobs.daily_job(feed, comments, folder, 1706659200, TIERS, step_subreddits=1)
+    path = jobs.daily_job(feed, comments, folder, 1706659200, TIERS, step_subreddits=1)
+    assert asked == [["sub0"], ["sub1"], ["sub2"], ["sub2"], ["sub0"]]
+    whole = jobs.daily_job(feed, comments, work_folder(spark, "whole"), 1706659200, TIERS)
+    keys = ["id", "activity_tier", "comments_collected"]
+    assert sorted(map(tuple, spark.read.parquet(path).select(keys).collect())) == sorted(map(tuple, spark.read.parquet(whole).select(keys).collect()))
+
+
+def test_user_job(spark):
+    rows = [(str(i), "text", f"u{i % 2}", i, 1706659200.0 - i * 3600, "s", "/c", "t", "p", "t3", False, False, 0, 0, None) for i in range(10)]
+    schema = (
+        "comment_id string, body string, author string, score bigint, created_utc double, subreddit string, permalink string, post_title string, post_id string,"
+        " parent_id string, is_submitter boolean, stickied boolean, gilded bigint, controversiality bigint, edited_utc double"
+    )
+    folder = work_folder(spark, "users")
+    path = jobs.user_job(spark.createDataFrame(rows, schema), ["u1", "nobody"], folder, 1706659200)
+    assert [n for n in names(spark, path) if "=" in n] == ["target_username=u1"]
+    stats = {r["target_username"]: r["total_comments"] for r in spark.read.parquet(f"{folder}/reports/users/user_stats").collect()}
+    assert stats == {"u1": 5, "nobody": 0}
+
+
+def test_listing_opens_the_folders_it_lists(spark):
+    folder = work_folder(spark, "feed")
+    posts = spark.range(4000).selectExpr("cast(id as string) id", "concat('sub', id % 10) subreddit", "id % 97 as score", "1706659200 - (id % 400) * 3600 * 24 as created_utc")
+    collect.write_feed(posts, folder)
+    schema = posts.schema
+    tiers = {"high": {"subreddits": ["sub1", "sub2"], "posts_per_sub": 3, "time_filter": "week", "description": "x"}}
+    got = collect.tiered_listing(spark, folder, schema, 1706659200, tiers)
+    want = collect.tiered_collection(posts.selectExpr("*", "(1706659200 - created_utc) / 3600.0 as hours_ago"), tiers)
+    key = ["id", "subreddit", "score", "activity_tier"]
+    assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, want.select(key).collect()))
+    days, subs = 8, 2
+    opened = collect.read_feed(spark, folder, schema, 1706659200, ["sub1", "sub2"], "week").select(F.input_file_name()).distinct().count()
+    everything = collect.read_feed(spark, folder, schema, 1706659200).select(F.input_file_name()).distinct().count()
+    assert opened <= days * subs * collect.FEED_SLICES and opened * 50 < everything
