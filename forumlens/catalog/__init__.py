@@ -2,7 +2,7 @@
 
 from forumlens.catalog.base import ORACLES, QUERIES
 from forumlens.catalog import (  # noqa: F401  (registration)
-    analytics, collecting, files, reporting, streams,
+    analytics, collecting, files, jobs, reporting, streams,
 )
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -17,7 +17,7 @@ from forumlens.operators.filters import exclude_by_flat_comments, filter_by_thre
 from forumlens.operators.ranking import final_sort
 from forumlens.operators.relevance import filter_by_relevance, score_relevance
 from forumlens.operators.sentiment import (
-    FIELDS, add_sentiment, content_sentiment, comments_sentiment, priority, score_by_join, sentiment, sentiment_tokens,
+    FIELDS, Lexicon, add_sentiment, content_sentiment, comments_sentiment, priority, score_by_join, sentiment, sentiment_tokens,
     title_sentiment,
 )
 from forumlens.plans.analysis import Settings, analyze
@@ -39,6 +39,39 @@ def tokens(v: Views) -> DataFrame:
     return found.withColumn("valence", F.rint(F.col("valence") * 1e6) / 1e6)
 
 
+#: Words of the given texts stand for those that have rules of their own.
+RULE_WORDS = {
+    " to ": " least ", " is ": " at ", " was ": " never ", " it ": " so ", " for ": " without ", " with ": " doubt ", " that ": " no ",
+    " this ": " nor ", " and ": " kind of ", " in ": " no ", " on ": " without doubt ", " by ": " never so ",
+}
+PHRASES = Lexicon(
+    {**LEXICON.valence, "no": -1.2, "kind": 2.4}, {**LEXICON.boosters, "stble the": 0.293, "of the": -0.293, "de la": 0.293}, ("thnt", "never", "without"),
+    {"the ble": 2.5, "of ther": -1.8, "as innd": 1.2, "thed the": -2.4, "ble thedre": 0.7, "thre the": 1.9, "the the": 0.4, "least thed": -1.1, "least the thon": 2.2},
+)
+_RULED = "selftext"
+for _word, _rule in RULE_WORDS.items():
+    _RULED = f"replace({_RULED}, {quoted(_word)}, {quoted(_rule)})"
+PHRASE_SENTIMENT = f"ruled as (select id, {_RULED} as body from posts)," + sentiment_sql("ruled", "id", "body", "s", PHRASES)
+
+
+@query(
+    "sentiment_phrases",
+    f"select k as id, cast(i - 1 as int) as token_place, token, {half_even_sql('v', 6)} as valence from s_hits",
+    PHRASE_SENTIMENT,
+)
+def phrase_tokens(v: Views) -> DataFrame:
+    """Idioms, phrase boosters and the rules about "least", "kind of", "no", "never so" and "without doubt"."""
+    ruled = v.posts().select("id", F.expr(_RULED).alias("body"))
+    found = sentiment_tokens(ruled, "body", PHRASES, ["id"])
+    return found.withColumn("valence", F.rint(F.col("valence") * 1e6) / 1e6)
+
+
+@query("sentiment_phrase_score", f"select {SCORE_COLUMNS} from s", PHRASE_SENTIMENT)
+def phrase_score(v: Views) -> DataFrame:
+    scored = v.posts().select("id", sentiment(F.expr(_RULED), PHRASES).alias("s"))
+    return scored.select("id", *[F.col("s")[f].alias(f) for f in FIELDS])
+
+
 @query("sentiment_score", f"select {SCORE_COLUMNS} from s", BODY_SENTIMENT)
 def sentiment_score(v: Views) -> DataFrame:
     scored = v.posts().select("id", sentiment(F.col("selftext"), LEXICON).alias("s"))

@@ -205,9 +205,38 @@ def engagement_sql(source: str, weights: dict[str, float], name: str = "engaged"
 """
 
 
-def sentiment_sql(source: str, key: str, text: str, name: str) -> str:
+def phrase_sql(name: str, lexicon: Lexicon) -> str:
+    """CTE ``{name}_v4``: idioms and phrase boosters around the tokens of ``{name}_v3``, and "least" before them."""
+
+    def run(*steps: int) -> str:
+        return " || ' ' || ".join(f"lower(n{s})" if s > 0 else "token" if s == 0 else f"lower(b{-s})" for s in steps)
+
+    def looked_up(table: dict[str, float], *steps: int) -> str:
+        return f"case {run(*steps)} " + " ".join(f"when {quoted(k)} then {v}e0" for k, v in table.items()) + " end"
+
+    idioms, boosters = dict(lexicon.idioms), lexicon.phrase_boosters
+    around = [(0, 1, 2), (0, 1), (-1, 0), (-2, -1, 0), (-2, -1), (-3, -2, -1), (-3, -2)]
+    replaced = f"coalesce({', '.join(looked_up(idioms, *s) for s in around)}, v3)" + "".join(
+        f" + coalesce({looked_up(boosters, *s)}, 0e0)" for s in ((-3, -2, -1), (-3, -2), (-2, -1))
+    )
+    valued = ", ".join(quoted(w) for w in lexicon.scored)
+    return f"""
+{name}_v4 as (
+ select *, (case when b3 is not null and lower(b3) not in ({valued}) then {replaced} else v3 end)
+  * case when lower(b1) = 'least' and coalesce(lower(b2), '') not in ('at', 'very') then -0.74e0 else 1e0 end as v4
+ from {name}_v3 where not (token = 'kind' and lower(coalesce(n1, '')) = 'of')),"""
+
+
+def sentiment_sql(source: str, key: str, text: str, name: str, words: Lexicon = LEXICON) -> str:
     """CTEs ``{name}_hits`` and ``{name}`` scoring the texts of a source with a unique key."""
-    lexicon = values_sql(list(LEXICON.valence.items()))
+    lexicon = values_sql(list(words.scored.items()))
+    phrases = phrase_sql(name, words) if words.idioms else ""
+    negations = ", ".join(quoted(n) for n in words.modifiers[1])
+    valued = ", ".join(quoted(w) for w in words.scored)
+    negated_by_no = (
+        "(case when lower(b1) = 'no' or lower(b2) = 'no' or (lower(b3) = 'no' and lower(b1) in ('or', 'nor')) then -0.74e0"
+        f" when lower(t) = 'no' and lower(coalesce(n1, '')) in ({valued}) then 0e0 else 1e0 end)" if "no" in words.scored else "1e0"
+    )
     caps = "(t = upper(t) and t <> lower(t))"
 
     def step(level: int, damping: str) -> str:
@@ -218,9 +247,17 @@ def sentiment_sql(source: str, key: str, text: str, name: str) -> str:
         )
         return (
             f"({before} + case when lower({near}) = 'thth' then {boost} else 0e0 end)"
-            f" * case when lower({near}) = 'thnt' then -0.74e0 else 1e0 end as v{level}"
+            f" * case {never(level)} when lower({near}) in ({negations}) then -0.74e0 else 1e0 end as v{level}"
         )
 
+    def never(level: int) -> str:
+        between = [f"lower(b{k})" for k in range(1, level)]
+        if "never" not in words.negations or not between:
+            return ""
+        so = " or ".join(f"{b} in ('so', 'this')" for b in between)
+        doubt = " or ".join(f"{b} = 'doubt'" for b in between)
+        return f"when lower(b{level}) = 'never' and ({so}) then 1.25e0 when lower(b{level}) = 'without' and ({doubt}) then 1e0"
+
     def java(pattern: str) -> str:
         return quoted(pattern.replace("(?d)", ""))
 
@@ -236,19 +273,21 @@ def sentiment_sql(source: str, key: str, text: str, name: str) -> str:
 {name}_tok as (select k, i, case when length(trim(w, '.,!?_')) <= 2 then w else trim(w, '.,!?_') end as t from {name}_split),
 {name}_near as (
  select k, i, t, lag(t, 1) over o as b1, lag(t, 2) over o as b2, lag(t, 3) over o as b3,
-  count(*) over (partition by k) as n, sum(cast({caps} as int)) over (partition by k) as shouted,
+  lead(t, 1) over o as n1, lead(t, 2) over o as n2, count(*) over (partition by k) as n, sum(cast({caps} as int)) over (partition by k) as shouted,
   min(case when lower(t) = 'but' then i end) over (partition by k) as bi
  from {name}_tok window o as (partition by k order by i)),
-{name}_v0 as (
- select k, i, lower(t) as token, b1, b2, b3, bi, shouted > 0 and shouted < n as mixed,
-  cast(x.valence as double) + case when {caps} and shouted > 0 and shouted < n
-   then case when x.valence > 0 then 0.733e0 else -0.733e0 end else 0e0 end as v0
+{name}_own as (
+ select k, i, t, b1, b2, b3, n1, n2, bi, shouted > 0 and shouted < n as mixed, cast(x.valence as double) * {negated_by_no} as own
  from {name}_near join {lexicon} x(token, valence) on lower(t) = x.token),
+{name}_v0 as (
+ select k, i, lower(t) as token, b1, b2, b3, n1, n2, bi, mixed,
+  own + case when {caps} and mixed then case when own > 0 then 0.733e0 else -0.733e0 end else 0e0 end as v0 from {name}_own),
 {name}_v1 as (select *, {step(1, '1e0')} from {name}_v0),
 {name}_v2 as (select *, {step(2, '0.95e0')} from {name}_v1),
 {name}_v3 as (select *, {step(3, '0.9e0')} from {name}_v2),
+{phrases}
 {name}_hits as (
- select k, i, token, v3 * case when i < bi then 0.5e0 when i > bi then 1.5e0 else 1e0 end as v from {name}_v3),
+ select k, i, token, {'v4' if phrases else 'v3'} * case when i < bi then 0.5e0 when i > bi then 1.5e0 else 1e0 end as v from {name}_{'v4' if phrases else 'v3'}),
 {name}_sums as (
  select k, sum(v) as total, sum(case when v > 0 then v + 1 else 0e0 end) as up,
   sum(case when v < 0 then v - 1 else 0e0 end) as down, count(*) filter (v <> 0) as hits from {name}_hits group by k),

@@ -108,6 +108,12 @@ TOPIC_CATEGORIES = {
 BOOST = 0.293
 CAPS_BOOST = 0.733
 NEGATION_FACTOR = -0.74
+NEVER_SO = 1.25
+# idioms with their valence, as published with the method
+IDIOMS = {
+    "the shit": 3.0, "the bomb": 3.0, "bad ass": 1.5, "badass": 1.5, "bus stop": 0.0, "yeah right": -2.0, "kiss of death": -1.5,
+    "to die for": 3.0, "beating heart": 3.1, "broken heart": -2.9,
+}
 CONTEXT_DAMPING = [1.0, 0.95, 0.9]
 BUT_FACTORS = (0.5, 1.5)
 EXCLAMATION_STEP, EXCLAMATION_MAX = 0.292, 4

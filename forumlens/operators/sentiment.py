@@ -7,7 +7,7 @@ inside its own row: no explode, no shuffle, no join back. A larger lexicon goes
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -26,11 +26,16 @@ FIELDS = ("compound", "pos", "neu", "neg", "class", "priority")
 
 @dataclass(frozen=True)
 class Lexicon:
-    """Valence per word, boosters with their signed step, and negation words."""
+    """Valence per word, boosters with their signed step, negation words, and phrases.
+
+    ``idioms`` gives runs of two or three words a valence that takes the place of that of a word in or just after them; a
+    booster may be a run of words as well.
+    """
 
     valence: Mapping[str, float]
     boosters: Mapping[str, float] = field(default_factory=dict)
     negations: tuple[str, ...] = ()
+    idioms: Mapping[str, float] = field(default_factory=dict)
 
     def __post_init__(self):
         if len(self.valence) > MAX_LITERAL_WORDS:
@@ -51,12 +56,16 @@ class Lexicon:
     def modifiers(self) -> tuple[dict[str, float], list[str]]:
         """Boosters and negations that act on a following word: those without own valence."""
         return (
-            {w: d for w, d in self.boosters.items() if w not in self.valence},
+            {w: d for w, d in self.boosters.items() if w not in self.valence and " " not in w},
             [w for w in self.negations if w not in self.valence],
         )
 
+    @property
+    def phrase_boosters(self) -> dict[str, float]:
+        return {run: d for run, d in self.boosters.items() if " " in run}
+
 
-# A starter lexicon; real use supplies a table.
+# A starter lexicon; real use supplies a table. Valences and idioms of the words in it are those published with the method.
 STARTER_LEXICON = Lexicon(
     valence={
         "good": 1.9, "great": 3.1, "excellent": 2.7, "helpful": 1.8, "useful": 1.9, "easy": 1.9, "love": 3.2,
@@ -68,9 +77,10 @@ STARTER_LEXICON = Lexicon(
     boosters={
         "very": fixed.BOOST, "really": fixed.BOOST, "extremely": fixed.BOOST, "so": fixed.BOOST,
         "totally": fixed.BOOST, "quite": fixed.BOOST, "barely": -fixed.BOOST, "hardly": -fixed.BOOST,
-        "slightly": -fixed.BOOST, "somewhat": -fixed.BOOST, "almost": -fixed.BOOST,
+        "slightly": -fixed.BOOST, "somewhat": -fixed.BOOST, "almost": -fixed.BOOST, "kind of": -fixed.BOOST, "sort of": -fixed.BOOST,
     },
     negations=("not", "never", "no", "none", "nothing", "neither", "nor", "without", "cannot", "cant", "dont"),
+    idioms=fixed.IDIOMS,
 )
 
 
@@ -101,15 +111,23 @@ def _caps_step(token: Column, mixed: Column, valence: Column) -> Column:
 
 
 def _modified(valence: Column, neighbour: Column, mixed: Column, boosters, negations: list[str]) -> Column:
-    """One preceding token's effect: a damped booster step, then the negation factor."""
-    word, damping = neighbour["word"], neighbour["damping"]
+    """One preceding token's effect: a damped booster step, then the negation factor.
+
+    "never so" and "never this" strengthen instead, and "without doubt" changes nothing.
+    """
+    word, damping, between = neighbour["word"], neighbour["damping"], neighbour["between"]
 
     def apply(step: Column) -> Column:
         signed = F.when(valence < 0, -step).otherwise(step) + _caps_step(neighbour["token"], mixed, valence)
         boosted = valence + F.coalesce(signed * damping, F.lit(0.0))
         if not negations:
             return boosted
-        return boosted * F.when(word.isin(negations), fixed.NEGATION_FACTOR).otherwise(1.0)
+        factor = F.when(word.isin(negations), fixed.NEGATION_FACTOR)
+        if "without" in negations:
+            factor = F.when((word == "without") & F.arrays_overlap(between, F.array(F.lit("doubt"))), 1.0).otherwise(factor)
+        if "never" in negations:
+            factor = F.when((word == "never") & F.arrays_overlap(between, F.array(F.lit("so"), F.lit("this"))), fixed.NEVER_SO).otherwise(factor)
+        return boosted * F.coalesce(factor, F.lit(1.0))
 
     return let(boosters(word), apply)
 
@@ -124,6 +142,7 @@ def _in_context(valence: Column, place: Column, tokens: Column, words: Column, m
                 F.get(tokens, place - back).alias("token"),
                 F.get(words, place - back).alias("word"),
                 F.lit(damping).alias("damping"),
+                F.array(*[F.coalesce(F.get(words, place - b), F.lit("")) for b in range(1, back)]).cast("array<string>").alias("between"),
             )
             for back, damping in enumerate(fixed.CONTEXT_DAMPING, start=1)
         ]
@@ -132,6 +151,45 @@ def _in_context(valence: Column, place: Column, tokens: Column, words: Column, m
     return F.aggregate(neighbours, start, lambda v, n: _modified(v, n, mixed, look_up, negations))
 
 
+def _run(words: Column, place: Column, *steps: int) -> Column:
+    """The words at some steps from a place, as one text; null where one of them lies outside."""
+    parts = [F.get(words, place + step) for step in steps]
+    spaced = [parts[0]]
+    for part in parts[1:]:
+        spaced += [F.lit(" "), part]
+    return F.concat(*spaced)
+
+
+def _with_phrases(valence: Column, place: Column, words: Column, lexicon: Lexicon, own: Callable[[Column], Column]) -> Column:
+    """Idioms and phrase boosters around a token, and "least" before it; ``own`` gives a word's own valence.
+
+    Idioms are looked for from the fourth word of a text on, and not right after three words of which the first has
+    a valence, as the method does.
+    """
+    if lexicon.idioms or lexicon.phrase_boosters:
+        idiom, boost = word_lookup(lexicon.idioms), word_lookup(lexicon.phrase_boosters)
+        ending = F.coalesce(*[idiom(_run(words, place, *steps)) for steps in ((-1, 0), (-2, -1, 0), (-2, -1), (-3, -2, -1), (-3, -2))])
+        replaced = F.coalesce(idiom(_run(words, place, 0, 1, 2)), idiom(_run(words, place, 0, 1)), ending, valence)
+        for steps in ((-3, -2, -1), (-3, -2), (-2, -1)):
+            replaced = replaced + F.coalesce(boost(_run(words, place, *steps)), F.lit(0.0))
+        valence = F.when((place > 2) & own(F.get(words, place - 3)).isNull(), replaced).otherwise(valence)
+    if "least" in lexicon.valence:
+        return valence
+    before, softened = F.get(words, place - 1), F.get(words, place - 2).isin("at", "very")
+    return F.when((before == "least") & ~F.coalesce(softened, F.lit(False)), valence * fixed.NEGATION_FACTOR).otherwise(valence)
+
+
+def _own_valence(valence: Column, place: Column, words: Column, lexicon: Lexicon, own: Callable[[Column], Column]) -> Column:
+    """A word's valence before its context: "no" with a valence of its own negates, and counts only where it stands alone."""
+    if "no" not in lexicon.scored:
+        return valence
+    at = lambda step: F.coalesce(F.get(words, place + step), F.lit(""))
+    negated = (at(-1) == "no") | (at(-2) == "no") | ((at(-3) == "no") & at(-1).isin("or", "nor"))
+    factor = F.when(negated, fixed.NEGATION_FACTOR).otherwise(1.0)
+    alone = (at(0) != "no") | own(F.get(words, place + 1)).isNull()
+    return F.when(alone | negated, valence * factor).otherwise(0.0)
+
+
 def _but_factor(place: Column, but_place: Column) -> Column:
     before, after = fixed.BUT_FACTORS
     return (
@@ -209,6 +267,8 @@ def token_valences(cleaned: Column, lexicon: Lexicon) -> Column:
             F.transform(words, lambda w, i: F.struct(i.alias("place"), look_up(w).alias("valence"))),
             lambda h: h["valence"].isNotNull(),
         )
+        if "kind" in lexicon.scored:  # "kind of" has no valence
+            valued = F.filter(valued, lambda h: ~F.coalesce(_run(words, h["place"], 0, 1) == "kind of", F.lit(False)))
         but_place = (F.array_position(words, F.lit("but")) - 1).cast("int")
 
         def score(mixed: Column, but: Column) -> Column:
@@ -218,7 +278,10 @@ def token_valences(cleaned: Column, lexicon: Lexicon) -> Column:
                     h["place"].alias("place"),
                     F.get(words, h["place"]).alias("token"),
                     (
-                        _in_context(h["valence"], h["place"], tokens, words, mixed, lexicon)
+                        _with_phrases(
+                            _in_context(_own_valence(h["valence"], h["place"], words, lexicon, look_up), h["place"], tokens, words, mixed, lexicon),
+                            h["place"], words, lexicon, look_up,
+                        )
                         * _but_factor(h["place"], but)
                     ).alias("valence"),
                 ),
@@ -264,8 +327,11 @@ def score_by_join(df: DataFrame, text: str, table: DataFrame, lexicon: Lexicon,
 
     Each token row carries its predecessors, so no window over documents is needed; after the join
     with the lexicon only small sums per key are shuffled. ``key`` must be unique. A booster or a
-    negation that has a valence of its own must be left out of ``lexicon`` by the caller.
+    negation that has a valence of its own must be left out of ``lexicon`` by the caller. Phrases, and the rules about
+    words with a valence beside each other, are left to the in-row form; a lexicon with idioms raises.
     """
+    if lexicon.idioms or lexicon.phrase_boosters:
+        raise ValueError("idioms and phrase boosters: score in the row")
     cleaned = computed_once(df.select(key, text), {"_clean": clean_for_sentiment(F.col(text))})
     split = computed_once(cleaned.select(key, "_clean"), {"_tokens": tokenize(F.col("_clean"))})
     lowered = computed_once(split, {"_words": F.transform("_tokens", F.lower)})
