@@ -1,27 +1,36 @@
 """Near copies by word shingles: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 at least.
 
-Equal sequences of words are one node. Minima of the set under ``BANDS * ROWS`` hash functions are joined in bands; two
-sets of similarity s agree in some band with probability 1 - (1 - s^ROWS)^BANDS: all but 3 in 10 million pairs at 0.8 meet.
-Every pair that may link is compared by its whole sets, in several goes: first each node of a cell with one centre, then
-all pairs of a cell that are not connected yet, so a large group of near copies takes a few links per node, not all its pairs.
+Equal sequences of words are one node. Pairs that may link come from two sides. SimHash fingerprints of the shingles, joined
+within four bits by their segments' bit counts, bring together what is nearly the same. Minima of the set under
+``BANDS * ROWS`` hash functions, joined in bands, bring together the rest: two sets of similarity s agree in some band with
+probability 1 - (1 - s^ROWS)^BANDS, all but 3 in 10 million pairs at 0.8. Every link is decided by whole sets.
+
+No pair of a group is written unless it is one of few per node. First a node is compared with what shares its fingerprint
+and with one centre, that of its cells which meets most others; then with one other centre. A family in
+whose cells several components still meet is cut into blocks, and each pair of blocks is compared inside a task, which
+gives back only what connects components.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType
 
-from forumlens.llm.common import Scratch
+from forumlens.llm.common import Forest, Scratch
 from forumlens.llm.components import components
+from forumlens.llm.simhash import fingerprint
+from forumlens.llm.simhash import links as near_fingerprints
 
 SHINGLE, MIN_JACCARD = 5, 0.8
 BANDS, ROWS = 50, 6
-#: Goes with centres drawn anew before all pairs that are still open are compared.
-STAR_ROUNDS = 1
+#: Rows of a block of a family, rows of a task, and shingles that are compared at a time.
+BLOCK_ROWS, ROWS_PER_TASK, COLUMNS = 512, 2_000, 8_192
 SEED = 43
 
 _RANDOM = np.random.default_rng(SEED)
@@ -65,74 +74,184 @@ def shingle_sets(texts: pd.Series) -> pd.Series:
     return pd.Series([shingle_set(t).view(np.int64) for t in texts], dtype=object)
 
 
+@F.pandas_udf(BinaryType())
+def packed(sets: pd.Series) -> pd.Series:
+    return pd.Series([np.asarray(s, np.int64).tobytes() for s in sets], dtype=object)
+
+
 @F.pandas_udf(DoubleType())
 def jaccard(left: pd.Series, right: pd.Series) -> pd.Series:
     both = [len(np.intersect1d(a, b, assume_unique=True)) for a, b in zip(left, right, strict=True)]
     return pd.Series([n / max(1, len(a) + len(b) - n) for n, a, b in zip(both, left, right, strict=True)], dtype="float64")
 
 
-def _visits(frames):
+def _marks(frames):
+    """Fingerprint and cells of each node; a node that comes again in a batch is worked out once."""
     for f in frames:
-        for k in range(0, len(f), 2_000):
-            part = [(node, cells_of(s)) for node, t in zip(f["_node"][k : k + 2_000], f["text"][k : k + 2_000], strict=True) if len(s := shingle_set(t))]
-            cells = np.concatenate([c for _, c in part]) if part else np.empty(0, np.int64)
-            yield pd.DataFrame({"cell": cells, "node": np.repeat(np.array([n for n, _ in part], np.int64), BANDS)})
+        f = f.drop_duplicates("_node")
+        for k in range(0, len(f), 1_000):
+            part = f.iloc[k : k + 1_000]
+            rows = [(node, fingerprint(t, SHINGLE), cells_of(s)) for node, t in zip(part["_node"], part["text"], strict=True) if len(s := shingle_set(t))]
+            yield pd.DataFrame(rows, columns=["node", "fp", "cells"])
 
 
-def near_copy_links(marked: DataFrame, scratch: Scratch, min_jaccard: float = MIN_JACCARD) -> DataFrame:
-    """Links ``(a, b)`` of nodes that connect what has ``min_jaccard``; ``marked`` is a written table of ``_node`` and ``text``."""
-    binary = marked.select("_node", F.col("text").cast("binary").alias("text"))
-    visits = scratch.save(binary.mapInPandas(_visits, "cell long, node long"), "visits")
-    shared = visits.groupBy("cell").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    shared = scratch.save(shared.select("cell", "low"), "shared")
-    crowd = scratch.save(visits.join(shared, "cell").distinct(), "crowd")
-    scratch.drop("visits")
-    some = scratch.save(crowd.select(F.col("node").alias("_node")).distinct(), "some")
-    # equal nodes have equal sets, so any row's will do
-    sets = binary.join(some, "_node", "left_semi").select("_node", shingle_sets("text").alias("set"))
-    sets = scratch.save(sets.groupBy("_node").agg(F.first("set").alias("set")), "sets")
-
-    def verified(pairs: DataFrame, name: str) -> DataFrame:
-        pairs = scratch.save(pairs.distinct(), f"{name}_pairs")
+# ---- families, block by block --------------------------------------------------------------
+def shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of the one list shares with each of the other."""
+    both = left + right
+    owner = np.repeat(np.arange(len(both)), [len(s) for s in both])
+    column = np.unique(np.concatenate(both), return_inverse=True)[1] if both else owner
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    counts = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        some = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+        dense = np.zeros((len(both), COLUMNS), np.float32)
+        dense[owner[some], column[some] - low] = 1
+        counts += dense[: len(left)] @ dense[len(left) :].T
+    return counts
+
+
+def _connected(frame: pd.DataFrame, min_jaccard: float) -> pd.DataFrame:
+    """Links between components of the blocks of one task that have ``min_jaccard``, as many as it takes to connect them."""
+    out = []
+    for _, group in frame.groupby(["family", "blocks"]):
+        sets = [np.frombuffer(s, np.int64) for s in group["set"]]
+        sizes, right = np.array([len(s) for s in sets], np.float64), group["right"].to_numpy(bool)
+        a, b = (np.arange(len(sets)),) * 2 if not right.any() else (np.flatnonzero(~right), np.flatnonzero(right))
+        shared = shared_counts([sets[i] for i in a], [sets[j] for j in b]).astype(np.float64)
+        near = shared >= min_jaccard * np.maximum(1, sizes[a][:, None] + sizes[b] - shared)
+        names, where = np.unique(group["component"].to_numpy(np.int64), return_inverse=True)
+        forest = Forest(len(names))
+        i, j = np.nonzero(near)
+        forest.link(where[a[i]], where[b[j]])
+        moved = np.flatnonzero(forest.root != np.arange(len(names)))
+        out.append(pd.DataFrame({"a": names[moved], "b": names[forest.root[moved]]}))
+    return pd.concat(out, ignore_index=True) if out else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+
+
+class Links:
+    """Candidates and links of one run; ``marked`` is a written table of ``_node`` and ``text``."""
+
+    def __init__(self, marked: DataFrame, scratch: Scratch, min_jaccard: float):
+        self.binary = marked.select("_node", F.col("text").cast("binary").alias("text"))
+        self.scratch, self.min_jaccard = scratch, min_jaccard
+
+    def found(self) -> DataFrame:
+        """Links ``(a, b)`` that connect what has ``min_jaccard``."""
+        save, drop = self.scratch.save, self.scratch.drop
+        marks = save(self.binary.mapInPandas(_marks, "node long, fp long, cells array<long>"), "marks")
+        alike = save(self._by_fingerprint(marks), "alike")
+        crowd = save(self._crowd(marks), "crowd")
+        drop("marks", "shared")
+        weights = save(self._weights(crowd), "weights")
+        first = self._centre_pairs(crowd.withColumn("component", F.col("node")), weights)
+        links = self._verified(alike.union(first), "stars")
+        open_cells = save(self._open(crowd, links, "first"), "open1")
+        drop("alike", "crowd", "placed-first")
+        second = self._centre_pairs(open_cells, weights)
+        links = save(links.union(self._verified(second, "others")), "both")
+        open_cells = save(self._open(open_cells.select("cell", "node"), links, "second"), "open2")
+        drop("open1", "placed-second", "weights")
+        return links.union(save(self._rest(open_cells), "rest"))
+
+    def _by_fingerprint(self, marks: DataFrame) -> DataFrame:
+        """One pair per node of a fingerprint, and one per link of fingerprints."""
+        nodes = marks.select("node", "fp").distinct()
+        first = self.scratch.save(nodes.groupBy("fp").agg(F.min("node").alias("first")), "fingerprints")
+        same = nodes.join(first, "fp").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+        near = near_fingerprints(first.select("fp"), self.scratch).toDF("x", "y")
+        near = near.join(first.toDF("x", "a"), "x").join(first.toDF("y", "b"), "y").select("a", "b")
+        return same.union(near)
+
+    def _crowd(self, marks: DataFrame) -> DataFrame:
+        """Nodes of the cells that hold more than one."""
+        visits = marks.select("node", F.explode("cells").alias("cell"))
+        shared = visits.groupBy("cell").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+        shared = self.scratch.save(shared.select("cell"), "shared")
+        return visits.join(shared, "cell").select("cell", "node").distinct()
+
+    def _weights(self, crowd: DataFrame) -> DataFrame:
+        """How many nodes a node meets in all its cells."""
+        sizes = self.scratch.save(crowd.groupBy("cell").agg(F.count("*").alias("n")), "sizes")
+        return crowd.join(sizes, "cell").groupBy("node").agg(F.sum("n").alias("weight"))
+
+    def _centre_pairs(self, cells: DataFrame, weights: DataFrame) -> DataFrame:
+        """Each node with the heaviest of its cells' centres that lies in another component."""
+        weighed = self.scratch.save(cells.join(weights, "node"), f"weighed{uuid.uuid4().hex}")
+        centre = weighed.groupBy("cell").agg(F.max(F.struct("weight", "node", "component")).alias("c"))
+        centre = self.scratch.save(centre.select("cell", "c"), f"centres{uuid.uuid4().hex}")
+        other = weighed.join(centre, "cell").where(F.col("c.component") != F.col("component"))
+        return other.groupBy("node").agg(F.max("c").alias("c")).select(F.col("node").alias("a"), F.col("c.node").alias("b"))
+
+    def _sets(self, nodes: DataFrame, name: str) -> DataFrame:
+        """The shingle sets of some nodes; equal nodes have equal sets, so any row's will do."""
+        sets = self.binary.join(nodes, "_node", "left_semi").select(F.col("_node").alias("node"), shingle_sets("text").alias("set"))
+        return self.scratch.save(sets.groupBy("node").agg(F.first("set").alias("set")), name)
+
+    def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
+        ordered = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+        pairs = self.scratch.save(ordered, f"{name}-pairs")
+        ends = self.scratch.save(pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct(), f"{name}-ends")
+        sets = self._sets(ends, f"{name}-sets")
         both = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
-        return scratch.save(both.where(jaccard("left", "right") >= min_jaccard).select("a", "b"), name)
+        links = self.scratch.save(both.where(jaccard("left", "right") >= self.min_jaccard).select("a", "b"), name)
+        self.scratch.drop(f"{name}-pairs", f"{name}-ends", f"{name}-sets")
+        return links
 
-    def opened(cells: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    def _open(self, cells: DataFrame, links: DataFrame, name: str) -> DataFrame:
         """Cells in which several components still meet."""
-        group = scratch.save(components(links, Scratch(scratch.spark, "near-copy-stars")), f"{name}_groups")
-        placed = cells.select("cell", "node").join(group, "node", "left").select("cell", "node", F.coalesce("component", "node").alias("component"))
-        placed = scratch.save(placed, f"{name}_placed")
+        group = self.scratch.save(components(links, Scratch(self.scratch.spark, "near-copy-groups")), f"groups-{name}")
+        placed = cells.join(group, "node", "left").select("cell", "node", F.coalesce("component", "node").alias("component"))
+        placed = self.scratch.save(placed, f"placed-{name}")
         mixed = placed.groupBy("cell").agg(F.min("component").alias("l"), F.max("component").alias("h")).where("l < h")
-        return scratch.save(placed.join(mixed.select("cell"), "cell", "left_semi"), f"{name}_open")
-
-    links = verified(crowd.where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b")), "stars")
-    open_cells = opened(crowd, links, "stars")
-    for k in range(STAR_ROUNDS):  # other centres, another one in each cell
-        order = F.struct(F.xxhash64("node", "cell", F.lit(k)), "node")
-        centre = scratch.save(open_cells.groupBy("cell").agg(F.min(F.struct(order.alias("o"), "component")).alias("c")), f"centre{k}")
-        centre = centre.select("cell", F.col("c.o.node").alias("centre"), F.col("c.component").alias("own"))
-        pairs = open_cells.join(centre, "cell").where("component <> own").select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b"))
-        links = scratch.save(links.union(verified(pairs, f"more{k}")), f"links{k}")
-        open_cells = opened(open_cells, links, f"more{k}")
-    # first which components meet, then their nodes: pairs within a component are never looked at
-    parts = open_cells.select("cell", "component").distinct()
-    meet = parts.toDF("cell", "c").join(parts.toDF("cell", "d"), "cell").where("c < d")
-    one, other = open_cells.toDF("cell", "a", "c"), open_cells.toDF("cell", "b", "d")
-    rest = meet.join(one, ["cell", "c"]).join(other, ["cell", "d"]).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    return links.union(verified(rest, "rest"))
+        return placed.join(mixed.select("cell"), "cell", "left_semi")
+
+    def _rest(self, open_cells: DataFrame) -> DataFrame:
+        """What connects the components of each family that open cells hold together."""
+        lowest = self.scratch.save(open_cells.groupBy("cell").agg(F.min("node").alias("low")), "lowest")
+        edges = open_cells.join(lowest, "cell").where("node > low").select(F.col("node").alias("a"), F.col("low").alias("b"))
+        family = self.scratch.save(components(edges, Scratch(self.scratch.spark, "near-copy-families")).toDF("node", "family"), "families")
+        members = self.scratch.save(open_cells.select("node", "component").distinct(), "members")
+        sets = self._sets(members.select(F.col("node").alias("_node")), "open-sets")
+        sizes = self.scratch.save(family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("cuts")), "family-sizes")
+        rows = members.join(family, "node").join(sizes, "family")
+        mine = F.pmod(F.xxhash64("node", F.lit(1)), F.col("cuts")).cast("int")
+        pair = lambda o: F.struct((F.least(mine, o) * 65536 + F.greatest(mine, o)).alias("blocks"), (mine > o).alias("right"))
+        rows = rows.select("node", "component", "family", F.inline(F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), pair)))
+        rows = rows.join(sets, "node").withColumn("set", packed("set"))
+        tasks = 1 + members.count() // ROWS_PER_TASK
+        limit = self.min_jaccard
+
+        def connect(frame: pd.DataFrame) -> pd.DataFrame:
+            return _connected(frame, limit)
+
+        dealt = rows.withColumn("task", F.pmod(F.xxhash64("family", "blocks"), F.lit(tasks)))
+        return dealt.groupBy("task").applyInPandas(connect, "a long, b long")
+
+
+def near_copy_links(marked: DataFrame, scratch: Scratch, min_jaccard: float = MIN_JACCARD) -> DataFrame:
+    """Links ``(a, b)`` of nodes that connect what has ``min_jaccard``; ``marked`` is a written table of ``_node`` and ``text``.
+
+    Null and blank texts have no links; repeated rows are one node; no other column is read; an empty table has no links.
+    """
+    return Links(marked, scratch, min_jaccard).found()
 
 
 def keep_one_of_near_copies(docs: DataFrame, min_jaccard: float = MIN_JACCARD) -> DataFrame:
     """One row of each group of near copies, with the columns of ``docs``: the smallest ``doc_id``, then first read.
 
     A group is all that links of ``min_jaccard`` connect. Rows without an id come last in a group; null and blank texts
-    are one group.
+    are one group. Columns of any name come back as they were; an empty table gives an empty one.
     """
     scratch = Scratch(docs.sparkSession, "near-copies")
-    marked = docs.withColumns({"_node": nodes_of(F.col("text").cast("binary")), "_row": F.monotonically_increasing_id()})
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    marked = docs.select(nodes_of(F.col("text").cast("binary")).alias("_node"), F.monotonically_increasing_id().alias("_row"), whole.alias("_whole"))
     marked = scratch.save(marked, "documents")
-    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
+    doc_id, text = (F.col("_whole")[f"c{docs.columns.index(c)}"] for c in ("doc_id", "text"))
+    rank = F.struct(doc_id.isNull(), doc_id, "_row")
     nodes = scratch.save(marked.groupBy(F.col("_node").alias("node")).agg(F.min(rank).alias("rank")), "nodes")
-    group = scratch.save(components(near_copy_links(marked, scratch, min_jaccard), scratch), "groups")
+    group = scratch.save(components(near_copy_links(marked.select("_node", text.alias("text")), scratch, min_jaccard), scratch), "groups")
     kept = nodes.join(group, "node", "left").groupBy(F.coalesce("component", "node")).agg(F.min("rank")["_row"].alias("_row"))
-    return marked.join(scratch.save(kept.select("_row"), "kept"), "_row", "left_semi").select(*docs.columns)
+    rows = marked.join(scratch.save(kept.select("_row"), "kept"), "_row", "left_semi")
+    return rows.select(*[F.col("_whole")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])

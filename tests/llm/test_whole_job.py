@@ -3,9 +3,12 @@
 import numpy as np
 
 import corpus_pipeline
+from forumlens.llm import nearcopies
+from forumlens.llm.contamination import leaks, question_and_answer, shingles, words_of
 from forumlens.llm.mixing import mix
-from forumlens.llm.pii import KINDS, find_spans, train_field
-from forumlens.llm.toxicity import ToxicityModel, automaton_of, features, variants
+from forumlens.llm.pii import KINDS, find_spans, redact, train_field
+from forumlens.llm.queries import HELD_OUT
+from forumlens.llm.toxicity import THRESHOLD, ToxicityModel, automaton_of, features, fit_toxicity, variants
 
 SF = "/root/testdata/sf0.001"
 
@@ -82,3 +85,96 @@ def test_signs_and_ones_are_read_as_letters():
     plain = features("you stupid loser and trash", found)
     assert features("you $tupid 1o$er and trash$$", found) == plain and features("you $tupid l0$er and trash!", found)[0] == plain[0]
     assert features("a tr@sh can and no l0$er bracket", found)[0] == 0.0 and features(None, found) == (0.0, 0.0)
+
+
+def grouped(texts, least=0.8):
+    """Smallest index of each text's group, by comparing all sets."""
+    sets, group = [five_words(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            union = len(sets[i] | sets[j])
+            if (not union or len(sets[i] & sets[j]) >= least * union) and group[i] != group[j]:
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    return group
+
+
+def test_large_families_lose_no_link(spark, monkeypatch):
+    """Hundreds of texts that are alike but below 0.8, links between some of them, and a hub that links others."""
+    monkeypatch.setattr(nearcopies, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(nearcopies, "ROWS_PER_TASK", 50)
+    rng = np.random.default_rng(11)
+    base = [f"w{x}" for x in rng.integers(0, 9000, 300)]
+
+    def changed(words, n, mark):
+        words = list(words)
+        for j in rng.choice(len(words), n, replace=False).tolist():
+            words[j] = f"{mark}x{j}"
+        return words
+
+    alike = [changed(base, 10, f"a{k}") for k in range(220)]
+    texts = [" ".join(w) for w in alike] + [" ".join(changed(alike[k], 2, f"b{k}")) for k in range(0, 220, 20)]
+    hub = [f"h{x}" for x in rng.integers(0, 9000, 300)]
+    texts += [" ".join(changed(hub, 5, f"c{k}")) for k in range(60)] + [" ".join(hub)]
+    docs = spark.createDataFrame([(i, t, f"text {i}", i % 3) for i, t in enumerate(texts)], "doc_id long, text string, _node string, _row int")
+    kept = nearcopies.keep_one_of_near_copies(docs)
+    want = sorted(set(grouped(texts)))
+    rows = kept.collect()
+    assert sorted(r["doc_id"] for r in rows) == want and 180 < len(want) < 240
+    assert all(r["_node"] == f"text {r['doc_id']}" and r["_row"] == r["doc_id"] % 3 for r in rows) and kept.columns == docs.columns
+
+
+def test_run_against_plain_python(spark, tmp_path):
+    """Stage after stage over planted rows, each against its own plain form, and ``run`` as a whole."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    items = [r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    rng = np.random.default_rng(12)
+    prose = lambda n: " ".join(f"p{x}" for x in rng.integers(0, 3000, n))
+    near = [prose(120) for _ in range(6)]
+    planted = [(100_000 + i, t) for i, t in enumerate(near)] + [(100_010 + i, t) for i, t in enumerate(near[:3])]
+    planted += [(100_020 + i, " ".join([*t.split()[:-2], "other", "end"])) for i, t in enumerate(near)]
+    planted += [(100_030 + i, f"{prose(30)} {t} {prose(30)}") for i, t in enumerate(items[:5])]
+    planted += [(100_040, f"{prose(40)} mail a.b{1}@example.com or +1 (017) 555-7713 {prose(20)}"), (100_041, None), (100_042, "")]
+    more = spark.createDataFrame([(i, t, "en", "planted", None if t is None else len(t)) for i, t in planted], docs.schema)
+    docs.unionByName(more).write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = {r["doc_id"]: r for r in spark.read.parquet(f"{tmp_path}/documents.parquet").collect()}
+
+    whole = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").where(f"not ({HELD_OUT})").select("doc_id", "toxic")
+    model = fit_toxicity(whole, labels)
+    found = automaton_of(model)
+    score = lambda t: 1 / (1 + np.exp(-(model.bias + np.dot(features(t, found), model.slopes))))
+    clean = sorted(i for i, r in rows.items() if score(r["text"]) < THRESHOLD)
+    stages = dict(corpus_pipeline.STAGES)
+    after = stages["toxicity"](spark, whole, str(tmp_path))
+    assert sorted(r["doc_id"] for r in after.collect()) == clean
+
+    group = grouped([rows[i]["text"] for i in clean])
+    single = sorted({clean[g] for g in group})
+    after = spark.createDataFrame(stages["simhash_near_dedup"](spark, after, str(tmp_path)).collect(), docs.schema)
+    assert sorted(r["doc_id"] for r in after.collect()) == single and not any(100_010 <= i < 100_030 for i in single)
+
+    parts = [question_and_answer(t) for t in items]
+
+    def leaky(text):
+        have = shingles(words_of(text))
+        share = lambda words: len(shingles(words) & have) / max(1, len(shingles(words))) if words else 1.0
+        return any(leaks(share(q), share(a), share(words_of(t)), 0.8) for t, (q, a) in zip(items, parts, strict=True))
+
+    free = [i for i in single if not leaky(rows[i]["text"])]
+    after = spark.createDataFrame(stages["benchmark_decontamination"](spark, after, str(tmp_path)).collect(), docs.schema)
+    assert sorted(r["doc_id"] for r in after.collect()) == free and not any(100_030 <= i < 100_035 for i in free)
+
+    field = train_field()
+    texts = {i: rows[i]["text"] for i in free}
+    spans = dict(zip(texts, find_spans([t or "" for t in texts.values()], field), strict=True))
+    masked = {i: t and redact(t, spans[i]) for i, t in texts.items()}
+    after = spark.createDataFrame(stages["personal_data"](spark, after, str(tmp_path)).collect(), docs.schema)
+    assert {r["doc_id"]: r["text"] for r in after.collect()} == masked and "<EMAIL> or <PHONE>" in masked[100_040]
+
+    want = stages["source_mixing"](spark, after, str(tmp_path)).select("doc_id", "text", "copies").collect()
+    got = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "text", "copies").collect()
+    key = lambda r: (r[0], r[1] or "", r[2])
+    assert sorted(map(key, got)) == sorted(map(key, want)) and len(got) > len(free) / 3
