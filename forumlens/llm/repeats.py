@@ -37,10 +37,62 @@ PASSES = 4
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+class WindowHash(RollingHash):
+    """The 64-bit hash, and with it a polynomial modulo a prime.
+
+    Modulo 2^64 some texts collide under every base, such as long patterns of two blocks in Thue-Morse order. Modulo a
+    prime no two texts do: different strings of n bytes agree for a share n / 2^31 of the bases.
+    """
+
+    PRIME, BITS = np.uint64(2**31 - 1), np.uint64(31)
+
+    def __init__(self, seed: int = 1):
+        super().__init__(seed)
+        rng, prime = np.random.default_rng([seed, 2]), int(self.PRIME)
+        base = int(rng.integers(2**16, prime - 1))
+        self.letters = rng.integers(1, prime, 256, dtype=np.uint64)
+        self.field = np.uint64(base), np.uint64(pow(base, -1, prime))
+        self.up = self.down = np.ones(1, np.uint64)
+
+    @classmethod
+    def _folded(cls, x: np.ndarray) -> np.ndarray:
+        """Congruent and, from below 2^63, not above 2^32; in place."""
+        low = x & cls.PRIME
+        x >>= cls.BITS
+        x += low
+        return x
+
+    @classmethod
+    def _powers(cls, base: np.uint64, n: int) -> np.ndarray:
+        out = np.ones(1, np.uint64)
+        while len(out) < n:
+            out = np.concatenate([out, out * (out[-1] * base % cls.PRIME) % cls.PRIME])
+        return out[:n]
+
+    def sums(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(data) >= len(self.up):
+            n = max(1 << 12, len(data) * 5 // 4) + 1
+            self.up, self.down = (self._powers(base, n) for base in self.field)
+        totals = np.zeros(len(data) + 1, np.uint64)
+        terms = self.letters[data]
+        terms *= self.up[: len(data)]
+        np.cumsum(self._folded(terms), out=totals[1:])
+        return super().sums(data), totals
+
+    def between(self, sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        x = self._folded(self._folded(sums[1][ends] - sums[1][starts]))
+        x *= self.down[starts]
+        x = self._folded(self._folded(x))
+        x[x >= self.PRIME] -= self.PRIME
+        x *= _MIX
+        x ^= super().between(sums[0], starts, ends)
+        return x
+
+
 class Chunk:
     """The documents of a chunk end to end, and the windows and phrases in them."""
 
-    def __init__(self, data: bytes, sizes: np.ndarray, length: int, rolling: RollingHash):
+    def __init__(self, data: bytes, sizes: np.ndarray, length: int, rolling: WindowHash):
         self.data, self.length, self.rolling = np.frombuffer(data, np.uint8), length, rolling
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
@@ -136,11 +188,11 @@ def _answer(frame: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"chunk": frame["chunk"], "part": frame["part"], "n": frame["n"], **bits})
 
 
-def _repeated(chunks: DataFrame, hashes: Callable[[pd.Series, RollingHash], tuple], parts: range, n_ranges: int) -> DataFrame:
+def _repeated(chunks: DataFrame, hashes: Callable[[pd.Series, WindowHash], tuple], parts: range, n_ranges: int) -> DataFrame:
     """Answers of some of the ranges, by ``chunk`` and ``part``."""
 
     def send(frames):
-        rolling = RollingHash()
+        rolling = WindowHash()
         for f in frames:
             for _, row in f.iterrows():
                 every, *forced = hashes(row, rolling)
@@ -195,7 +247,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHU
 
     Every byte covered by a string of ``length`` bytes that also starts elsewhere, in the same or another
     document, is removed; strings never cross documents and are judged on the input. Equality is that of 64-bit
-    hashes. A null text is empty; repeated rows remove each other, if long enough, and come back repeated; other
+    hashes that hold a polynomial modulo a prime. A null text is empty; repeated rows remove each other, if long enough, and come back repeated; other
     columns are not read. A document is worked on whole, so memory must hold some fifty times the longest.
     """
     spark = docs.sparkSession
@@ -204,16 +256,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, chunk_bytes: int = CHU
     chunks = scratch.save(_chunks(rows, chunk_bytes), "chunks")
     total = chunks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
 
-    def parsed(row, rolling: RollingHash) -> Chunk:
+    def parsed(row, rolling: WindowHash) -> Chunk:
         return Chunk(zstandard.decompress(row["data"]), np.asarray(row["sizes"], np.int64), length, rolling)
 
-    def open_windows(row, rolling: RollingHash) -> tuple[np.ndarray, np.ndarray]:
+    def open_windows(row, rolling: WindowHash) -> tuple[np.ndarray, np.ndarray]:
         chunk = parsed(row, rolling)
         _, windows, forced = chunk.settle(_flags(row["bits"]))
         return chunk.hashes(windows, windows + length), forced
 
     def finish(frames):
-        rolling = RollingHash()
+        rolling = WindowHash()
         for f in frames:
             for _, row in f.iterrows():
                 chunk = parsed(row, rolling)
