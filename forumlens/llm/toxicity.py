@@ -41,11 +41,12 @@ THRESHOLD = 0.7
 ONES = 4
 
 _SIGN_INSIDE = re.compile(r"(?<=[^\W\d_])[@$!](?=[^\W\d_])")
-_SIGNS_AT_LETTER = re.compile(r"[@$!]+(?=[^\W\d_])|(?<=[^\W\d_])[@$]+")
+#: A run of signs is tried from its start only, and a stretch from its first character, so that both take linear time.
+_SIGNS_AT_LETTER = re.compile(r"(?<![@$!])[@$!]++(?=[^\W\d_])|(?<=[^\W\d_])[@$]+")
 _LETTER = re.compile(r"[^\W\d_]")
 #: Signs and the digit that may be read in more ways than one, wide forms included.
 _DOUBTFUL = re.compile("[@$!1\uff20\uff04\uff01\uff11]")
-_DOUBTFUL_STRETCH = re.compile(r"[^\s@$!1\uff20\uff04\uff01\uff11]*[@$!1\uff20\uff04\uff01\uff11]\S*")
+_DOUBTFUL_STRETCH = re.compile(r"(?<!\S)[^\s@$!1\uff20\uff04\uff01\uff11]*+[@$!1\uff20\uff04\uff01\uff11]\S*+")
 
 
 class _Fold(dict):
