@@ -15,7 +15,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -81,6 +81,7 @@ class Index:
     window: int  # words of a passage
     question: list[set]
     answer: list[set]
+    every: list[set]
     short: list[int]  # sizes of shingles of items of fewer words
 
 
@@ -98,15 +99,30 @@ def _scores(lists: tuple, terms: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(keys[at], values[at], n)
 
 
-def build_index(items: list[tuple[int, str]]) -> Index:
+@dataclass
+class Statistics:
+    """Of a whole benchmark: items, words in all, words of the longest item, and in how many items each term stands."""
+
+    items: int = 0
+    words: int = 0
+    longest: int = 1
+    frequency: Counter = field(default_factory=Counter)
+
+    def add(self, text: str) -> None:
+        words = words_of(text)
+        self.items, self.words, self.longest = self.items + 1, self.words + len(words), max(self.longest, len(words))
+        self.frequency.update(set(words))
+
+
+def build_index(items: list[tuple[int | None, str]], whole: Statistics) -> Index:
+    """The index of some items; what their scores depend on comes from the whole benchmark."""
     counts = [Counter(words_of(t)) for _, t in items]
-    n, mean = len(items), sum(c.total() for c in counts) / max(1, len(items))
-    df = Counter(w for c in counts for w in c)
-    terms = {w: k for k, w in enumerate(df)}
+    n, mean, df = len(items), whole.words / max(1, whole.items), whole.frequency
+    terms = {w: k for k, w in enumerate(dict.fromkeys(w for c in counts for w in c))}
     postings: list[dict[int, float]] = [{} for _ in terms]
     for i, c in enumerate(counts):
         size = K1 * (1 - B + B * c.total() / mean) if mean else K1
-        raw = {w: math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * f * (K1 + 1) / (f + size) for w, f in c.items()}
+        raw = {w: math.log(1 + (whole.items - df[w] + 0.5) / (df[w] + 0.5)) * f * (K1 + 1) / (f + size) for w, f in c.items()}
         for w, x in raw.items():
             postings[terms[w]][i] = x / sum(raw.values())
     blocks = np.zeros((len(terms) + 1, BLOCKS))
@@ -123,16 +139,15 @@ def build_index(items: list[tuple[int, str]]) -> Index:
     parts = [question_and_answer(t or "") for _, t in items]
     hashes = np.concatenate([word_hashes(w, RollingHash()) for w in terms])
     order = np.argsort(hashes)
-    longest = max((c.total() for c in counts), default=1)
     return Index(
-        [i for i, _ in items], hashes[order], np.append(order, len(order)), blocks, rare, rare.any(1), slack, _flat(postings), max(longest, SHINGLE),
-        [shingles(q) for q, _ in parts], [shingles(a) for _, a in parts],
+        [i for i, _ in items], hashes[order], np.append(order, len(order)), blocks, rare, rare.any(1), slack, _flat(postings), max(whole.longest, SHINGLE),
+        [shingles(q) for q, _ in parts], [shingles(a) for _, a in parts], [shingles(words_of(t)) for _, t in items],
         sorted({c.total() for c in counts if c.total() < SHINGLE}),
     )
 
 
-def search(index: Index, text: str | None, rolling: RollingHash, min_score: float = MIN_SCORE) -> Iterator[tuple[int, float, float, float]]:
-    """Retrieved items of a whole text: position, best score, and shares of question and answer found near it."""
+def search(index: Index, text: str | None, rolling: RollingHash, min_score: float = MIN_SCORE) -> Iterator[tuple[int, float, float, float, float]]:
+    """Retrieved items of a whole text: position, best score, and shares of question, answer and whole item found near it."""
     hashes, none = word_hashes(text, rolling), len(index.hashes)
     if not len(hashes):
         return
@@ -161,37 +176,51 @@ def search(index: Index, text: str | None, rolling: RollingHash, min_score: floa
             around = words[max(0, first - step) : last + step]
             near = shingles(around).union(*(shingles(around, m) for m in index.short))
             old = best.get(i, (0.0, set()))
-            best[i] = (max(old[0], float(scores[i])), old[1] | (near & (index.question[i] | index.answer[i])))
+            best[i] = (max(old[0], float(scores[i])), old[1] | (near & (index.question[i] | index.answer[i] | index.every[i])))
     for i in sorted(best):
         score, seen = best[i]
         share = lambda part, seen=seen: len(part & seen) / len(part) if part else 1.0
-        yield i, score, share(index.question[i]), share(index.answer[i])
+        yield i, score, share(index.question[i]), share(index.answer[i]), share(index.every[i])
+
+
+def leaks(question: float, answer: float, whole: float, min_overlap: float) -> bool:
+    """Question and answer both stand there, or so much of the whole item that a changed word of its answer doesn't matter."""
+    return (question >= min_overlap and answer >= min_overlap) or whole >= min_overlap
 
 
 def _indexes(benchmark: DataFrame, index_bytes: int) -> Iterator[Index]:
-    """Indexes of whole items, each of at most ``index_bytes`` of text; one item may be larger."""
+    """Indexes of whole items, each of at most ``index_bytes`` of text; one item may be larger.
+
+    Items are read twice, one at a time: for what scores depend on, which is counted over all of them, and for the indexes.
+    """
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
+    whole = Statistics()
+    for row in items.select("text").toLocalIterator():
+        if words_of(row["text"]):
+            whole.add(row["text"])
     batch, size = [], 0
-    for row in benchmark.where("item_id is not null").select("item_id", "text").orderBy("item_id", "text").toLocalIterator():
+    for row in items.orderBy("item_id", "text").toLocalIterator():
         text = row["text"] or ""
         if not words_of(text):
             continue
         if batch and size + len(text) > index_bytes:
-            yield build_index(batch)
+            yield build_index(batch, whole)
             batch, size = [], 0
         batch.append((row["item_id"], text))
         size += len(text)
     if batch:
-        yield build_index(batch)
+        yield build_index(batch, whole)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_overlap: float = MIN_OVERLAP, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """``doc_id``, ``item_id``, ``score``, ``question_overlap``, ``answer_overlap`` of every verified leak.
+    """``doc_id``, ``item_id``, ``score``, ``question_overlap``, ``answer_overlap``, ``item_overlap`` of every verified leak.
 
-    A leak is a retrieved item of whose question and of whose answer at least ``min_overlap`` of the shingles
-    stand in the document. Null and empty texts and items match nothing; repeated rows come back repeated; other
-    columns are not read. An empty benchmark or table gives an empty result.
+    A leak is a retrieved item of whose question and of whose answer, or of the whole of which, at least ``min_overlap``
+    of the shingles stand in the document. Null and empty texts and items match nothing; items without an id are
+    found like others; repeated rows come back repeated; other columns are not read. An empty benchmark or table
+    gives an empty result. Scores are the same for any ``index_bytes``.
     """
-    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
+    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, item_overlap double"
     out = None
     for index in _indexes(benchmark, index_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(vars(index))
@@ -201,8 +230,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_overlap: float = MIN
             for f in frames:
                 rows = []
                 for doc_id, text in zip(f["doc_id"], f["text"], strict=True):
-                    rows += [(doc_id, index.items[i], x, q, a) for i, x, q, a in search(index, text, rolling) if q >= min_overlap and a >= min_overlap]
-                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"]).astype({"doc_id": "Int64"})
+                    rows += [(doc_id, index.items[i], x, q, a, w) for i, x, q, a, w in search(index, text, rolling) if leaks(q, a, w, min_overlap)]
+                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "score", "question_overlap", "answer_overlap", "item_overlap"]).astype({"doc_id": "Int64", "item_id": "Int64"})
 
         found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(scan, schema)
         out = found if out is None else out.unionByName(found)
@@ -210,7 +239,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_overlap: float = MIN
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_overlap: float = MIN_OVERLAP, index_bytes: int = INDEX_BYTES) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text leaks no item. Decided row by row; nothing is joined."""
+    """The rows of ``docs``, all columns, whose text leaks no item. Decided row by row; nothing is joined.
+
+    Null and empty texts stay, so do repeated rows; columns of any name come back as they were; an empty benchmark drops
+    nothing. Items need no id.
+    """
     for index in _indexes(benchmark, index_bytes):
         docs = docs.where(_clean(docs.sparkSession.sparkContext.broadcast(vars(index)), min_overlap)(F.col("text").cast("string")))
     return docs
@@ -220,7 +253,7 @@ def _clean(shared, min_overlap: float):
     @F.pandas_udf("boolean")
     def clean(texts: pd.Series) -> pd.Series:
         index, rolling = Index(**shared.value), RollingHash()
-        hit = lambda t: any(q >= min_overlap and a >= min_overlap for _, _, q, a in search(index, t, rolling))
+        hit = lambda t: any(leaks(q, a, w, min_overlap) for _, _, q, a, w in search(index, t, rolling))
         return pd.Series([not hit(t) for t in texts], dtype=bool)
 
     return clean

@@ -1,6 +1,7 @@
 """Each operator against brute force, and on null, empty, tied, repeated and clashing rows."""
 
 import hashlib
+import time
 from collections import Counter
 
 import numpy as np
@@ -9,14 +10,15 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from forumlens.llm.chat import format_chats, loss_text, read_turns
-from forumlens.llm.contamination import contaminated, shingles, words_of
+from forumlens.llm.contamination import contaminated, drop_contaminated, leaks, question_and_answer, shingles, words_of
 from forumlens.llm.mixing import draw, mix
 from forumlens.llm.pii import LABELS, base_spans, decode, find_pii, redact, train_field
 from forumlens.llm.queries import QUERIES
+from forumlens.llm.common import RollingHash
 from forumlens.llm.repeats import remove_repeats
 from forumlens.llm.secrets import find_secrets, labelled_samples, shown, train_markov
 from forumlens.llm.simhash import fingerprint, simhash_groups
-from forumlens.llm.toxicity import fold
+from forumlens.llm.toxicity import fold, readings
 from forumlens.llm.urls import judge_urls, split_name
 from forumlens.llm.vectors import near_vectors
 
@@ -110,6 +112,34 @@ def test_contamination(spark, docs, odd):
     assert contaminated(odd, items).count() == 0 and contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_contamination_by_brute_force(spark):
+    """Planted items, whole, with a changed word and in part, against counts of shingles in plain Python."""
+    rng = np.random.default_rng(7)
+    words = [f"w{i}" for i in range(400)]
+    some = lambda n: " ".join(rng.choice(words, n))
+    items = [(i if i else None, f"{some(25)}? {some(int(rng.integers(2, 15)))}.") for i in range(30)]
+    changed = lambda t, k: " ".join(w if j != k else "other" for j, w in enumerate(t.split()))
+    texts = [f"{some(30)} {t} {some(40)}" for _, t in items] + [f"{some(50)} {changed(t, len(t.split()) - 2)} {some(9)}" for _, t in items]
+    texts += [f"{some(20)} {' '.join(t.split()[:12])} {some(20)}" for _, t in items] + [some(300), "", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {n: contaminated(docs, bench, index_bytes=n).collect() for n in (1 << 24, 2000, 300)}
+    got = {n: {(r["doc_id"], r["item_id"]) for r in rows} for n, rows in found.items()}
+    want = set()
+    for d, text in enumerate(texts):
+        have = shingles(words_of(text))
+        for i, item in items:
+            part = lambda p, have=have: len(shingles(p) & have) / len(shingles(p))
+            question, answer = question_and_answer(item)
+            if leaks(part(question), part(answer), part(words_of(item)), 0.8):
+                want.add((d, i))
+    assert got[1 << 24] == got[2000] == got[300] == want and len(want) >= 55
+    scores = [sum(r["score"] for r in rows) for rows in found.values()]
+    assert max(scores) - min(scores) < 1e-9
+    clean = {r["doc_id"] for r in drop_contaminated(docs, bench).collect()}
+    assert clean == set(range(len(texts))) - {d for d, _ in want}
+
+
 def test_pii(odd):
     text = "mail a.b@c.de, ip 10.0.0.256 or 10.0.0.1 call +1 (017) 555-7713 card 4111 1111 1111 1111 " + "a" * 5000 + "@"
     assert [(k, text[s:e]) for s, k, e in base_spans(text)] == [(0, "a.b@c.de"), (1, "10.0.0.1"), (3, "+1 (017) 555-7713"), (2, "4111 1111 1111 1111")]
@@ -129,6 +159,10 @@ def test_mixing(docs, odd):
 
 def test_toxicity(spark):
     assert fold("Ａ l0ser, $tupid ｔrаsh$$") == " a loser tupid trash "
+    start = time.perf_counter()
+    for text in ("\u5b57" * 2_000_000 + " 1", "a" * 2_000_000 + "1", "a" + "!" * 2_000_000 + " x", "!a" * 500_000):
+        assert readings(text)[0]
+    assert time.perf_counter() - start < 20
     got = QUERIES["op9_toxicity"](spark, SF).toPandas()
     assert len(got) == 200 and got.score.between(0, 1).all()
 
@@ -147,6 +181,21 @@ def test_repeats(spark, docs, odd):
     assert remove_repeats(odd).count() == 8 and remove_repeats(odd.limit(0)).count() == 0
 
 
+def test_texts_that_collide_modulo_two_to_the_64_stay(spark):
+    """Two texts that differ in every sixteenth character, in Thue-Morse order: equal polynomials modulo 2^64, no string in common."""
+    order = [0]
+    while len(order) < 256:
+        order += [1 - x for x in order]
+    letters = "".join(np.random.default_rng(2).choice(list("cdefghij"), 4096))
+    texts = ["".join("ab"[order[i // 16] ^ flip] if i % 16 == 0 else c for i, c in enumerate(letters)) for flip in (0, 1)]
+    plain = RollingHash()
+    assert len({int(plain.between(plain.sums(np.frombuffer(t.encode(), np.uint8)), np.array([0]), np.array([4096]))[0]) for t in texts}) == 1
+    count = Counter(t[i : i + 200] for t in texts for i in range(3897))
+    assert max(count.values()) == 1
+    got = remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r["n_removed"] for r in got] == [0, 0]
+
+
 def test_pipeline(spark, docs, odd):
     rows = docs
     for name, stage in corpus_pipeline.STAGES:
