@@ -87,6 +87,7 @@ def rake(
         work = scratch.save(work.select(*cells.columns, "_free", "_bound", off.alias("_off")), f"round{k}")
         worst = work.agg(F.max("_off")).first()[0]
         work = work.drop("_off")
+        scratch.drop(f"round{k - 1}")  # and what the driver holds of the rounds before
         if worst is None or worst <= tolerance:
             break
     work = work.select(*cells.columns, weight.alias("weight"), F.lit(0.0).alias("unmet"))
@@ -145,9 +146,11 @@ def mix(docs: DataFrame, powers: dict[str, float], budget: float = 0.5, max_repe
 
 
 def draw(docs: DataFrame, powers: dict[str, float], budget: float = 1.0, max_repeats: int = 4, topic: Column | None = None) -> DataFrame:
-    """The rows of ``docs`` that ``mix`` draws, with all their columns and ``copies`` and ``unmet``, which replace columns so named."""
+    """The rows of ``docs`` that ``mix`` draws, with all their columns, of any names, and ``copies`` and ``unmet``, which replace columns so named."""
     scratch = Scratch(docs.sparkSession, "draw")
     rows = scratch.save(docs.select(*_cell(docs, topic)), "rows")
     rates = cell_rates(rows, powers, budget, max_repeats, scratch)
-    drawn = _drawn(docs.drop("copies", "unmet").select("*", *_cell(docs, topic)), rates).where("_copies > 0")
-    return drawn.select(*(c for c in docs.columns if c not in ("copies", "unmet")), F.col("_copies").alias("copies"), F.col("_unmet").alias("unmet"))
+    own = [c for c in docs.columns if c not in ("copies", "unmet")]
+    whole = F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)]).alias("_whole")
+    drawn = _drawn(docs.select(whole, *_cell(docs, topic)), rates).where("_copies > 0")
+    return drawn.select(*(F.col("_whole")[f"c{i}"].alias(c) for i, c in enumerate(own)), F.col("_copies").alias("copies"), F.col("_unmet").alias("unmet"))

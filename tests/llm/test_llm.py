@@ -1,8 +1,11 @@
 """Each operator against brute force, and on null, empty, tied, repeated and clashing rows."""
 
 import hashlib
+import math
+import re
 import time
 from collections import Counter
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -19,7 +22,7 @@ from forumlens.llm.repeats import remove_repeats
 from forumlens.llm.secrets import find_secrets, labelled_samples, shown, train_markov
 from forumlens.llm.simhash import fingerprint, simhash_groups
 from forumlens.llm.toxicity import fold, readings
-from forumlens.llm.urls import judge_urls, split_name
+from forumlens.llm.urls import MAX_WORD, judge_urls, split_name
 from forumlens.llm.vectors import near_vectors
 
 SF = "/root/testdata/sf0.001"
@@ -102,6 +105,61 @@ def test_urls(spark):
     assert split_name("goodbad", known, 10) == ["good", "bad"] and split_name("", {}, 10) == []
 
 
+def test_urls_by_brute_force(spark):
+    """Every step in plain Python over the given pages: rules, word counts, segmentation by trying all splits, naive Bayes."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    rows = [(r["page_id"], r["url"], r["html"]) for r in pages.collect()]
+    rows += [(90_000, "http://thethecompany.org/x/1?q", None), (90_001, None, "x"), (90_002, "no scheme", ""), (90_003, "https://of-the.net/fr/2", "")]
+    rules = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+    got = {r["page_id"]: r for r in judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string"), rules).collect()}
+
+    def parsed(url):
+        if url is None or "://" not in url:
+            return "", ""
+        host, path = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1]).groups()
+        return host.lower(), path
+
+    def rule_of(host, path):
+        fits = [r for r in rules if (host == (n := r.split("/", 1)[0]) or host.endswith("." + n)) and path.startswith(r[len(n) :])]
+        return max(fits, key=len, default=None)
+
+    counts = Counter(w for _, _, h in rows for w in re.split("[^a-z]+", re.sub("<[^>]*>", " ", h or "").lower()) if w and len(w) <= MAX_WORD)
+    total = sum(counts.values())
+    cost = lambda w: math.log(counts[w] / total) if w in counts else math.log(10 / total) - len(w) * math.log(10)
+
+    @lru_cache(maxsize=None)
+    def split(name):
+        """The best split: of equal ones that with the longest last word."""
+        options = [(split(name[:k])[0] + cost(name[k:]), len(name) - k, split(name[:k])[1] + (name[k:],)) for k in range(len(name))] if name else [(0.0, 0, ())]
+        best = max(options, key=lambda o: o[:2])
+        return best[0], best[2]
+
+    judged = [(i, *(hp := parsed(u)), rule_of(*hp)) for i, u, _ in rows]
+    hosts, forms = Counter(), Counter()
+    for _, host, path, rule in judged:
+        form = re.sub("[0-9]+", "0", path.lower())
+        for table, key in ((hosts, host), (forms, form)):
+            table[key, "n"] += 1
+            table[key, rules.get(rule)] += 1
+    host_words = {h: [w for n in re.split("[^a-z]+", h) if n for w in split(n)[1]] for h, k in hosts if k == "n"}
+    form_words = {f: [t for t in re.split("[^a-z0-9]+", f) if t] for f, k in forms if k == "n"}
+    seen = {"block": Counter(), "allow": Counter()}
+    for words, table in ((host_words, hosts), (form_words, forms)):
+        for key, tokens in words.items():
+            for t in tokens:
+                for side in seen:
+                    seen[side][t] += table[key, side]
+    vocabulary = {t for words in (host_words, form_words) for tokens in words.values() for t in tokens}
+    size = {side: sum(seen[side].values()) + len(vocabulary) for side in seen}
+    weight = {t: math.log((seen["block"][t] + 1) / size["block"]) - math.log((seen["allow"][t] + 1) / size["allow"]) for t in vocabulary}
+    prior = math.log(sum(rules.get(r) == "block" for *_, r in judged) / sum(rules.get(r) == "allow" for *_, r in judged))
+    for i, host, path, rule in judged:
+        score = prior + sum(weight[t] for t in host_words[host]) + sum(weight[t] for t in form_words[re.sub("[0-9]+", "0", path.lower())])
+        r = got[i]
+        assert (r["host"], r["path"], r["rule"]) == (host, path, rule) and abs(r["score"] - score) < 1e-6
+        assert r["verdict"] == (rules[rule] if rule else "block" if score > 0 else "allow")
+
+
 def test_contamination(spark, docs, odd):
     items = spark.read.parquet(f"{SF}/benchmark.parquet")
     got = {(r["doc_id"], r["item_id"]) for r in contaminated(docs, items).collect()}
@@ -154,6 +212,9 @@ def test_mixing(docs, odd):
     got = mix(docs, {"source": 0.0, "lang": 1.0, "topic": 1.0}, budget=0.5).toPandas()
     drawn = (got.rate * got.tokens).groupby(got.source).sum()
     assert len(got) == 200 and drawn.max() / drawn.min() < 2.5 and (got.copies >= got.rate.astype(int)).all()
+    clash = docs.withColumns({c: F.lit(k) for k, c in enumerate(("_tokens", "_source", "_lang", "_topic", "_even", "_rate", "_copies", "_whole", "copies"))})
+    again = draw(clash, {"source": 0.0}, budget=0.5).toPandas()
+    assert len(again) and (again._tokens == 0).all() and (again._whole == 7).all() and (again.copies >= 1).all()
     assert mix(odd, {}).count() == 8 and set(odd.columns) < set(draw(odd, {}).columns) and mix(docs.limit(0), {}).count() == 0
 
 
