@@ -17,23 +17,32 @@ from forumlens.llm.toxicity import THRESHOLD, fit_toxicity, toxicity_score
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows whose score stays below the threshold; the model learns from the labels that are not held out."""
+    """Rows whose score stays below the threshold; the model learns from the labels that are not held out.
+
+    Null and empty texts score like texts without hits; repeated rows and further columns come back as they were.
+    """
     labels = table(spark, sf_dir, "labels").where(f"not ({HELD_OUT})").select("doc_id", "toxic")
     return docs.where(toxicity_score(fit_toxicity(docs, labels)) < THRESHOLD)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row of the smallest ``doc_id`` of each group that five-word similarity of 0.8 connects."""
+    """The row of the smallest ``doc_id`` of each group that five-word similarity of 0.8 connects, from SimHash links on.
+
+    Null and blank texts are one group; of repeated rows one stays; further columns come back as they were.
+    """
     return keep_one_of_near_copies(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows in which no benchmark item's question and answer both stand."""
+    """Rows in which no benchmark item's question and answer both stand, nor most of the whole item.
+
+    Null and empty texts stay; repeated rows and further columns come back as they were.
+    """
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows, with tags for personal data, and ``n_chars`` of the new text."""
+    """All rows, with tags for personal data, and ``n_chars`` of the new text; null texts stay null."""
     masked = redact_pii(docs, train_field())
     return masked.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.length("text").cast("long"))).select(*docs.columns)
 
@@ -51,7 +60,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("source_mixing", mix_sources),
 ]
 
-#: Learnt scores and fields have no SQL; the stages are tested against brute force.
+#: Learnt scores and fields have no SQL; stage by stage the rows are tested against plain Python.
 ORACLE_SQL = None
 
 
