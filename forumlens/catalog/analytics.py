@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,11 +12,11 @@ from forumlens.catalog.base import (
     engagement_sql, half_even_sql, query, quoted, sentiment_sql,
 )
 from forumlens.functions.text import SPACE
-from forumlens.operators import reports, scoring, topics
+from forumlens.operators import nmf, reports, scoring, topics
 from forumlens.operators.engagement import calculate_engagement, comment_quality_flat
 from forumlens.operators.filters import exclude_by_flat_comments, filter_by_thresholds, threshold_funnel, two_tier_filter
 from forumlens.operators.ranking import final_sort
-from forumlens.operators.relevance import filter_by_relevance, score_relevance
+from forumlens.operators.relevance import filter_by_relevance, score_relevance, sort_by_relevance
 from forumlens.operators.sentiment import (
     FIELDS, Lexicon, add_sentiment, content_sentiment, comments_sentiment, priority, score_by_join, sentiment, sentiment_tokens,
     title_sentiment,
@@ -133,7 +134,7 @@ def relevance_score(v: Views) -> DataFrame:
 
 @query("relevance_filter", "select id, title, relevance_score from relevance where relevance_score >= 50", RELEVANCE_SQL)
 def relevance_filter(v: Views) -> DataFrame:
-    return filter_by_relevance(v.nested(), RULES).select("id", "title", "relevance_score")
+    return sort_by_relevance(filter_by_relevance(v.nested(), RULES)).select("id", "title", "relevance_score")
 
 
 @query(
@@ -346,6 +347,84 @@ def topic_names(v: Views) -> DataFrame:
     return topic_model(v).names(v.posts())
 
 
+# A model with given factors, so that everything after the fit has SQL: two topics, W from two sweeps.
+NO_CATEGORY = {"none": ["no such word"]}
+
+
+def given_model(v: Views) -> topics.TopicModel:
+    vocabulary = topics.fit_vocabulary(topics.term_table(v.posts(), STOP_WORDS))
+    place = np.arange(len(vocabulary.terms))
+    h = np.stack([place % 7 / 7, place * 3 % 5 / 5])
+    start = nmf.Start(h.T, np.ones(2), np.ones(2), np.ones(2))
+    return topics.TopicModel(vocabulary, nmf.NmfModel(h, start, [h, h], []), STOP_WORDS)
+
+
+def _sweep(before: str, after: str) -> str:
+    first = "greatest(w0 - (w0 * g00 + w1 * g01 - c0) / g00, 0e0)"
+    return (
+        f"{after}a as (select * exclude (w0), {first} as w0 from {before}),"
+        f" {after} as (select * exclude (w1), greatest(w1 - (w0 * g01 + w1 * g11 - c1) / g11, 0e0) as w1 from {after}a)"
+    )
+
+
+GIVEN_SQL = f"""{TERMS_SQL},
+factors as (select term, ((row_number() over (order by term) - 1) % 7) / 7e0 as h0, ((row_number() over (order by term) - 1) * 3 % 5) / 5e0 as h1 from vocab),
+gram as (select sum(h0 * h0) as g00, sum(h0 * h1) as g01, sum(h1 * h1) as g11 from factors),
+crossed as (select id, sum(tfidf * h0) as c0, sum(tfidf * h1) as c1 from tfidf join factors using (term) group by id),
+begun as (select *, case when c0 < 1e-6 then 0e0 else c0 end as w0, case when c1 < 1e-6 then 0e0 else c1 end as w1 from crossed cross join gram),
+{_sweep('begun', 'once')}, {_sweep('once', 'twice')},
+weighed as (select id, 0 as topic, w0 as weight from twice union all select id, 1, w1 from twice),
+heaviest as (
+ select t.topic, t.term, t.weight, row_number() over (partition by t.topic order by t.weight desc, t.term) as place
+ from (select 0 as topic, term, h0 as weight from factors union all select 1, term, h1 from factors) t),
+named as (select a.topic, a.term || '_' || b.term as name from heaviest a join heaviest b using (topic) where a.place = 1 and b.place = 2),
+assigned as (
+ select p.id, coalesce(case when greatest(w0, w1) > 0.1e0 then case when w0 >= w1 then 0 else 1 end end, -1) as topic_id,
+  coalesce(case when greatest(w0, w1) > 0.1e0 then {half_even_sql('greatest(w0, w1)', 3)} end, 0e0) as topic_probability
+ from posts p left join twice t on p.id = t.id),
+topical as (select a.*, coalesce(n.name, 'uncategorized') as topic_name from assigned a left join named n on a.topic_id = n.topic)
+"""
+
+
+@query("topic_weights_given", f"select id, topic as topic_id, {half_even_sql('weight', 6)} as weight from weighed", GIVEN_SQL)
+def topic_weights_given(v: Views) -> DataFrame:
+    """W of two sweeps from given factors."""
+    model = given_model(v)
+    counted = topics.with_terms(v.posts(), STOP_WORDS).where(F.col(topics.TERMS).isNotNull())
+    long = model.weighted(counted).where(F.size("tfidf.indices") > 0).select("id", F.posexplode("_w").alias("topic_id", "weight"))
+    return long.withColumn("weight", F.rint(F.col("weight") * 1e6) / 1e6)
+
+
+@query("topic_assign_given", "select id, topic_id, topic_probability, topic_name from topical", GIVEN_SQL)
+def topic_assign_given(v: Views) -> DataFrame:
+    assigned = given_model(v).assign(v.posts(), NO_CATEGORY)
+    return assigned.select("id", "topic_id", "topic_probability", "topic_name")
+
+
+@query("topic_distribution_given", "select topic_name, count(*) as posts from topical group by 1", GIVEN_SQL)
+def topic_distribution_given(v: Views) -> DataFrame:
+    return reports.topic_distribution(given_model(v).assign(v.posts(), NO_CATEGORY))
+
+
+@query(
+    "topic_terms_given",
+    f"select topic as topic_id, cast(place as int) as place, term, {half_even_sql('weight', 3)} as weight from heaviest where place <= 15",
+    GIVEN_SQL,
+)
+def topic_terms_given(v: Views) -> DataFrame:
+    return given_model(v).terms(v.posts())
+
+
+@query(
+    "topic_names_given",
+    "select topic as topic_id, name as topic_name, string_agg(term, ', ' order by place) as top_words from heaviest join named using (topic)"
+    " where place <= 10 group by 1, 2",
+    GIVEN_SQL,
+)
+def topic_names_given(v: Views) -> DataFrame:
+    return given_model(v).names(v.posts(), NO_CATEGORY)
+
+
 # ---- model scoring -------------------------------------------------------------------------
 CUT_NAMES = f"""
  rolled as (
@@ -432,6 +511,23 @@ def score_table(v: Views) -> DataFrame:
     return scoring.score_table(v.nested(), stand_in, path).select("id", "llm_relevance_score", "score_status")
 
 
+@query(
+    "score_progress",
+    f"""select count(*) as scored, count(*) filter (not c) as new, count(*) filter (c) as cached, cast(0 as bigint) as failed,
+     {half_even_sql('avg(x)', 6)} as average from (select {CACHED_SQL} and cast(p.id as bigint) % 12 <> 0 as c,
+      case when {CACHED_SQL} and cast(p.id as bigint) % 12 <> 0 then upvote_ratio * 100 else {REPLY_SQL} end as x from posts p join prompted using (id))""",
+    PROMPTED_SQL,
+)
+def score_progress(v: Views) -> DataFrame:
+    """What a scoring run reports after its last bucket, observed while the buckets are written."""
+    path, told = work_folder(v.spark, "scores"), []
+    cached_scores(v).write.parquet(path)
+    scoring.score_table(v.nested(), stand_in, path, buckets=4, report=told.append)
+    last = told[-1]
+    row = (last.scored, last.new, last.cached, last.failed, round(last.average, 6))
+    return v.spark.createDataFrame([row], "scored bigint, new bigint, cached bigint, failed bigint, average double")
+
+
 @query(
     "rank_by_model_score",
     f"""select id, case when cast(id as bigint) % 5 = 0 then 50e0 else {half_even_sql('upvote_ratio * 100', 2)} end as llm_relevance_score
@@ -491,5 +587,3 @@ def scored_unfiltered(v: Views) -> DataFrame:
     engaged(v).write.parquet(path)
     return v.spark.read.parquet(path).select("id", "relevance_score", "engagement_score")
 
-
-__all__ = ["PATTERNS"]

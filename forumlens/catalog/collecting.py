@@ -167,6 +167,24 @@ def harmonize(v: Views) -> DataFrame:
     return harmonize_schema(daily_part(v)).select(*FLAT_CORE)
 
 
+@query(
+    "harmonize_nested",
+    "select p.id, count(c.comment_id) as n_comments, coalesce(string_agg(c.body, '|' order by comment_rank), '') as bodies,"
+    " case when cast(p.id as bigint) % 3 = 0 then 'a,b' else '' end as keywords,"
+    " strftime(to_timestamp(any_value(p.created_utc)) at time zone 'UTC', '%Y-%m-%d %H:%M:%S') as created_datetime from posts p"
+    " left join ranked_comments c on p.id = c.post_id group by p.id",
+)
+def harmonize_nested(v: Views) -> DataFrame:
+    """Lists and times of the core: comments, keywords that are null for most posts, and times given as text."""
+    found = F.when(F.col("id").cast("bigint") % 3 == 0, F.array(F.lit("a"), F.lit("b")))
+    written = F.date_format(F.timestamp_seconds("created_utc"), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    core = harmonize_schema(v.nested().withColumns({"matched_keywords": found, "created_datetime": written}))
+    return core.select(
+        "id", F.size("comments").cast("bigint").alias("n_comments"), F.array_join(F.transform("comments", lambda c: c["body"]), "|").alias("bodies"),
+        F.array_join("matched_keywords", ",").alias("keywords"), F.date_format("created_datetime", "yyyy-MM-dd HH:mm:ss").alias("created_datetime"),
+    )
+
+
 @query("coerce_types", f"select {SEARCH_SQL} from posts")
 def coerce_types(v: Views) -> DataFrame:
     return harmonize_schema(search_part(v)).select(*FLAT_CORE)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
@@ -40,6 +40,11 @@ def daily_collection(
     return attach_comments(collected, top_comments(own, max_comments))
 
 
+def tier_place(tiers: Mapping[str, Mapping]) -> Column:
+    """The place of a post's tier among the tiers, from 1: a post of several tiers belongs to the first."""
+    return F.array_position(F.array(*[F.lit(t) for t in tiers]), F.col("activity_tier"))
+
+
 def search_collection(
     posts: DataFrame, comments: DataFrame | None, as_of: float, settings: SearchSettings | None = None
 ) -> DataFrame:
@@ -83,7 +88,7 @@ def collect_and_analyze(
     """Daily, search or both collections, united and analysed."""
     frames = []
     if kind in ("daily", "both"):
-        daily = daily_collection(posts, comments, tiers)
+        daily = daily_collection(posts, comments, tiers).withColumn("_place", tier_place(tiers))
         frames.append(daily.withColumn("collection_type", F.lit("daily_subreddits")))
     if kind in ("search", "both"):
         found = search_collection(posts, comments, as_of, search)
@@ -91,4 +96,5 @@ def collect_and_analyze(
     if not frames:
         raise ValueError(f"unknown kind: {kind}")
     united = combine_collections(frames)
-    return analyze(dedupe_posts(united, ["file_order", "created_utc"]), settings)
+    order = ["file_order", *(["_place"] if "_place" in united.columns else []), "created_utc"]
+    return analyze(dedupe_posts(united, order).drop("_place"), settings)

@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
 from forumlens.operators import reports
-from forumlens.operators.collect import age_hours, attach_comments, project_comments, project_posts, project_user_comments, tiered_collection, top_comments
+from forumlens.operators.collect import (
+    age_hours, attach_comments, project_comments, project_posts, project_user_comments, tiered_collection, top_comments, user_stats,
+)
 from forumlens.operators.search import add_search_fields
 from forumlens.plans.analysis import STRICT, Analysis, Settings, analyze_combined, save_frames
-from forumlens.plans.collection import SearchSettings, daily_report, search_collection, search_report, user_collection
+from forumlens.plans.collection import SearchSettings, daily_report, search_collection, search_report, tier_place, user_collection
 from forumlens.session import list_folder, path_exists, publish, read_published
 from forumlens.sources.files import write_csv
 
@@ -91,7 +93,8 @@ def daily_job(
 ) -> str:
     """The tiered collection of a feed as it lands, step by step, with its reports; gives the path of the collection.
 
-    Posts and comments are landed rows, before any projection. Steps take a few subreddits of one tier each.
+    Posts and comments are landed rows, before any projection. Steps take a few subreddits of one tier each. The
+    collection is written in the order of the tiers, so that a post of several tiers is first met in the first.
     """
     run = Run(posts.sparkSession, f"{folder}/runs/{name}")
     listed = posts.withColumn("hours_ago", age_hours(F.col("created_utc"), as_of))
@@ -102,7 +105,7 @@ def daily_job(
                 f"{place:03d}-{low:05d}", some,
                 lambda tier=tier, setting=setting, some=some: _tier_step(listed, comments, as_of, tier, {**setting, "subreddits": some}, max_comments),
             )
-    collected = run.rows()
+    collected = run.rows().orderBy(tier_place(tiers), "subreddit", F.desc("score"), "id")
     frames = {**daily_report(collected, tiers), "progress": run.progress()}
     return _written(collected, frames, folder, name, form)
 
@@ -147,8 +150,6 @@ def user_job(comments: DataFrame, users: list[str], folder: str, as_of: float, l
     collected = run.rows()
     path = f"{folder}/{name}"
     write_csv(collected, path, ["target_username"])
-    from forumlens.operators.collect import user_stats
-
     stats = user_stats(collected, users)
     save_frames({"user_stats": stats, "overview": reports.user_overview(collected)}, f"{folder}/reports/{name}")
     return path
