@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
-from forumlens.functions.lookup import config_table, keyed_lookup
+from forumlens.functions.lookup import config_table
 from forumlens.functions.numeric import half_even
 from forumlens.functions.text import NON_WORD_PATTERN, combined_text, computed_once, let, strip
 from forumlens.operators.nmf import NmfModel, fit_nmf, sparse_parts
@@ -20,10 +23,14 @@ from forumlens.session import write_and_read
 MIN_CHARS = 20
 WEIGHT_FLOOR = 0.1
 TERMS = "_terms"
-#: Items that a frequent-items sketch tracks for each term wanted, and at most; sketches merged in one task.
-TRACKED_PER_TERM, MOST_TRACKED, SKETCHES_AT_ONCE = 96, 750_000, 64
-#: Occurrences of terms from which on a sketch costs less than shuffling every distinct term.
-SKETCHED_FROM = 1_000_000_000
+#: Frequent-items sketches merged in one task.
+SKETCHES_AT_ONCE = 64
+#: Words whose pairs are counted, at most; where more are in question, every pair is counted.
+MOST_PAIRED = 200_000
+#: Texts whose terms are counted at a time.
+TEXTS_AT_ONCE = 1024
+COUNTED = pa.list_(pa.struct([pa.field("term", pa.string()), pa.field("n", pa.int32())]))
+VECTOR = pa.struct([pa.field("indices", pa.list_(pa.int32())), pa.field("values", pa.list_(pa.float64()))])
 
 
 def default_stop_words() -> list[str]:
@@ -91,11 +98,56 @@ def counted_terms(terms: Column) -> Column:
 
 
 def with_terms(df: DataFrame, stop_words: list[str], name: str = TERMS) -> DataFrame:
-    """Adds the counted terms of title and body, null where the text is too short for topics."""
-    text = computed_once(df, {"_text": strip(combined_text())})
-    none = F.array().cast("array<struct<term:string,n:int>>")
-    counted = F.coalesce(counted_terms(terms_of(F.col("_text"), stop_words)), none)
-    return computed_once(text, {name: F.when(F.char_length("_text") > MIN_CHARS, counted)}).drop("_text")
+    """Adds the counted terms of title and body, null where the text is too short for topics.
+
+    The same as :func:`counted_terms` of :func:`terms_of`, worked out a batch of texts at a time: lambdas of SQL functions
+    run element by element, and took most of the time of a fit. Of letters and digits outside ASCII only matters that a
+    word with one is no term; Spark marks them, so that both ways agree on what a letter is.
+    """
+
+    def marked(text: Column) -> Column:
+        foreign = F.regexp_replace(text, r"[\p{L}\p{N}&&[^\x00-\x7F]]", "_")
+        return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(foreign)
+
+    def long_enough(text: Column) -> Column:
+        return F.when(F.char_length(text) > MIN_CHARS, let(F.lower(text), marked))
+
+    apart = bytes(i if chr(i).isalnum() and i < 128 or chr(i) == "_" else 32 for i in range(256))
+    stops = pa.array(stop_words, pa.string())
+
+    def some(text: pa.Array) -> pa.Array:
+        valid, offsets, signs = text.buffers()
+        spaced = pa.Array.from_buffers(text.type, len(text), [valid, offsets, pa.py_buffer(bytes(signs or b"").translate(apart))], offset=text.offset)
+        found = pc.ascii_split_whitespace(spaced)
+        row = np.repeat(np.arange(len(text)), np.asarray(pc.fill_null(pc.list_value_length(found), 0)))
+        encoded = found.flatten().dictionary_encode()
+        wanted = pc.and_not(pc.match_substring_regex(encoded.dictionary, "^[a-z][a-z0-9]+$"), pc.is_in(encoded.dictionary, value_set=stops))
+        words = encoded.dictionary.filter(wanted)
+        order = np.asarray(pc.sort_indices(words))
+        words, rank = words.take(order), np.full(len(wanted), -1)
+        rank[np.flatnonzero(np.asarray(wanted))[order]] = np.arange(len(words))
+        code = rank[np.asarray(encoded.indices)] if len(rank) else np.zeros(0, np.int64)
+        row, code = row[code >= 0], code[code >= 0]
+        beside = row[1:] == row[:-1]
+        # a word is a pair without a second: a number for each term of each text, in the order of texts, then terms
+        first, second = np.concatenate([code, code[:-1][beside]]), np.concatenate([np.zeros_like(code), code[1:][beside] + 1])
+        base = len(words) + 1
+        number, n = np.unique((np.concatenate([row, row[1:][beside]]) * base + first) * base + second, return_counts=True)
+        (rest, second), ends = np.divmod(number, base), np.zeros(len(text) + 1, np.int64)
+        row, first = np.divmod(rest, base)
+        np.cumsum(np.bincount(row, minlength=len(text)), out=ends[1:])
+        right = words.take(pa.array(second - 1, mask=second == 0))
+        term = pc.binary_join_element_wise(words.take(pa.array(first)), right, " ", null_handling="skip")
+        entries = pa.StructArray.from_arrays([term.cast(pa.string()), pa.array(n, pa.int32())], fields=list(COUNTED.value_type))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries, type=COUNTED, mask=text.is_null())
+
+    def count(text: pa.Array) -> pa.Array:
+        parts = [some(text.slice(low, TEXTS_AT_ONCE)) for low in range(0, len(text), TEXTS_AT_ONCE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], COUNTED)
+
+    count.__annotations__ = {"text": pa.Array, "return": pa.Array}
+    counted = F.arrow_udf(count, "array<struct<term:string,n:int>>").asNondeterministic()
+    return df.withColumn(name, counted(let(strip(combined_text()), long_enough)))
 
 
 def term_table(df: DataFrame, stop_words: list[str], key: str = "id") -> DataFrame:
@@ -140,19 +192,19 @@ def vocabulary_table(
     """(term, corpus_count, document_frequency) of the ``max_terms`` most frequent terms among those in
     enough and not too many documents.
 
-    Of a large corpus, or where ``tracked`` says so, only candidates of a sketch are counted, exactly. Nothing was
+    Where ``tracked`` says so, only candidates of a sketch are counted, exactly. Nothing was
     missed if enough of them occur more often than any other term can; otherwise all terms are counted.
     """
-    documents, occurrences = table.agg(F.count(F.lit(1)), F.sum(F.aggregate(TERMS, F.lit(0).cast("bigint"), lambda a, t: a + t["n"]))).first()
+    documents = table.count()
     frequency = F.col("document_frequency")
 
     def best(counts: DataFrame) -> DataFrame:
         kept = counts.where((frequency >= min_df) & (frequency <= F.lit(max_df) * documents))
         return kept.orderBy(F.desc("corpus_count"), F.asc("term")).limit(max_terms)
 
-    if tracked is None and (occurrences or 0) < SKETCHED_FROM:
-        return best(term_counts(table))
-    candidates, below = frequent_terms(table, tracked or min(MOST_TRACKED, TRACKED_PER_TERM * max_terms))
+    if tracked is None:
+        return best(_possible_counts(table, best, max_terms, min_df))
+    candidates, below = frequent_terms(table, tracked)
     counted = _counted(table.select(F.inline(TERMS)).join(F.broadcast(candidates), "term", "left_semi"))
     found = write_and_read(best(counted), "vocabulary")
     last = found.agg(F.count(F.lit(1)).alias("n"), F.min("corpus_count").alias("least")).first()
@@ -161,6 +213,26 @@ def vocabulary_table(
     return found.orderBy(F.desc("corpus_count"), F.asc("term")) if whole else best(term_counts(table))
 
 
+def _possible_counts(table: DataFrame, best: Callable[[DataFrame], DataFrame], max_terms: int, min_df: int) -> DataFrame:
+    """Counts of all words, and of all pairs that can be among the best.
+
+    A pair occurs no more often than either of its words, and in no more documents. So once the best words are known,
+    pairs with a word that is rarer than the last of them, or in too few documents, need not be counted.
+    """
+    is_pair = F.contains("term", F.lit(" "))
+    terms = table.select(F.inline(TERMS))
+    words = write_and_read(_counted(terms.where(~is_pair)), "words")
+    last = best(words).agg(F.count(F.lit(1)).alias("n"), F.min("corpus_count").alias("least")).first()
+    least = last["least"] if last["n"] == max_terms else 0
+    paired = words.where((F.col("corpus_count") >= least) & (F.col("document_frequency") >= min_df)).select("term")
+    pairs = terms.where(is_pair)
+    if paired.count() <= MOST_PAIRED:
+        for place, side in ((1, "_left"), (-1, "_right")):
+            word = F.substring_index("term", " ", place).alias(side)
+            pairs = pairs.select("term", "n", word).join(F.broadcast(paired.toDF(side)), side, "left_semi")
+    return words.unionByName(_counted(pairs))
+
+
 def fit_vocabulary(table: DataFrame, max_terms: int = 1000, min_df: int = 2, max_df: float = 0.8) -> Vocabulary:
     """The vocabulary of a term table as a model; at most ``max_terms`` rows reach the driver."""
     rows = sorted(vocabulary_table(table, max_terms, min_df, max_df).collect())
@@ -171,17 +243,26 @@ def fit_vocabulary(table: DataFrame, max_terms: int = 1000, min_df: int = 2, max
 
 def tfidf_features(df: DataFrame, vocabulary: Vocabulary, terms: str = TERMS) -> DataFrame:
     """Adds ``tfidf``, the unit-length sparse vector of counted terms: places of terms, rising, and weights. Nothing is shuffled."""
-    known = {t: {"place": i, "idf": w} for i, (t, w) in enumerate(zip(vocabulary.terms, vocabulary.idf, strict=True))}
-    look_up = keyed_lookup(known, "struct<place:int,idf:double>")
-    weigh = lambda t: let(look_up(t["term"]), lambda e: F.struct(e["place"].alias("place"), (t["n"] * e["idf"]).alias("weight")))
-    kept = F.array_sort(F.filter(F.transform(terms, weigh), lambda e: e["place"].isNotNull()))
-
-    def unit(entries: Column) -> Column:
-        norm = F.sqrt(F.aggregate(entries, F.lit(0.0), lambda total, e: total + e["weight"] * e["weight"]))
-        values = let(norm, lambda n: F.transform(entries, lambda e: e["weight"] / n))
-        return F.struct(F.transform(entries, lambda e: e["place"]).alias("indices"), values.alias("values"))
-
-    return df.withColumn("tfidf", let(kept, unit))
+    known, idf = vocabulary.terms, np.array(vocabulary.idf)
+
+    def weigh(counted: pa.Array) -> pa.Array:
+        lengths = np.asarray(pc.fill_null(pc.list_value_length(counted), 0), np.int64)
+        entries = counted.flatten()
+        found = pc.index_in(entries.field("term"), value_set=pa.array(known, pa.string()))
+        kept = np.flatnonzero(np.asarray(found.is_valid()))
+        row = np.repeat(np.arange(len(counted)), lengths)[kept]
+        place, n = np.asarray(found.take(kept), np.int64), np.asarray(entries.field("n").take(kept))
+        order = np.lexsort((place, row))
+        row, place, weight = row[order], place[order], (n * idf[place])[order]
+        # adds up in order, as places rise, so a row's norm doesn't depend on the rows beside it
+        weight = weight / np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(counted)))[row]
+        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(counted)))]), pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, values) for values in (pa.array(place, pa.int32()), pa.array(weight, pa.float64()))]
+        return pa.StructArray.from_arrays(lists, fields=list(VECTOR), mask=counted.is_null())
+
+    weigh.__annotations__ = {"counted": pa.Array, "return": pa.Array}
+    vector = F.arrow_udf(weigh, "struct<indices:array<int>,values:array<double>>").asNondeterministic()
+    return df.withColumn("tfidf", vector(terms))
 
 
 def tfidf_terms(features: DataFrame, vocabulary: Vocabulary, key: str = "id") -> DataFrame:

@@ -264,3 +264,54 @@ def test_listing_opens_the_folders_it_lists(spark):
     opened = collect.read_feed(spark, folder, schema, 1706659200, ["sub1", "sub2"], "week").select(F.input_file_name()).distinct().count()
     everything = collect.read_feed(spark, folder, schema, 1706659200).select(F.input_file_name()).distinct().count()
     assert opened <= days * subs * collect.FEED_SLICES and opened * 50 < everything
+
+
+def test_terms_counted_by_batches_are_those_of_sql_functions(spark, monkeypatch):
+    monkeypatch.setattr(topics, "TEXTS_AT_ONCE", 7)
+    rng = np.random.default_rng(4)
+    letters = list("ab9_ Z.\n'") + ["é", "ß", "İ", "K", "二", "²", " ", "\U0001d400"]
+    rows = [(str(i), [None, "", "the a title x9"][i % 3], None if i % 7 == 0 else "".join(rng.choice(letters, i % 90))) for i in range(300)]
+    df = spark.createDataFrame([*rows, ("n", None, None)], "id string, title string, selftext string").repartition(3)
+    text = topics.strip(topics.combined_text())
+    none = F.array().cast("array<struct<term:string,n:int>>")
+    by_functions = F.when(F.char_length(text) > 20, F.coalesce(topics.counted_terms(topics.terms_of(text, ["the", "ab"])), none))
+    got = topics.with_terms(df.withColumn("want", by_functions), ["the", "ab"]).collect()
+    assert len(got) == 301 and all(r[topics.TERMS] == r["want"] for r in got)
+    assert sum(r["want"] is None for r in got) > 10 and sum(len(r["want"] or []) for r in got) > 500
+
+
+def test_pairs_of_rare_words_are_not_counted(spark, monkeypatch):
+    rng = np.random.default_rng(10)
+    words = [f"w{int(x)}" for x in np.minimum(rng.zipf(1.5, 30_000), 5_000)]
+    rows = [(str(i), "title", " ".join(words[i * 30 : i * 30 + 30])) for i in range(1000)]
+    table = topics.term_table(spark.createDataFrame(rows, "id string, title string, selftext string"), ["title"])
+    every = topics.term_counts(table).where("document_frequency between 2 and 800").collect()
+    for wanted in (1, 40, 3_000, 100_000):  # the last two are more than there are words in enough documents
+        want = sorted(((r["term"], r["corpus_count"], r["document_frequency"]) for r in every), key=lambda r: (-r[1], r[0]))[:wanted]
+        assert [tuple(r) for r in topics.vocabulary_table(table, wanted).collect()] == want
+    counted = []
+    count = topics._counted
+    monkeypatch.setattr(topics, "_counted", lambda terms: counted.append(terms) or count(terms))
+    topics.vocabulary_table(table, 40)
+    assert sum(t.select("term").distinct().count() for t in counted) < topics.term_counts(table).count() / 2
+
+
+def test_topic_passes_work_on_whole_batches(spark, monkeypatch):
+    """Neither terms nor vectors nor weights are worked out element by element, by lambdas of SQL functions."""
+    df = spark.createDataFrame([(str(i), "a title of it", f"pipeline extract load warehouse {i % 9}") for i in range(40)], "id string, title string, selftext string")
+    table = topics.term_table(df, ["of"])
+    vocabulary = topics.fit_vocabulary(table)
+    features = topics.tfidf_features(topics.with_terms(df, ["of"]), vocabulary)
+    plan = features._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan and "rlike" not in plan.lower()
+    idf = dict(zip(vocabulary.terms, vocabulary.idf, strict=True))
+    for row in features.collect():
+        known = [(t["term"], t["n"] * idf[t["term"]]) for t in row[topics.TERMS] if t["term"] in idf]
+        norm = sum(w * w for _, w in known) ** 0.5
+        assert [vocabulary.terms[i] for i in row["tfidf"]["indices"]] == [t for t, _ in known]
+        assert np.allclose(row["tfidf"]["values"], [w / norm for _, w in known])
+
+
+def test_gram_is_exact_for_a_column_of_ones():
+    rows = nmf.Rows(np.arange(257), np.zeros(256, np.int64), np.ones(256))
+    assert rows.gram(2).tolist() == [[256 << 48, 0], [0, 0]]
