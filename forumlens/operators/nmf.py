@@ -14,9 +14,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,6 +35,7 @@ STEPS_PER_WRITE = 10
 UNIT = 2.0**-34
 #: The same for the entries of V in V'V; so many rows of products of these fit a double exactly.
 GRAM_UNIT, GRAM_ROWS = 2.0**-24, 32
+EXACT = 2.0**52
 #: Partial sums that the driver or a task adds at a time, and their bytes at most.
 SUMS_AT_ONCE, SUM_BYTES = 64, 1 << 27
 
@@ -46,29 +50,39 @@ class Rows:
     weights: np.ndarray
 
     @classmethod
-    def from_lists(cls, terms: list, weights: list) -> Rows:
-        lengths = np.fromiter((len(t) for t in terms), dtype=np.int64, count=len(terms))
+    def from_arrow(cls, terms: pa.Array, weights: pa.Array) -> Rows:
+        """Rows of two list columns; no list may be null or empty."""
+        lengths = np.asarray(pc.list_value_length(terms), np.int64)
         return cls(
             np.concatenate([[0], np.cumsum(lengths)]),
-            np.concatenate(terms).astype(np.int64),
-            np.concatenate(weights).astype(np.float64),
+            np.asarray(terms.flatten(), np.int64),
+            np.asarray(weights.flatten(), np.float64),
         )
 
+    @cached_property
+    def row(self) -> np.ndarray:
+        """The row of every entry."""
+        return np.repeat(np.arange(len(self.starts) - 1), np.diff(self.starts))
+
     def times(self, matrix: np.ndarray) -> np.ndarray:
-        """This block of V times a (terms x k) matrix."""
-        return np.add.reduceat(self.weights[:, None] * matrix[self.terms], self.starts[:-1], axis=0)
+        """This block of V times a (terms x k) matrix; a column at a time, whose numbers lie side by side."""
+        columns = np.ascontiguousarray(matrix.T)
+        return np.stack([np.add.reduceat(self.weights * column[self.terms], self.starts[:-1]) for column in columns], axis=1)
 
     def transposed_times(self, w: np.ndarray, n_terms: int) -> np.ndarray:
         """W' V of this block, (k x terms), in units."""
-        spread = np.rint(np.repeat(w, np.diff(self.starts), axis=0) * self.weights[:, None] / UNIT)
-        return np.stack([np.bincount(self.terms, weights=spread[:, k], minlength=n_terms) for k in range(w.shape[1])])
+        row, units = self.row, self.weights / UNIT
+        return np.stack([np.bincount(self.terms, weights=np.rint(w[:, k].copy()[row] * units), minlength=n_terms) for k in range(w.shape[1])])
 
     def gram(self, n_terms: int) -> np.ndarray:
         """V' V of this block, in squared units; V is rounded to units first."""
         total = np.zeros((n_terms, n_terms), np.int64)
         rounded = np.rint(self.weights / GRAM_UNIT)
-        for low in range(0, len(self.starts) - 1, GRAM_ROWS):
-            ends = self.starts[low : low + GRAM_ROWS + 1]
+        # no sum of products is above the greatest sum of squares, so mostly all rows fit a double exactly
+        squares = np.bincount(self.terms, weights=rounded * rounded, minlength=n_terms)
+        at_once = ROWS_PER_BLOCK if squares.max() < EXACT else GRAM_ROWS
+        for low in range(0, len(self.starts) - 1, at_once):
+            ends = self.starts[low : low + at_once + 1]
             dense = np.zeros((len(ends) - 1, n_terms))
             inside = slice(ends[0], ends[-1])
             dense[np.repeat(np.arange(len(ends) - 1), np.diff(ends)), self.terms[inside]] = rounded[inside]
@@ -178,17 +192,16 @@ def _pack(features: DataFrame, vector: str) -> DataFrame:
     terms, weights = sparse_parts(vector)
     filled = features.select(terms.alias("terms"), weights.alias("weights")).where(F.size("terms") > 0)
 
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for low in range(0, len(batch), ROWS_PER_BLOCK):
-                some = batch.iloc[low : low + ROWS_PER_BLOCK]
-                rows = Rows.from_lists(some["terms"].tolist(), some["weights"].tolist())
+            for low in range(0, batch.num_rows, ROWS_PER_BLOCK):
+                rows = Rows.from_arrow(*batch.slice(low, ROWS_PER_BLOCK).columns)
                 parts = [number, rows.starts.tobytes(), rows.terms.tobytes(), rows.weights.tobytes()]
                 number += 1
-                yield pd.DataFrame([parts], columns=["block", "starts", "terms", "weights"])
+                yield pa.RecordBatch.from_arrays([pa.array([part]) for part in parts], names=["block", "starts", "terms", "weights"])
 
-    return filled.mapInPandas(pack, V_SCHEMA)
+    return filled.mapInArrow(pack, V_SCHEMA)
 
 
 def _rows(row) -> Rows:
@@ -258,19 +271,20 @@ class NmfModel:
         shared = df.sparkSession.sparkContext.broadcast((self.start, self.steps))
         k = self.components.shape[0]
 
-        def compute(term_lists: pd.Series, weight_lists: pd.Series) -> pd.Series:
+        def compute(term_lists: pa.Array, weight_lists: pa.Array) -> pa.Array:
             start, steps = shared.value
             w = np.zeros((len(term_lists), k))
-            filled = np.flatnonzero([t is not None and len(t) > 0 for t in term_lists])
-            if len(filled):
-                rows = Rows.from_lists(term_lists.iloc[filled].tolist(), weight_lists.iloc[filled].tolist())
+            filled = np.flatnonzero(np.asarray(pc.fill_null(pc.list_value_length(term_lists), 0)))
+            for low in range(0, len(filled), ROWS_PER_BLOCK):
+                some = filled[low : low + ROWS_PER_BLOCK]
+                rows = Rows.from_arrow(term_lists.take(some), weight_lists.take(some))
                 own = start.first_w(rows)
                 replay(rows, own, steps)
-                w[filled] = own
-            return pd.Series(list(w))
+                w[some] = own
+            return pa.ListArray.from_arrays(pa.array(np.arange(0, w.size + 1, k), pa.int32()), pa.array(w.ravel()))
 
-        compute.__annotations__ = {"term_lists": pd.Series, "weight_lists": pd.Series, "return": pd.Series}
-        return F.pandas_udf(compute, "array<double>").asNondeterministic()(terms, weights)
+        compute.__annotations__ = {"term_lists": pa.Array, "weight_lists": pa.Array, "return": pa.Array}
+        return F.arrow_udf(compute, "array<double>").asNondeterministic()(terms, weights)
 
 
 def fit_nmf(
