@@ -14,6 +14,8 @@ gives back only what connects components.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,6 +33,8 @@ SHINGLE, MIN_JACCARD = 5, 0.8
 BANDS, ROWS = 50, 6
 #: Rows of a block of a family, rows of a task, and shingles that are compared at a time.
 BLOCK_ROWS, ROWS_PER_TASK, COLUMNS = 512, 2_000, 8_192
+#: Bands whose visits are shuffled at a time, and shares in which pairs and blocks get their sets: the disk holds one share at a time.
+BANDS_AT_ONCE, SHARES = 10, 4
 SEED = 43
 
 _RANDOM = np.random.default_rng(SEED)
@@ -142,8 +146,9 @@ class Links:
         save, drop = self.scratch.save, self.scratch.drop
         marks = save(self.binary.mapInPandas(_marks, "node long, fp long, cells array<long>"), "marks")
         alike = save(self._by_fingerprint(marks), "alike")
-        crowd = save(self._crowd(marks), "crowd")
-        drop("marks", "shared")
+        drop("fingerprints")
+        crowd = self._crowd(marks)
+        drop("marks")
         weights = save(self._weights(crowd), "weights")
         first = self._centre_pairs(crowd.withColumn("component", F.col("node")), weights)
         links = self._verified(alike.union(first), "stars")
@@ -153,7 +158,7 @@ class Links:
         links = save(links.union(self._verified(second, "others")), "both")
         open_cells = save(self._open(open_cells.select("cell", "node"), links, "second"), "open2")
         drop("open1", "placed-second", "weights")
-        return links.union(save(self._rest(open_cells), "rest"))
+        return links.union(self._rest(open_cells))
 
     def _by_fingerprint(self, marks: DataFrame) -> DataFrame:
         """One pair per node of a fingerprint, and one per link of fingerprints."""
@@ -165,11 +170,26 @@ class Links:
         return same.union(near)
 
     def _crowd(self, marks: DataFrame) -> DataFrame:
-        """Nodes of the cells that hold more than one."""
-        visits = marks.select("node", F.explode("cells").alias("cell"))
-        shared = visits.groupBy("cell").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-        shared = self.scratch.save(shared.select("cell"), "shared")
-        return visits.join(shared, "cell").select("cell", "node").distinct()
+        """Nodes of the cells that hold more than one; bands have no cell in common, so some are shuffled at a time."""
+
+        def some(low: int) -> DataFrame:
+            visits = marks.select("node", F.explode(F.slice("cells", low + 1, BANDS_AT_ONCE)).alias("cell"))
+            shared = visits.groupBy("cell").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+            shared = self.scratch.save(shared.select("cell"), f"shared{low}")
+            return visits.join(shared, "cell").select("cell", "node").distinct()
+
+        return self._in_turn(some, range(0, BANDS, BANDS_AT_ONCE), "crowd")
+
+    def _in_turn(self, some: Callable[[int], DataFrame], shares: Iterable[int], name: str) -> DataFrame:
+        """All shares of a table as one, written one after the other; what a share shuffled is let go before the next."""
+        written = {f"{name}-share{k}": k for k in shares}
+        parts = []
+        for part, k in written.items():
+            parts.append(self.scratch.save(some(k), part))
+            self.scratch.drop()
+        whole = self.scratch.save(reduce(DataFrame.union, parts), name)
+        self.scratch.drop(*written)
+        return whole
 
     def _weights(self, crowd: DataFrame) -> DataFrame:
         """How many nodes a node meets in all its cells."""
@@ -185,17 +205,28 @@ class Links:
         return other.groupBy("node").agg(F.max("c").alias("c")).select(F.col("node").alias("a"), F.col("c.node").alias("b"))
 
     def _sets(self, nodes: DataFrame, name: str) -> DataFrame:
-        """The shingle sets of some nodes; equal nodes have equal sets, so any row's will do."""
-        sets = self.binary.join(nodes, "_node", "left_semi").select(F.col("_node").alias("node"), shingle_sets("text").alias("set"))
-        return self.scratch.save(sets.groupBy("node").agg(F.first("set").alias("set")), name)
+        """The shingle sets of some distinct nodes, with their other columns; equal nodes have equal sets, so any row's will do."""
+        sets = self.binary.join(nodes, "_node").select(F.col("_node").alias("node"), *nodes.columns[1:], shingle_sets("text").alias("set"))
+        return self.scratch.save(sets.groupBy("node", *nodes.columns[1:]).agg(F.first("set").alias("set")), name)
 
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
-        ordered = pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-        pairs = self.scratch.save(ordered, f"{name}-pairs")
-        ends = self.scratch.save(pairs.select(F.explode(F.array("a", "b")).alias("_node")).distinct(), f"{name}-ends")
-        sets = self._sets(ends, f"{name}-sets")
-        both = pairs.join(sets.toDF("b", "right"), "b").join(sets.toDF("a", "left"), "a")
-        links = self.scratch.save(both.where(jaccard("left", "right") >= self.min_jaccard).select("a", "b"), name)
+        """The pairs that have ``min_jaccard``. Each node ``a`` takes its set along to few centres ``b``, one share of nodes at a time."""
+        sides = pairs.where("a <> b").groupBy(F.greatest("a", "b"), F.least("a", "b")).agg(F.max(F.struct("b", "a")).alias("p"))
+        pairs = self.scratch.save(sides.select("p.a", "p.b"), f"{name}-pairs")
+        end = lambda of, right: F.struct(F.col(of).alias("_node"), F.lit(right).alias("right"))
+        ends = pairs.select(F.inline(F.array(end("a", False), end("b", True))))
+        ends = ends.groupBy("_node").agg(F.bool_or(~F.col("right")).alias("is_a"), F.bool_or("right").alias("is_b"))
+        sets = self._sets(self.scratch.save(ends, f"{name}-ends"), f"{name}-sets")
+        self.scratch.drop()
+        right = sets.where("is_b").select(F.col("node").alias("b"), F.col("set").alias("right"))
+
+        def some(k: int) -> DataFrame:
+            share = F.pmod(F.xxhash64("a", F.lit(2)), F.lit(SHARES)) == k
+            left = sets.where("is_a").select(F.col("node").alias("a"), F.col("set").alias("left")).where(share)
+            both = pairs.where(share).join(left, "a").join(right, "b")
+            return both.where(jaccard("left", "right") >= self.min_jaccard).select("a", "b")
+
+        links = self._in_turn(some, range(SHARES), name)
         self.scratch.drop(f"{name}-pairs", f"{name}-ends", f"{name}-sets")
         return links
 
@@ -214,20 +245,24 @@ class Links:
         family = self.scratch.save(components(edges, Scratch(self.scratch.spark, "near-copy-families")).toDF("node", "family"), "families")
         members = self.scratch.save(open_cells.select("node", "component").distinct(), "members")
         sets = self._sets(members.select(F.col("node").alias("_node")), "open-sets")
+        self.scratch.drop()
         sizes = self.scratch.save(family.groupBy("family").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("cuts")), "family-sizes")
         rows = members.join(family, "node").join(sizes, "family")
         mine = F.pmod(F.xxhash64("node", F.lit(1)), F.col("cuts")).cast("int")
         pair = lambda o: F.struct((F.least(mine, o) * 65536 + F.greatest(mine, o)).alias("blocks"), (mine > o).alias("right"))
         rows = rows.select("node", "component", "family", F.inline(F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), pair)))
-        rows = rows.join(sets, "node").withColumn("set", packed("set"))
         tasks = 1 + members.count() // ROWS_PER_TASK
         limit = self.min_jaccard
 
         def connect(frame: pd.DataFrame) -> pd.DataFrame:
             return _connected(frame, limit)
 
-        dealt = rows.withColumn("task", F.pmod(F.xxhash64("family", "blocks"), F.lit(tasks)))
-        return dealt.groupBy("task").applyInPandas(connect, "a long, b long")
+        def some(k: int) -> DataFrame:
+            share = rows.where(F.pmod(F.xxhash64("family", "blocks", F.lit(2)), F.lit(SHARES)) == k).join(sets, "node")
+            dealt = share.withColumn("set", packed("set")).withColumn("task", F.pmod(F.xxhash64("family", "blocks"), F.lit(tasks)))
+            return dealt.groupBy("task").applyInPandas(connect, "a long, b long")
+
+        return self._in_turn(some, range(SHARES), "rest")
 
 
 def near_copy_links(marked: DataFrame, scratch: Scratch, min_jaccard: float = MIN_JACCARD) -> DataFrame:

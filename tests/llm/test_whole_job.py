@@ -178,3 +178,27 @@ def test_run_against_plain_python(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "text", "copies").collect()
     key = lambda r: (r[0], r[1] or "", r[2])
     assert sorted(map(key, got)) == sorted(map(key, want)) and len(got) > len(free) / 3
+
+
+def test_near_copies_are_dealt_in_shares_and_lose_nothing(spark, monkeypatch):
+    """Cells and sets are shuffled a share at a time, each far below the whole, with the same rows as in one go."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 60 if i % 3 else 9000, 40)) for i in range(60)]
+    texts += [f"{t} tail" for t in texts[:30]] + texts[10:20] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = sorted(set(grouped([t or "" for t in texts])))
+    written, save = {}, nearcopies.Scratch.save
+
+    def spied(self, df, name):
+        out = save(self, df, name)
+        written[name] = out.count() if "crowd" in name else 0
+        return out
+
+    monkeypatch.setattr(nearcopies.Scratch, "save", spied)
+    assert sorted(r["doc_id"] for r in nearcopies.keep_one_of_near_copies(docs).collect()) == want
+    shares = [n for name, n in written.items() if name.startswith("crowd-share")]
+    assert sum(shares) == written["crowd"] > 0 and max(shares) < written["crowd"] / 2
+    assert {"stars-share3", "others-share3", "rest-share3"} <= set(written)
+    monkeypatch.setattr(nearcopies, "BANDS_AT_ONCE", nearcopies.BANDS)
+    monkeypatch.setattr(nearcopies, "SHARES", 1)
+    assert sorted(r["doc_id"] for r in nearcopies.keep_one_of_near_copies(docs).collect()) == want
