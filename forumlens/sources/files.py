@@ -18,6 +18,7 @@ from forumlens import fixed_values as fixed
 from forumlens.schema import COMMENT, COMMENTS, POST, harmonize_schema
 from forumlens.session import list_folder
 from forumlens.sources.comments_json import decode_comments, repair_comments
+from forumlens.sources.json_arrays import read_arrays
 
 CSV_DIALECT = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
 CSV_WRITING = {
@@ -73,15 +74,14 @@ def read_posts_json(spark: SparkSession, paths: str | list[str], schema: T.Struc
     """Posts from JSON with every field the records have; those that ``schema`` names get its types.
 
     Files hold one record, or one array of records, per line, which Spark can split; or one array over several lines, as
-    a plain dump with indents leaves it, which one task reads per file. Unless ``lines`` says which, the first
+    a plain dump with indents leaves it, which :func:`read_arrays` cuts into records. Unless ``lines`` says which, the first
     line decides. A record that isn't JSON raises.
     """
     lines = one_record_per_line(spark, paths) if lines is None else lines
-    reader = spark.read.option("multiLine", str(not lines).lower()).option("mode", "FAILFAST")
-    raw = reader.json(paths)
+    raw = spark.read.option("mode", "FAILFAST").json(paths) if lines else read_arrays(spark, paths, POSITION)
     if not raw.columns:
         return spark.createDataFrame([], schema)
-    df = with_types(with_position(raw), schema)
+    df = with_types(with_position(raw) if lines else raw, schema)
     return df.withColumn("comments", _as_comments(df)) if "comments" in df.columns else df
 
 

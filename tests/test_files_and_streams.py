@@ -9,7 +9,7 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from forumlens.operators.ranking import dedupe_posts, duplicate_count
 from forumlens.schema import COMMENT, POST, coerce
-from forumlens.session import list_folder, publish, work_folder
+from forumlens.session import list_folder, publish, settings, work_folder
 from forumlens.sources import files
 from forumlens.sources.comments_json import repair_comments
 from forumlens.streaming import days, feeds
@@ -209,3 +209,31 @@ def test_blank_ids_are_kept_and_counted_alike(spark):
 def test_numbers_too_large_for_a_whole_number_become_zero(spark):
     posts = spark.createDataFrame([("Infinity",), ("1e30",), ("7",)], "score string")
     assert [r[0] for r in posts.select(coerce(posts, "score", "bigint")).collect()] == [0, 0, 7]
+
+
+def test_array_over_many_lines_is_read_by_many_tasks(spark, tmp_path):
+    """Records, also such as lie in several splits, come whole and in order; more than one task reads the file."""
+    posts = [{"id": str(i), "title": 'a ] } " [ \\ {' * (i % 5), "selftext": "x\n" * (i % 90), "comments": [comment("b")] * (i % 3)} for i in range(400)]
+    forms = {
+        "indented": json.dumps(posts, indent=2), "packed": "[" + ",\n".join(json.dumps(p) for p in posts) + "]",
+        "mixed": json.dumps(posts, indent=1).replace("},\n {", "}, {"),
+    }
+    with settings(spark, spark__sql__files__maxPartitionBytes="2000", spark__sql__files__openCostInBytes="0"):
+        for name, text in forms.items():
+            path = tmp_path / f"{name}.json"
+            path.write_text(text)
+            df = files.read_posts_json(spark, str(path))
+            rows = df.orderBy(files.POSITION).collect()
+            assert [(r["id"], r["title"], r["selftext"], len(r["comments"])) for r in rows] == [
+                (p["id"], p["title"], p["selftext"], len(p["comments"])) for p in posts
+            ], name
+            assert len({r[files.POSITION]["file_block_start"] for r in rows}) > 20
+        for text in ('[\n{"id": "1"},\n oops\n]', '[\n{"id": "1"},\n{"id": \n', '[\n{"id": "1},\n{"id": "2"}\n]', '[\n{"id": 1 2}\n]'):
+            path = tmp_path / "broken.json"
+            path.write_text(text)
+            with pytest.raises(Exception):  # noqa: B017
+                files.read_posts_json(spark, str(path)).collect()
+    (tmp_path / "one.json").write_text('{\n"id": "7",\n"title": "t"\n}')
+    assert [r["id"] for r in files.read_posts_json(spark, str(tmp_path / "one.json")).collect()] == ["7"]
+    (tmp_path / "none.json").write_text("[\n]")
+    assert files.read_posts_json(spark, str(tmp_path / "none.json")).count() == 0
