@@ -67,7 +67,7 @@ def rake(
         asked = met.select(F.col(d).alias("_value"), (F.col("target") / share).alias("_asked"))
         bound = work.groupBy(F.col(d).alias("_of")).agg(F.sum("_bound").alias("_most"))
         present[d] = reachable(asked.join(bound, asked["_value"].eqNullSafe(bound["_of"])).drop("_of"), scratch, f"target_{d}")
-    weight = F.least("_free", "_bound")
+    weight, last = F.least("_free", "_bound"), []
     for k in range(rounds):
         off = F.lit(0.0)
         for d, target in present.items():
@@ -82,12 +82,14 @@ def rake(
             factor = sums.join(target, sums["_value"].eqNullSafe(target["_value"]), "left").select(
                 sums["_value"], F.when(F.col("_sum") > 0, step).otherwise(0.0).alias("_factor"), error.alias(f"_off_{d}"))
             work = work.join(factor, work[d].eqNullSafe(factor["_value"])).drop("_value")
-            work = work.withColumn("_free", F.col("_free") * F.col("_factor")).drop("_factor")
+            # written after each dimension: else a plan holds those of the dimensions before twice over, and the driver all of them
+            work = scratch.save(work.withColumn("_free", F.col("_free") * F.col("_factor")).drop("_factor"), f"round{k}-{d}")
+            last.append(f"round{k}-{d}")
             off = F.greatest(off, F.when(F.col("_free") > 0, F.col(f"_off_{d}")).otherwise(0.0))
-        work = scratch.save(work.select(*cells.columns, "_free", "_bound", off.alias("_off")), f"round{k}")
-        worst = work.agg(F.max("_off")).first()[0]
-        work = work.drop("_off")
-        scratch.drop(f"round{k - 1}")  # and what the driver holds of the rounds before
+        worst = work.agg(F.max(off)).first()[0]
+        work = work.select(*cells.columns, "_free", "_bound")
+        scratch.drop(*last[:-1])  # and what the driver holds of the rounds before
+        del last[:-1]
         if worst is None or worst <= tolerance:
             break
     work = work.select(*cells.columns, weight.alias("weight"), F.lit(0.0).alias("unmet"))
@@ -96,7 +98,8 @@ def rake(
         lacks = sums.join(target, sums["_of"].eqNullSafe(target["_value"])).select("_of", F.when(F.col("_asked") > 0, 1 - F.col("_sum") / F.col("_asked")).otherwise(0.0).alias("_lacks"))
         work = work.join(lacks, work[d].eqNullSafe(lacks["_of"]), "left").drop("_of")
         work = work.withColumn("unmet", F.greatest("unmet", F.when(F.col("_lacks") > tolerance, F.round("_lacks", 6)).otherwise(0.0))).drop("_lacks")
-    return scratch.save(work, "raked")
+        work = scratch.save(work, f"unmet-{d}")
+    return work
 
 
 def _cell(docs: DataFrame, topic: Column | None) -> list[Column]:

@@ -35,6 +35,8 @@ BANDS, ROWS = 50, 6
 BLOCK_ROWS, ROWS_PER_TASK, COLUMNS = 512, 2_000, 8_192
 #: Bands whose visits are shuffled at a time, and shares in which pairs and blocks get their sets: the disk holds one share at a time.
 BANDS_AT_ONCE, SHARES = 10, 4
+#: Slots of hashed rows: what shares none with a dropped row is kept where it lies.
+SLOTS = 1 << 20
 SEED = 43
 
 _RANDOM = np.random.default_rng(SEED)
@@ -288,5 +290,19 @@ def keep_one_of_near_copies(docs: DataFrame, min_jaccard: float = MIN_JACCARD) -
     nodes = scratch.save(marked.groupBy(F.col("_node").alias("node")).agg(F.min(rank).alias("rank")), "nodes")
     group = scratch.save(components(near_copy_links(marked.select("_node", text.alias("text")), scratch, min_jaccard), scratch), "groups")
     kept = nodes.join(group, "node", "left").groupBy(F.coalesce("component", "node")).agg(F.min("rank")["_row"].alias("_row"))
-    rows = marked.join(scratch.save(kept.select("_row"), "kept"), "_row", "left_semi")
+    rows = without_rows(marked, marked.select("_row").join(scratch.save(kept.select("_row"), "kept"), "_row", "left_anti"), scratch)
     return rows.select(*[F.col("_whole")[f"c{i}"].alias(c) for i, c in enumerate(docs.columns)])
+
+
+def without_rows(marked: DataFrame, dropped: DataFrame, scratch: Scratch, slots: int = SLOTS) -> DataFrame:
+    """The rows of ``marked`` whose ``_row`` is not in ``dropped``; the texts of most rows that stay are not shuffled.
+
+    Dropped rows are hashed to slots, of which at most ``slots`` are broadcast. Rows that share no slot with a dropped
+    one stay where they lie; the others, the dropped rows and chance hits, are decided by their own ``_row``.
+    """
+    slot = F.pmod(F.xxhash64("_row"), F.lit(slots)).alias("_slot")
+    dropped = scratch.save(dropped.select("_row"), "dropped")
+    taken = F.broadcast(scratch.save(dropped.select(slot).distinct(), "slots"))
+    placed = marked.select("*", slot)
+    asked = placed.join(taken, "_slot", "left_semi").join(dropped, "_row", "left_anti")
+    return placed.join(taken, "_slot", "left_anti").unionByName(asked).select(*marked.columns)

@@ -3,7 +3,7 @@
 import numpy as np
 
 import corpus_pipeline
-from forumlens.llm import nearcopies
+from forumlens.llm import mixing, nearcopies
 from forumlens.llm.contamination import leaks, question_and_answer, shingles, words_of
 from forumlens.llm.mixing import mix
 from forumlens.llm.pii import KINDS, find_spans, redact, train_field
@@ -202,3 +202,33 @@ def test_near_copies_are_dealt_in_shares_and_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(nearcopies, "BANDS_AT_ONCE", nearcopies.BANDS)
     monkeypatch.setattr(nearcopies, "SHARES", 1)
     assert sorted(r["doc_id"] for r in nearcopies.keep_one_of_near_copies(docs).collect()) == want
+
+
+def test_most_texts_that_stay_are_not_shuffled(spark, tmp_path):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scratch = nearcopies.Scratch(spark, "lie")
+        marked = scratch.save(spark.range(4000).selectExpr("id as _row", "repeat('a', 100) as text"), "marked")
+        dropped = spark.createDataFrame([(r,) for r in (0, 5, 3999)], "_row long")
+        for slots in (nearcopies.SLOTS, 8, 1):  # few slots: most rows share one with a dropped row
+            rows = nearcopies.without_rows(marked, dropped, nearcopies.Scratch(spark, "lie"), slots)
+            assert {r["_row"] for r in rows.select("_row").collect()} == set(range(4000)) - {0, 5, 3999}
+        whole = nearcopies.without_rows(marked, dropped, nearcopies.Scratch(spark, "lie"))
+        plan = whole._jdf.queryExecution().executedPlan().toString()
+        first = plan[: plan.index("SortMergeJoin")]  # the side of the union that holds all rows without a slot in common
+        assert "LeftAnti" in first and "hashpartitioning" not in first
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_plans_of_raking_do_not_grow_with_dimensions(spark, monkeypatch):
+    sizes, save = [], mixing.Scratch.save
+
+    def spied(self, df, name):
+        sizes.append(df._jdf.queryExecution().optimizedPlan().toString().count("Join"))
+        return save(self, df, name)
+
+    monkeypatch.setattr(mixing.Scratch, "save", spied)
+    docs = spark.createDataFrame([(i, "word " * (1 + i % 7), f"s{i % 3}", f"l{i % 2}") for i in range(60)], "doc_id long, text string, source string, lang string")
+    assert mixing.mix(docs, {"source": 0.5, "lang": 0.7}).count() == 60
+    assert max(sizes) <= 3
