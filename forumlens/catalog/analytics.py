@@ -322,8 +322,8 @@ def topic_model(v: Views) -> topics.TopicModel:
 def topic_weights(v: Views) -> DataFrame:
     """W of every post with enough text."""
     model = topic_model(v)
-    counted = topics.with_terms(v.posts(), model.stop_words).where(F.col(topics.TERMS).isNotNull())
-    return model.weighted(counted).select("id", F.posexplode("_w").alias("topic_id", "weight"))
+    worded = topics.with_words(v.posts(), model.stop_words).where(F.col(topics.WORDS).isNotNull())
+    return model.weighted(worded).select("id", F.posexplode("_w").alias("topic_id", "weight"))
 
 
 @query("topic_assign")
@@ -390,8 +390,8 @@ topical as (select a.*, coalesce(n.name, 'uncategorized') as topic_name from ass
 def topic_weights_given(v: Views) -> DataFrame:
     """W of two sweeps from given factors."""
     model = given_model(v)
-    counted = topics.with_terms(v.posts(), STOP_WORDS).where(F.col(topics.TERMS).isNotNull())
-    long = model.weighted(counted).where(F.size("tfidf.indices") > 0).select("id", F.posexplode("_w").alias("topic_id", "weight"))
+    worded = topics.with_words(v.posts(), STOP_WORDS).where(F.col(topics.WORDS).isNotNull())
+    long = model.weighted(worded).where(F.size("tfidf.indices") > 0).select("id", F.posexplode("_w").alias("topic_id", "weight"))
     return long.withColumn("weight", F.rint(F.col("weight") * 1e6) / 1e6)
 
 

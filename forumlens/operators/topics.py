@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -23,13 +23,15 @@ from forumlens.session import write_and_read
 MIN_CHARS = 20
 WEIGHT_FLOOR = 0.1
 TERMS = "_terms"
+WORDS = "_words"
 #: Frequent-items sketches merged in one task.
 SKETCHES_AT_ONCE = 64
 #: Words whose pairs are counted, at most; where more are in question, every pair is counted.
 MOST_PAIRED = 200_000
-#: Texts whose terms are counted at a time.
+#: Texts that are worked through at a time.
 TEXTS_AT_ONCE = 1024
 COUNTED = pa.list_(pa.struct([pa.field("term", pa.string()), pa.field("n", pa.int32())]))
+TALLIED = "n bigint, documents bigint"
 VECTOR = pa.struct([pa.field("indices", pa.list_(pa.int32())), pa.field("values", pa.list_(pa.float64()))])
 
 
@@ -97,12 +99,12 @@ def counted_terms(terms: Column) -> Column:
     return let(F.sort_array(terms), lambda ordered: F.when(F.size(ordered) > 0, runs(ordered)))
 
 
-def with_terms(df: DataFrame, stop_words: list[str], name: str = TERMS) -> DataFrame:
-    """Adds the counted terms of title and body, null where the text is too short for topics.
+def with_words(df: DataFrame, stop_words: list[str], name: str = WORDS) -> DataFrame:
+    """Adds the words of title and body that can be terms, in order, joined by blanks; null where the text is too short for topics.
 
-    The same as :func:`counted_terms` of :func:`terms_of`, worked out a batch of texts at a time: lambdas of SQL functions
-    run element by element, and took most of the time of a fit. Of letters and digits outside ASCII only matters that a
-    word with one is no term; Spark marks them, so that both ways agree on what a letter is.
+    They hold all that the terms are made of, and less than half of what the counted terms take. Worked out a batch of texts
+    at a time: lambdas of SQL functions run element by element. Of letters and digits outside ASCII only matters that a
+    word with one is no term; Spark marks them, so that all ways agree on what a letter is.
     """
 
     def marked(text: Column) -> Column:
@@ -115,24 +117,64 @@ def with_terms(df: DataFrame, stop_words: list[str], name: str = TERMS) -> DataF
     apart = bytes(i if chr(i).isalnum() and i < 128 or chr(i) == "_" else 32 for i in range(256))
     stops = pa.array(stop_words, pa.string())
 
+    def wanted(words: pa.Array) -> pa.Array:
+        return pc.and_not(pc.match_substring_regex(words, "^[a-z][a-z0-9]+$"), pc.is_in(words, value_set=stops))
+
     def some(text: pa.Array) -> pa.Array:
         valid, offsets, signs = text.buffers()
         spaced = pa.Array.from_buffers(text.type, len(text), [valid, offsets, pa.py_buffer(bytes(signs or b"").translate(apart))], offset=text.offset)
-        found = pc.ascii_split_whitespace(spaced)
-        row = np.repeat(np.arange(len(text)), np.asarray(pc.fill_null(pc.list_value_length(found), 0)))
-        encoded = found.flatten().dictionary_encode()
-        wanted = pc.and_not(pc.match_substring_regex(encoded.dictionary, "^[a-z][a-z0-9]+$"), pc.is_in(encoded.dictionary, value_set=stops))
-        words = encoded.dictionary.filter(wanted)
+        row, code, words = _coded(spaced, wanted)
+        ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(text)))])
+        kept = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words.take(pa.array(code)), mask=text.is_null())
+        return pc.binary_join(kept, " ").cast(pa.string())
+
+    return df.withColumn(name, _by_slices(some, pa.string(), "string")(let(strip(combined_text()), long_enough)))
+
+
+def _by_slices(of_some: Callable[[pa.Array], pa.Array], arrow_type: pa.DataType, spark_type: str):
+    """A function of a column that takes some texts at a time; a filter on its result makes no copy of it."""
+
+    def work(texts: pa.Array) -> pa.Array:
+        parts = [of_some(texts.slice(low, TEXTS_AT_ONCE)) for low in range(0, len(texts), TEXTS_AT_ONCE)]
+        return pa.concat_arrays(parts) if parts else pa.array([], arrow_type)
+
+    work.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+    return F.arrow_udf(work, spark_type).asNondeterministic()
+
+
+def _coded(texts: pa.Array, wanted: Callable[[pa.Array], pa.Array] | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Row and code of each wanted word of texts, in order, and the words that codes stand for."""
+    found = pc.ascii_split_whitespace(texts)
+    row = np.repeat(np.arange(len(texts)), np.asarray(pc.fill_null(pc.list_value_length(found), 0)))
+    encoded = found.flatten().dictionary_encode()
+    words = encoded.dictionary
+    kept = np.asarray(pc.not_equal(words, "") if wanted is None else wanted(words), bool)
+    if not kept.all():
+        code = np.where(kept, np.cumsum(kept) - 1, -1)[np.asarray(encoded.indices)]
+        return row[code >= 0], code[code >= 0], words.filter(pa.array(kept))
+    return row, np.asarray(encoded.indices, np.int64), words
+
+
+def _beside(row: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first and second of all neighbours in a row whose codes are not negative."""
+    both = np.flatnonzero((row[1:] == row[:-1]) & (code[1:] >= 0) & (code[:-1] >= 0))
+    return row[both], code[both], code[both + 1]
+
+
+def _counted_terms(words: Column) -> Column:
+    """The same as :func:`counted_terms`, of words joined by blanks."""
+
+    def some(text: pa.Array) -> pa.Array:
+        row, code, words = _coded(text)
         order = np.asarray(pc.sort_indices(words))
-        words, rank = words.take(order), np.full(len(wanted), -1)
-        rank[np.flatnonzero(np.asarray(wanted))[order]] = np.arange(len(words))
-        code = rank[np.asarray(encoded.indices)] if len(rank) else np.zeros(0, np.int64)
-        row, code = row[code >= 0], code[code >= 0]
-        beside = row[1:] == row[:-1]
+        words, rank = words.take(order), np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        code = rank[code]
         # a word is a pair without a second: a number for each term of each text, in the order of texts, then terms
-        first, second = np.concatenate([code, code[:-1][beside]]), np.concatenate([np.zeros_like(code), code[1:][beside] + 1])
+        pair_row, first, second = _beside(row, code)
+        first, second = np.concatenate([code, first]), np.concatenate([np.zeros_like(code), second + 1])
         base = len(words) + 1
-        number, n = np.unique((np.concatenate([row, row[1:][beside]]) * base + first) * base + second, return_counts=True)
+        number, n = np.unique((np.concatenate([row, pair_row]) * base + first) * base + second, return_counts=True)
         (rest, second), ends = np.divmod(number, base), np.zeros(len(text) + 1, np.int64)
         row, first = np.divmod(rest, base)
         np.cumsum(np.bincount(row, minlength=len(text)), out=ends[1:])
@@ -141,28 +183,83 @@ def with_terms(df: DataFrame, stop_words: list[str], name: str = TERMS) -> DataF
         entries = pa.StructArray.from_arrays([term.cast(pa.string()), pa.array(n, pa.int32())], fields=list(COUNTED.value_type))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), entries, type=COUNTED, mask=text.is_null())
 
-    def count(text: pa.Array) -> pa.Array:
-        parts = [some(text.slice(low, TEXTS_AT_ONCE)) for low in range(0, len(text), TEXTS_AT_ONCE)]
-        return pa.concat_arrays(parts) if parts else pa.array([], COUNTED)
+    return _by_slices(some, COUNTED, "array<struct<term:string,n:int>>")(words)
 
-    count.__annotations__ = {"text": pa.Array, "return": pa.Array}
-    counted = F.arrow_udf(count, "array<struct<term:string,n:int>>").asNondeterministic()
-    return df.withColumn(name, counted(let(strip(combined_text()), long_enough)))
+
+def with_terms(df: DataFrame, stop_words: list[str], name: str = TERMS) -> DataFrame:
+    """Adds the counted terms of title and body, null where the text is too short for topics.
+
+    The same as :func:`counted_terms` of :func:`terms_of`.
+    """
+    return with_words(df, stop_words, WORDS).withColumn(name, _counted_terms(F.col(WORDS))).drop(WORDS)
 
 
 def term_table(df: DataFrame, stop_words: list[str], key: str = "id") -> DataFrame:
-    """(key, terms) of all posts with enough text, written out: the text is worked through once, whatever is done with it."""
-    table = with_terms(df.select(key, "title", "selftext"), stop_words).select(key, TERMS)
-    return write_and_read(table.where(F.col(TERMS).isNotNull()), "terms")
+    """(key, words) of all posts with enough text, written out: the text is worked through once, whatever is done with its terms."""
+    table = with_words(df.select(key, "title", "selftext"), stop_words).select(key, WORDS)
+    return write_and_read(table.where(F.col(WORDS).isNotNull()), "terms")
 
 
 def term_counts(table: DataFrame) -> DataFrame:
     """(term, corpus_count, document_frequency) of every term of a term table; one row per term and partition is shuffled."""
-    return _counted(table.select(F.inline(TERMS)))
+    return _counted(_terms(table))
+
+
+def _terms(table: DataFrame) -> DataFrame:
+    """(term, n, documents) of each term of each post."""
+    return table.select(F.inline(_counted_terms(F.col(WORDS)))).withColumn("documents", F.lit(1))
 
 
 def _counted(terms: DataFrame) -> DataFrame:
-    return terms.groupBy("term").agg(F.sum("n").alias("corpus_count"), F.count(F.lit(1)).alias("document_frequency"))
+    return terms.groupBy("term").agg(F.sum("n").alias("corpus_count"), F.sum("documents").alias("document_frequency"))
+
+
+def _tallied(key: np.ndarray, row: np.ndarray, rows: int) -> tuple[np.ndarray, list[pa.Array]]:
+    """The distinct keys, and how often and in how many rows each occurs."""
+    number, n = np.unique(key * rows + row, return_counts=True)
+    key = number // max(rows, 1)
+    starts = np.flatnonzero(np.diff(key, prepend=-1))
+    times = np.add.reduceat(n, starts) if len(starts) else n
+    return key[starts], [pa.array(times, pa.int64()), pa.array(np.diff(starts, append=len(key)), pa.int64())]
+
+
+def _words(table: DataFrame) -> DataFrame:
+    """(term, n, documents) of the words of each batch of posts."""
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, code, words = _coded(batch.column(0))
+            code, tallies = _tallied(code, row, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([words.take(pa.array(code)), *tallies], names=["term", "n", "documents"])
+
+    return table.select(WORDS).mapInArrow(tally, f"term string, {TALLIED}")
+
+
+def _pairs(table: DataFrame, words: list[str]) -> DataFrame:
+    """(pair, n, documents) of the pairs of given words in each batch of posts; a pair is the number of its words' places."""
+    known = pa.array(words, pa.string())
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, code, found = _coded(batch.column(0))
+            place = np.asarray(pc.fill_null(pc.index_in(found, value_set=known), -1), np.int64)
+            row, first, second = _beside(row, place[code])
+            pair, tallies = _tallied(first * len(known) + second, row, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(pair, pa.int64()), *tallies], names=["pair", "n", "documents"])
+
+    return table.select(WORDS).mapInArrow(tally, f"pair bigint, {TALLIED}")
+
+
+def _pair_term(pair: Column, words: list[str]) -> Column:
+    """The term that the number of a pair stands for."""
+    known = pa.array(words, pa.string())
+
+    def name(pairs: pa.Array) -> pa.Array:
+        first, second = np.divmod(np.asarray(pairs, np.int64), len(known))
+        return pc.binary_join_element_wise(known.take(pa.array(first)), known.take(pa.array(second)), " ").cast(pa.string())
+
+    name.__annotations__ = {"pairs": pa.Array, "return": pa.Array}
+    return F.arrow_udf(name, "string")(pair)
 
 
 def frequent_terms(table: DataFrame, tracked: int) -> tuple[DataFrame, float]:
@@ -171,7 +268,7 @@ def frequent_terms(table: DataFrame, tracked: int) -> tuple[DataFrame, float]:
     A frequent-items sketch of bounded size per partition, merged in a tree: sketches travel, terms don't. A sketch
     that tracks m items misses none that occurs more than 3.5 n / (m / 0.75) times among n.
     """
-    occurrences = table.select(F.explode(F.flatten(F.transform(TERMS, lambda t: F.array_repeat(t["term"], t["n"].cast("int"))))).alias("term"))
+    occurrences = _terms(table).select(F.explode(F.expr("array_repeat(term, n)")).alias("term"))
     groups = max(1, occurrences.rdd.getNumPartitions() // SKETCHES_AT_ONCE)
     sketches = occurrences.groupBy((F.spark_partition_id() % groups).alias("g")).agg(
         F.expr(f"approx_top_k_accumulate(term, {tracked})").alias("sketch"), F.count(F.lit(1)).alias("n")
@@ -205,7 +302,7 @@ def vocabulary_table(
     if tracked is None:
         return best(_possible_counts(table, best, max_terms, min_df))
     candidates, below = frequent_terms(table, tracked)
-    counted = _counted(table.select(F.inline(TERMS)).join(F.broadcast(candidates), "term", "left_semi"))
+    counted = _counted(_terms(table).join(F.broadcast(candidates), "term", "left_semi"))
     found = write_and_read(best(counted), "vocabulary")
     last = found.agg(F.count(F.lit(1)).alias("n"), F.min("corpus_count").alias("least")).first()
     # fewer terms than wanted are all there are only if every term was tracked, which a bound below 1 says
@@ -219,18 +316,15 @@ def _possible_counts(table: DataFrame, best: Callable[[DataFrame], DataFrame], m
     A pair occurs no more often than either of its words, and in no more documents. So once the best words are known,
     pairs with a word that is rarer than the last of them, or in too few documents, need not be counted.
     """
-    is_pair = F.contains("term", F.lit(" "))
-    terms = table.select(F.inline(TERMS))
-    words = write_and_read(_counted(terms.where(~is_pair)), "words")
+    words = write_and_read(_counted(_words(table)), "words")
     last = best(words).agg(F.count(F.lit(1)).alias("n"), F.min("corpus_count").alias("least")).first()
     least = last["least"] if last["n"] == max_terms else 0
-    paired = words.where((F.col("corpus_count") >= least) & (F.col("document_frequency") >= min_df)).select("term")
-    pairs = terms.where(is_pair)
-    if paired.count() <= MOST_PAIRED:
-        for place, side in ((1, "_left"), (-1, "_right")):
-            word = F.substring_index("term", " ", place).alias(side)
-            pairs = pairs.select("term", "n", word).join(F.broadcast(paired.toDF(side)), side, "left_semi")
-    return words.unionByName(_counted(pairs))
+    often = (F.col("corpus_count") >= least) & (F.col("document_frequency") >= min_df)
+    paired = [r["term"] for r in words.where(often).select("term").limit(MOST_PAIRED + 1).collect()]
+    if len(paired) > MOST_PAIRED:
+        return words.unionByName(_counted(_terms(table).where(F.contains("term", F.lit(" ")))))
+    pairs = _counted(_pairs(table, paired).withColumnRenamed("pair", "term")).where(often)
+    return words.unionByName(pairs.withColumn("term", _pair_term(F.col("term"), paired)))
 
 
 def fit_vocabulary(table: DataFrame, max_terms: int = 1000, min_df: int = 2, max_df: float = 0.8) -> Vocabulary:
@@ -242,27 +336,53 @@ def fit_vocabulary(table: DataFrame, max_terms: int = 1000, min_df: int = 2, max
 
 
 def tfidf_features(df: DataFrame, vocabulary: Vocabulary, terms: str = TERMS) -> DataFrame:
-    """Adds ``tfidf``, the unit-length sparse vector of counted terms: places of terms, rising, and weights. Nothing is shuffled."""
-    known, idf = vocabulary.terms, np.array(vocabulary.idf)
+    """Adds ``tfidf``, the unit-length sparse vector of a post's terms: places of terms, rising, and weights. Nothing is shuffled.
 
-    def weigh(counted: pa.Array) -> pa.Array:
+    Terms are taken from a post's words where ``df`` has them, otherwise from counted terms.
+    """
+    idf, known = np.array(vocabulary.idf), pa.array(vocabulary.terms, pa.string())
+    split = [term.split(" ") for term in vocabulary.terms]
+    parts = sorted({word for words in split for word in words})
+    at = {word: i for i, word in enumerate(parts)}
+    alone = np.full(len(parts) + 1, -1)  # the last is for words that are in no term
+    alone[[at[words[0]] for words in split if len(words) == 1]] = [place for place, words in enumerate(split) if len(words) == 1]
+    together = sorted((at[words[0]] * len(parts) + at[words[1]], place) for place, words in enumerate(split) if len(words) == 2)
+    pairs, pair_places = np.array(together, np.int64).reshape(-1, 2).T
+    in_terms = pa.array(parts, pa.string())
+
+    def of_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        row, code, words = _coded(texts)
+        part = np.asarray(pc.fill_null(pc.index_in(words, value_set=in_terms), -1), np.int64)[code]
+        place = alone[part]
+        pair_row, first, second = _beside(row, part)
+        pair = first * len(parts) + second
+        near = np.minimum(np.searchsorted(pairs, pair), max(len(pairs) - 1, 0))
+        found = np.flatnonzero(pairs[near] == pair) if len(pairs) else near[:0]
+        row, place = np.concatenate([row[place >= 0], pair_row[found]]), np.concatenate([place[place >= 0], pair_places[near[found]]])
+        number, n = np.unique(row * max(len(known), 1) + place, return_counts=True)
+        return *np.divmod(number, max(len(known), 1)), n
+
+    def of_terms(counted: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         lengths = np.asarray(pc.fill_null(pc.list_value_length(counted), 0), np.int64)
         entries = counted.flatten()
-        found = pc.index_in(entries.field("term"), value_set=pa.array(known, pa.string()))
+        found = pc.index_in(entries.field("term"), value_set=known)
         kept = np.flatnonzero(np.asarray(found.is_valid()))
         row = np.repeat(np.arange(len(counted)), lengths)[kept]
         place, n = np.asarray(found.take(kept), np.int64), np.asarray(entries.field("n").take(kept))
         order = np.lexsort((place, row))
-        row, place, weight = row[order], place[order], (n * idf[place])[order]
+        return row[order], place[order], n[order]
+
+    def weigh(posts: pa.Array) -> pa.Array:
+        row, place, n = of_words(posts) if pa.types.is_string(posts.type) else of_terms(posts)
+        weight = n * idf[place]
         # adds up in order, as places rise, so a row's norm doesn't depend on the rows beside it
-        weight = weight / np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(counted)))[row]
-        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(counted)))]), pa.int32())
+        weight = weight / np.sqrt(np.bincount(row, weights=weight * weight, minlength=len(posts)))[row]
+        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(posts)))]), pa.int32())
         lists = [pa.ListArray.from_arrays(ends, values) for values in (pa.array(place, pa.int32()), pa.array(weight, pa.float64()))]
-        return pa.StructArray.from_arrays(lists, fields=list(VECTOR), mask=counted.is_null())
+        return pa.StructArray.from_arrays(lists, fields=list(VECTOR), mask=posts.is_null())
 
-    weigh.__annotations__ = {"counted": pa.Array, "return": pa.Array}
-    vector = F.arrow_udf(weigh, "struct<indices:array<int>,values:array<double>>").asNondeterministic()
-    return df.withColumn("tfidf", vector(terms))
+    vector = _by_slices(weigh, VECTOR, "struct<indices:array<int>,values:array<double>>")
+    return df.withColumn("tfidf", vector(WORDS if WORDS in df.columns else terms))
 
 
 def tfidf_terms(features: DataFrame, vocabulary: Vocabulary, key: str = "id") -> DataFrame:
@@ -324,10 +444,10 @@ class TopicModel:
     def assign(self, df: DataFrame, categories: Mapping[str, list[str]] | None = None) -> DataFrame:
         """Adds topic_id, topic_probability (a weight) and topic_name; posts stay where they are.
 
-        Counted terms that ``df`` has already are used, and dropped.
+        Words that ``df`` has already are used, and dropped.
         """
-        counted = df if TERMS in df.columns else with_terms(df, self.stop_words)
-        weighted = self.weighted(counted).drop("tfidf", TERMS)
+        worded = df if WORDS in df.columns else with_words(df, self.stop_words)
+        weighted = self.weighted(worded).drop("tfidf", WORDS)
         best = F.array_max("_w")
         clear = best > WEIGHT_FLOOR
         assigned = weighted.withColumns(
@@ -338,12 +458,12 @@ class TopicModel:
         ).drop("_w")
         named = assigned.join(F.broadcast(self.names(df, categories).drop("top_words")), "topic_id", "left")
         named = named.withColumn("topic_name", F.coalesce("topic_name", F.lit(fixed.UNCATEGORIZED)))
-        return named.select(*[c for c in df.columns if c != TERMS], "topic_id", "topic_probability", "topic_name")
+        return named.select(*[c for c in df.columns if c != WORDS], "topic_id", "topic_probability", "topic_name")
 
-    def weighted(self, counted: DataFrame) -> DataFrame:
-        """Adds ``tfidf`` and ``_w``, the weight of each topic, to posts with counted terms."""
-        featured = tfidf_features(counted, self.vocabulary)
-        return featured.withColumn("_w", self.nmf.weights(*sparse_parts("tfidf"), counted))
+    def weighted(self, posts: DataFrame) -> DataFrame:
+        """Adds ``tfidf`` and ``_w``, the weight of each topic, to posts with words or counted terms."""
+        featured = tfidf_features(posts, self.vocabulary)
+        return featured.withColumn("_w", self.nmf.weights(*sparse_parts("tfidf"), posts))
 
 
 def fit_on_terms(
@@ -372,12 +492,12 @@ def model_topics(
 ) -> tuple[DataFrame, TopicModel | None]:
     """Posts with their topic, and the model; unchanged and None when there is too little to fit on.
 
-    The posts are written out with their counted terms, and read from there for all that follows.
+    The posts are written out with their words, and read from there for all that follows.
     """
     words = default_stop_words() if stop_words is None else stop_words
-    posts = write_and_read(with_terms(df, words), "posts")
-    model = fit_on_terms(posts.select(TERMS).where(F.col(TERMS).isNotNull()), words, n_topics, min_posts, max_iter=max_iter)
-    return (posts.drop(TERMS), None) if model is None else (model.assign(posts, categories), model)
+    posts = write_and_read(with_words(df, words), "posts")
+    model = fit_on_terms(posts.select(WORDS).where(F.col(WORDS).isNotNull()), words, n_topics, min_posts, max_iter=max_iter)
+    return (posts.drop(WORDS), None) if model is None else (model.assign(posts, categories), model)
 
 
 def perform_topic_modeling(

@@ -315,3 +315,25 @@ def test_topic_passes_work_on_whole_batches(spark, monkeypatch):
 def test_gram_is_exact_for_a_column_of_ones():
     rows = nmf.Rows(np.arange(257), np.zeros(256, np.int64), np.ones(256))
     assert rows.gram(2).tolist() == [[256 << 48, 0], [0, 0]]
+
+
+def test_vocabulary_and_vectors_come_from_words_in_order(spark, monkeypatch):
+    """The term table holds no pairs; words and pairs are tallied by batches, however many words are paired."""
+    monkeypatch.setattr(topics, "TEXTS_AT_ONCE", 5)
+    rng = np.random.default_rng(12)
+    texts = [" ".join(f"w{int(x)}" for x in np.minimum(rng.zipf(1.6, i % 23), 40)) for i in range(200)]
+    rows = [(str(i), "a title of twenty-one letters" if i % 4 else None, t or None) for i, t in enumerate(texts)]
+    rows += [("none", None, None), ("stops", "title title title title title", "")]
+    df = spark.createDataFrame(rows, "id string, title string, selftext string").repartition(3)
+    table = topics.term_table(df, ["title", "of"])
+    assert table.columns == ["id", topics.WORDS] and table.where("id = 'stops'").first()[topics.WORDS] == ""
+    counted = topics.with_terms(df, ["title", "of"]).where(F.col(topics.TERMS).isNotNull())
+    every = counted.select(F.inline(topics.TERMS)).groupBy("term").agg(F.sum("n"), F.count("*")).collect()
+    want = sorted((tuple(r) for r in every if 2 <= r[2] <= 0.8 * table.count()), key=lambda r: (-r[1], r[0]))[:60]
+    assert sum(" " in r[0] for r in want) > 10
+    for most in (200_000, 3):
+        monkeypatch.setattr(topics, "MOST_PAIRED", most)
+        assert [tuple(r) for r in topics.vocabulary_table(table, 60).collect()] == want
+    vocabulary = topics.fit_vocabulary(table, 60)
+    vectors = [{r["id"]: r["tfidf"] for r in topics.tfidf_features(d, vocabulary).collect()} for d in (table, counted)]
+    assert vectors[0] == vectors[1] and len(vectors[0]) > 150 and vectors[0]["stops"]["indices"] == []
