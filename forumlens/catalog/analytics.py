@@ -314,45 +314,51 @@ def tfidf_terms(v: Views) -> DataFrame:
     return long.withColumn("tfidf", F.rint(F.col("tfidf") * 1e6) / 1e6)
 
 
-def topic_model(v: Views) -> topics.TopicModel:
-    return topics.fit_topics(v.posts())
+def worded_posts(v: Views, stop_words: list[str]) -> DataFrame:
+    """Posts with their words in place of title and body; fitted on and assigned from there."""
+    return topics.worded(v.posts(), stop_words, "title", "selftext")
+
+
+def topic_model(posts: DataFrame) -> topics.TopicModel:
+    return topics.fit_topics(posts)
 
 
 @query("topic_model")
 def topic_weights(v: Views) -> DataFrame:
     """W of every post with enough text."""
-    model = topic_model(v)
-    worded = topics.with_words(v.posts(), model.stop_words).where(F.col(topics.WORDS).isNotNull())
-    return model.weighted(worded).select("id", F.posexplode("_w").alias("topic_id", "weight"))
+    posts = worded_posts(v, topics.default_stop_words())
+    return topic_model(posts).weighted(posts.where(F.col(topics.WORDS).isNotNull())).select("id", F.posexplode("_w").alias("topic_id", "weight"))
 
 
 @query("topic_assign")
 def topic_assign(v: Views) -> DataFrame:
-    assigned = topic_model(v).assign(v.posts())
+    posts = worded_posts(v, topics.default_stop_words())
+    assigned = topic_model(posts).assign(posts)
     return assigned.select("id", "topic_id", "topic_probability", "topic_name")
 
 
 @query("topic_distribution")
 def topic_distribution(v: Views) -> DataFrame:
-    return reports.topic_distribution(topic_model(v).assign(v.posts()))
+    posts = worded_posts(v, topics.default_stop_words())
+    return reports.topic_distribution(topic_model(posts).assign(posts))
 
 
 @query("topic_terms")
 def topic_terms(v: Views) -> DataFrame:
-    return topic_model(v).terms(v.posts())
+    return topic_model(v.posts()).terms(v.posts())
 
 
 @query("topic_names")
 def topic_names(v: Views) -> DataFrame:
-    return topic_model(v).names(v.posts())
+    return topic_model(v.posts()).names(v.posts())
 
 
 # A model with given factors, so that everything after the fit has SQL: two topics, W from two sweeps.
 NO_CATEGORY = {"none": ["no such word"]}
 
 
-def given_model(v: Views) -> topics.TopicModel:
-    vocabulary = topics.fit_vocabulary(topics.term_table(v.posts(), STOP_WORDS))
+def given_model(posts: DataFrame) -> topics.TopicModel:
+    vocabulary = topics.fit_vocabulary(topics.term_table(posts, STOP_WORDS))
     place = np.arange(len(vocabulary.terms))
     h = np.stack([place % 7 / 7, place * 3 % 5 / 5])
     start = nmf.Start(h.T, np.ones(2), np.ones(2), np.ones(2))
@@ -389,21 +395,22 @@ topical as (select a.*, coalesce(n.name, 'uncategorized') as topic_name from ass
 @query("topic_weights_given", f"select id, topic as topic_id, {half_even_sql('weight', 6)} as weight from weighed", GIVEN_SQL)
 def topic_weights_given(v: Views) -> DataFrame:
     """W of two sweeps from given factors."""
-    model = given_model(v)
-    worded = topics.with_words(v.posts(), STOP_WORDS).where(F.col(topics.WORDS).isNotNull())
-    long = model.weighted(worded).where(F.size("tfidf.indices") > 0).select("id", F.posexplode("_w").alias("topic_id", "weight"))
+    posts = worded_posts(v, STOP_WORDS)
+    long = given_model(posts).weighted(posts.where(F.col(topics.WORDS).isNotNull())).where(F.size("tfidf.indices") > 0).select("id", F.posexplode("_w").alias("topic_id", "weight"))
     return long.withColumn("weight", F.rint(F.col("weight") * 1e6) / 1e6)
 
 
 @query("topic_assign_given", "select id, topic_id, topic_probability, topic_name from topical", GIVEN_SQL)
 def topic_assign_given(v: Views) -> DataFrame:
-    assigned = given_model(v).assign(v.posts(), NO_CATEGORY)
+    posts = worded_posts(v, STOP_WORDS)
+    assigned = given_model(posts).assign(posts, NO_CATEGORY)
     return assigned.select("id", "topic_id", "topic_probability", "topic_name")
 
 
 @query("topic_distribution_given", "select topic_name, count(*) as posts from topical group by 1", GIVEN_SQL)
 def topic_distribution_given(v: Views) -> DataFrame:
-    return reports.topic_distribution(given_model(v).assign(v.posts(), NO_CATEGORY))
+    posts = worded_posts(v, STOP_WORDS)
+    return reports.topic_distribution(given_model(posts).assign(posts, NO_CATEGORY))
 
 
 @query(
@@ -412,7 +419,7 @@ def topic_distribution_given(v: Views) -> DataFrame:
     GIVEN_SQL,
 )
 def topic_terms_given(v: Views) -> DataFrame:
-    return given_model(v).terms(v.posts())
+    return given_model(v.posts()).terms(v.posts())
 
 
 @query(
@@ -422,7 +429,7 @@ def topic_terms_given(v: Views) -> DataFrame:
     GIVEN_SQL,
 )
 def topic_names_given(v: Views) -> DataFrame:
-    return given_model(v).names(v.posts(), NO_CATEGORY)
+    return given_model(v.posts()).names(v.posts(), NO_CATEGORY)
 
 
 # ---- model scoring -------------------------------------------------------------------------

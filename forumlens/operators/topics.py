@@ -194,10 +194,17 @@ def with_terms(df: DataFrame, stop_words: list[str], name: str = TERMS) -> DataF
     return with_words(df, stop_words, WORDS).withColumn(name, _counted_terms(F.col(WORDS))).drop(WORDS)
 
 
+def worded(df: DataFrame, stop_words: list[str], *without: str) -> DataFrame:
+    """The frame with its words and without some columns, written out: texts are worked through once for all that takes words."""
+    return write_and_read(with_words(df, stop_words).drop(*without), "posts")
+
+
 def term_table(df: DataFrame, stop_words: list[str], key: str = "id") -> DataFrame:
-    """(key, words) of all posts with enough text, written out: the text is worked through once, whatever is done with its terms."""
-    table = with_words(df.select(key, "title", "selftext"), stop_words).select(key, WORDS)
-    return write_and_read(table.where(F.col(WORDS).isNotNull()), "terms")
+    """(key, words) of all posts with enough text, written out; words that ``df`` has already are used where they are."""
+    enough = F.col(WORDS).isNotNull()
+    if WORDS in df.columns:
+        return df.select(key, WORDS).where(enough)
+    return write_and_read(with_words(df.select(key, "title", "selftext"), stop_words).select(key, WORDS).where(enough), "terms")
 
 
 def term_counts(table: DataFrame) -> DataFrame:
@@ -481,7 +488,7 @@ def fit_topics(
     df: DataFrame, n_topics: int = 8, min_posts: int = 5, stop_words: list[str] | None = None,
     max_terms: int = 1000, max_iter: int = 200, key: str = "id",
 ) -> TopicModel | None:
-    """Fit on all posts with enough text; None when there are too few, or no terms."""
+    """Fit on all posts with enough text; None when there are too few, or no terms. Words that ``df`` has already are used."""
     words = default_stop_words() if stop_words is None else stop_words
     return fit_on_terms(term_table(df, words, key), words, n_topics, min_posts, max_terms, max_iter)
 
@@ -495,7 +502,7 @@ def model_topics(
     The posts are written out with their words, and read from there for all that follows.
     """
     words = default_stop_words() if stop_words is None else stop_words
-    posts = write_and_read(with_words(df, words), "posts")
+    posts = worded(df, words)
     model = fit_on_terms(posts.select(WORDS).where(F.col(WORDS).isNotNull()), words, n_topics, min_posts, max_iter=max_iter)
     return (posts.drop(WORDS), None) if model is None else (model.assign(posts, categories), model)
 

@@ -337,3 +337,15 @@ def test_vocabulary_and_vectors_come_from_words_in_order(spark, monkeypatch):
     vocabulary = topics.fit_vocabulary(table, 60)
     vectors = [{r["id"]: r["tfidf"] for r in topics.tfidf_features(d, vocabulary).collect()} for d in (table, counted)]
     assert vectors[0] == vectors[1] and len(vectors[0]) > 150 and vectors[0]["stops"]["indices"] == []
+
+
+def test_texts_are_worked_through_once_for_fit_and_assignment(spark, posts, monkeypatch):
+    made = []
+    make = topics.with_words
+    monkeypatch.setattr(topics, "with_words", lambda *args: made.append(1) or make(*args))
+    words = topics.default_stop_words()
+    once = topics.worded(posts, words, "title", "selftext")
+    got = fit_topics(once, 3, max_iter=9).assign(once).select("id", "topic_id", "topic_probability", "topic_name")
+    rows = sorted(got.collect())
+    assert len(made) == 1 and "title" not in once.columns
+    assert rows == sorted(fit_topics(posts, 3, max_iter=9).assign(posts).select(got.columns).collect()) and len(made) == 3
