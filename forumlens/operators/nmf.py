@@ -24,18 +24,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumlens.session import spread_small_input, write_and_read
+from forumlens.session import delete_written, spread_small_input, write_and_read
 
 V_SCHEMA = "block bigint, starts binary, terms binary, weights binary"
 W_SCHEMA = "block bigint, w binary"
 START_FLOOR = 1e-6
 ROWS_PER_BLOCK = 256
-STEPS_PER_WRITE = 10
+STEPS_PER_WRITE = 4
 #: Sums are of whole multiples of this unit, so that they don't depend on the order or grouping of rows.
 UNIT = 2.0**-34
 #: The same for the entries of V in V'V; so many rows of products of these fit a double exactly.
 GRAM_UNIT, GRAM_ROWS = 2.0**-24, 32
 EXACT = 2.0**52
+#: Blocks' sums are held back until an entry might reach this, so that few are carried.
+HELD = 2**62
 #: Partial sums that the driver or a task adds at a time, and their bytes at most.
 SUMS_AT_ONCE, SUM_BYTES = 64, 1 << 27
 
@@ -76,7 +78,7 @@ class Rows:
 
     def gram(self, n_terms: int) -> np.ndarray:
         """V' V of this block, in squared units; V is rounded to units first."""
-        total = np.zeros((n_terms, n_terms), np.int64)
+        total = None
         rounded = np.rint(self.weights / GRAM_UNIT)
         # no sum of products is above the greatest sum of squares, so mostly all rows fit a double exactly
         squares = np.bincount(self.terms, weights=rounded * rounded, minlength=n_terms)
@@ -86,7 +88,8 @@ class Rows:
             dense = np.zeros((len(ends) - 1, n_terms))
             inside = slice(ends[0], ends[-1])
             dense[np.repeat(np.arange(len(ends) - 1), np.diff(ends)), self.terms[inside]] = rounded[inside]
-            total += (dense.T @ dense).astype(np.int64)
+            product = (dense.T @ dense).astype(np.int64)
+            total = product if total is None else np.add(total, product, out=total)
         return total
 
 
@@ -132,10 +135,20 @@ class Sum:
 
     def __init__(self, size: int):
         self.high, self.low = np.zeros(size, np.int64), np.zeros(size, np.int64)
+        #: Added up but not yet carried into the limbs, and what no entry of it exceeds.
+        self.held, self.most = np.zeros(size, np.int64), 0
 
     def add(self, units: np.ndarray) -> None:
         units = units.astype(np.int64)
-        self._carry(self.high + (units >> 32), self.low + (units & 0xFFFFFFFF))
+        most = max(abs(int(units.max())), abs(int(units.min())))
+        if self.most + most >= HELD:
+            self._settle()
+        self.held += units
+        self.most += most
+
+    def _settle(self) -> None:
+        self._carry(self.high + (self.held >> 32), self.low + (self.held & 0xFFFFFFFF))
+        self.held, self.most = np.zeros(len(self.held), np.int64), 0
 
     def merge(self, packed: bytes) -> None:
         high, low = np.frombuffer(packed, np.int64).reshape(2, -1)
@@ -145,9 +158,11 @@ class Sum:
         self.high, self.low = high + (low >> 32), low & 0xFFFFFFFF
 
     def packed(self) -> bytes:
+        self._settle()
         return np.stack([self.high, self.low]).tobytes()
 
     def values(self, unit: float) -> np.ndarray:
+        self._settle()
         return (self.high.astype(np.float64) * 2.0**32 + self.low) * unit
 
 
@@ -295,18 +310,19 @@ def fit_nmf(
     The factors are the same to the last digit however the rows are partitioned. V is written and dealt out by block
     once; W is dealt out alike, so that putting them side by side moves neither, and is written every few steps.
     """
-    v = write_and_read(spread_small_input(_pack(features, vector)), "nmf-v")
+    packed = write_and_read(spread_small_input(_pack(features, vector)), "nmf-v")
     if n_terms is None:
         n_terms = 1 + (features.agg(F.max(F.array_max(sparse_parts(vector)[0]))).first()[0] or 0)
-    tasks = max(v.rdd.getNumPartitions(), features.sparkSession.sparkContext.defaultParallelism)
-    v = _by_block(v, tasks)
+    tasks = max(packed.rdd.getNumPartitions(), features.sparkSession.sparkContext.defaultParallelism)
+    v = _by_block(packed, tasks)
     start, h = _start(v, k, n_terms, tasks)
 
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"block": batch["block"], "w": [start.first_w(_rows(row)).tobytes() for _, row in batch.iterrows()]})
 
-    w = _by_block(write_and_read(v.mapInPandas(begin, W_SCHEMA), "nmf-w"), tasks)
+    written = write_and_read(v.mapInPandas(begin, W_SCHEMA), "nmf-w")
+    w = _by_block(written, tasks)
     steps, pending, violations = [], [], []
     for _ in range(max_iter):
         pending.append(h.copy())
@@ -329,11 +345,14 @@ def fit_nmf(
         if violations[0] == 0 or violation / violations[0] <= tolerance:
             break
         if len(pending) == STEPS_PER_WRITE:
-            advanced = _by_block(write_and_read(_advance(v.join(w, "block"), pending, k), "nmf-w"), tasks)
+            advanced = write_and_read(_advance(v.join(w, "block"), pending, k), "nmf-w")
             w.unpersist()
-            w, pending = advanced, []
+            delete_written(written)
+            written, w, pending = advanced, _by_block(advanced, tasks), []
     v.unpersist()
     w.unpersist()
+    delete_written(written)
+    delete_written(packed)
     return NmfModel(h, start, steps, violations)
 
 

@@ -118,6 +118,12 @@ def write_and_read(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete_written(df: DataFrame) -> None:
+    """Delete the folder of a table of :func:`write_and_read` that nothing reads any more."""
+    for folder in {os.path.dirname(file) for file in df.inputFiles()}:
+        delete_folder(df.sparkSession, folder)
+
+
 def spread_small_input(df: DataFrame) -> DataFrame:
     """An input of fewer partitions than cores, dealt out over all of them; any other as it is.
 

@@ -13,7 +13,7 @@ from forumlens.operators import collect
 from forumlens.plans import jobs
 from forumlens.plans.analysis import Settings, analyze, analyze_combined, analyze_folder
 from forumlens.plans.collection import SearchSettings, collect_and_analyze, user_collection
-from forumlens.session import list_folder, work_folder
+from forumlens.session import list_folder, path_exists, work_folder
 
 
 def dense_nmf(v, k, sweeps):
@@ -349,3 +349,27 @@ def test_texts_are_worked_through_once_for_fit_and_assignment(spark, posts, monk
     rows = sorted(got.collect())
     assert len(made) == 1 and "title" not in once.columns
     assert rows == sorted(fit_topics(posts, 3, max_iter=9).assign(posts).select(got.columns).collect()) and len(made) == 3
+
+
+def test_factorisation_leaves_no_tables_behind(spark, monkeypatch):
+    written = []
+    write = nmf.write_and_read
+    monkeypatch.setattr(nmf, "write_and_read", lambda df, label: written.append(write(df, label)) or written[-1])
+    rng = np.random.default_rng(3)
+    v = np.abs(rng.normal(size=(90, 10)))
+    fit_nmf(sparse(spark, v), "x", k=3, max_iter=11, tolerance=0.0, n_terms=10)
+    assert len(written) > 3
+    assert not any(path_exists(spark, file) for table in written for file in table.inputFiles())
+
+
+def test_sums_held_back_are_exact():
+    rng = np.random.default_rng(2)
+    blocks = [rng.integers(-(2**60), 2**60, 5) for _ in range(50)] + [np.full(5, 2**61), np.full(5, -(2**61))] * 3
+    total, other = nmf.Sum(5), nmf.Sum(5)
+    for i, block in enumerate(blocks):
+        (total if i % 3 else other).add(block)
+    total.merge(other.packed())
+    total.add(np.ones(5))
+    high, low = np.frombuffer(total.packed(), np.int64).reshape(2, -1)
+    want = [1 + sum(int(b[j]) for b in blocks) for j in range(5)]
+    assert [(int(h) << 32) + int(x) for h, x in zip(high, low)] == want
