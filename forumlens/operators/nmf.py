@@ -313,7 +313,7 @@ def fit_nmf(
     packed = write_and_read(spread_small_input(_pack(features, vector)), "nmf-v")
     if n_terms is None:
         n_terms = 1 + (features.agg(F.max(F.array_max(sparse_parts(vector)[0]))).first()[0] or 0)
-    tasks = max(packed.rdd.getNumPartitions(), features.sparkSession.sparkContext.defaultParallelism)
+    tasks = _whole_rounds(packed.rdd.getNumPartitions(), features.sparkSession.sparkContext.defaultParallelism)
     v = _by_block(packed, tasks)
     start, h = _start(v, k, n_terms, tasks)
 
@@ -356,6 +356,11 @@ def fit_nmf(
     return NmfModel(h, start, steps, violations)
 
 
+def _whole_rounds(partitions: int, cores: int) -> int:
+    """As many tasks at least, so that all cores are busy to the end of a pass."""
+    return -(-max(partitions, 1) // cores) * cores
+
+
 def _by_block(df: DataFrame, tasks: int) -> DataFrame:
     """Dealt out and sorted by block, so that tables dealt out alike are joined where they are."""
     return df.repartition(tasks, "block").sortWithinPartitions("block").persist()

@@ -373,3 +373,13 @@ def test_sums_held_back_are_exact():
     high, low = np.frombuffer(total.packed(), np.int64).reshape(2, -1)
     want = [1 + sum(int(b[j]) for b in blocks) for j in range(5)]
     assert [(int(h) << 32) + int(x) for h, x in zip(high, low)] == want
+
+
+def test_passes_of_a_fit_fill_all_cores(spark, monkeypatch):
+    dealt = []
+    deal = nmf._by_block
+    monkeypatch.setattr(nmf, "_by_block", lambda df, tasks: dealt.append(tasks) or deal(df, tasks))
+    cores = spark.sparkContext.defaultParallelism
+    fit_nmf(sparse(spark, np.abs(np.random.default_rng(1).normal(size=(40, 6)))).repartition(cores + 3), "x", k=2, max_iter=2, n_terms=6)
+    assert dealt and all(n % cores == 0 for n in dealt)
+    assert [nmf._whole_rounds(n, 8) for n in (0, 1, 8, 9, 17)] == [8, 8, 8, 16, 24]
