@@ -55,12 +55,8 @@ def squeeze(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACES_PATTERN, " "))
 
 
-def clean_for_sentiment(text: Column) -> Column:
-    """Drop URLs, handles and hashtags; keep words and basic punctuation; squeeze whitespace.
-
-    Most texts hold no URL or handle, which a substring test settles faster than a pattern.
-    Symbols and whitespace both end up as one blank per run, so one pattern covers them.
-    """
+def without_links(text: Column) -> Column:
+    """Drop URLs, handles and hashtags. Most texts hold none, which a substring test settles faster than a pattern."""
 
     def without(pattern: str, *signs: str):
         def remove(t: Column) -> Column:
@@ -72,8 +68,20 @@ def clean_for_sentiment(text: Column) -> Column:
         return remove
 
     text = let(text, without(URL_PATTERN, "http", "www"))
-    text = let(text, without(HANDLE_PATTERN, "@", "#"))
-    return F.trim(F.regexp_replace(text, NEITHER_WORD_NOR_STOP_PATTERN, " "))
+    return let(text, without(HANDLE_PATTERN, "@", "#"))
+
+
+def clean_for_sentiment(text: Column) -> Column:
+    """Drop URLs, handles and hashtags; keep words and basic punctuation; squeeze whitespace.
+
+    Symbols and whitespace both end up as one blank per run, so one pattern covers them.
+    """
+    return F.trim(F.regexp_replace(without_links(text), NEITHER_WORD_NOR_STOP_PATTERN, " "))
+
+
+def ascii_apart(text: Column, pattern: str, to: str) -> Column:
+    """Signs outside ASCII that a pattern finds, replaced; a text of ASCII signs only is left alone."""
+    return let(text, lambda t: F.when(F.octet_length(t) == F.char_length(t), t).otherwise(F.regexp_replace(t, pattern, to)))
 
 
 def combined_text(title: str = "title", body: str = "selftext") -> Column:

@@ -10,18 +10,31 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
+from forumlens.functions.batches import by_slices, coded, in_slices, translated
 from forumlens.functions.lookup import word_lookup
 from forumlens.functions.numeric import half_even
-from forumlens.functions.text import clean_for_sentiment, computed_once, let, strip
+from forumlens.functions.text import ascii_apart, clean_for_sentiment, computed_once, let, strip, without_links
 
 MAX_LITERAL_WORDS = 50_000
+#: Texts that are worked through at a time.
+TEXTS_AT_ONCE = 1024
 #: Copies of a joined lexicon, over which the tokens of one word are dealt.
 JOIN_SALTS = 16
 FIELDS = ("compound", "pos", "neu", "neg", "class", "priority")
+#: What a text's scores follow from: sums of valences, tokens without any, and the weight of its marks.
+SUMS = pa.struct([pa.field(name, pa.float64()) for name in ("total", "up", "down", "neutral", "marks")])
+SUMS_TYPE = "struct<total:double,up:double,down:double,neutral:double,marks:double>"
+#: Words that rules name; and signs that words don't hold, which part them like blanks: in ASCII, by byte, and others.
+SPECIAL = ("but", "no", "or", "nor", "never", "so", "this", "without", "doubt", "least", "at", "very", "kind", "of")
+APART = bytes(i if i > 127 or chr(i).isalnum() or chr(i) in "_.,!?" else 32 for i in range(256))
+FOREIGN_SIGN_PATTERN = r"[^\p{L}\p{N}\x00-\x7F]"
 
 
 @dataclass(frozen=True)
@@ -292,33 +305,191 @@ def token_valences(cleaned: Column, lexicon: Lexicon) -> Column:
     return let(tokenize(cleaned), lambda tokens: let(F.transform(tokens, F.lower), lambda words: hits(tokens, words)))
 
 
+def sentiment_tokens(df: DataFrame, text: str, lexicon: Lexicon, keys: list[str]) -> DataFrame:
+    """One row per token that carries sentiment, with its valence in context."""
+    scored = df.select(*keys, F.inline(token_valences(clean_for_sentiment(F.col(text)), lexicon)))
+    return scored.select(*keys, F.col("place").alias("token_place"), "token", "valence")
+
+
+# ---- by batches ----------------------------------------------------------------------------
+def _prepared(text: Column) -> Column:
+    """Without URLs and handles; signs outside ASCII that no word holds are blanks. ASCII signs are left to the batches."""
+    return ascii_apart(without_links(text), FOREIGN_SIGN_PATTERN, " ")
+
+
+class Rules:
+    """The rules of :func:`token_valences` for some texts at a time; only tokens that carry sentiment are looked at one by one."""
+
+    def __init__(self, lexicon: Lexicon):
+        scored, phrases = lexicon.scored, {**lexicon.idioms, **lexicon.phrase_boosters}
+        boosters, negations = lexicon.modifiers
+        known = {*scored, *boosters, *negations, *SPECIAL, *(word for run in phrases for word in run.split(" "))}
+        #: Words that rules know, numbered; the number after the last is any other word, or none.
+        self.number = {word: i for i, word in enumerate(sorted(known))}
+        self.other, self.names = len(self.number), pa.array(list(self.number), pa.string())
+        self.carries, self.valence = self._table(scored)
+        self.boosts, self.step = self._table(boosters)
+        self.negates, _ = self._table(dict.fromkeys(negations, 1.0))
+        self.idioms, self.boosters = self._runs(lexicon.idioms), self._runs(lexicon.phrase_boosters)
+        self.never, self.without = "never" in negations, "without" in negations
+        self.kind, self.no = "kind" in scored, "no" in scored
+        self.phrases, self.least = bool(phrases), "least" not in lexicon.valence
+
+    def _table(self, values: Mapping[str, float]) -> tuple[np.ndarray, np.ndarray]:
+        """Whether a word of a number has a value, and which."""
+        has, value = np.zeros(self.other + 1, bool), np.zeros(self.other + 1)
+        for word, x in values.items():
+            has[self.number[word]], value[self.number[word]] = True, x
+        return has, value
+
+    def _runs(self, values: Mapping[str, float]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By length, the runs of words as one number each, in order, and their values."""
+        found: dict[int, list[tuple[int, float]]] = {}
+        for run, x in values.items():
+            words = [np.array([self.number[word]]) for word in run.split(" ")]
+            if len(words) in (2, 3):
+                found.setdefault(len(words), []).append((int(self._key(words)[0]), float(x)))
+        return {n: tuple(np.array(part) for part in zip(*sorted(pairs), strict=True)) for n, pairs in found.items()}
+
+    def _key(self, words: list[np.ndarray]) -> np.ndarray:
+        key = words[0].astype(np.int64)
+        for word in words[1:]:
+            key = key * (self.other + 1) + word
+        return key
+
+    def _of_run(self, runs: dict[int, tuple[np.ndarray, np.ndarray]], words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Whether runs of words have a value, and which."""
+        key = self._key(words)
+        keys, values = runs.get(len(words), (np.array([-1]), np.zeros(1)))
+        near = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return keys[near] == key, values[near]
+
+    def is_word(self, numbers: np.ndarray, *words: str) -> np.ndarray:
+        return np.isin(numbers, [self.number[word] for word in words])
+
+    def sums(self, texts: pa.Array) -> pa.Array:
+        """What :func:`_scores` takes, of each text; null where no token is left."""
+        spaced = translated(texts, APART)
+        row, code, found = coded(spaced)
+        tokens = len(code)
+        count = np.bincount(row, minlength=len(texts))
+        number, caps = self._tokens(found)
+        marks = (1 * self.carries[number] + 2 * caps + 4 * self.is_word(number, "but")).astype(np.uint8)[code]
+        shouted = np.bincount(row[(marks & 2) > 0], minlength=len(texts))
+        mixed = (shouted > 0) & (shouted < count)
+        starts, but = np.cumsum(count) - count, np.full(len(texts), tokens)
+        but_at = np.flatnonzero(marks & 4)[::-1]
+        but[row[but_at]] = but_at  # the first of a text is put in last
+        hit = np.flatnonzero(marks & 1)
+
+        def at(step: int) -> tuple[np.ndarray, np.ndarray]:
+            """Number and capitals of the word at some steps from each hit."""
+            place = hit + step
+            inside = (place >= starts[row[hit]]) & (place < starts[row[hit]] + count[row[hit]])
+            there = code[np.where(inside, place, 0)] if tokens else place
+            return np.where(inside, number[there], self.other), inside & caps[there]
+
+        if self.kind and len(hit):  # "kind of" has no valence
+            hit = hit[~(self.is_word(at(0)[0], "kind") & self.is_word(at(1)[0], "of"))]
+        near = {step: at(step) for step in range(-3, 3)} if len(hit) else {}
+        value = self._valences(near, mixed[row[hit]], hit - starts[row[hit]]) if len(hit) else np.zeros(0)
+        before, after = fixed.BUT_FACTORS
+        has_but, first_but = but[row[hit]] < tokens, but[row[hit]]
+        value = value * np.where(has_but & (hit < first_but), before, np.where(has_but & (hit > first_but), after, 1.0))
+        # each is added up in the order of a text's tokens
+        total, up, down = (
+            np.bincount(row[hit], weights=x, minlength=len(texts))
+            for x in (value, np.where(value > 0, value + 1, 0.0), np.where(value < 0, value - 1, 0.0))
+        )
+        neutral = count - np.bincount(row[hit[value != 0]], minlength=len(texts))
+        parts = [total, up, down, neutral, self._emphasis(spaced)]
+        return pa.StructArray.from_arrays([pa.array(x.astype(np.float64)) for x in parts], fields=list(SUMS), mask=pa.array(count == 0))
+
+    def _tokens(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Of distinct words with their edges: the number without them, and whether it is all in capitals."""
+        inner = pc.utf8_trim(found, fixed.EDGE_PUNCTUATION)
+        tokens = pc.if_else(pc.less_equal(pc.utf8_length(inner), 2), found, inner)
+        lower, upper = pc.ascii_lower(tokens), pc.ascii_upper(tokens)
+        foreign = pc.invert(pc.string_is_ascii(tokens))
+        if pc.any(foreign).as_py():
+            some = tokens.filter(foreign).to_pylist()
+            lower = pc.replace_with_mask(lower, foreign, pa.array([t.lower() for t in some], pa.string()))
+            upper = pc.replace_with_mask(upper, foreign, pa.array([t.upper() for t in some], pa.string()))
+        number = pc.fill_null(pc.index_in(lower, value_set=self.names), self.other)
+        caps = pc.and_(pc.not_equal(tokens, lower), pc.equal(tokens, upper))
+        return np.asarray(number, np.int64), np.asarray(caps, bool)
+
+    def _valences(self, near: dict[int, tuple[np.ndarray, np.ndarray]], mixed: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Valences of tokens in context, in the order of the rules of the in-row form."""
+        word = {step: number for step, (number, _) in near.items()}
+        value = self.valence[word[0]]
+        if self.no:
+            negated = self.is_word(word[-1], "no") | self.is_word(word[-2], "no") | (self.is_word(word[-3], "no") & self.is_word(word[-1], "or", "nor"))
+            alone = ~self.is_word(word[0], "no") | ~self.carries[word[1]]
+            value = np.where(alone | negated, value * np.where(negated, fixed.NEGATION_FACTOR, 1.0), 0.0)
+
+        def caps_step(step: int) -> np.ndarray:
+            return np.where(near[step][1] & mixed, np.where(value > 0, fixed.CAPS_BOOST, -fixed.CAPS_BOOST), 0.0)
+
+        value = value + caps_step(0)
+        for back, damping in enumerate(fixed.CONTEXT_DAMPING, start=1):
+            other, between = word[-back], [word[-b] for b in range(1, back)]
+            step = self.step[other]
+            signed = np.where(value < 0, -step, step) + caps_step(-back)
+            value = value + np.where(self.boosts[other], signed * damping, 0.0)
+            factor = np.where(self.negates[other], fixed.NEGATION_FACTOR, 1.0)
+            for negation, words, instead in (("without", ["doubt"], 1.0), ("never", ["so", "this"], fixed.NEVER_SO)):
+                if between and getattr(self, negation):
+                    softened = np.any([self.is_word(b, *words) for b in between], axis=0)
+                    factor = np.where(self.is_word(other, negation) & softened, instead, factor)
+            value = value * factor
+        if self.phrases:
+            replaced, settled = value, np.zeros(len(value), bool)
+            for steps in ((0, 1, 2), (0, 1), (-1, 0), (-2, -1, 0), (-2, -1), (-3, -2, -1), (-3, -2)):
+                found, idiom = self._of_run(self.idioms, [word[step] for step in steps])
+                replaced, settled = np.where(found & ~settled, idiom, replaced), settled | found
+            for steps in ((-3, -2, -1), (-3, -2), (-2, -1)):
+                found, boost = self._of_run(self.boosters, [word[step] for step in steps])
+                replaced = replaced + np.where(found, boost, 0.0)
+            value = np.where((place > 2) & ~self.carries[word[-3]], replaced, value)
+        if self.least:
+            value = np.where(self.is_word(word[-1], "least") & ~self.is_word(word[-2], "at", "very"), value * fixed.NEGATION_FACTOR, value)
+        return value
+
+    @staticmethod
+    def _emphasis(texts: pa.Array) -> np.ndarray:
+        """The same as :func:`emphasis`."""
+        exclaim, ask = (np.asarray(pc.fill_null(pc.count_substring(texts, sign), 0), np.int64) for sign in "!?")
+        asked = np.where(ask <= 1, 0.0, np.where(ask <= 3, ask * fixed.QUESTION_STEP, fixed.QUESTION_MAX))
+        return np.minimum(exclaim, fixed.EXCLAMATION_MAX) * fixed.EXCLAMATION_STEP + asked
+
+
+def _of_sums(sums: Column) -> Column:
+    scored = _scores(sums["total"], sums["up"], sums["down"], sums["neutral"], sums["marks"])
+    return F.when(sums.isNull(), blank_scores()).otherwise(scored)
+
+
 def sentiment(text: Column, lexicon: Lexicon) -> Column:
-    """struct<compound, pos, neu, neg, class, priority> of a text."""
-
-    def of_cleaned(cleaned: Column) -> Column:
-        count = _count_char(cleaned, " ") + 1
-
-        def of_valences(values: Column) -> Column:
-            total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
-            up = F.aggregate(values, F.lit(0.0), lambda a, v: a + F.when(v > 0, v + 1).otherwise(0.0))
-            down = F.aggregate(values, F.lit(0.0), lambda a, v: a + F.when(v < 0, v - 1).otherwise(0.0))
-            neutral = (count - F.size(F.filter(values, lambda v: v != 0))).cast("double")
-            sums = F.struct(
-                total.alias("total"), up.alias("up"), down.alias("down"),
-                neutral.alias("neutral"), emphasis(cleaned).alias("marks"),
-            )
-            return let(sums, lambda s: _scores(s["total"], s["up"], s["down"], s["neutral"], s["marks"]))
+    """struct<compound, pos, neu, neg, class, priority> of a text.
 
-        scored = let(F.transform(token_valences(cleaned, lexicon), lambda t: t["valence"]), of_valences)
-        return F.when(F.coalesce(cleaned, F.lit("")) == "", blank_scores()).otherwise(scored)
+    Texts go through :class:`Rules` a batch at a time: lambdas of SQL functions run token by token.
+    """
+    sums = by_slices(Rules(lexicon).sums, SUMS, SUMS_TYPE, TEXTS_AT_ONCE)
+    return let(sums(_prepared(text)), _of_sums)
 
-    return let(clean_for_sentiment(text), of_cleaned)
 
+def sentiments(texts: Column, lexicon: Lexicon) -> Column:
+    """The same of each text of a list, in order; null for a null list."""
+    rules = Rules(lexicon)
 
-def sentiment_tokens(df: DataFrame, text: str, lexicon: Lexicon, keys: list[str]) -> DataFrame:
-    """One row per token that carries sentiment, with its valence in context."""
-    scored = df.select(*keys, F.inline(token_valences(clean_for_sentiment(F.col(text)), lexicon)))
-    return scored.select(*keys, F.col("place").alias("token_place"), "token", "valence")
+    def work(lists: pa.Array) -> pa.Array:
+        ends = np.concatenate([[0], np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0), np.int64))])
+        sums = in_slices(rules.sums, lists.flatten(), SUMS, TEXTS_AT_ONCE)
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), sums, mask=lists.is_null())
+
+    work.__annotations__ = {"lists": pa.Array, "return": pa.Array}
+    of_lists = F.arrow_udf(work, f"array<{SUMS_TYPE}>").asNondeterministic()
+    return F.transform(of_lists(F.transform(texts, _prepared)), _of_sums)
 
 
 # ---- joined form ---------------------------------------------------------------------------
@@ -394,11 +565,9 @@ def content_sentiment(df: DataFrame, lexicon: Lexicon) -> DataFrame:
     from_title = F.struct(
         F.col("title_sentiment_class").alias("class"), F.col("title_sentiment_priority").alias("priority")
     )
-    own = let(
-        sentiment(F.col("selftext"), lexicon),
-        lambda s: F.struct(s["class"].alias("class"), s["priority"].alias("priority")),
-    )
-    scored = df.withColumn("_body", F.when(short, from_title).otherwise(own))
+    own = df.withColumn("_own", sentiment(F.when(~short, F.col("selftext")), lexicon))
+    from_body = F.struct(F.col("_own")["class"].alias("class"), F.col("_own")["priority"].alias("priority"))
+    scored = own.withColumn("_body", F.when(short, from_title).otherwise(from_body)).drop("_own")
     return scored.withColumns(
         {
             "content_sentiment_class": F.col("_body")["class"],
@@ -413,10 +582,11 @@ def comments_sentiment(df: DataFrame, lexicon: Lexicon) -> DataFrame:
         F.transform(F.slice("comments", 1, 5), lambda c: c["body"]),
         lambda b: F.coalesce(F.char_length(b) > 10, F.lit(False)),
     )
-    values = F.transform(first, lambda b: sentiment(b, lexicon)["priority"])
-    mean = let(values, lambda v: F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v))
     usable = (F.size(first) > 0) & (F.coalesce(F.col("comments_collected"), F.lit(0)) != 0)
-    return df.withColumn("comments_sentiment_avg", F.when(usable, mean).otherwise(50.0))
+    scored = df.withColumn("_moods", sentiments(F.when(usable, first), lexicon))
+    priorities = F.transform("_moods", lambda s: s["priority"])
+    mean = let(priorities, lambda v: F.aggregate(v, F.lit(0.0), lambda a, x: a + x) / F.size(v))
+    return scored.withColumn("comments_sentiment_avg", F.when(F.col("_moods").isNotNull(), mean).otherwise(50.0)).drop("_moods")
 
 
 def overall_weights(has_body: bool, has_comments: bool) -> tuple[float, float, float]:

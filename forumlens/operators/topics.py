@@ -14,9 +14,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens import fixed_values as fixed
+from forumlens.functions.batches import by_slices, coded, translated
 from forumlens.functions.lookup import config_table
 from forumlens.functions.numeric import half_even
-from forumlens.functions.text import NON_WORD_PATTERN, combined_text, computed_once, let, strip
+from forumlens.functions.text import NON_WORD_PATTERN, ascii_apart, combined_text, computed_once, let, strip
 from forumlens.operators.nmf import NmfModel, fit_nmf, sparse_parts
 from forumlens.session import write_and_read
 
@@ -107,12 +108,8 @@ def with_words(df: DataFrame, stop_words: list[str], name: str = WORDS) -> DataF
     word with one is no term; Spark marks them, so that all ways agree on what a letter is.
     """
 
-    def marked(text: Column) -> Column:
-        foreign = F.regexp_replace(text, r"[\p{L}\p{N}&&[^\x00-\x7F]]", "_")
-        return F.when(F.octet_length(text) == F.char_length(text), text).otherwise(foreign)
-
     def long_enough(text: Column) -> Column:
-        return F.when(F.char_length(text) > MIN_CHARS, let(F.lower(text), marked))
+        return F.when(F.char_length(text) > MIN_CHARS, ascii_apart(F.lower(text), r"[\p{L}\p{N}&&[^\x00-\x7F]]", "_"))
 
     apart = bytes(i if chr(i).isalnum() and i < 128 or chr(i) == "_" else 32 for i in range(256))
     stops = pa.array(stop_words, pa.string())
@@ -121,9 +118,7 @@ def with_words(df: DataFrame, stop_words: list[str], name: str = WORDS) -> DataF
         return pc.and_not(pc.match_substring_regex(words, "^[a-z][a-z0-9]+$"), pc.is_in(words, value_set=stops))
 
     def some(text: pa.Array) -> pa.Array:
-        valid, offsets, signs = text.buffers()
-        spaced = pa.Array.from_buffers(text.type, len(text), [valid, offsets, pa.py_buffer(bytes(signs or b"").translate(apart))], offset=text.offset)
-        row, code, words = _coded(spaced, wanted)
+        row, code, words = coded(translated(text, apart), wanted)
         ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(text)))])
         kept = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words.take(pa.array(code)), mask=text.is_null())
         return pc.binary_join(kept, " ").cast(pa.string())
@@ -132,27 +127,7 @@ def with_words(df: DataFrame, stop_words: list[str], name: str = WORDS) -> DataF
 
 
 def _by_slices(of_some: Callable[[pa.Array], pa.Array], arrow_type: pa.DataType, spark_type: str):
-    """A function of a column that takes some texts at a time; a filter on its result makes no copy of it."""
-
-    def work(texts: pa.Array) -> pa.Array:
-        parts = [of_some(texts.slice(low, TEXTS_AT_ONCE)) for low in range(0, len(texts), TEXTS_AT_ONCE)]
-        return pa.concat_arrays(parts) if parts else pa.array([], arrow_type)
-
-    work.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    return F.arrow_udf(work, spark_type).asNondeterministic()
-
-
-def _coded(texts: pa.Array, wanted: Callable[[pa.Array], pa.Array] | None = None) -> tuple[np.ndarray, np.ndarray, pa.Array]:
-    """Row and code of each wanted word of texts, in order, and the words that codes stand for."""
-    found = pc.ascii_split_whitespace(texts)
-    row = np.repeat(np.arange(len(texts)), np.asarray(pc.fill_null(pc.list_value_length(found), 0)))
-    encoded = found.flatten().dictionary_encode()
-    words = encoded.dictionary
-    kept = np.asarray(pc.not_equal(words, "") if wanted is None else wanted(words), bool)
-    if not kept.all():
-        code = np.where(kept, np.cumsum(kept) - 1, -1)[np.asarray(encoded.indices)]
-        return row[code >= 0], code[code >= 0], words.filter(pa.array(kept))
-    return row, np.asarray(encoded.indices, np.int64), words
+    return by_slices(of_some, arrow_type, spark_type, TEXTS_AT_ONCE)
 
 
 def _beside(row: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,7 +140,7 @@ def _counted_terms(words: Column) -> Column:
     """The same as :func:`counted_terms`, of words joined by blanks."""
 
     def some(text: pa.Array) -> pa.Array:
-        row, code, words = _coded(text)
+        row, code, words = coded(text)
         order = np.asarray(pc.sort_indices(words))
         words, rank = words.take(order), np.empty(len(words), np.int64)
         rank[order] = np.arange(len(words))
@@ -235,7 +210,7 @@ def _words(table: DataFrame) -> DataFrame:
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, code, words = _coded(batch.column(0))
+            row, code, words = coded(batch.column(0))
             code, tallies = _tallied(code, row, batch.num_rows)
             yield pa.RecordBatch.from_arrays([words.take(pa.array(code)), *tallies], names=["term", "n", "documents"])
 
@@ -248,7 +223,7 @@ def _pairs(table: DataFrame, words: list[str]) -> DataFrame:
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, code, found = _coded(batch.column(0))
+            row, code, found = coded(batch.column(0))
             place = np.asarray(pc.fill_null(pc.index_in(found, value_set=known), -1), np.int64)
             row, first, second = _beside(row, place[code])
             pair, tallies = _tallied(first * len(known) + second, row, batch.num_rows)
@@ -358,7 +333,7 @@ def tfidf_features(df: DataFrame, vocabulary: Vocabulary, terms: str = TERMS) ->
     in_terms = pa.array(parts, pa.string())
 
     def of_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        row, code, words = _coded(texts)
+        row, code, words = coded(texts)
         part = np.asarray(pc.fill_null(pc.index_in(words, value_set=in_terms), -1), np.int64)[code]
         place = alone[part]
         pair_row, first, second = _beside(row, part)

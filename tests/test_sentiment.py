@@ -1,12 +1,15 @@
 """Sentiment rules one by one, and the joined form against the in-row form."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from forumlens.functions.lookup import config_table
-from forumlens.operators.sentiment import FIELDS, STARTER_LEXICON, Lexicon, add_sentiment, score_by_join, sentiment
+from forumlens.functions.text import clean_for_sentiment
+from forumlens.operators import sentiment as module
+from forumlens.operators.sentiment import FIELDS, STARTER_LEXICON, Lexicon, add_sentiment, emphasis, score_by_join, sentiment, sentiments, token_valences
 from forumlens.schema import COMMENT
 
 LEXICON = Lexicon({"good": 2.0, "bad": -2.0, "very": 1.0}, {"very": 0.3, "hardly": -0.3}, ("not",))
@@ -94,3 +97,58 @@ def test_posts(spark):
     assert bad["comments_sentiment_avg"] == 50.0
     flat = add_sentiment(df.drop("comments_collected"), STARTER_LEXICON).where("id = '1'").first()
     assert flat["overall_sentiment_score"] == pytest.approx(flat["title_sentiment_priority"], abs=0.01)
+
+
+WORDS = (
+    "good GOOD Good. _good_ bad BAD, bad!! very VERY hardly not never no NO nor or so this without doubt least at but But BUT kind of sort "
+    "the shit bomb to die for kiss death yeah right bus stop x I é É ÉTÉ été straße STRASSE good—bad “good” naïve 好 ½ ?? a?b ... _ @you #tag "
+    "http://a.b/c?d www.x.y I'm don't\u00a0good \u2028 \x85 \t \n good\x00bad ΟΔΟΣ οδος İ ŉ"
+).split(" ")
+LEXICONS = {
+    "plain": LEXICON,
+    "phrases": Lexicon(
+        {"good": 1.9, "bad": -2.5, "no": -1.2, "kind": 2.4, "die": -2.9, "stop": -1.2, "été": 0.7, "straße": -0.3, "right": 0.1},
+        {"very": 0.293, "hardly": -0.293, "so": 0.293, "kind of": -0.293, "sort of": -0.293, "to the very": 0.5},
+        ("not", "never", "without", "no", "nor"), {**STARTER_LEXICON.idioms, "good bad": 1.1, "so good this": -0.4, "a b c d": 9.0, "good": 7.0},
+    ),
+    "least": Lexicon({"least": -0.5, "good": 1.9, "but": 0.4}, {}, ()),
+}
+
+
+@pytest.mark.parametrize("lexicon", LEXICONS.values(), ids=LEXICONS)
+def test_batches_follow_the_rules_of_single_rows(spark, monkeypatch, lexicon):
+    """Sums of texts worked through by batches are those of valences found token by token, to the last digit."""
+    monkeypatch.setattr(module, "TEXTS_AT_ONCE", 7)
+    draw = random.Random(4)
+    texts = [" ".join(draw.choices(WORDS, k=draw.randrange(25))) for _ in range(400)] + [None, "", " ", "!", "?!", "__", "“", "http://x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string").repartition(3)
+    cleaned = df.select("id", "text", clean_for_sentiment(F.col("text")).alias("clean"))
+    found = cleaned.select("id", "clean", token_valences(F.col("clean"), lexicon)["valence"].alias("values"), emphasis(F.col("clean")).alias("marks"))
+    sums = module.by_slices(module.Rules(lexicon).sums, module.SUMS, module.SUMS_TYPE, 7)
+    got = {r["id"]: r["sums"] for r in df.select("id", sums(module._prepared(F.col("text"))).alias("sums")).collect()}
+    carried = 0
+    for row in found.collect():
+        if not row["clean"]:
+            assert got[row["id"]] is None
+            continue
+        total = up = down = 0.0
+        for value in row["values"]:
+            total, up, down = total + value, up + (value + 1 if value > 0 else 0.0), down + (value - 1 if value < 0 else 0.0)
+        neutral = len(row["clean"].split(" ")) - sum(value != 0 for value in row["values"])
+        assert tuple(got[row["id"]]) == (total, up, down, neutral, row["marks"]), texts[row["id"]]
+        carried += len(row["values"])
+    assert carried > 300
+
+
+def test_lists_of_texts_are_scored_like_single_ones(spark):
+    texts = [t for t, _ in CASES] + ["", None, "http://x"]
+    df = spark.createDataFrame([(1, texts), (2, []), (3, None)], "id int, texts array<string>")
+    got = {r["id"]: r["s"] for r in df.select("id", sentiments(F.col("texts"), LEXICON).alias("s")).collect()}
+    single = df.where("id = 1").select(F.posexplode("texts").alias("place", "text")).select("place", sentiment(F.col("text"), LEXICON).alias("s"))
+    assert got[1] == [r["s"] for r in single.orderBy("place").collect()] and got[2] == [] and got[3] is None
+
+
+def test_sentiment_of_posts_runs_no_lambda_over_tokens(spark):
+    df = spark.createDataFrame([("1", "good", "this is a good one", 0)], "id string, title string, selftext string, comments_collected int")
+    plan = add_sentiment(df, LEXICON)._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan and "split(" not in plan and plan.count("BatchEvalPython") == 0
