@@ -4,10 +4,10 @@ Frobenius loss, coordinate descent by columns (HALS, Cichocki & Phan 2009), NNDS
 (Boutsidis & Gallopoulos 2008). W has a row per document and never leaves the executors; H has at
 most a thousand columns and lives on the driver.
 
-Given the sequence of H, each row of W follows from its own row of V. So an iteration is one
-stateless pass over the blocks of V that returns only the sums W'V and W'W, and the fitted model
-computes W for any row by itself, without a join. To keep the passes short, W is written out
-every few iterations, as a table in the shared folder; V is written once.
+Given the sequence of H, each row of W follows from its own row of V, so the fitted model computes W
+for any row by itself, without a join. An iteration is one pass over the blocks of V that returns only
+the sums W'V and W'W. To keep the passes short, W is written out every few iterations, by the same
+pass, as a table in the shared folder, and the more often the larger V is; V is written once.
 """
 
 from __future__ import annotations
@@ -20,22 +20,24 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.session import delete_written, spread_small_input, write_and_read
 
 V_SCHEMA = "block bigint, starts binary, terms binary, weights binary"
-W_SCHEMA = "block bigint, w binary"
+#: A block's W, or what a task has summed up; the other columns are null.
+W_SCHEMA = "block bigint, w binary, part int, packed binary"
 START_FLOOR = 1e-6
 ROWS_PER_BLOCK = 256
-STEPS_PER_WRITE = 4
+#: Iterations from one writing of W to the next, at most; steps of blocks that a core goes through again in place of one writing.
+STEPS_PER_WRITE, BLOCKS_PER_WRITE = 3, 400
 #: Sums are of whole multiples of this unit, so that they don't depend on the order or grouping of rows.
 UNIT = 2.0**-34
-#: The same for the entries of V in V'V; so many rows of products of these fit a double exactly.
+#: The same for the entries of V in V'V; so many rows of products of these fit a double exactly in any case.
 GRAM_UNIT, GRAM_ROWS = 2.0**-24, 32
-EXACT = 2.0**52
+EXACT = 2.0**53
 #: Blocks' sums are held back until an entry might reach this, so that few are carried.
 HELD = 2**62
 #: Partial sums that the driver or a task adds at a time, and their bytes at most.
@@ -73,23 +75,29 @@ class Rows:
 
     def transposed_times(self, w: np.ndarray, n_terms: int) -> np.ndarray:
         """W' V of this block, (k x terms), in units."""
-        row, units = self.row, self.weights / UNIT
-        return np.stack([np.bincount(self.terms, weights=np.rint(w[:, k].copy()[row] * units), minlength=n_terms) for k in range(w.shape[1])])
+        lengths, units, sums = np.diff(self.starts), self.weights / UNIT, np.empty((w.shape[1], n_terms))
+        for k in range(w.shape[1]):
+            products = np.repeat(w[:, k], lengths)
+            products *= units
+            sums[k] = np.bincount(self.terms, weights=np.rint(products, out=products), minlength=n_terms)
+        return sums
 
     def gram(self, n_terms: int) -> np.ndarray:
         """V' V of this block, in squared units; V is rounded to units first."""
-        total = None
-        rounded = np.rint(self.weights / GRAM_UNIT)
-        # no sum of products is above the greatest sum of squares, so mostly all rows fit a double exactly
-        squares = np.bincount(self.terms, weights=rounded * rounded, minlength=n_terms)
-        at_once = ROWS_PER_BLOCK if squares.max() < EXACT else GRAM_ROWS
-        for low in range(0, len(self.starts) - 1, at_once):
-            ends = self.starts[low : low + at_once + 1]
-            dense = np.zeros((len(ends) - 1, n_terms))
+        rounded, total = np.rint(self.weights / GRAM_UNIT), np.zeros((n_terms, n_terms), np.int64)
+        ranges = [(low, min(low + ROWS_PER_BLOCK, len(self.starts) - 1)) for low in range(0, len(self.starts) - 1, ROWS_PER_BLOCK)]
+        while ranges:
+            low, high = ranges.pop()
+            ends = self.starts[low : high + 1]
             inside = slice(ends[0], ends[-1])
-            dense[np.repeat(np.arange(len(ends) - 1), np.diff(ends)), self.terms[inside]] = rounded[inside]
-            product = (dense.T @ dense).astype(np.int64)
-            total = product if total is None else np.add(total, product, out=total)
+            # no sum of products is above the greatest sum of squares; where that might not fit a double exactly, fewer rows are taken
+            squares = np.bincount(self.terms[inside], weights=rounded[inside] * rounded[inside], minlength=n_terms)
+            if high - low > GRAM_ROWS and squares.max() >= EXACT:
+                ranges += [(low, (low + high) // 2), ((low + high) // 2, high)]
+                continue
+            dense = np.zeros((high - low, n_terms))
+            dense[np.repeat(np.arange(high - low), np.diff(ends)), self.terms[inside]] = rounded[inside]
+            total += (dense.T @ dense).astype(np.int64)
         return total
 
 
@@ -166,12 +174,8 @@ class Sum:
         return (self.high.astype(np.float64) * 2.0**32 + self.low) * unit
 
 
-def tree_sum(blocks: DataFrame, of_block: Callable[[pd.Series], np.ndarray], size: int, unit: float, tasks: int) -> np.ndarray:
-    """The sum over all blocks, which lie in ``tasks`` partitions, of an array of whole multiples of ``unit``.
-
-    A task sums its blocks and gives back one packed row. Few such rows go to the driver; of many, some are added
-    at a time in tasks, until few are left. So neither the driver nor a task ever holds more than a few sums.
-    """
+def block_sums(blocks: DataFrame, of_block: Callable[[pd.Series], np.ndarray], size: int) -> DataFrame:
+    """(part, packed): a row per partition with the sum over its blocks of an array of whole numbers."""
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = Sum(size)
@@ -180,13 +184,23 @@ def tree_sum(blocks: DataFrame, of_block: Callable[[pd.Series], np.ndarray], siz
                 total.add(of_block(row))
         yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "packed": [total.packed()]})
 
+    return blocks.mapInPandas(sums, "part int, packed binary")
+
+
+def tree_sum(parts: DataFrame, size: int, unit: float, tasks: int) -> np.ndarray:
+    """The sum of (part, packed) rows of ``tasks`` partitions, in multiples of ``unit``.
+
+    Few such rows go to the driver; of many, some are added at a time in tasks, until few are left. So neither the
+    driver nor a task ever holds more than a few sums.
+    """
+
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
         total = Sum(size)
         for packed in frame["packed"]:
             total.merge(packed)
         return pd.DataFrame({"part": frame["part"].iloc[:1], "packed": [total.packed()]})
 
-    parts, n = blocks.mapInPandas(sums, "part int, packed binary"), tasks
+    n = tasks
     at_once = max(2, min(SUMS_AT_ONCE, SUM_BYTES // (16 * size)))
     while n > at_once:
         n = -(-n // at_once)
@@ -227,7 +241,8 @@ def _rows(row) -> Rows:
 
 def _start(blocks: DataFrame, k: int, n_terms: int, tasks: int) -> tuple[Start, np.ndarray]:
     """NNDSVD from the Gram matrix, which is summed in a tree and whose size the vocabulary bounds."""
-    gram = tree_sum(blocks, lambda row: _rows(row).gram(n_terms).ravel(), n_terms * n_terms, GRAM_UNIT**2, tasks).reshape(n_terms, n_terms)
+    products = block_sums(blocks, lambda row: _rows(row).gram(n_terms).ravel(), n_terms * n_terms)
+    gram = tree_sum(products, n_terms * n_terms, GRAM_UNIT**2, tasks).reshape(n_terms, n_terms)
     eigenvalues, eigenvectors = np.linalg.eigh(gram)
     top = np.argsort(eigenvalues)[::-1][:k]
     values = np.sqrt(np.maximum(eigenvalues[top], 0))
@@ -243,7 +258,7 @@ def _start(blocks: DataFrame, k: int, n_terms: int, tasks: int) -> tuple[Start,
         parts = np.stack([np.maximum(left, 0) ** 2, np.minimum(left, 0) ** 2])
         return np.rint(parts / UNIT).sum(axis=1).ravel()
 
-    sums = tree_sum(blocks, squares, 2 * k, UNIT, tasks).reshape(2, k)
+    sums = tree_sum(block_sums(blocks, squares, 2 * k), 2 * k, UNIT, tasks).reshape(2, k)
     signs, scales, h = np.zeros(k), np.zeros(k), np.zeros((k, vectors.shape[0]))
     for j in range(k):
         if not present[j]:
@@ -283,6 +298,12 @@ class NmfModel:
 
         Declared as not deterministic, though it is: so no filter on its result makes a copy of it.
         """
+        compute = self.of_lists(df)
+        compute.__annotations__ = {"term_lists": pa.Array, "weight_lists": pa.Array, "return": pa.Array}
+        return F.arrow_udf(compute, "array<double>").asNondeterministic()(terms, weights)
+
+    def of_lists(self, df: DataFrame) -> Callable[[pa.Array, pa.Array], pa.Array]:
+        """W of rows whose sparse vectors are two list columns, as a function for the tasks of the frame's session."""
         shared = df.sparkSession.sparkContext.broadcast((self.start, self.steps))
         k = self.components.shape[0]
 
@@ -298,8 +319,7 @@ class NmfModel:
                 w[some] = own
             return pa.ListArray.from_arrays(pa.array(np.arange(0, w.size + 1, k), pa.int32()), pa.array(w.ravel()))
 
-        compute.__annotations__ = {"term_lists": pa.Array, "weight_lists": pa.Array, "return": pa.Array}
-        return F.arrow_udf(compute, "array<double>").asNondeterministic()(terms, weights)
+        return compute
 
 
 def fit_nmf(
@@ -316,25 +336,16 @@ def fit_nmf(
     tasks = _whole_rounds(packed.rdd.getNumPartitions(), features.sparkSession.sparkContext.defaultParallelism)
     v = _by_block(packed, tasks)
     start, h = _start(v, k, n_terms, tasks)
-
-    def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"block": batch["block"], "w": [start.first_w(_rows(row)).tobytes() for _, row in batch.iterrows()]})
-
-    written = write_and_read(v.mapInPandas(begin, W_SCHEMA), "nmf-w")
-    w = _by_block(written, tasks)
-    steps, pending, violations = [], [], []
+    every = _steps_per_write(v.count(), features.sparkSession.sparkContext.defaultParallelism)
+    blocks, w, written, pending, steps, violations, size = v, None, None, [], [], [], k * (n_terms + k) + 1
     for _ in range(max_iter):
         pending.append(h.copy())
-        shared = v.sparkSession.sparkContext.broadcast(pending)
-
-        def sums(row, shared=shared) -> np.ndarray:
-            rows, own = _rows(row), np.frombuffer(row["w"], np.float64).reshape(-1, k).copy()
-            violation = replay(rows, own, shared.value)
-            gram = np.rint(own[:, :, None] * own[:, None, :] / UNIT).sum(axis=0)
-            return np.concatenate([rows.transposed_times(own, n_terms).ravel(), gram.ravel(), [np.rint(violation / UNIT).sum()]])
-
-        whole = tree_sum(v.join(w, "block"), sums, k * (n_terms + k) + 1, UNIT, tasks)
+        shared = v.sparkSession.sparkContext.broadcast((start, pending))
+        writes = len(pending) == every
+        passed = _advance(blocks, shared, size, writes)
+        if writes:
+            passed = write_and_read(passed, "nmf-w")
+        whole = tree_sum(passed.where("packed is not null").select("part", "packed"), size, UNIT, tasks)
         shared.destroy()
         cross, gram, violation = whole[: k * n_terms].reshape(k, n_terms), whole[k * n_terms : -1].reshape(k, k), whole[-1]
         target = h.T.copy()
@@ -342,20 +353,30 @@ def fit_nmf(
         h = target.T.copy()
         steps.append(pending[-1])
         violations.append(violation)
+        if writes:
+            _let_go(w, written)
+            written, pending = passed, []
+            w = _by_block(written.where("packed is null").select("block", "w"), tasks)
+            blocks = v.join(w, "block")
         if violations[0] == 0 or violation / violations[0] <= tolerance:
             break
-        if len(pending) == STEPS_PER_WRITE:
-            advanced = write_and_read(_advance(v.join(w, "block"), pending, k), "nmf-w")
-            w.unpersist()
-            delete_written(written)
-            written, w, pending = advanced, _by_block(advanced, tasks), []
-    v.unpersist()
-    w.unpersist()
-    delete_written(written)
-    delete_written(packed)
+    _let_go(w, written)
+    _let_go(v, packed)
     return NmfModel(h, start, steps, violations)
 
 
+def _steps_per_write(blocks: int, cores: int) -> int:
+    """How rarely W is written: going through a few blocks again costs less than a table does, through many it costs more."""
+    return max(1, min(STEPS_PER_WRITE, BLOCKS_PER_WRITE * cores // max(blocks, 1)))
+
+
+def _let_go(kept: DataFrame | None, written: DataFrame | None) -> None:
+    """A frame that is kept, and the table that it was read from, are needed no more."""
+    if written is not None:
+        kept.unpersist()
+        delete_written(written)
+
+
 def _whole_rounds(partitions: int, cores: int) -> int:
     """As many tasks at least, so that all cores are busy to the end of a pass."""
     return -(-max(partitions, 1) // cores) * cores
@@ -366,17 +387,25 @@ def _by_block(df: DataFrame, tasks: int) -> DataFrame:
     return df.repartition(tasks, "block").sortWithinPartitions("block").persist()
 
 
-def _advance(blocks: DataFrame, steps: list[np.ndarray], k: int) -> DataFrame:
-    """W brought through ``steps``, by block."""
-    shared = blocks.sparkSession.sparkContext.broadcast(list(steps))
+def _advance(blocks: DataFrame, shared: Broadcast, size: int, writes: bool) -> DataFrame:
+    """The sums W'V, W'W and the violation of each task after some steps from the blocks' W, or from the start; on request also that W."""
 
     def move(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        start, steps = shared.value
+        k, n_terms = steps[0].shape
+        total = Sum(size)
         for batch in batches:
             out = []
             for _, row in batch.iterrows():
-                w = np.frombuffer(row["w"], np.float64).reshape(-1, k).copy()
-                replay(_rows(row), w, shared.value)
+                rows = _rows(row)
+                w = np.frombuffer(row["w"], np.float64).reshape(-1, k).copy() if "w" in row else start.first_w(rows)
+                violation = replay(rows, w, steps)
+                gram = np.rint(w[:, :, None] * w[:, None, :] / UNIT).sum(axis=0)
+                total.add(np.concatenate([rows.transposed_times(w, n_terms).ravel(), gram.ravel(), [np.rint(violation / UNIT).sum()]]))
                 out.append(w.tobytes())
-            yield pd.DataFrame({"block": batch["block"], "w": out})
+            if writes:
+                yield pd.DataFrame({"block": batch["block"].astype("Int64"), "w": out, "part": pd.array([None] * len(out), "Int32"), "packed": None})
+        part = pd.array([TaskContext.get().partitionId()], "Int32")
+        yield pd.DataFrame({"block": pd.array([None], "Int64"), "w": [None], "part": part, "packed": [total.packed()]})
 
     return blocks.mapInPandas(move, W_SCHEMA)

@@ -317,11 +317,8 @@ def fit_vocabulary(table: DataFrame, max_terms: int = 1000, min_df: int = 2, max
     )
 
 
-def tfidf_features(df: DataFrame, vocabulary: Vocabulary, terms: str = TERMS) -> DataFrame:
-    """Adds ``tfidf``, the unit-length sparse vector of a post's terms: places of terms, rising, and weights. Nothing is shuffled.
-
-    Terms are taken from a post's words where ``df`` has them, otherwise from counted terms.
-    """
+def _vectors(vocabulary: Vocabulary) -> Callable[[pa.Array], pa.Array]:
+    """The unit-length sparse vectors of posts, from their words or their counted terms: places of terms, rising, and weights."""
     idf, known = np.array(vocabulary.idf), pa.array(vocabulary.terms, pa.string())
     split = [term.split(" ") for term in vocabulary.terms]
     parts = sorted({word for words in split for word in words})
@@ -363,7 +360,15 @@ def tfidf_features(df: DataFrame, vocabulary: Vocabulary, terms: str = TERMS) ->
         lists = [pa.ListArray.from_arrays(ends, values) for values in (pa.array(place, pa.int32()), pa.array(weight, pa.float64()))]
         return pa.StructArray.from_arrays(lists, fields=list(VECTOR), mask=posts.is_null())
 
-    vector = _by_slices(weigh, VECTOR, "struct<indices:array<int>,values:array<double>>")
+    return weigh
+
+
+def tfidf_features(df: DataFrame, vocabulary: Vocabulary, terms: str = TERMS) -> DataFrame:
+    """Adds ``tfidf``, the unit-length sparse vector of a post's terms: places of terms, rising, and weights. Nothing is shuffled.
+
+    Terms are taken from a post's words where ``df`` has them, otherwise from counted terms.
+    """
+    vector = _by_slices(_vectors(vocabulary), VECTOR, "struct<indices:array<int>,values:array<double>>")
     return df.withColumn("tfidf", vector(WORDS if WORDS in df.columns else terms))
 
 
@@ -429,7 +434,7 @@ class TopicModel:
         Words that ``df`` has already are used, and dropped.
         """
         worded = df if WORDS in df.columns else with_words(df, self.stop_words)
-        weighted = self.weighted(worded).drop("tfidf", WORDS)
+        weighted = worded.withColumn("_w", self._topic_weights(df)(F.col(WORDS))).drop(WORDS)
         best = F.array_max("_w")
         clear = best > WEIGHT_FLOOR
         assigned = weighted.withColumns(
@@ -442,6 +447,16 @@ class TopicModel:
         named = named.withColumn("topic_name", F.coalesce("topic_name", F.lit(fixed.UNCATEGORIZED)))
         return named.select(*[c for c in df.columns if c != WORDS], "topic_id", "topic_probability", "topic_name")
 
+    def _topic_weights(self, df: DataFrame):
+        """The weight of each topic, from words; vectors are made and used within a batch and don't travel."""
+        vectors, of_lists = _vectors(self.vocabulary), self.nmf.of_lists(df)
+
+        def weigh(words: pa.Array) -> pa.Array:
+            found = vectors(words)
+            return of_lists(found.field("indices"), found.field("values"))
+
+        return _by_slices(weigh, pa.list_(pa.float64()), "array<double>")
+
     def weighted(self, posts: DataFrame) -> DataFrame:
         """Adds ``tfidf`` and ``_w``, the weight of each topic, to posts with words or counted terms."""
         featured = tfidf_features(posts, self.vocabulary)

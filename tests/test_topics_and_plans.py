@@ -383,3 +383,46 @@ def test_passes_of_a_fit_fill_all_cores(spark, monkeypatch):
     fit_nmf(sparse(spark, np.abs(np.random.default_rng(1).normal(size=(40, 6)))).repartition(cores + 3), "x", k=2, max_iter=2, n_terms=6)
     assert dealt and all(n % cores == 0 for n in dealt)
     assert [nmf._whole_rounds(n, 8) for n in (0, 1, 8, 9, 17)] == [8, 8, 8, 16, 24]
+
+
+def test_w_is_written_by_the_pass_that_sums_and_more_often_for_more_blocks(spark, monkeypatch):
+    """The factors don't depend on how often W is written; no pass goes through V only to write W."""
+    rng = np.random.default_rng(6)
+    df = sparse(spark, np.abs(rng.normal(size=(300, 12))) * (rng.random((300, 12)) < 0.5)).repartition(4)
+    passes, fits = [], []
+    advance = nmf._advance
+    monkeypatch.setattr(nmf, "_advance", lambda *args: passes.append(args[-1]) or advance(*args))
+    for at_most in (1, 3):
+        monkeypatch.setattr(nmf, "STEPS_PER_WRITE", at_most)
+        fits.append(fit_nmf(df, "x", k=3, max_iter=7, tolerance=0.0, n_terms=12))
+    assert passes == [True] * 7 + [False, False, True] * 2 + [False]
+    assert np.array_equal(fits[0].components, fits[1].components) and fits[0].violations == fits[1].violations
+    assert [nmf._steps_per_write(n, 8) for n in (0, 40, 1500, 3000, 100_000)] == [3, 3, 2, 1, 1]
+
+
+def test_gram_takes_fewer_rows_only_where_they_do_not_fit(monkeypatch):
+    """Short texts have heavy entries; whole blocks are multiplied as far as a double holds their squares."""
+    rng, taken = np.random.default_rng(7), []
+    starts = np.arange(0, 513, 2)
+    rows = nmf.Rows(starts, np.tile([0, 1], 256), rng.random(512))
+    dense = np.zeros((256, 2), object)
+    units = [int(round(float(x))) for x in np.rint(rows.weights / nmf.GRAM_UNIT)]
+    for i in range(256):
+        dense[i] = units[2 * i : 2 * i + 2]
+    zeros = np.zeros
+    monkeypatch.setattr(nmf.np, "zeros", lambda shape, *kind: taken.append(shape) or zeros(shape, *kind))
+    assert rows.gram(2).tolist() == (dense.T @ dense).tolist()
+    assert max(shape[0] for shape in taken[1:]) > nmf.GRAM_ROWS
+
+
+def test_assignment_hands_on_no_vectors(spark, posts):
+    words = topics.default_stop_words()
+    once = topics.worded(posts, words)
+    model = fit_topics(once, 3, max_iter=5)
+    assigned = model.assign(once)
+    plan = assigned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "indices" not in plan
+    weights = {r["id"]: r["_w"] for r in model.weighted(once).collect()}
+    for row in assigned.collect():
+        best = max(weights[row["id"]])
+        assert row["topic_id"] == (weights[row["id"]].index(best) if best > topics.WEIGHT_FLOOR else -1)
