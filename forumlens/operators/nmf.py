@@ -70,8 +70,12 @@ class Rows:
 
     def times(self, matrix: np.ndarray) -> np.ndarray:
         """This block of V times a (terms x k) matrix; a column at a time, whose numbers lie side by side."""
-        columns = np.ascontiguousarray(matrix.T)
-        return np.stack([np.add.reduceat(self.weights * column[self.terms], self.starts[:-1]) for column in columns], axis=1)
+        products, sums = np.empty(len(self.terms)), np.empty((matrix.shape[1], len(self.starts) - 1))
+        for column, out in zip(np.ascontiguousarray(matrix.T), sums, strict=True):
+            np.take(column, self.terms, out=products, mode="clip")  # the fastest way; terms were checked before, so none is clipped
+            products *= self.weights
+            np.add.reduceat(products, self.starts[:-1], out=out)
+        return sums.T
 
     def transposed_times(self, w: np.ndarray, n_terms: int) -> np.ndarray:
         """W' V of this block, (k x terms), in units."""
@@ -103,12 +107,15 @@ class Rows:
 
 def descend(target: np.ndarray, cross: np.ndarray, gram: np.ndarray) -> np.ndarray:
     """One sweep over the columns of ``target`` (rows x k) in place; returns the projected gradient's size by row."""
-    violation = np.zeros(len(target))
-    for k in range(target.shape[1]):
-        gradient = (target * gram[:, k]).sum(axis=1) - cross[:, k]
-        violation += np.abs(np.where(target[:, k] == 0, np.minimum(gradient, 0), gradient))
+    violation, columns, crossed = np.zeros(len(target)), np.ascontiguousarray(target.T), np.ascontiguousarray(cross.T)
+    for k, column in enumerate(columns):
+        gradient = (columns * gram[:, k, None]).sum(axis=0)
+        gradient -= crossed[k]
+        violation += np.abs(np.where(column == 0, np.minimum(gradient, 0), gradient))
         if gram[k, k] != 0:
-            target[:, k] = np.maximum(target[:, k] - gradient / gram[k, k], 0)
+            gradient /= gram[k, k]
+            np.maximum(column - gradient, 0, out=column)
+    target[:] = columns.T
     return violation
 
 
@@ -226,7 +233,8 @@ def _pack(features: DataFrame, vector: str) -> DataFrame:
         for batch in batches:
             for low in range(0, batch.num_rows, ROWS_PER_BLOCK):
                 rows = Rows.from_arrow(*batch.slice(low, ROWS_PER_BLOCK).columns)
-                parts = [number, rows.starts.tobytes(), rows.terms.tobytes(), rows.weights.tobytes()]
+                short = rows.terms.min() >= 0 and rows.terms.max() < 1 << 16
+                parts = [number, rows.starts.tobytes(), rows.terms.astype(np.uint16 if short else np.int64).tobytes(), rows.weights.tobytes()]
                 number += 1
                 yield pa.RecordBatch.from_arrays([pa.array([part]) for part in parts], names=["block", "starts", "terms", "weights"])
 
@@ -234,9 +242,10 @@ def _pack(features: DataFrame, vector: str) -> DataFrame:
 
 
 def _rows(row) -> Rows:
-    return Rows(
-        np.frombuffer(row["starts"], np.int64), np.frombuffer(row["terms"], np.int64), np.frombuffer(row["weights"], np.float64)
-    )
+    weights = np.frombuffer(row["weights"], np.float64)
+    short = len(row["terms"]) < 8 * len(weights)  # places of terms take two bytes where they fit
+    terms = np.frombuffer(row["terms"], np.uint16 if short else np.int64).astype(np.int64)
+    return Rows(np.frombuffer(row["starts"], np.int64), terms, weights)
 
 
 def _start(blocks: DataFrame, k: int, n_terms: int, tasks: int) -> tuple[Start, np.ndarray]:
@@ -305,7 +314,7 @@ class NmfModel:
     def of_lists(self, df: DataFrame) -> Callable[[pa.Array, pa.Array], pa.Array]:
         """W of rows whose sparse vectors are two list columns, as a function for the tasks of the frame's session."""
         shared = df.sparkSession.sparkContext.broadcast((self.start, self.steps))
-        k = self.components.shape[0]
+        k, n_terms = self.components.shape
 
         def compute(term_lists: pa.Array, weight_lists: pa.Array) -> pa.Array:
             start, steps = shared.value
@@ -314,6 +323,8 @@ class NmfModel:
             for low in range(0, len(filled), ROWS_PER_BLOCK):
                 some = filled[low : low + ROWS_PER_BLOCK]
                 rows = Rows.from_arrow(term_lists.take(some), weight_lists.take(some))
+                if rows.terms.min() < 0 or rows.terms.max() >= n_terms:
+                    raise IndexError(f"terms are numbered from 0 to {n_terms - 1}")
                 own = start.first_w(rows)
                 replay(rows, own, steps)
                 w[some] = own

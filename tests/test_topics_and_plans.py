@@ -426,3 +426,35 @@ def test_assignment_hands_on_no_vectors(spark, posts):
     for row in assigned.collect():
         best = max(weights[row["id"]])
         assert row["topic_id"] == (weights[row["id"]].index(best) if best > topics.WEIGHT_FLOOR else -1)
+
+
+ODD_TEXTS = [
+    "Plain ASCII With Words And 123 Numbers of it", "\u212aelvin and \u0130stanbul are lowered to letters of ASCII", "ÉTÉ Straße ẞ Ǆ ΟΔΟΣ ⅧX Ⓐb n\u0303o ½x é1",
+    "unknown \u0378to \u0378 patterns a\ua7cbb and \U0001f600words\U0001f600apart 好ab ab好", "no-break\u00a0space line\u2028sep next\x85line", "", None,
+]
+
+
+def test_words_of_texts_outside_ascii_are_those_of_sql_functions(spark):
+    """Signs whose lower case is a letter of ASCII or two signs, letters and signs outside ASCII, and signs without a meaning."""
+    df = spark.createDataFrame([(i, t, "a body that is long enough") for i, t in enumerate(ODD_TEXTS)], "id int, title string, selftext string")
+    stops = ["of", "and"]
+    kept = F.array_join(F.filter(topics.terms_of(topics.strip(topics.combined_text()), stops), lambda t: ~F.contains(t, F.lit(" "))), " ")
+    rows = topics.with_words(df, stops).select("id", topics.WORDS, kept.alias("want")).collect()
+    assert [r[topics.WORDS] for r in rows] == [r["want"] for r in rows] and "kelvin i stanbul" not in rows[0]["want"]
+    assert {r["id"]: r["want"] for r in rows}[1].startswith("kelvin stanbul")
+
+
+def test_terms_outside_the_vocabulary_are_refused(spark):
+    df = sparse(spark, np.abs(np.random.default_rng(1).normal(size=(40, 6))))
+    model = fit_nmf(df, "x", k=2, max_iter=2, n_terms=6)
+    wide = sparse(spark, np.ones((2, 9)))
+    with pytest.raises(Exception, match="numbered from 0 to 5"):
+        wide.select(model.weights(*sparse_parts("x"), wide)).collect()
+
+
+def test_places_of_terms_take_two_bytes_where_they_fit(spark):
+    for places in ([0, 3, 65535], [0, 3, 65536]):
+        df = spark.createDataFrame([((places, [0.5, 0.25, 1.0]),)], "x struct<indices:array<int>,values:array<double>>")
+        row = nmf._pack(df, "x").toPandas().iloc[0]
+        assert len(row["terms"]) == (6 if places[-1] < 65536 else 24)
+        assert nmf._rows(row).terms.tolist() == places and nmf._rows(row).terms.dtype == np.int64
